@@ -192,10 +192,11 @@ def _info(name):
 
 
 def _write_document(zf, name, records, charset="utf-8"):
+    records = iter(records)
     with zf.open(_info(name), "w") as body:
         body.write(f'<?xml version="1.0" encoding="{charset}"?><r><devices>'.encode())
-        for record in records:
-            body.write(record["xml"].encode(charset))
+        while block := list(itertools.islice(records, 1000)):
+            body.write("".join(record["xml"] for record in block).encode(charset))
         body.write(b"</devices></r>")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from releasemill.model import STRIP_CHARS
+from releasemill.sources import devicexml
 
 # --- fixed values: same sets as the document parser, in Java syntax ----------
 ILLEGAL_CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
@@ -16,9 +17,7 @@ BARE_AMPERSAND = r"&(?!(?:amp|lt|gt|quot|apos|#\p{Nd}+|#x[0-9a-fA-F]+);)"
 
 @F.pandas_udf(T.StringType())
 def _decode_other(data: pd.Series) -> pd.Series:
-    from releasemill.sources.devicexml import decode_charset as decode
-
-    return data.map(lambda b: None if b is None else decode(bytes(b)))
+    return data.map(lambda b: None if b is None else devicexml.decode_charset(bytes(b)))
 
 
 def decode_charset(data: Column) -> Column:

@@ -41,8 +41,16 @@ def output_name(kind: str, identifier: str, now, extension: str) -> str:
 
 
 def write_csv(frame: DataFrame, path: str) -> str:
-    """Comma-separated part files, each with the header; blank for NULL and empty."""
-    frame.write.options(**CSV_OPTIONS).csv(path)
+    """Comma-separated part files, each with the header; blank for NULL and empty.
+
+    In a frame of one column a blank is quoted: an empty line would be no row.
+    """
+    options = dict(CSV_OPTIONS)
+    if len(frame.columns) == 1:
+        name = frame.columns[0]
+        frame = frame.select(F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).alias(name))
+        options["emptyValue"] = '""'
+    frame.write.options(**options).csv(path)
     return path
 
 

@@ -12,7 +12,7 @@ from releasemill.model import KNOWN_FIELDS
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
 from releasemill.operators import metrics
-from releasemill.sources.archives import list_slices, split_large_nested
+from releasemill.sources.archives import list_slices
 from releasemill.sources.records import parse_slices
 from releasemill.workspace import materialise
 
@@ -57,7 +57,7 @@ def read_bronze(archives: DataFrame, on_bad_archive: str = "fail",
     archive that cannot be read raises, or with `on_bad_archive="skip"` gives
     no records at all.  `columns` are stored as columns of their own.
     """
-    slices = split_large_nested(list_slices(archives))
+    slices = list_slices(archives)
     rows = materialise(parse_slices(slices, columns), "bronze")
     size = slices.agg(F.sum("slice_bytes")).first()[0] or 0
 

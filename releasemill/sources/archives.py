@@ -18,10 +18,14 @@ from releasemill.sources import zipentries as ze
 from releasemill.sources.storage import open_for_read
 from releasemill.workspace import materialise
 
-# Uncompressed bytes per slice (unit of work) and per parse task.
-SLICE_BYTES = 8 << 20
+# Uncompressed bytes per slice (unit of work) and per parse task.  Slices get
+# smaller than the maximum where the whole input would make too few of them.
+MIN_SLICE_BYTES = 1 << 20
+MAX_SLICE_BYTES = 16 << 20
 TASK_BYTES = 64 << 20
 SLICE_ENTRIES = 4096
+SLICES_PER_CORE = 4
+USUAL_RATIO = 8  # uncompressed to compressed size of XML, for that estimate only
 ARCHIVES_PER_LISTING_TASK = 8
 # A nested archive above this size is split into slices of its own; reaching
 # into a deflated one means inflating from its start, so those slices are long.
@@ -74,12 +78,13 @@ def with_archive_columns(files: DataFrame) -> DataFrame:
 class _Slicer:
     """Groups an archive's entries, in order, into slices of bounded size."""
 
-    def __init__(self, archive, release_ord):
+    def __init__(self, archive, release_ord, limit):
         self._base = {"archive": archive, "release_ord": release_ord, "error": None}
+        self._limit = limit
         self._entries, self._bytes, self.count = [], 0, 0
 
-    def add(self, entry, limit=SLICE_BYTES):
-        full = self._bytes + entry["size"] > limit or len(self._entries) >= SLICE_ENTRIES
+    def add(self, entry):
+        full = self._bytes + entry["size"] > self._limit or len(self._entries) >= SLICE_ENTRIES
         if self._entries and full:
             yield self.close()
         self._entries.append(entry)
@@ -109,8 +114,8 @@ class _Slicer:
         }
 
 
-def _archive_slices(archive, release_ord):
-    slicer = _Slicer(archive, release_ord)
+def _archive_slices(archive, release_ord, limit):
+    slicer = _Slicer(archive, release_ord, limit)
     try:
         with open_for_read(archive) as stream:
             for entry in ze.list_directory(stream):
@@ -124,27 +129,31 @@ def _archive_slices(archive, release_ord):
 
 
 def _nested_slices(row):
-    """Slices of the large nested archive a slice holds, listed in place."""
-    slicer = _Slicer(row["archive"], row["release_ord"])
+    """Slices of the large nested archives a slice holds, listed in place."""
     rest = [e for e in row["entries"] if not _is_large_nested(e)]
     yield {**row, "entries": rest, "nested_bytes": 0,
            "slice_bytes": sum(e["size"] for e in rest if e["kind"])}
+    slicer = _Slicer(row["archive"], row["release_ord"], MAX_SLICE_BYTES)
     try:
         with open_for_read(row["archive"]) as stream, zipfile.ZipFile(stream) as outer:
             by_offset = {info.header_offset: info for info in outer.infolist()}
             for item in filter(_is_large_nested, row["entries"]):
                 info = by_offset[item["offset"]]
+                base, via, limit = 0, None, MAX_SLICE_BYTES
                 if item["method"] == ze.STORED:
-                    base, via, limit = ze.data_offset(stream, item["offset"]), None, SLICE_BYTES
+                    base = ze.data_offset(stream, item["offset"])
                 else:
-                    base, limit = 0, NESTED_SLICE_BYTES
                     via = [item["offset"], item["packed"], item["method"]]
+                    limit = NESTED_SLICE_BYTES
+                slicer = _Slicer(row["archive"], row["release_ord"], limit)
                 with outer.open(info) as body:
                     for entry in ze.list_directory(
                         body, item["entry"], base, via, item["entry_ord"]
                     ):
-                        yield from slicer.add(entry, limit)
-        yield slicer.close()
+                        for part in slicer.add(entry):
+                            yield {**part, "slice_no": item["entry_ord"] + part["slice_no"]}
+                part = slicer.close()
+                yield {**part, "slice_no": item["entry_ord"] + part["slice_no"]}
     except Exception as error:
         if not is_format_error(error):
             raise
@@ -166,13 +175,13 @@ def _rows_to_batches(rows, schema, size):
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
-def _list_batches(schema):
+def _list_batches(schema, limit):
     def run(batches):
         rows = (
             row
             for batch in batches
             for item in batch.to_pylist()
-            for row in _archive_slices(item["archive"], item["release_ord"])
+            for row in _archive_slices(item["archive"], item["release_ord"], limit)
         )
         return _rows_to_batches(rows, schema, 64)
 
@@ -257,13 +266,17 @@ def list_slices(archives: DataFrame) -> DataFrame:
     Small rows stand for large files, so the partition count follows the number
     of archives, not their bytes in the listing.
     """
-    tasks = math.ceil(archives.count() / ARCHIVES_PER_LISTING_TASK)
+    cores = archives.sparkSession.sparkContext.defaultParallelism
+    total = archives.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+    tasks = math.ceil(total["n"] / ARCHIVES_PER_LISTING_TASK)
+    even = (total["bytes"] or 0) * USUAL_RATIO // (cores * SLICES_PER_CORE)
+    limit = min(max(even, MIN_SLICE_BYTES), MAX_SLICE_BYTES)
     listed = (
         archives.select("archive", "release_ord")
         .repartition(max(1, tasks))
-        .mapInArrow(_list_batches(to_arrow_schema(SLICE_SCHEMA)), SLICE_SCHEMA)
+        .mapInArrow(_list_batches(to_arrow_schema(SLICE_SCHEMA), limit), SLICE_SCHEMA)
     )
-    return materialise(listed, "slices")
+    return split_large_nested(materialise(listed, "slices"))
 
 
 def split_large_nested(slices: DataFrame) -> DataFrame:
@@ -281,13 +294,19 @@ def split_large_nested(slices: DataFrame) -> DataFrame:
 
 
 def work_items(slices: DataFrame) -> DataFrame:
-    """Slices dealt out evenly: their sizes are alike, so round robin balances them."""
-    spark = slices.sparkSession
+    """Slices dealt out evenly over parse tasks, since their sizes are alike.
+
+    Ranges of a hash split evenly even when there are about as many tasks as
+    slices, where round robin or plain hashing would leave tasks empty.
+    """
+    cores = slices.sparkSession.sparkContext.defaultParallelism
     work = slices.filter(F.col("error").isNull() & (F.size("entries") > 0))
     total = work.agg(F.count("*").alias("n"), F.sum("slice_bytes").alias("bytes")).first()
     by_size = math.ceil((total["bytes"] or 0) / TASK_BYTES)
-    tasks = min(total["n"], max(by_size, 2 * spark.sparkContext.defaultParallelism))
-    return work.repartition(max(1, tasks))
+    tasks = min(total["n"], max(by_size, SLICES_PER_CORE * cores))
+    return work.repartitionByRange(
+        max(1, tasks), F.xxhash64("archive", "slice_no")
+    )
 
 
 def entry_manifest(slices: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import xml.etree.ElementTree as ET
 
 # --- fixed values: what the cleaning step removes or escapes ----------------
 ILLEGAL_CONTROLS = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
+CONTROL_BYTES = bytes([*range(9), 11, 12, *range(14, 32)])
 BARE_AMPERSAND = re.compile(r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9a-fA-F]+);)")
 CHARSETS = ("utf-8", "gbk")
 
@@ -39,14 +40,21 @@ def local_name(tag: str) -> str:
 
 def device_fields(device) -> dict[str, str]:
     """Direct children only; the leading text of each; the last duplicate wins."""
-    return {local_name(child.tag): (child.text or "").strip() for child in device}
+    return {
+        local_name(child.tag) if "}" in child.tag else child.tag: (child.text or "").strip()
+        for child in device
+    }
 
 
 def records(data: bytes):
     """Records of a document small enough to hold.  Raises on malformed XML."""
+    text = decode_charset(data)
+    # In both charsets a control character is always a byte of its own.
+    if len(data.translate(None, CONTROL_BYTES)) != len(data):
+        text = ILLEGAL_CONTROLS.sub("", text)
     parser = ET.XMLParser()
     # Text rather than bytes: a stale charset in the declaration is ignored.
-    parser.feed(clean_text(decode_charset(data)))
+    parser.feed(repair_entities(text))
     root = parser.close()
     holder = root.find("devices")
     if holder is not None:

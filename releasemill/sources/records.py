@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,9 @@ from releasemill.sources.archives import (
     work_items,
 )
 
+# An output batch ends at either bound.
 BATCH_ROWS = 8192
+BATCH_BYTES = 32 << 20
 # A document above this size is parsed as a stream, in bounded memory.
 DOCUMENT_BYTES = 16 << 20
 
@@ -26,20 +30,41 @@ class UnreadableEntry(Exception):
     """The archive, not the document in it, is at fault."""
 
 
-def _entry_records(entry, reader):
+def _entry_blocks(entry, reader):
+    """Records of one entry as `(list, bytes)` blocks, each well below a batch."""
     try:
         if entry["kind"] == "xml" and entry["size"] > DOCUMENT_BYTES:
-            return devicexml.stream_records(lambda: _readable(reader.chunks(entry)))
+            return _stream_blocks(
+                devicexml.stream_records(lambda: _readable(reader.chunks(entry)))
+            )
         data = reader.read(entry)
     except Exception as error:
         if not is_format_error(error):
             raise
         raise UnreadableEntry(error_text(error)) from error
     if entry["kind"] == "xml":
-        return devicexml.records(data)
+        return _list_blocks(devicexml.records(data), len(data))
     if entry["entry"].endswith(".xls"):
         raise ValueError("legacy .xls workbooks are not read")
-    return sheet.records(data)
+    return _stream_blocks(sheet.records(data))
+
+
+def _list_blocks(records, size):
+    for first in range(0, len(records), BATCH_ROWS):
+        block = records[first:first + BATCH_ROWS]
+        yield block, size * len(block) // len(records)
+
+
+def _stream_blocks(records):
+    block, size = [], 0
+    for fields in records:
+        block.append(fields)
+        size += sum(map(len, fields.values()))
+        if len(block) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield block, size
+            block, size = [], 0
+    if block:
+        yield block, size
 
 
 def _readable(chunks):
@@ -52,82 +77,108 @@ def _readable(chunks):
 
 
 class _Rows:
-    """Column lists of one output batch."""
+    """Columns of one output batch, filled block by block."""
 
     def __init__(self, schema, columns):
         self._schema, self._columns = schema, columns
         self._clear()
 
     def _clear(self):
-        self._data = {field.name: [] for field in self._schema}
+        self._data = {field.name: [] for field in self._schema if field.name != "fields"}
         self._keys, self._values, self._offsets = [], [], [0]
-        self.size = 0
-
-    def _add(self, work, entry, ord_, layout, error, fatal):
-        data = self._data
-        data["archive"].append(work["archive"])
-        data["release_ord"].append(work["release_ord"])
-        data["parent"].append(entry["parent"])
-        data["entry"].append(entry["entry"])
-        data["entry_ord"].append(entry["entry_ord"])
-        data["ord"].append(ord_)
-        data["layout"].append(layout)
-        data["error"].append(error)
-        data["fatal"].append(fatal)
-        self.size += 1
-
-    def record(self, work, entry, ord_, fields):
-        self._add(work, entry, ord_, LAYOUT_SEP.join(fields), None, None)
+        self.size = self.bytes = 0
+
+    @property
+    def full(self):
+        return self.size >= BATCH_ROWS or self.bytes >= BATCH_BYTES
+
+    def _place(self, work, entry, count):
+        for name in ("archive", "release_ord"):
+            self._data[name] += [work[name]] * count
+        for name in ("parent", "entry", "entry_ord"):
+            self._data[name] += [entry[name]] * count
+        self.size += count
+
+    def add(self, work, entry, first, block):
+        """Records of one entry, numbered from `first`."""
+        self._place(work, entry, len(block))
+        self._data["ord"] += range(first, first + len(block))
+        layouts = list(map(LAYOUT_SEP.join, block))
+        self._data["layout"] += layouts
+        for name in ("error", "fatal"):
+            self._data[name] += [None] * len(block)
+        shapes = [layout.split(LAYOUT_SEP) for layout in set(layouts)]
+        present = {name for shape in shapes for name in shape}
+        if len(shapes) == 1 and present.issubset(self._columns):
+            columns = dict(zip(block[0], zip(*map(dict.values, block))))
+        else:
+            known = present.intersection(self._columns)
+            columns = {name: [fields.pop(name, None) for fields in block] for name in known}
+            for fields in block:
+                if fields:
+                    self._keys += fields
+                    self._values += fields.values()
+                self._offsets.append(len(self._keys))
+        self._offsets += [len(self._keys)] * (self.size + 1 - len(self._offsets))
         for name in self._columns:
-            self._data[name].append(fields.pop(name, None))
-        self._keys.extend(fields)
-        self._values.extend(fields.values())
-        self._offsets.append(len(self._keys))
+            self._data[name] += columns.get(name) or [None] * len(block)
 
-    def failure(self, work, entry, error, fatal):
-        self._add(work, entry, None, None, error, fatal)
-        for name in self._columns:
+    def fail(self, work, entry, error, fatal):
+        self._place(work, entry, 1)
+        for name in ("ord", "layout", *self._columns):
             self._data[name].append(None)
+        self._data["error"].append(error)
+        self._data["fatal"].append(fatal)
         self._offsets.append(len(self._keys))
 
     def batch(self):
-        self._data["fields"] = pa.MapArray.from_arrays(
+        other = pa.MapArray.from_arrays(
             pa.array(self._offsets, pa.int32()),
             pa.array(self._keys, pa.string()),
             pa.array(self._values, pa.string()),
         )
         arrays = [
-            column if isinstance(column, pa.Array) else pa.array(column, field.type)
-            for field, column in ((f, self._data[f.name]) for f in self._schema)
+            other.cast(f.type) if f.name == "fields" else pa.array(self._data[f.name], f.type)
+            for f in self._schema
         ]
         self._clear()
-        return pa.RecordBatch.from_arrays(
-            [a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, self._schema)],
-            schema=self._schema,
-        )
+        return pa.RecordBatch.from_arrays(arrays, schema=self._schema)
+
+
+def _entry_batches(rows, work, entry, reader, error):
+    try:
+        if error is not None:
+            raise UnreadableEntry(error_text(error))
+        first = 0
+        for block, size in _entry_blocks(entry, reader):
+            rows.add(work, entry, first, block)
+            rows.bytes += size
+            first += len(block)
+            if rows.full:
+                yield rows.batch()
+    except UnreadableEntry as caught:
+        rows.fail(work, entry, str(caught), True)
+    except (OSError, MemoryError):
+        raise
+    except Exception as caught:
+        rows.fail(work, entry, error_text(caught), False)
 
 
 def _parse_batches(schema, columns):
     def run(batches):
         rows = _Rows(schema, columns)
-        for batch in batches:
-            for work in batch.to_pylist():
-                for entry, reader, error in open_slice(work):
-                    try:
-                        if error is not None:
-                            raise UnreadableEntry(error_text(error))
-                        for ord_, fields in enumerate(_entry_records(entry, reader)):
-                            rows.record(work, entry, ord_, fields)
-                            if rows.size >= BATCH_ROWS:
-                                yield rows.batch()
-                    except UnreadableEntry as caught:
-                        rows.failure(work, entry, str(caught), True)
-                    except (OSError, MemoryError):
-                        raise
-                    except Exception as caught:
-                        rows.failure(work, entry, error_text(caught), False)
-        if rows.size:
-            yield rows.batch()
+        # Nothing built here refers back to itself: reference counts free it,
+        # and cycle searches over the many small objects would only cost time.
+        gc.disable()
+        try:
+            for batch in batches:
+                for work in batch.to_pylist():
+                    for entry, reader, error in open_slice(work):
+                        yield from _entry_batches(rows, work, entry, reader, error)
+            if rows.size:
+                yield rows.batch()
+        finally:
+            gc.enable()
 
     return run
 

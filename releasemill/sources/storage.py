@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import errno
 import io
+import uuid
 from urllib.parse import quote
 
 import pyarrow.fs as pafs
 
-READ_BUFFER = 4 << 20
+BUFFER = 4 << 20
 
 
 def resolve(path: str):
@@ -22,10 +24,41 @@ def resolve(path: str):
     return pafs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
 
 
+class _RawFile(io.RawIOBase):
+    """Arrow file with the error Python code expects from an impossible seek."""
+
+    def __init__(self, file):
+        self._file = file
+
+    def readable(self):
+        return True
+
+    def seekable(self):
+        return True
+
+    def tell(self):
+        return self._file.tell()
+
+    def seek(self, offset, whence=io.SEEK_SET):
+        base = {io.SEEK_SET: 0, io.SEEK_CUR: self._file.tell(), io.SEEK_END: self._file.size()}
+        target = base[whence] + offset
+        if target < 0:
+            raise OSError(errno.EINVAL, "seek before the start of the file")
+        return self._file.seek(min(target, self._file.size()))
+
+    def readinto(self, buffer):
+        return self._file.readinto(buffer)
+
+    def close(self):
+        if not self.closed:
+            self._file.close()
+        super().close()
+
+
 def open_for_read(path: str) -> io.BufferedReader:
     """Seekable reader whose buffer turns neighbouring reads into one request."""
     fs, name = resolve(path)
-    return io.BufferedReader(fs.open_input_file(name), READ_BUFFER)
+    return io.BufferedReader(_RawFile(fs.open_input_file(name)), BUFFER)
 
 
 def publish(path: str, write) -> None:
@@ -33,12 +66,16 @@ def publish(path: str, write) -> None:
 
     A retried or speculative task rewrites the same file with the same bytes.
     """
-    import uuid
-
     fs, name = resolve(path)
     folder, _, leaf = name.rpartition("/")
     fs.create_dir(folder, recursive=True)
     hidden = f"{folder}/_{uuid.uuid4().hex}.{leaf}"
-    with fs.open_output_stream(hidden) as out:
+    with fs.open_output_stream(hidden, buffer_size=BUFFER) as out:
         write(out)
-    fs.move(hidden, name)
+    try:
+        fs.move(hidden, name)
+    except OSError:
+        # Some filesystems do not replace files: another attempt was first.
+        if fs.get_file_info(name).type == pafs.FileType.NotFound:
+            raise
+        fs.delete_file(hidden)
