@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from releasemill.functions.text import clean_text
+
 ITEM = "struct<title:string,link:string>"
 # RSS 2.0 keeps its items under `channel`, RSS 1.0 directly under the root.
 FEED_SHAPE = f"channel struct<item:array<{ITEM}>>, item array<{ITEM}>"
@@ -13,9 +15,10 @@ FEED_SHAPE = f"channel struct<item:array<{ITEM}>>, item array<{ITEM}>"
 def feed_items(feeds: DataFrame, xml: Column, *keep) -> DataFrame:
     """Items of feed documents in feed order: `title, link` (missing is empty), `pos`.
 
-    One row of `feeds` is one captured feed response.
+    One row of `feeds` is one captured feed response.  Stray control characters
+    and bare ampersands do not spoil it.
     """
-    parsed = feeds.select(*keep, F.from_xml(xml, FEED_SHAPE).alias("feed"))
+    parsed = feeds.select(*keep, F.from_xml(clean_text(xml), FEED_SHAPE).alias("feed"))
     items = F.coalesce(F.col("feed.channel.item"), F.col("feed.item"))
     return parsed.select(*keep, F.posexplode(items).alias("pos", "item")).select(
         *keep,
@@ -27,7 +30,7 @@ def feed_items(feeds: DataFrame, xml: Column, *keep) -> DataFrame:
 
 def scan_feed(spark: SparkSession, location: str, kind: str) -> DataFrame:
     """Items of the captured feed file(s) of one release kind: `kind, feed_pos, title, link`."""
-    feeds = spark.read.option("wholetext", True).text(location)
+    feeds = spark.read.text(location, wholetext=True)
     return feed_items(feeds, F.col("value")).select(
         F.lit(kind).alias("kind"), F.col("pos").alias("feed_pos"), "title", "link"
     )

@@ -1,0 +1,133 @@
+"""Whole ingests: errors, releases, snapshots."""
+
+import pytest
+
+from conftest import device_xml, zip_bytes
+from releasemill.operators import catalog as cat
+from releasemill.operators import metrics
+from releasemill.plans import ingest
+from releasemill.sources.archives import scan_archives
+
+GOOD = device_xml({"deviceRecordKey": "K1"})
+
+
+def keys(frame):
+    return [r["deviceRecordKey"] for r in frame.collect()]
+
+
+def test_bad_entries_are_skipped_and_kept_as_failures(spark, landing):
+    landing("a.zip", [
+        ("bad.xml", GOOD[:-4]), ("good.xml", GOOD), ("old.xls", b"\xd0\xcf\x11\xe0"),
+        ("bad.xlsx", b"no workbook"), ("none.xml", "<r/>"),
+    ])
+    bronze = ingest.read_bronze(scan_archives(spark, landing.folder))
+    assert keys(ingest.merged_frame(bronze)) == ["K1"]
+    failures = {r["entry"]: r["fatal"] for r in bronze.dead_letter.collect()}
+    assert failures == {"bad.xml": False, "old.xls": False, "bad.xlsx": False}
+    assert metrics.failure_count(bronze.rows).first()["failures"] == 3
+
+
+def torn():
+    data = bytearray(zip_bytes([("x.xml", GOOD), ("y.xml", GOOD.replace("K1", "K2"))]))
+    at = data.index(b"PK\x03\x04", 4)
+    data[at + 40] ^= 0xFF
+    return bytes(data)
+
+
+BAD_ARCHIVES = {
+    "not a zip": b"<html>error</html>",
+    "corrupt nested": zip_bytes([("x.xml", GOOD), ("n.zip", b"PK\x03\x04 torn")]),
+    "corrupt entry": torn(),
+    "cut short": zip_bytes([("x.xml", GOOD)])[:-30],
+}
+
+
+@pytest.mark.parametrize("name", BAD_ARCHIVES)
+def test_bad_archive_fails_or_is_skipped(spark, landing, name):
+    landing("bad.zip", BAD_ARCHIVES[name])
+    landing("good.zip", [("a.xml", device_xml({"deviceRecordKey": "G"}))])
+    archives = scan_archives(spark, landing.folder)
+    with pytest.raises(ingest.BadArchive, match="bad.zip"):
+        ingest.ingest_release(archives)
+    bronze = ingest.read_bronze(archives, "skip")
+    assert keys(ingest.merged_frame(bronze)) == ["G"]
+    fatal = bronze.dead_letter.filter("fatal").collect()
+    assert len(fatal) == 1 and fatal[0]["archive"].endswith("bad.zip")
+
+
+def test_empty_file_has_not_landed_yet(spark, landing):
+    """Spark lists no file without bytes: a transfer that has just begun."""
+    landing("begun.zip", b"")
+    landing("good.zip", [("a.xml", GOOD)])
+    assert keys(ingest.ingest_release(scan_archives(spark, landing.folder))) == ["K1"]
+
+
+@pytest.mark.parametrize("threshold", [0, 100_000])
+def test_many_bad_archives_are_joined_by_shuffle(spark, landing, monkeypatch, threshold):
+    monkeypatch.setattr(ingest, "BROADCAST_ARCHIVES", threshold)
+    landing("bad.zip", b"x")
+    landing("good.zip", [("a.xml", GOOD)])
+    bronze = ingest.read_bronze(scan_archives(spark, landing.folder), "skip")
+    plan = bronze.records._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (threshold > 0)
+    assert bronze.records.count() == 1
+
+
+def test_no_join_without_bad_archives(spark, landing):
+    landing("good.zip", [("a.xml", GOOD)])
+    bronze = ingest.read_bronze(scan_archives(spark, landing.folder), "skip")
+    assert "Join" not in bronze.records._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def releases(spark, landing):
+    for day in (1, 2, 3):
+        landing(f"r{day}.zip", [("a.xml", device_xml({"deviceRecordKey": f"K{day}", f"f{day}": "x"}))])
+    landing("r4.zip", b"broken")
+    rows = [
+        ("daily", 0, "NOTICE", "https://feed.example/r1.zip"),
+        ("daily", 1, "UDID_DAY_UPDATE_20260102", "https://feed.example/r2.zip"),
+        ("daily", 2, "UDID_DAY_UPDATE_20260103", "https://feed.example/r3.zip"),
+        ("daily", 3, "UDID_DAY_UPDATE_20251231", "https://feed.example/r4.zip"),
+        ("daily", 4, "UDID_DAY_UPDATE_20260230", "https://feed.example/missing.zip"),
+    ]
+    catalog = cat.build_catalog(
+        spark.createDataFrame(rows, "kind string, feed_pos long, title string, link string")
+    )
+    return catalog, scan_archives(spark, landing.folder)
+
+
+def test_latest(releases):
+    assert keys(ingest.ingest_latest(*releases)) == ["K3"]
+
+
+def test_all_dated_releases_newest_first(releases):
+    """The broken and the missing release drop out; the undated one is not asked for."""
+    frame = ingest.ingest_all(*releases)
+    assert keys(frame) == ["K2", "K3"]
+    assert frame.columns == ["deviceRecordKey", "f3", "f2"]
+
+
+def test_label_covers_loaded_releases_only(releases):
+    catalog, archives = releases
+    located = cat.locate(cat.dated(catalog), archives)
+    bronze = ingest.read_bronze(located, "skip")
+    assert ingest.loaded_identifier(located, bronze, "daily") == "20260102"
+
+
+def test_report(spark, landing):
+    landing("a.zip", [("a.xml", device_xml({"deviceRecordKey": "K", "odd": "1"})), ("b.xml", "<")])
+    saved = []
+    report = ingest.save_release(
+        scan_archives(spark, landing.folder), kind="full", identifier="20260301",
+        write=lambda frame: saved.extend(frame.collect()),
+    )
+    assert len(saved) == 1
+    assert (report["records"], report["failures"], report["unmapped"]) == (1, 1, ["odd"])
+    assert report["seconds"] > 0 and report["mib"] > 0
+
+
+def test_snapshot_is_not_sorted(spark, landing):
+    landing("a.zip", [("a.xml", GOOD)])
+    plan = ingest.ingest_full(scan_archives(spark, landing.folder))._jdf.queryExecution().executedPlan()
+    assert "Exchange" not in plan.toString()
