@@ -14,11 +14,7 @@ from releasemill.operators import frame as fr
 from releasemill.operators import metrics
 from releasemill.sources.archives import list_slices
 from releasemill.sources.records import parse_slices
-from releasemill.workspace import materialise
-
-# A set of failed archives up to this size is broadcast; a larger one is joined
-# by shuffle.
-BROADCAST_ARCHIVES = 100_000
+from releasemill.workspace import materialise, small_side
 
 
 class BadArchive(Exception):
@@ -66,11 +62,7 @@ def read_bronze(archives: DataFrame, on_bad_archive: str = "fail",
     if count and on_bad_archive == "fail":
         shown = rows.filter("fatal").select("archive", "entry", "error").limit(5).collect()
         raise BadArchive(f"{count} unreadable archives, among them {shown}")
-    if count == 0:
-        bad = None
-    elif count <= BROADCAST_ARCHIVES:
-        bad = F.broadcast(bad)
-    return Bronze(slices, rows, size, bad)
+    return Bronze(slices, rows, size, small_side(bad, count) if count else None)
 
 
 def merged_frame(bronze: Bronze, sort: bool = True, fields=None) -> DataFrame:

@@ -85,7 +85,8 @@ class _Slicer:
 
     def add(self, entry):
         full = self._bytes + entry["size"] > self._limit or len(self._entries) >= SLICE_ENTRIES
-        if self._entries and full:
+        alone = entry["size"] > MAX_SLICE_BYTES or self._bytes > MAX_SLICE_BYTES
+        if self._entries and (full or alone):
             yield self.close()
         self._entries.append(entry)
         if entry["kind"]:

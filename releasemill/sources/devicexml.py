@@ -46,16 +46,25 @@ def device_fields(device) -> dict[str, str]:
     }
 
 
+def _tree(*texts):
+    parser = ET.XMLParser()
+    # Text rather than bytes: a stale charset in the declaration is ignored.
+    for text in texts:
+        parser.feed(text)
+    return parser.close()
+
+
+def _fields_of(devices):
+    return [fields for fields in map(device_fields, devices) if fields]
+
+
 def records(data: bytes):
     """Records of a document small enough to hold.  Raises on malformed XML."""
     text = decode_charset(data)
     # In both charsets a control character is always a byte of its own.
     if len(data.translate(None, CONTROL_BYTES)) != len(data):
         text = ILLEGAL_CONTROLS.sub("", text)
-    parser = ET.XMLParser()
-    # Text rather than bytes: a stale charset in the declaration is ignored.
-    parser.feed(repair_entities(text))
-    root = parser.close()
+    root = _tree(repair_entities(text))
     holder = root.find("devices")
     if holder is not None:
         devices = holder.findall("device")
@@ -67,7 +76,7 @@ def records(data: bytes):
             for device in child
             if local_name(device.tag) == "device"
         )
-    return [fields for fields in map(device_fields, devices) if fields]
+    return _fields_of(devices)
 
 
 def _clean_chunks(open_chunks, decoder):
@@ -160,3 +169,66 @@ def stream_records(open_chunks):
         fields = device_fields(device)
         if fields:
             yield fields
+
+
+# --- documents large enough to be parsed by several tasks -----------------------
+
+DEVICE_START = re.compile(r"<device[\s/>]")
+DEVICE_END = "</device>"
+MARKER = "cut-here"
+
+
+def cut_document(open_chunks, size, limit):
+    """Cleaned text of a document in segments of whole devices, about `size` long.
+
+    Yields `(segment, None)` and at last `(None, fits)`.  With `fits`, and if
+    every segment is well-formed by itself, the segments hold exactly the
+    records of the document: each then starts and ends between two children of
+    the element its devices are taken from.  Otherwise (a comment across a cut,
+    a namespace, broken XML, a device longer than `limit`) the document has to
+    be read as one stream.
+    """
+    texts = _clean_chunks(open_chunks, _stream_decoder(open_chunks)())
+    held, head = "", None
+    for text in texts:
+        held += text
+        if head is None:
+            start = DEVICE_START.search(held)
+            if start is None and len(held) <= limit:
+                continue
+            if start is None:
+                break
+            head, held = held[:start.start()], held[start.start():]
+        if len(held) < size:
+            continue
+        end = held.rfind(DEVICE_END)
+        if end >= 0:
+            end += len(DEVICE_END)
+            yield held[:end], None
+            held = held[end:]
+        elif len(held) > limit:
+            break
+    else:
+        if head is not None:
+            end = held.rfind(DEVICE_END) + len(DEVICE_END) if DEVICE_END in held else 0
+            if end:
+                yield held[:end], None
+            yield None, _frame_fits(head, held[end:])
+            return
+    yield None, False
+
+
+def _frame_fits(head, tail):
+    """Whether devices between `head` and `tail` are the ones to take."""
+    try:
+        holder = _tree(head, f"<{MARKER}/>", tail).find("devices")
+    except ET.ParseError:
+        return False
+    if holder is None or all(child.tag != MARKER for child in holder):
+        return False
+    return not _fields_of(holder.findall("device"))
+
+
+def segment_records(segment: str):
+    """Records of one segment.  Raises when it is not well-formed by itself."""
+    return _fields_of(_tree("<devices>", segment, "</devices>").findall("device"))

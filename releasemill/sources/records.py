@@ -3,28 +3,36 @@
 from __future__ import annotations
 
 import gc
+import math
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from releasemill.functions import text as tx
 from releasemill.model import BRONZE_SCHEMA, LAYOUT_SEP, wide_bronze_schema
 from releasemill.sources import devicexml, sheet
 from releasemill.sources.archives import (
+    SLICES_PER_CORE,
+    TASK_BYTES,
     error_text,
     is_format_error,
     open_slice,
     work_items,
 )
+from releasemill.workspace import materialise, small_side
 
 # An output batch ends at either bound.
 BATCH_ROWS = 8192
 BATCH_BYTES = 32 << 20
 # A document above this size is parsed as a stream, in bounded memory.
 DOCUMENT_BYTES = 16 << 20
-
+# A document above this size is cut up and parsed by several tasks.
+SPLIT_DOCUMENT_BYTES = 64 << 20
+SEGMENT_CHARS = 4 << 20
+LONGEST_DEVICE_CHARS = 64 << 20
 
 class UnreadableEntry(Exception):
     """The archive, not the document in it, is at fault."""
@@ -35,7 +43,7 @@ def _entry_blocks(entry, reader):
     try:
         if entry["kind"] == "xml" and entry["size"] > DOCUMENT_BYTES:
             return _stream_blocks(
-                devicexml.stream_records(lambda: _readable(reader.chunks(entry)))
+                devicexml.stream_records(lambda: _readable(reader, entry))
             )
         data = reader.read(entry)
     except Exception as error:
@@ -67,9 +75,9 @@ def _stream_blocks(records):
         yield block, size
 
 
-def _readable(chunks):
+def _readable(reader, entry):
     try:
-        yield from chunks
+        yield from reader.chunks(entry)
     except Exception as error:
         if not is_format_error(error):
             raise
@@ -183,6 +191,10 @@ def _parse_batches(schema, columns):
     return run
 
 
+def _read_slices(work: DataFrame, schema, columns) -> DataFrame:
+    return work.mapInArrow(_parse_batches(to_arrow_schema(schema), tuple(columns)), schema)
+
+
 def parse_slices(slices: DataFrame, columns=()) -> DataFrame:
     """Records and failures of every entry, one row each.
 
@@ -191,15 +203,112 @@ def parse_slices(slices: DataFrame, columns=()) -> DataFrame:
     marks those that void their whole archive.
     """
     schema = wide_bronze_schema(columns) if columns else BRONZE_SCHEMA
-    parsed = work_items(slices).mapInArrow(
-        _parse_batches(to_arrow_schema(schema), tuple(columns)), schema
-    )
     unlisted = slices.filter(F.col("error").isNotNull()).select(
         "archive", "release_ord", "error", F.lit(True).alias("fatal")
     )
+    # Such an entry has a slice to itself.
+    large = (F.col("slice_bytes") > SPLIT_DOCUMENT_BYTES) & F.exists(
+        "entries", lambda e: (e["kind"] == "xml") & (e["size"] > SPLIT_DOCUMENT_BYTES)
+    )
+    documents = slices.filter(F.col("error").isNull() & large)
+    total = documents.agg(F.count("*").alias("n"), F.sum("slice_bytes").alias("bytes")).first()
+    if total["n"] == 0:
+        parsed = _read_slices(work_items(slices), schema, columns)
+    else:
+        parsed = _read_slices(work_items(slices.filter(~large)), schema, columns).unionByName(
+            _parse_large(documents, total["n"], total["bytes"], schema, columns)
+        )
     return parsed.unionByName(unlisted, allowMissingColumns=True)
 
 
+# --- documents too large for one task ------------------------------------------------
+
+SEGMENT_SCHEMA = T.StructType(
+    [
+        *(BRONZE_SCHEMA[c] for c in ("archive", "release_ord", "parent", "entry", "entry_ord")),
+        T.StructField("segment", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("fits", T.BooleanType()),
+    ]
+)
+NOT_SPLIT = "document cannot be split"
+
+
+def _cut_batches(schema):
+    def rows(work):
+        for entry, reader, _ in open_slice(work):
+            place = {k: entry[k] for k in ("parent", "entry", "entry_ord")}
+            place |= {k: work[k] for k in ("archive", "release_ord")}
+            segments = devicexml.cut_document(
+                lambda: _readable(reader, entry), SEGMENT_CHARS, LONGEST_DEVICE_CHARS
+            )
+            try:
+                for number, (text, fits) in enumerate(segments):
+                    yield {**place, "segment": number, "text": text, "fits": fits}
+            except UnreadableEntry:
+                yield {**place, "segment": -1, "text": None, "fits": False}
+
+    def run(batches):
+        for batch in batches:
+            for work in batch.to_pylist():
+                for row in rows(work):
+                    yield pa.RecordBatch.from_pylist([row], schema=schema)
+
+    return run
+
+
+def _segment_batches(schema, columns):
+    def run(batches):
+        rows = _Rows(schema, columns)
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["text"] is None:
+                    if not row["fits"]:
+                        rows.fail(row, row, NOT_SPLIT, None)
+                    continue
+                try:
+                    found = devicexml.segment_records(row["text"])
+                except devicexml.ET.ParseError:
+                    rows.fail(row, row, NOT_SPLIT, None)
+                    continue
+                if found:
+                    # Segments are numbered in the high half, their records in the low.
+                    rows.add(row, row, row["segment"] << 32, found)
+                    yield rows.batch()
+        if rows.size:
+            yield rows.batch()
+
+    return run
+
+
+def _parse_large(documents, count, size, schema, columns) -> DataFrame:
+    """Cut each document in one task, parse its segments in many.
+
+    Inflating is sequential, parsing is most of the work.  A document whose
+    segments do not stand by themselves is read again as one stream.
+    """
+    tasks = math.ceil(size / TASK_BYTES) * SLICES_PER_CORE
+    parsed = materialise(
+        documents.repartition(count)
+        .mapInArrow(_cut_batches(to_arrow_schema(SEGMENT_SCHEMA)), SEGMENT_SCHEMA)
+        .repartition(tasks)
+        .mapInArrow(_segment_batches(to_arrow_schema(schema), tuple(columns)), schema),
+        "segments",
+    )
+    place = ["archive", "release_ord", "entry_ord"]
+    whole = parsed.filter(F.col("error").isNotNull()).select(*place).distinct()
+    again = whole.count()
+    if again == 0:
+        return parsed
+    # Each of these is a slice of its own, so the set is far smaller than the data.
+    held = documents.select("*", F.col("entries")[0]["entry_ord"].alias("entry_ord"))
+    whole = small_side(whole, again)
+    stream = held.join(whole, place, "left_semi").drop("entry_ord")
+    return parsed.join(whole, place, "left_anti").unionByName(
+        _read_slices(stream.repartition(again), schema, columns)
+    )
+
+
 # --- JVM-only variant --------------------------------------------------------------
 
 NATIVE_SHAPE = "devices struct<device:array<map<string,string>>>"

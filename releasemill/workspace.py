@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Key sets up to this many rows are broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS = 100_000
 
 _ROOTS: dict[str, str] = {}
 
@@ -42,3 +46,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_side(keys: DataFrame, count: int) -> DataFrame:
+    """Side of a join that is broadcast only if its counted size allows."""
+    return F.broadcast(keys) if count <= BROADCAST_ROWS else keys

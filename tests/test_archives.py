@@ -135,3 +135,30 @@ def test_empty_archive_gives_nothing(spark, landing):
     landing("a.zip", [])
     bronze = ingest.read_bronze(scan(spark, landing.folder))
     assert bronze.rows.count() == 0
+
+
+def test_large_documents_are_parsed_by_many_tasks(spark, landing, monkeypatch):
+    """Documents that cannot be split, broken ones and torn archives included."""
+    monkeypatch.setattr(arc, "MAX_SLICE_BYTES", 200)
+    monkeypatch.setattr(rec, "SPLIT_DOCUMENT_BYTES", 300)
+    monkeypatch.setattr(rec, "DOCUMENT_BYTES", 300)
+    monkeypatch.setattr(rec, "SEGMENT_CHARS", 400)
+
+    def document(name, **extra):
+        return device_xml(*({"k": f"{name}{i:03d}", **extra} for i in range(100)))
+
+    landing("a.zip", [
+        ("1.xml", document("a")), ("small.xml", device_xml({"k": "s"})),
+        ("2.xml", document("b", c="<!-- </device> -->")),
+        ("3.xml", document("c")[:-3]),
+    ])
+    torn = bytearray(zip_bytes([("4.xml", document("d"))], zipfile.ZIP_STORED))
+    torn[torn.index(b"d050")] = ord("e")
+    landing("torn.zip", bytes(torn))
+
+    bronze = ingest.read_bronze(scan(spark, landing.folder), "skip", columns=("k",))
+    keys = [r["k"] for r in bronze.records.orderBy("entry_ord", "ord").collect()]
+    expected = [f"a{i:03d}" for i in range(100)] + ["s"] + [f"b{i:03d}" for i in range(100)]
+    assert keys == expected
+    failures = sorted((r["entry"], r["fatal"]) for r in bronze.dead_letter.collect())
+    assert failures == [("3.xml", False), ("4.xml", True)]

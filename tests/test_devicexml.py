@@ -153,3 +153,86 @@ def test_parsed_parts_of_a_stream_are_dropped():
 )
 def test_local_name(tag, name):
     assert dx.local_name(tag) == name
+
+
+# --- cutting a document into segments -------------------------------------------
+
+
+def by_segments(data, size, limit=1 << 20):
+    """Records by way of segments, or None when the document cannot be split."""
+    *segments, (_, fits) = dx.cut_document(in_chunks(data, 11), size, limit)
+    if not fits:
+        return None
+    try:
+        return [r for segment, _ in segments for r in dx.segment_records(segment)]
+    except ET.ParseError:
+        return None
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 20])
+@pytest.mark.parametrize("name", [*CASES, *BROKEN])
+def test_segments_hold_the_records_or_do_not_fit(name, size):
+    text, expected = CASES.get(name) or (BROKEN[name], "broken")
+    assert by_segments(text.encode(), size) in (None, expected)
+
+
+def test_ordinary_documents_do_split():
+    body = "".join(f"<device><k>{i} & x</k><n> </n></device>\n" for i in range(500))
+    data = f"<?xml version='1.0'?><!--c--><r><h>1</h><devices>{body}</devices><t/></r>".encode()
+    segments = [s for s, _ in dx.cut_document(in_chunks(data, 64), 1000, 5000) if s]
+    assert len(segments) > 10 and max(map(len, segments)) < 1200
+    assert by_segments(data, 1000) == dx.records(data)
+
+
+TRICKY = [
+    "<r><devices><device><k>1</k></device><!-- </device> --><device><k>2</k></device></devices></r>",
+    "<r><devices><device><k><![CDATA[</device>]]></k></device><device><k>2</k></device></devices></r>",
+    "<r><!-- <device> --><devices><device><k>1</k></device></devices></r>",
+    "<r><devices><device><device>a</device><device>b</device></device></devices></r>",
+    "<r><devices><device><k>1</k></device></devices><devices><device><k>2</k></device></devices></r>",
+    "<r><devices/><devices><device><k>1</k></device></devices></r>",
+    '<r xmlns="u:x"><devices><device><k>1</k></device></devices></r>',
+    '<r xmlns:p="u:x"><devices><device><p:k>1</p:k></device></devices></r>',
+    "<r><devices><device><k>1</k></device></devices><x><device><k>2</k></device></x></r>",
+    "<r><devices><x><device><k>1</k></device></x><device><k>2</k></device></devices></r>",
+    "<r><devices><device><k>1</k></device></r>",
+    "<r><devices><device><k>1</k></device></devices></r><r/>",
+    "<r><devices><device><k>1</k></device><?pi </device>?><device><k>2</k></device></devices></r>",
+    "<devices><device><k>1</k></device></devices>",
+    "<r><devices><devicex><k>1</k></devicex><device/><device a='1'><k>2</k></device ></devices></r>",
+]
+
+
+@pytest.mark.parametrize("size", [1, 30, 60, 1 << 20])
+@pytest.mark.parametrize("text", TRICKY)
+def test_tricky_documents_split_right_or_not_at_all(text, size):
+    try:
+        expected = dx.records(text.encode())
+    except ET.ParseError:
+        expected = "broken"
+    assert by_segments(text.encode(), size) in (None, expected)
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(
+            ["<device>", "</device>", "<device/>", "<k>", "</k>", "<devices>", "</devices>", "<!--",
+             "-->", "<![CDATA[", "]]>", "x", " ", "&amp;", "<x>", "</x>"]
+        ),
+        max_size=16,
+    ),
+    st.integers(min_value=1, max_value=40),
+)
+def test_any_mix_of_pieces_splits_right_or_not_at_all(pieces, size):
+    data = f"<r><devices><device><k>1</k></device>{''.join(pieces)}</devices></r>".encode()
+    try:
+        expected = dx.records(data)
+    except ET.ParseError:
+        expected = "broken"
+    assert by_segments(data, size) in (None, expected)
+
+
+def test_a_device_longer_than_the_limit_is_not_held():
+    data = f"<r><devices><device><k>{'x' * 5000}</k></device></devices></r>".encode()
+    assert by_segments(data, 100, limit=1000) is None

@@ -3,6 +3,7 @@
 import pytest
 
 from conftest import device_xml, zip_bytes
+from releasemill import workspace
 from releasemill.operators import catalog as cat
 from releasemill.operators import metrics
 from releasemill.plans import ingest
@@ -64,7 +65,7 @@ def test_empty_file_has_not_landed_yet(spark, landing):
 
 @pytest.mark.parametrize("threshold", [0, 100_000])
 def test_many_bad_archives_are_joined_by_shuffle(spark, landing, monkeypatch, threshold):
-    monkeypatch.setattr(ingest, "BROADCAST_ARCHIVES", threshold)
+    monkeypatch.setattr(workspace, "BROADCAST_ROWS", threshold)
     landing("bad.zip", b"x")
     landing("good.zip", [("a.xml", GOOD)])
     bronze = ingest.read_bronze(scan_archives(spark, landing.folder), "skip")
