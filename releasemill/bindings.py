@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from releasemill.model import KINDS
+from releasemill.operators.frame import with_position
 from releasemill.sources.sheetwriter import EPOCH, write_workbook
 from releasemill.sources.storage import open_for_read, publish
 from releasemill.workspace import fresh_path
@@ -65,16 +66,17 @@ def feed_rows(spark: SparkSession, sf_dir: str, kind: str | None = None) -> Data
         "full": F.lit("UDID_FULL_RELEASE_20260100"),
     }
 
-    def pick(titles):
-        if kind:
-            return titles[kind]
-        return F.element_at(
-            F.array(*[titles[k] for k in KINDS]), (key % 4 + 1).cast("int")
-        )
+    kinds = [kind] if kind else KINDS
+
+    def pick(values):
+        """The value of the row's kind; only that one is computed."""
+        chain = values[kinds[-1]]
+        for number, name in enumerate(kinds[:-1]):
+            chain = F.when(key % len(kinds) == number, values[name]).otherwise(chain)
+        return chain
 
-    kinds = F.array(*[F.lit(k) for k in KINDS])
     return table(spark, sf_dir, "orders").select(
-        (F.lit(kind) if kind else F.element_at(kinds, (key % 4 + 1).cast("int"))).alias("kind"),
+        pick({name: F.lit(name) for name in kinds}).alias("kind"),
         key.alias("feed_pos"),
         F.when(key % 17 == 0, F.concat(F.lit("NOTICE_"), key))
         .when(key % 13 == 0, pick(bad))
@@ -118,11 +120,30 @@ def _optional(name: str, value: Column) -> Column:
     return F.coalesce(_element(name, value), F.lit(""))
 
 
+_PLACED: dict[tuple, DataFrame] = {}
+
+
+def placed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`part` numbered from 0 in key order.
+
+    Documents and archives are runs of these numbers, so their size is fixed
+    even if many rows were to share a key.
+    """
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    if memo not in _PLACED:
+        names = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
+        order = [F.col(name).asc_nulls_last() for name in names]
+        _PLACED[memo] = with_position(
+            table(spark, sf_dir, "part").select(*names), order, "position"
+        ).withColumn("place", F.col("position") - 1)
+    return _PLACED[memo]
+
+
 def part_records(spark: SparkSession, sf_dir: str, quirks: bool = False) -> DataFrame:
-    """Device records of `part`: fields, their XML and their place in the archives."""
+    """Device records of `part`: fields, their XML and their place."""
     key, size = F.col("p_partkey"), F.col("p_size")
-    rows = table(spark, sf_dir, "part").select(
-        key.alias("key"),
+    rows = placed_parts(spark, sf_dir).select(
+        "place",
         F.when(size % 10 != 7, F.concat(F.lit("K"), F.lpad(key.cast("string"), 12, "0"))).alias(
             "deviceRecordKey"
         ),
@@ -154,8 +175,8 @@ def part_records(spark: SparkSession, sf_dir: str, quirks: bool = False) -> Data
 
 def release_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed items of the daily archives packed from `part`."""
-    numbers = table(spark, sf_dir, "part").select(
-        F.expr(f"p_partkey div {ARCHIVE_RECORDS}").alias("n")
+    numbers = placed_parts(spark, sf_dir).select(
+        F.expr(f"place div {ARCHIVE_RECORDS}").alias("n")
     ).distinct()
     title = daily_title(F.col("n"))
     dated = numbers.select(
@@ -213,7 +234,7 @@ def _nested(name, records):
 
 
 def _documents(records):
-    for number, group in itertools.groupby(records, lambda r: r["key"] // DOCUMENT_RECORDS):
+    for number, group in itertools.groupby(records, lambda r: r["place"] // DOCUMENT_RECORDS):
         yield number, f"doc-{number:08d}", group
 
 
@@ -245,7 +266,7 @@ def _write_sheets(zf, records):
 
 
 def _write_weekly(zf, records):
-    for number, day in itertools.groupby(records, lambda r: r["key"] // ARCHIVE_RECORDS):
+    for number, day in itertools.groupby(records, lambda r: r["place"] // ARCHIVE_RECORDS):
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w") as inner:
             _write_plain(inner, day)
@@ -257,7 +278,7 @@ def _write_faulty(zf, records):
     first = next(records)
     _write_plain(zf, itertools.chain([first], records))
     zf.writestr(_info("zz-broken.xml"), "<r><devices><device><unit>1</unit>")
-    if first["key"] // ARCHIVE_RECORDS % 3 == 2:
+    if first["place"] // ARCHIVE_RECORDS % 3 == 2:
         zf.writestr(_info("zz-torn.zip"), b"PK\x03\x04 torn")
 
 
@@ -303,14 +324,14 @@ def part_archives(spark: SparkSession, sf_dir: str, style: str) -> str:
     if memo not in _PACKED:
         _, quirks, size = STYLES[style]
         folder = fresh_path(spark, style)
-        number = F.expr(f"key div {size}")
+        number = F.expr(f"place div {size}")
         title = weekly_title(number) if style == "weekly" else daily_title(number)
         placed = part_records(spark, sf_dir, quirks).withColumns(
             {"archive_no": number, "title": title}
         )
         packed = (
             placed.repartition("archive_no")
-            .sortWithinPartitions("archive_no", "key")
+            .sortWithinPartitions("archive_no", "place")
             .mapInArrow(_pack(folder, style), "path string")
         )
         packed.count()

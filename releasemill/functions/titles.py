@@ -10,36 +10,32 @@ from releasemill.model import TITLE_PATTERNS
 UNKNOWN = "unknown"
 
 
-def _group(title: Column, pattern: str, index: int) -> Column:
-    return F.nullif(F.regexp_extract(title, pattern, index), F.lit(""))
-
-
-def _per_kind(kind: Column, expression) -> Column:
-    chain = F.lit(None)
-    for name, pattern in TITLE_PATTERNS.items():
-        chain = F.when(kind == name, expression(name, pattern)).otherwise(chain)
-    return chain
+def _found(text: Column) -> Column:
+    """A regular expression that does not match extracts an empty text."""
+    return F.nullif(text, F.lit(""))
 
 
 def title_date_text(kind: Column, title: Column) -> Column:
     """The date part of a title: a weekly release counts by its end date."""
-    return _per_kind(kind, lambda k, p: _group(title, p, 2 if k == "weekly" else 1))
+    chain = F.lit(None).cast("string")
+    for name, pattern in TITLE_PATTERNS.items():
+        part = F.regexp_extract(title, pattern, 2 if name == "weekly" else 1)
+        chain = F.when(kind == name, part).otherwise(chain)
+    return _found(chain)
 
 
 def title_period(kind: Column, title: Column) -> Column:
     """`start~end` of a weekly title, else NULL."""
-    pattern = TITLE_PATTERNS["weekly"]
-    start, end = _group(title, pattern, 1), _group(title, pattern, 2)
-    return F.when((kind == "weekly") & end.isNotNull(), F.concat_ws("~", start, end))
+    both = TITLE_PATTERNS["weekly"].replace(")_(", "_")
+    period = F.translate(F.regexp_extract(title, both, 1), "_", "~")
+    return _found(F.when(kind == "weekly", period))
 
 
 def release_date(kind: Column, date_text: Column) -> Column:
-    """Date of a release; NULL when the digits are no calendar date."""
-    parsed = F.when(
-        kind == "monthly", F.try_to_timestamp(date_text, F.lit("yyyyMM"))
-    ).otherwise(F.try_to_timestamp(date_text, F.lit("yyyyMMdd")))
-    day = parsed.cast("date")
-    return F.when(F.year(day) >= 1, day)
+    """Date of a release, a month's first day; NULL when the digits are no calendar date."""
+    day = F.when(kind == "monthly", F.concat(date_text, F.lit("01"))).otherwise(date_text)
+    # Spark knows a year 0000, the registry's calendar does not.
+    return F.when(date_text >= "0001", F.try_to_date(day, "yyyyMMdd"))
 
 
 def listing_label(kind: Column, date: Column, period: Column) -> Column:

@@ -20,16 +20,20 @@ def build_catalog(items: DataFrame) -> DataFrame:
     its items.
     """
     kind, title = F.col("kind"), F.col("title")
-    date_text = titles.title_date_text(kind, title)
-    return items.filter(kind.isin(*KINDS)).select(
+    texts = items.filter(kind.isin(*KINDS)).select(
         kind,
         F.col("feed_pos").cast("long").alias("feed_pos"),
         title,
-        F.col("link"),
-        date_text.alias("date_str"),
-        titles.release_date(kind, date_text).alias("date"),
+        "link",
+        titles.title_date_text(kind, title).alias("date_str"),
         titles.title_period(kind, title).alias("period_str"),
     )
+    # A second step, so the title is searched once however often its date is used.
+    return texts.select(
+        "kind", "feed_pos", "title", "link", "date_str",
+        titles.release_date(kind, F.col("date_str")).alias("date"),
+        "period_str",
+    )
 
 
 def dated(catalog: DataFrame) -> DataFrame:

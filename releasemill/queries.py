@@ -98,18 +98,21 @@ SQL_FIELDS = '"deviceRecordKey", "prdName", "prdCode", "specModel", "orgName", u
 
 # `dev` holds the records, `doc` and `arc` the document and archive of each.
 SQL_DEV = f"""
-WITH dev AS (
-  SELECT p_partkey AS key, p_partkey // 25 AS doc, p_partkey // 500 AS arc,
-    {SQL_TITLE.format(n='p_partkey // 500')} || '.zip' AS file_name,
-    {SQL_WEEK.format(n='(p_partkey // 3500)')} || '.zip' AS week_name,
-    'doc-' || lpad(CAST(p_partkey // 25 AS VARCHAR), 8, '0') AS doc_name,
-    'day-' || lpad(CAST(p_partkey // 500 AS VARCHAR), 8, '0') || '.zip' AS day_name,
+WITH placed AS (
+  SELECT *, row_number() OVER (ORDER BY p_partkey NULLS LAST, p_name NULLS LAST,
+    p_brand NULLS LAST, p_type NULLS LAST, p_size NULLS LAST) - 1 AS key FROM part),
+dev AS (
+  SELECT key, key // 25 AS doc, key // 500 AS arc,
+    {SQL_TITLE.format(n='key // 500')} || '.zip' AS file_name,
+    {SQL_WEEK.format(n='(key // 3500)')} || '.zip' AS week_name,
+    'doc-' || lpad(CAST(key // 25 AS VARCHAR), 8, '0') AS doc_name,
+    'day-' || lpad(CAST(key // 500 AS VARCHAR), 8, '0') || '.zip' AS day_name,
     CASE WHEN p_size % 10 <> 7 THEN 'K' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') END
       AS "deviceRecordKey",
     p_name || ' & <co>' AS "prdName", p_brand AS "prdCode", p_type AS "specModel",
     '器械' || p_brand AS "orgName", CAST(p_size AS VARCHAR) AS unit,
     CASE WHEN p_size % 6 = 0 THEN '' WHEN p_size % 2 = 0 THEN p_type END AS notes
-  FROM part),
+  FROM placed),
 xml AS (
   SELECT *, '<device>'
     || coalesce('<deviceRecordKey>' || "deviceRecordKey" || '</deviceRecordKey>', '')
