@@ -42,12 +42,11 @@ def field_order(records: DataFrame) -> list[str]:
         .filter(F.col("name") != "")
         .groupBy("name")
         .agg(F.min(F.struct("first", "pos")).alias("seen"))
-        .orderBy("seen")
     )
-    found = [row["name"] for row in names.select("name").limit(MAX_FIELDS + 1).collect()]
+    found = names.limit(MAX_FIELDS + 1).collect()
     if len(found) > MAX_FIELDS:
         raise ValueError(f"more than {MAX_FIELDS} distinct fields")
-    return found
+    return [row["name"] for row in sorted(found, key=lambda row: row["seen"])]
 
 
 def field_column(records: DataFrame, name: str) -> Column:

@@ -6,13 +6,12 @@ import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from releasemill.model import KNOWN_FIELDS
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
 from releasemill.operators import metrics
-from releasemill.sources.archives import list_slices
+from releasemill.sources.archives import Slices, list_slices
 from releasemill.sources.records import parse_slices
 from releasemill.workspace import materialise, small_side
 
@@ -25,9 +24,8 @@ class BadArchive(Exception):
 class Bronze:
     """Parsed archives: written once, read column by column from then on."""
 
-    slices: DataFrame
+    slices: Slices
     rows: DataFrame
-    size_bytes: int
     bad_archives: DataFrame | None
 
     @property
@@ -55,21 +53,22 @@ def read_bronze(archives: DataFrame, on_bad_archive: str = "fail",
     """
     slices = list_slices(archives)
     rows = materialise(parse_slices(slices, columns), "bronze")
-    size = slices.agg(F.sum("slice_bytes")).first()[0] or 0
-
-    bad = rows.filter("fatal").select("archive").distinct()
-    count = bad.count()
-    if count and on_bad_archive == "fail":
-        shown = rows.filter("fatal").select("archive", "entry", "error").limit(5).collect()
-        raise BadArchive(f"{count} unreadable archives, among them {shown}")
-    return Bronze(slices, rows, size, small_side(bad, count) if count else None)
+    fatal = rows.filter("fatal")
+    failures = fatal.count()
+    if failures == 0:
+        return Bronze(slices, rows, None)
+    if on_bad_archive == "fail":
+        shown = fatal.select("archive", "entry", "error").limit(5).collect()
+        raise BadArchive(f"{failures} unreadable archives or entries, among them {shown}")
+    bad = fatal.select("archive").distinct()
+    return Bronze(slices, rows, small_side(bad, failures))
 
 
 def merged_frame(bronze: Bronze, sort: bool = True, fields=None) -> DataFrame:
     """All records as one frame: union by name, then ordered by record key."""
     wide = fr.widen(bronze.records, fields)
     if sort:
-        wide = fr.sort_records(wide, bronze.size_bytes)
+        wide = fr.sort_records(wide, bronze.slices.bytes)
     return fr.drop_lineage(wide)
 
 
@@ -103,7 +102,7 @@ def save_release(archives: DataFrame, *, kind: str, identifier: str, write,
     frame = merged_frame(bronze, sort=kind != "full")
     write(frame)
     seconds = time.monotonic() - started
-    mib = bronze.size_bytes / (1 << 20)
+    mib = bronze.slices.bytes / (1 << 20)
     return {
         "kind": kind,
         "identifier": identifier,

@@ -7,6 +7,7 @@ import io
 import math
 import zipfile
 import zlib
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ ARCHIVES_PER_LISTING_TASK = 8
 # into a deflated one means inflating from its start, so those slices are long.
 NESTED_SPLIT_BYTES = 64 << 20
 NESTED_SLICE_BYTES = 256 << 20
+# A document above this size is cut up and parsed by several tasks.
+SPLIT_DOCUMENT_BYTES = 64 << 20
 
 FORMAT_ERRORS = (
     zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, ValueError,
@@ -261,7 +264,45 @@ def _payload_batches(schema):
 # --- driver side -----------------------------------------------------------------
 
 
-def list_slices(archives: DataFrame) -> DataFrame:
+@dataclass
+class Slices:
+    """Sliced directories, with the totals later steps are planned by."""
+
+    frame: DataFrame
+    count: int
+    bytes: int
+    nested: int
+    documents: int
+    document_bytes: int
+
+    @classmethod
+    def of(cls, frame: DataFrame) -> Slices:
+        document = is_large_document()
+        totals = frame.agg(
+            F.count_if(is_work()).alias("count"),
+            F.sum("slice_bytes").alias("bytes"),
+            F.count_if(F.col("nested_bytes") > NESTED_SPLIT_BYTES).alias("nested"),
+            F.count_if(document).alias("documents"),
+            F.sum(F.when(document, F.col("slice_bytes"))).alias("document_bytes"),
+        ).first()
+        return cls(frame, *(value or 0 for value in totals))
+
+
+def is_work():
+    return F.col("error").isNull() & (F.size("entries") > 0)
+
+
+def is_large_document():
+    """A slice that is one document too large for one task.
+
+    Entries of that size have a slice to themselves.
+    """
+    return (F.col("slice_bytes") > SPLIT_DOCUMENT_BYTES) & F.exists(
+        "entries", lambda e: (e["kind"] == "xml") & (e["size"] > SPLIT_DOCUMENT_BYTES)
+    )
+
+
+def list_slices(archives: DataFrame) -> Slices:
     """Directory of every archive, cut into slices (written once to the workspace).
 
     Small rows stand for large files, so the partition count follows the number
@@ -277,48 +318,46 @@ def list_slices(archives: DataFrame) -> DataFrame:
         .repartition(max(1, tasks))
         .mapInArrow(_list_batches(to_arrow_schema(SLICE_SCHEMA), limit), SLICE_SCHEMA)
     )
-    return split_large_nested(materialise(listed, "slices"))
+    slices = Slices.of(materialise(listed, "slices"))
+    return split_large_nested(slices) if slices.nested else slices
 
 
-def split_large_nested(slices: DataFrame) -> DataFrame:
+def split_large_nested(slices: Slices) -> Slices:
     """Open up nested archives too large to be one unit of work."""
     large = F.col("nested_bytes") > NESTED_SPLIT_BYTES
-    tasks = slices.filter(large).count()
-    if tasks == 0:
-        return slices
     expanded = (
-        slices.filter(large)
-        .repartition(tasks)
+        slices.frame.filter(large)
+        .repartition(slices.nested)
         .mapInArrow(_expand_batches(to_arrow_schema(SLICE_SCHEMA)), SLICE_SCHEMA)
     )
-    return slices.filter(~large).unionByName(materialise(expanded, "nested-slices"))
+    rest = slices.frame.filter(~large)
+    return Slices.of(rest.unionByName(materialise(expanded, "nested-slices")))
 
 
-def work_items(slices: DataFrame) -> DataFrame:
+def work_items(slices: Slices) -> DataFrame:
     """Slices dealt out evenly over parse tasks, since their sizes are alike.
 
     Ranges of a hash split evenly even when there are about as many tasks as
     slices, where round robin or plain hashing would leave tasks empty.
     """
-    cores = slices.sparkSession.sparkContext.defaultParallelism
-    work = slices.filter(F.col("error").isNull() & (F.size("entries") > 0))
-    total = work.agg(F.count("*").alias("n"), F.sum("slice_bytes").alias("bytes")).first()
-    by_size = math.ceil((total["bytes"] or 0) / TASK_BYTES)
-    tasks = min(total["n"], max(by_size, SLICES_PER_CORE * cores))
-    return work.repartitionByRange(
+    cores = slices.frame.sparkSession.sparkContext.defaultParallelism
+    by_size = math.ceil(slices.bytes / TASK_BYTES)
+    tasks = min(slices.count, max(by_size, SLICES_PER_CORE * cores))
+    return slices.frame.filter(is_work()).repartitionByRange(
         max(1, tasks), F.xxhash64("archive", "slice_no")
     )
 
 
-def entry_manifest(slices: DataFrame) -> DataFrame:
+def entry_manifest(slices: Slices) -> DataFrame:
     """One row per directory entry, ignored ones included."""
-    return slices.select("archive", "release_ord", F.explode("entries").alias("e")).select(
+    listed = slices.frame.select("archive", "release_ord", F.explode("entries").alias("e"))
+    return listed.select(
         "archive", "release_ord", "e.entry", "e.parent", "e.entry_ord", "e.kind",
         "e.size", "e.packed",
     )
 
 
-def entry_payloads(slices: DataFrame) -> DataFrame:
+def entry_payloads(slices: Slices) -> DataFrame:
     """Bytes of every readable entry, nested ones included."""
     return work_items(slices).mapInArrow(
         _payload_batches(to_arrow_schema(PAYLOAD_SCHEMA)), PAYLOAD_SCHEMA

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import math
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,8 +18,10 @@ from releasemill.sources import devicexml, sheet
 from releasemill.sources.archives import (
     SLICES_PER_CORE,
     TASK_BYTES,
+    Slices,
     error_text,
     is_format_error,
+    is_large_document,
     open_slice,
     work_items,
 )
@@ -29,8 +32,7 @@ BATCH_ROWS = 8192
 BATCH_BYTES = 32 << 20
 # A document above this size is parsed as a stream, in bounded memory.
 DOCUMENT_BYTES = 16 << 20
-# A document above this size is cut up and parsed by several tasks.
-SPLIT_DOCUMENT_BYTES = 64 << 20
+# Segments of a document parsed by several tasks.
 SEGMENT_CHARS = 4 << 20
 LONGEST_DEVICE_CHARS = 64 << 20
 
@@ -195,7 +197,7 @@ def _read_slices(work: DataFrame, schema, columns) -> DataFrame:
     return work.mapInArrow(_parse_batches(to_arrow_schema(schema), tuple(columns)), schema)
 
 
-def parse_slices(slices: DataFrame, columns=()) -> DataFrame:
+def parse_slices(slices: Slices, columns=()) -> DataFrame:
     """Records and failures of every entry, one row each.
 
     `columns` come out as columns of their own; `fields` maps whatever else a
@@ -203,20 +205,20 @@ def parse_slices(slices: DataFrame, columns=()) -> DataFrame:
     marks those that void their whole archive.
     """
     schema = wide_bronze_schema(columns) if columns else BRONZE_SCHEMA
-    unlisted = slices.filter(F.col("error").isNotNull()).select(
+    unlisted = slices.frame.filter(F.col("error").isNotNull()).select(
         "archive", "release_ord", "error", F.lit(True).alias("fatal")
     )
-    # Such an entry has a slice to itself.
-    large = (F.col("slice_bytes") > SPLIT_DOCUMENT_BYTES) & F.exists(
-        "entries", lambda e: (e["kind"] == "xml") & (e["size"] > SPLIT_DOCUMENT_BYTES)
-    )
-    documents = slices.filter(F.col("error").isNull() & large)
-    total = documents.agg(F.count("*").alias("n"), F.sum("slice_bytes").alias("bytes")).first()
-    if total["n"] == 0:
+    if slices.documents == 0:
         parsed = _read_slices(work_items(slices), schema, columns)
     else:
-        parsed = _read_slices(work_items(slices.filter(~large)), schema, columns).unionByName(
-            _parse_large(documents, total["n"], total["bytes"], schema, columns)
+        rest = replace(
+            slices,
+            frame=slices.frame.filter(~is_large_document()),
+            count=slices.count - slices.documents,
+            bytes=slices.bytes - slices.document_bytes,
+        )
+        parsed = _read_slices(work_items(rest), schema, columns).unionByName(
+            _parse_large(slices, schema, columns)
         )
     return parsed.unionByName(unlisted, allowMissingColumns=True)
 
@@ -281,15 +283,16 @@ def _segment_batches(schema, columns):
     return run
 
 
-def _parse_large(documents, count, size, schema, columns) -> DataFrame:
+def _parse_large(slices: Slices, schema, columns) -> DataFrame:
     """Cut each document in one task, parse its segments in many.
 
     Inflating is sequential, parsing is most of the work.  A document whose
     segments do not stand by themselves is read again as one stream.
     """
-    tasks = math.ceil(size / TASK_BYTES) * SLICES_PER_CORE
+    documents = slices.frame.filter(is_large_document())
+    tasks = math.ceil(slices.document_bytes / TASK_BYTES) * SLICES_PER_CORE
     parsed = materialise(
-        documents.repartition(count)
+        documents.repartition(slices.documents)
         .mapInArrow(_cut_batches(to_arrow_schema(SEGMENT_SCHEMA)), SEGMENT_SCHEMA)
         .repartition(tasks)
         .mapInArrow(_segment_batches(to_arrow_schema(schema), tuple(columns)), schema),

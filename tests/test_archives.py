@@ -97,7 +97,7 @@ def test_slices_are_bounded(spark, landing, monkeypatch):
     monkeypatch.setattr(arc, "SLICE_ENTRIES", 3)
     bodies = [(f"{i}.xml", "x" * n) for i, n in enumerate([60, 60, 10, 10, 10, 10, 500, 1])]
     landing("a.zip", bodies)
-    slices = arc.list_slices(scan(spark, landing.folder)).orderBy("slice_no").collect()
+    slices = arc.list_slices(scan(spark, landing.folder)).frame.orderBy("slice_no").collect()
     groups = [[e["size"] for e in s["entries"]] for s in slices]
     assert groups == [[60], [60, 10, 10], [10, 10], [500], [1]]
 
@@ -140,7 +140,7 @@ def test_empty_archive_gives_nothing(spark, landing):
 def test_large_documents_are_parsed_by_many_tasks(spark, landing, monkeypatch):
     """Documents that cannot be split, broken ones and torn archives included."""
     monkeypatch.setattr(arc, "MAX_SLICE_BYTES", 200)
-    monkeypatch.setattr(rec, "SPLIT_DOCUMENT_BYTES", 300)
+    monkeypatch.setattr(arc, "SPLIT_DOCUMENT_BYTES", 300)
     monkeypatch.setattr(rec, "DOCUMENT_BYTES", 300)
     monkeypatch.setattr(rec, "SEGMENT_CHARS", 400)
 
