@@ -19,7 +19,7 @@ from releasemill.model import (
 )
 from releasemill.sources.sheetwriter import write_workbook
 from releasemill.sources.storage import publish
-from releasemill.workspace import materialise
+from releasemill.workspace import materialise, qualified
 
 log = logging.getLogger(__name__)
 
@@ -86,7 +86,8 @@ def write_excel(frame: DataFrame, path: str, guard: int = EXCEL_ROW_GUARD) -> st
     """Workbooks, one or more per partition, none above the row guard."""
     text = frame.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in frame.columns])
     parts = text.mapInArrow(
-        _workbook_parts(path, list(frame.columns), guard), "path string, rows long"
+        _workbook_parts(qualified(frame.sparkSession, path), list(frame.columns), guard),
+        "path string, rows long",
     )
     parts.agg(F.sum("rows")).first()
     return path

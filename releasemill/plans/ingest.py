@@ -6,14 +6,15 @@ import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from releasemill.model import KNOWN_FIELDS
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
 from releasemill.operators import metrics
-from releasemill.sources.archives import Slices, list_slices
+from releasemill.sources.archives import Slices, entry_manifest, list_slices
 from releasemill.sources.records import parse_slices
-from releasemill.workspace import materialise, small_side
+from releasemill.workspace import small_side
 
 
 class BadArchive(Exception):
@@ -52,7 +53,7 @@ def read_bronze(archives: DataFrame, on_bad_archive: str = "fail",
     no records at all.  `columns` are stored as columns of their own.
     """
     slices = list_slices(archives)
-    rows = materialise(parse_slices(slices, columns), "bronze")
+    rows = parse_slices(slices, columns)
     fatal = rows.filter("fatal")
     failures = fatal.count()
     if failures == 0:
@@ -102,7 +103,8 @@ def save_release(archives: DataFrame, *, kind: str, identifier: str, write,
     frame = merged_frame(bronze, sort=kind != "full")
     write(frame)
     seconds = time.monotonic() - started
-    mib = bronze.slices.bytes / (1 << 20)
+    sizes = metrics.archive_bytes(entry_manifest(bronze.slices))
+    mib = (sizes.agg(F.sum("total_bytes")).first()[0] or 0) / (1 << 20)
     return {
         "kind": kind,
         "identifier": identifier,

@@ -19,19 +19,21 @@ from releasemill.sources import zipentries as ze
 from releasemill.sources.storage import open_for_read
 from releasemill.workspace import materialise
 
-# Uncompressed bytes per slice (unit of work) and per parse task.  Slices get
+# Uncompressed bytes per slice (unit of work) and per parse task.  A nested archive
+# counts as what it holds, by the usual ratio of XML.  Slices get
 # smaller than the maximum where the whole input would make too few of them.
 MIN_SLICE_BYTES = 1 << 20
 MAX_SLICE_BYTES = 16 << 20
 TASK_BYTES = 64 << 20
 SLICE_ENTRIES = 4096
 SLICES_PER_CORE = 4
-USUAL_RATIO = 8  # uncompressed to compressed size of XML, for that estimate only
+USUAL_RATIO = 8  # uncompressed to compressed size
 ARCHIVES_PER_LISTING_TASK = 8
-# A nested archive above this size is split into slices of its own; reaching
-# into a deflated one means inflating from its start, so those slices are long.
-NESTED_SPLIT_BYTES = 64 << 20
-NESTED_SLICE_BYTES = 256 << 20
+# A nested archive above this (packed) size is split into slices of its own.
+# Reaching into a deflated one means inflating from its start, so those slices
+# are longer.
+NESTED_SPLIT_BYTES = 4 << 20
+NESTED_STRETCH = 4
 # A document above this size is cut up and parsed by several tasks.
 SPLIT_DOCUMENT_BYTES = 64 << 20
 
@@ -78,6 +80,11 @@ def with_archive_columns(files: DataFrame) -> DataFrame:
 # --- task side -----------------------------------------------------------------
 
 
+def _work_bytes(entry):
+    weight = {"zip": USUAL_RATIO, None: 0}.get(entry["kind"], 1)
+    return weight * entry["size"]
+
+
 class _Slicer:
     """Groups an archive's entries, in order, into slices of bounded size."""
 
@@ -87,13 +94,13 @@ class _Slicer:
         self._entries, self._bytes, self.count = [], 0, 0
 
     def add(self, entry):
-        full = self._bytes + entry["size"] > self._limit or len(self._entries) >= SLICE_ENTRIES
-        alone = entry["size"] > MAX_SLICE_BYTES or self._bytes > MAX_SLICE_BYTES
+        size = _work_bytes(entry)
+        full = self._bytes + size > self._limit or len(self._entries) >= SLICE_ENTRIES
+        alone = size > MAX_SLICE_BYTES or self._bytes > self._limit
         if self._entries and (full or alone):
             yield self.close()
         self._entries.append(entry)
-        if entry["kind"]:
-            self._bytes += entry["size"]
+        self._bytes += size
 
     def close(self):
         nested = [e["size"] for e in self._entries if e["kind"] == "zip"]
@@ -132,24 +139,23 @@ def _archive_slices(archive, release_ord, limit):
         yield slicer.failed(error)
 
 
-def _nested_slices(row):
+def _nested_slices(row, limit):
     """Slices of the large nested archives a slice holds, listed in place."""
     rest = [e for e in row["entries"] if not _is_large_nested(e)]
     yield {**row, "entries": rest, "nested_bytes": 0,
-           "slice_bytes": sum(e["size"] for e in rest if e["kind"])}
-    slicer = _Slicer(row["archive"], row["release_ord"], MAX_SLICE_BYTES)
+           "slice_bytes": sum(map(_work_bytes, rest))}
+    slicer = _Slicer(row["archive"], row["release_ord"], limit)
     try:
         with open_for_read(row["archive"]) as stream, zipfile.ZipFile(stream) as outer:
             by_offset = {info.header_offset: info for info in outer.infolist()}
             for item in filter(_is_large_nested, row["entries"]):
                 info = by_offset[item["offset"]]
-                base, via, limit = 0, None, MAX_SLICE_BYTES
                 if item["method"] == ze.STORED:
-                    base = ze.data_offset(stream, item["offset"])
+                    base, via, length = ze.data_offset(stream, item["offset"]), None, limit
                 else:
-                    via = [item["offset"], item["packed"], item["method"]]
-                    limit = NESTED_SLICE_BYTES
-                slicer = _Slicer(row["archive"], row["release_ord"], limit)
+                    base, via = 0, [item["offset"], item["packed"], item["method"]]
+                    length = NESTED_STRETCH * limit
+                slicer = _Slicer(row["archive"], row["release_ord"], length)
                 with outer.open(info) as body:
                     for entry in ze.list_directory(
                         body, item["entry"], base, via, item["entry_ord"]
@@ -192,13 +198,13 @@ def _list_batches(schema, limit):
     return run
 
 
-def _expand_batches(schema):
+def _expand_batches(schema, limit):
     def run(batches):
         rows = (
             row
             for batch in batches
             for item in batch.to_pylist()
-            for row in _nested_slices(item)
+            for row in _nested_slices(item, limit)
         )
         return _rows_to_batches(rows, schema, 16)
 
@@ -319,16 +325,16 @@ def list_slices(archives: DataFrame) -> Slices:
         .mapInArrow(_list_batches(to_arrow_schema(SLICE_SCHEMA), limit), SLICE_SCHEMA)
     )
     slices = Slices.of(materialise(listed, "slices"))
-    return split_large_nested(slices) if slices.nested else slices
+    return split_large_nested(slices, limit) if slices.nested else slices
 
 
-def split_large_nested(slices: Slices) -> Slices:
+def split_large_nested(slices: Slices, limit: int) -> Slices:
     """Open up nested archives too large to be one unit of work."""
     large = F.col("nested_bytes") > NESTED_SPLIT_BYTES
     expanded = (
         slices.frame.filter(large)
         .repartition(slices.nested)
-        .mapInArrow(_expand_batches(to_arrow_schema(SLICE_SCHEMA)), SLICE_SCHEMA)
+        .mapInArrow(_expand_batches(to_arrow_schema(SLICE_SCHEMA), limit), SLICE_SCHEMA)
     )
     rest = slices.frame.filter(~large)
     return Slices.of(rest.unionByName(materialise(expanded, "nested-slices")))

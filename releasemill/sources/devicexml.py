@@ -46,6 +46,16 @@ def device_fields(device) -> dict[str, str]:
     }
 
 
+def _without_controls(text: str, data: bytes) -> str:
+    """Text decoded from `data`, searched only if those bytes hold a control.
+
+    In both charsets a control character is always a byte of its own.
+    """
+    if len(data.translate(None, CONTROL_BYTES)) == len(data):
+        return text
+    return ILLEGAL_CONTROLS.sub("", text)
+
+
 def _tree(*texts):
     parser = ET.XMLParser()
     # Text rather than bytes: a stale charset in the declaration is ignored.
@@ -60,11 +70,7 @@ def _fields_of(devices):
 
 def records(data: bytes):
     """Records of a document small enough to hold.  Raises on malformed XML."""
-    text = decode_charset(data)
-    # In both charsets a control character is always a byte of its own.
-    if len(data.translate(None, CONTROL_BYTES)) != len(data):
-        text = ILLEGAL_CONTROLS.sub("", text)
-    root = _tree(repair_entities(text))
+    root = _tree(repair_entities(_without_controls(decode_charset(data), data)))
     holder = root.find("devices")
     if holder is not None:
         devices = holder.findall("device")
@@ -83,12 +89,12 @@ def _clean_chunks(open_chunks, decoder):
     """The cleaned text of a document, piece by piece."""
     held = ""
     for data in open_chunks():
-        held += ILLEGAL_CONTROLS.sub("", decoder.decode(data))
+        held += _without_controls(decoder.decode(data), data)
         last = held.rfind("&")
         cut = last if last >= 0 and OPEN_ENTITY.fullmatch(held, last) else len(held)
         yield repair_entities(held[:cut])
         held = held[cut:]
-    yield repair_entities(held + ILLEGAL_CONTROLS.sub("", decoder.decode(b"", final=True)))
+    yield repair_entities(held + decoder.decode(b"", final=True))
 
 
 def _stream_decoder(open_chunks):

@@ -198,29 +198,29 @@ def _read_slices(work: DataFrame, schema, columns) -> DataFrame:
 
 
 def parse_slices(slices: Slices, columns=()) -> DataFrame:
-    """Records and failures of every entry, one row each.
+    """Records and failures of every entry, one row each (written to the workspace).
 
     `columns` come out as columns of their own; `fields` maps whatever else a
     record holds.  An entry that fails gives one row with `error` set; `fatal`
     marks those that void their whole archive.
     """
     schema = wide_bronze_schema(columns) if columns else BRONZE_SCHEMA
-    unlisted = slices.frame.filter(F.col("error").isNotNull()).select(
-        "archive", "release_ord", "error", F.lit(True).alias("fatal")
-    )
-    if slices.documents == 0:
-        parsed = _read_slices(work_items(slices), schema, columns)
-    else:
-        rest = replace(
+    usual = slices
+    if slices.documents:
+        usual = replace(
             slices,
             frame=slices.frame.filter(~is_large_document()),
             count=slices.count - slices.documents,
             bytes=slices.bytes - slices.document_bytes,
         )
-        parsed = _read_slices(work_items(rest), schema, columns).unionByName(
-            _parse_large(slices, schema, columns)
-        )
-    return parsed.unionByName(unlisted, allowMissingColumns=True)
+    unlisted = slices.frame.filter(F.col("error").isNotNull()).select(
+        "archive", "release_ord", "error", F.lit(True).alias("fatal")
+    )
+    parsed = _read_slices(work_items(usual), schema, columns)
+    rows = materialise(parsed.unionByName(unlisted, allowMissingColumns=True), "records")
+    if slices.documents:
+        rows = rows.unionByName(_parse_large(slices, schema, columns))
+    return rows
 
 
 # --- documents too large for one task ------------------------------------------------
@@ -290,7 +290,11 @@ def _parse_large(slices: Slices, schema, columns) -> DataFrame:
     segments do not stand by themselves is read again as one stream.
     """
     documents = slices.frame.filter(is_large_document())
-    tasks = math.ceil(slices.document_bytes / TASK_BYTES) * SLICES_PER_CORE
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    segments = math.ceil(slices.document_bytes / SEGMENT_CHARS)
+    tasks = max(
+        math.ceil(slices.document_bytes / TASK_BYTES), min(segments, SLICES_PER_CORE * cores)
+    )
     parsed = materialise(
         documents.repartition(slices.documents)
         .mapInArrow(_cut_batches(to_arrow_schema(SEGMENT_SCHEMA)), SEGMENT_SCHEMA)
@@ -307,9 +311,8 @@ def _parse_large(slices: Slices, schema, columns) -> DataFrame:
     held = documents.select("*", F.col("entries")[0]["entry_ord"].alias("entry_ord"))
     whole = small_side(whole, again)
     stream = held.join(whole, place, "left_semi").drop("entry_ord")
-    return parsed.join(whole, place, "left_anti").unionByName(
-        _read_slices(stream.repartition(again), schema, columns)
-    )
+    streamed = materialise(_read_slices(stream.repartition(again), schema, columns), "records")
+    return parsed.join(whole, place, "left_anti").unionByName(streamed)
 
 
 # --- JVM-only variant --------------------------------------------------------------

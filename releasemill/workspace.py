@@ -14,6 +14,13 @@ BROADCAST_ROWS = 100_000
 _ROOTS: dict[str, str] = {}
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with its filesystem, as Spark understands it, for use inside tasks."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(hadoop).makeQualified(target).toString()
+
+
 def workspace(spark: SparkSession) -> str:
     """Folder for this application's intermediate tables.
 
@@ -28,7 +35,7 @@ def workspace(spark: SparkSession) -> str:
             if not spark.sparkContext.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             root = tempfile.mkdtemp(prefix="releasemill-")
-        _ROOTS[app] = f"{root.rstrip('/')}/releasemill-{uuid.uuid4().hex}"
+        _ROOTS[app] = f"{qualified(spark, root).rstrip('/')}/releasemill-{uuid.uuid4().hex}"
     return _ROOTS[app]
 
 

@@ -71,8 +71,9 @@ def weekly(method):
 def test_nested_archives_whole_or_split(spark, landing, monkeypatch, method, threshold):
     """Large nested archives are cut into slices; the records stay the same."""
     monkeypatch.setattr(arc, "NESTED_SPLIT_BYTES", threshold)
-    monkeypatch.setattr(arc, "NESTED_SLICE_BYTES", 150)
-    monkeypatch.setattr(arc, "MAX_SLICE_BYTES", 150)
+    monkeypatch.setattr(arc, "MIN_SLICE_BYTES", 100)
+    monkeypatch.setattr(arc, "MAX_SLICE_BYTES", 100)
+    monkeypatch.setattr(arc, "NESTED_STRETCH", 2)
     landing("week.zip", weekly(method))
     bronze = ingest.read_bronze(scan(spark, landing.folder))
     rows = bronze.rows.select("parent", "entry", "fields").collect()
