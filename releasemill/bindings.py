@@ -23,7 +23,7 @@ from releasemill.model import KINDS
 from releasemill.operators.frame import with_position
 from releasemill.sources.sheetwriter import EPOCH, write_workbook
 from releasemill.sources.storage import open_for_read, publish
-from releasemill.workspace import fresh_path
+from releasemill.workspace import exists, fresh_path
 
 DOCUMENT_RECORDS = 25
 ARCHIVE_RECORDS = 500
@@ -120,30 +120,23 @@ def _optional(name: str, value: Column) -> Column:
     return F.coalesce(_element(name, value), F.lit(""))
 
 
-_PLACED: dict[tuple, DataFrame] = {}
-
-
 def placed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`part` numbered from 0 in key order.
+    """`part` numbered from 0 in key order, as column `place`.
 
     Documents and archives are runs of these numbers, so their size is fixed
     even if many rows were to share a key.
     """
-    memo = (spark.sparkContext.applicationId, sf_dir)
-    if memo not in _PLACED:
-        names = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
-        order = [F.col(name).asc_nulls_last() for name in names]
-        _PLACED[memo] = with_position(
-            table(spark, sf_dir, "part").select(*names), order, "position"
-        ).withColumn("place", F.col("position") - 1)
-    return _PLACED[memo]
-
-
-def part_records(spark: SparkSession, sf_dir: str, quirks: bool = False) -> DataFrame:
-    """Device records of `part`: fields, their XML and their place."""
+    names = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
+    order = [F.col(name).asc_nulls_last() for name in names]
+    numbered = with_position(table(spark, sf_dir, "part").select(*names), order, "position")
+    return numbered.withColumn("place", F.col("position") - 1).drop("position")
+
+
+def device_fields(parts: DataFrame, *keep) -> DataFrame:
+    """Device fields of rows of `part`."""
     key, size = F.col("p_partkey"), F.col("p_size")
-    rows = placed_parts(spark, sf_dir).select(
-        "place",
+    return parts.select(
+        *keep,
         F.when(size % 10 != 7, F.concat(F.lit("K"), F.lpad(key.cast("string"), 12, "0"))).alias(
             "deviceRecordKey"
         ),
@@ -154,34 +147,35 @@ def part_records(spark: SparkSession, sf_dir: str, quirks: bool = False) -> Data
         size.cast("string").alias("unit"),
         F.when(size % 6 == 0, "").when(size % 2 == 0, F.col("p_type")).alias("notes"),
     )
+
+
+def device_xml(quirks: bool) -> Column:
+    """XML of a device record."""
     # The ampersand stays bare: repairing it is the engine's job.
     name = F.replace(F.col("prdName"), F.lit("<"), F.lit("&lt;"))
     model = F.col("specModel")
     if quirks:
         model = F.concat(model, F.lit("<i>deep</i>tail"))
-    xml = F.concat(
+    return F.concat(
         F.lit("<device/><device><prdName>stale</prdName>" if quirks else "<device>"),
         _optional("deviceRecordKey", F.col("deviceRecordKey")),
         _element("prdName", name),
         _element("prdCode", F.col("prdCode")),
         _element("specModel", model),
-        _element("orgName", F.concat(F.lit("　"), "orgName", F.lit("&#160; "))),
+        _element("orgName", F.concat(F.lit("\u3000"), "orgName", F.lit("&#160; "))),
         _element("unit", F.concat(F.lit("\n  "), "unit", F.lit("<!--size-->"))),
         _optional("notes", F.col("notes")),
         F.lit("</device>"),
     )
-    return rows.withColumn("xml", xml)
 
 
 def release_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed items of the daily archives packed from `part`."""
-    numbers = placed_parts(spark, sf_dir).select(
-        F.expr(f"place div {ARCHIVE_RECORDS}").alias("n")
-    ).distinct()
-    title = daily_title(F.col("n"))
-    dated = numbers.select(
+    archives = math.ceil(table(spark, sf_dir, "part").count() / ARCHIVE_RECORDS)
+    title = daily_title(F.col("id"))
+    dated = spark.range(archives).select(
         F.lit("daily").alias("kind"),
-        F.col("n").alias("feed_pos"),
+        F.col("id").alias("feed_pos"),
         title.alias("title"),
         F.concat(F.lit("https://feed.example/"), title, F.lit(".zip")).alias("link"),
     )
@@ -318,25 +312,34 @@ def _pack(folder, style):
 _PACKED: dict[tuple, str] = {}
 
 
-def part_archives(spark: SparkSession, sf_dir: str, style: str) -> str:
-    """Folder of archives made from `part`; packed once per application and style."""
+def _packed(spark: SparkSession, sf_dir: str, style: str, pack) -> str:
+    """Folder that `pack(folder)` fills; kept for the application while it exists."""
     memo = (spark.sparkContext.applicationId, sf_dir, style)
-    if memo not in _PACKED:
-        _, quirks, size = STYLES[style]
+    if memo not in _PACKED or not exists(spark, _PACKED[memo]):
         folder = fresh_path(spark, style)
+        pack(folder)
+        _PACKED[memo] = folder
+    return _PACKED[memo]
+
+
+def part_archives(spark: SparkSession, sf_dir: str, style: str) -> str:
+    """Folder of archives made from `part`."""
+    _, quirks, size = STYLES[style]
+
+    def pack(folder):
         number = F.expr(f"place div {size}")
         title = weekly_title(number) if style == "weekly" else daily_title(number)
-        placed = part_records(spark, sf_dir, quirks).withColumns(
-            {"archive_no": number, "title": title}
+        placed = device_fields(placed_parts(spark, sf_dir), "place").withColumns(
+            {"xml": device_xml(quirks), "archive_no": number, "title": title}
         )
-        packed = (
+        (
             placed.repartition("archive_no")
             .sortWithinPartitions("archive_no", "place")
             .mapInArrow(_pack(folder, style), "path string")
+            .count()
         )
-        packed.count()
-        _PACKED[memo] = folder
-    return _PACKED[memo]
+
+    return _packed(spark, sf_dir, style, pack)
 
 
 # --- full snapshot from lineitem -----------------------------------------------------
@@ -386,9 +389,8 @@ def _pack_lines(folder):
 
 def line_archives(spark: SparkSession, sf_dir: str) -> str:
     """Folder of snapshot archives made from `lineitem`, dealt out evenly over tasks."""
-    memo = (spark.sparkContext.applicationId, sf_dir, "lines")
-    if memo not in _PACKED:
-        folder = fresh_path(spark, "lines")
+
+    def pack(folder):
         fields = line_fields(spark, sf_dir)
         tasks = math.ceil(table(spark, sf_dir, "lineitem").count() / LINE_ARCHIVE_RECORDS)
         xml = F.concat(
@@ -399,8 +401,8 @@ def line_archives(spark: SparkSession, sf_dir: str) -> str:
         fields.select(xml.alias("xml")).repartition(max(1, tasks)).mapInArrow(
             _pack_lines(folder), "path string"
         ).count()
-        _PACKED[memo] = folder
-    return _PACKED[memo]
+
+    return _packed(spark, sf_dir, "lines", pack)
 
 
 def _wrap(folder):

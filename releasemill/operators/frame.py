@@ -85,23 +85,27 @@ def record_order(frame: DataFrame, key: str = RECORD_KEY) -> list[Column]:
     return [F.col(f"`{key}`").asc_nulls_last(), *order]
 
 
-def sort_records(frame: DataFrame, size_bytes: int = 0, key: str = RECORD_KEY) -> DataFrame:
-    """Global order by record key; a frame without the key stays as it is.
+def range_sort(frame: DataFrame, order: list[Column], size_bytes: int = 0) -> DataFrame:
+    """Global order.
 
     `size_bytes` is the volume being sorted: large inputs get as many range
     partitions as they need rather than the session default.
     """
-    if key not in frame.columns:
-        return frame
-    order = record_order(frame, key)
-    spark = frame.sparkSession
     tasks = math.ceil(size_bytes / SORT_TASK_BYTES)
-    if tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+    if tasks <= int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         return frame.orderBy(*order)
     return frame.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
 
-def with_position(frame: DataFrame, order: list[Column], name: str) -> DataFrame:
+def sort_records(frame: DataFrame, size_bytes: int = 0, key: str = RECORD_KEY) -> DataFrame:
+    """Order by record key; a frame without the key stays as it is."""
+    if key not in frame.columns:
+        return frame
+    return range_sort(frame, record_order(frame, key), size_bytes)
+
+
+def with_position(frame: DataFrame, order: list[Column], name: str,
+                  size_bytes: int = 0) -> DataFrame:
     """Number the rows 1..n in a total order, without passing them through one task.
 
     The sorted rows are written with their partition and place in it; the row
@@ -109,7 +113,7 @@ def with_position(frame: DataFrame, order: list[Column], name: str) -> DataFrame
     offsets.
     """
     placed = materialise(
-        frame.orderBy(*order).select(
+        range_sort(frame, order, size_bytes).select(
             "*",
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),

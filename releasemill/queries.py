@@ -171,7 +171,7 @@ def mixed_catalog(spark, sf):
 
 
 def fields_frame(spark, sf):
-    return bind.part_records(spark, sf).select(*bind.PART_FIELDS)
+    return bind.device_fields(bind.table(spark, sf, "part"))
 
 
 def file_name():
@@ -555,8 +555,10 @@ SELECT {SQL_FIELDS_MIXED},
        row_number() OVER (ORDER BY "deviceRecordKey" NULLS LAST, key) AS position FROM dev
 """)
 def sorted_records(spark, sf):
-    wide = fr.widen(bronze(spark, sf, "mixed").records)
-    return fr.drop_lineage(fr.with_position(wide, fr.record_order(wide), "position"))
+    parsed = bronze(spark, sf, "mixed")
+    wide = fr.widen(parsed.records)
+    numbered = fr.with_position(wide, fr.record_order(wide), "position", parsed.slices.bytes)
+    return fr.drop_lineage(numbered)
 
 
 # --- unions -----------------------------------------------------------------------------------

@@ -53,27 +53,32 @@ def error_text(error: Exception) -> str:
     return f"{type(error).__name__}: {error}"
 
 
-def scan_archives(spark: SparkSession, location, glob: str = "*.zip") -> DataFrame:
+def scan_archives(spark: SparkSession, location, glob: str = "*.zip",
+                  partitioned: bool = False) -> DataFrame:
     """Landed archives: `archive, file_name, length, modification_time, release_ord`.
 
     The file content is never read here: only the metadata columns of the
-    binary source survive column pruning.
+    binary source survive column pruning.  With `partitioned`, folders such as
+    `kind=daily/date=20260326` become columns, and a filter on them lists only
+    the folders it needs; otherwise all folders below are searched.
     """
     return with_archive_columns(
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", not partitioned)
         .load(location)
     )
 
 
 def with_archive_columns(files: DataFrame) -> DataFrame:
+    source = ("path", "modificationTime", "length", "content")
     return files.select(
         F.col("path").alias("archive"),
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         "length",
         F.col("modificationTime").alias("modification_time"),
         F.lit(0).cast("long").alias("release_ord"),
+        *[name for name in files.columns if name not in source],
     )
 
 

@@ -14,11 +14,20 @@ BROADCAST_ROWS = 100_000
 _ROOTS: dict[str, str] = {}
 
 
+def _hadoop(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """`path` with its filesystem, as Spark understands it, for use inside tasks."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(hadoop).makeQualified(target).toString()
+    filesystem, target = _hadoop(spark, path)
+    return filesystem.makeQualified(target).toString()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    filesystem, target = _hadoop(spark, path)
+    return filesystem.exists(target)
 
 
 def workspace(spark: SparkSession) -> str:

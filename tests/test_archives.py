@@ -58,6 +58,18 @@ def test_scan_reads_no_content(spark, landing):
     assert "ReadSchema: struct<path:string>" in text
 
 
+def test_partitioned_landing_folder(spark, tmp_path):
+    for day in ("20260101", "20260102"):
+        folder = tmp_path / "kind=daily" / f"date={day}"
+        folder.mkdir(parents=True)
+        (folder / "a.zip").write_bytes(zip_bytes([("a.xml", device_xml({"k": day}))]))
+    archives = arc.scan_archives(spark, str(tmp_path), partitioned=True)
+    chosen = archives.filter("kind = 'daily' AND date = 20260102")
+    assert "PartitionFilters: [isnotnull" in chosen._jdf.queryExecution().executedPlan().toString()
+    assert [r["fields"]["k"] for r in ingest.read_bronze(chosen).rows.collect()] == ["20260102"]
+    assert ingest.read_bronze(scan(spark, str(tmp_path))).records.count() == 2
+
+
 def weekly(method):
     days = [
         (f"day{d}.zip", zip_bytes([(f"{d}-{i}.xml", device_xml({"k": f"{d}{i}"})) for i in range(3)]))
