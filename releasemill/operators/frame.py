@@ -148,6 +148,8 @@ def add_lineage(frame: DataFrame, *, data_date, now, kind: str, zip_file="") ->
     """The five metadata columns of the target table.
 
     `data_date` and `zip_file` are text or columns; `now` is a datetime or column.
+    `archive_name()` as `zip_file` names each record's archive, if the frame kept
+    its lineage.
     """
 
     def column(value):
@@ -164,6 +166,10 @@ def add_lineage(frame: DataFrame, *, data_date, now, kind: str, zip_file="") ->
     )
 
 
+def archive_name() -> Column:
+    return F.element_at(F.split("_archive", "/"), -1)
+
+
 def unmapped_columns(frame: DataFrame) -> list[str]:
     return [c for c in frame.columns if c not in TARGET_SCHEMA.names and not c.startswith("_")]
 

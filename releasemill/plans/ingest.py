@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from releasemill.model import KNOWN_FIELDS
@@ -65,12 +65,15 @@ def read_bronze(archives: DataFrame, on_bad_archive: str = "fail",
     return Bronze(slices, rows, small_side(bad, failures))
 
 
-def merged_frame(bronze: Bronze, sort: bool = True, fields=None) -> DataFrame:
-    """All records as one frame: union by name, then ordered by record key."""
+def merged_frame(bronze: Bronze, sort: bool = True, fields=None, lineage=False) -> DataFrame:
+    """All records as one frame: union by name, then ordered by record key.
+
+    With `lineage` the place of origin stays, in columns that begin with `_`.
+    """
     wide = fr.widen(bronze.records, fields)
     if sort:
         wide = fr.sort_records(wide, bronze.slices.bytes)
-    return fr.drop_lineage(wide)
+    return wide if lineage else fr.drop_lineage(wide)
 
 
 def ingest_release(archives: DataFrame, on_bad_archive: str = "fail") -> DataFrame:
@@ -108,6 +111,7 @@ def save_release(archives: DataFrame, *, kind: str, identifier: str, write,
     return {
         "kind": kind,
         "identifier": identifier,
+        "archives": sizes.count(),
         "records": bronze.records.count(),
         "failures": metrics.failure_count(bronze.rows).first()["failures"],
         "mib": mib,
@@ -115,3 +119,14 @@ def save_release(archives: DataFrame, *, kind: str, identifier: str, write,
         "mib_per_second": mib / seconds if seconds > 0 else 0.0,
         "unmapped": fr.unmapped_columns(fr.rename_columns(frame)),
     }
+
+
+REPORT_SCHEMA = (
+    "kind string, identifier string, archives long, records long, failures long, mib double, "
+    "seconds double, mib_per_second double, unmapped array<string>"
+)
+
+
+def append_report(spark: SparkSession, report: dict, path: str) -> None:
+    """Add the report of a run to the table of reports."""
+    spark.createDataFrame([report], REPORT_SCHEMA).write.mode("append").parquet(path)

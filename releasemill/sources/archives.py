@@ -352,8 +352,13 @@ def work_items(slices: Slices) -> DataFrame:
     slices, where round robin or plain hashing would leave tasks empty.
     """
     cores = slices.frame.sparkSession.sparkContext.defaultParallelism
-    by_size = math.ceil(slices.bytes / TASK_BYTES)
-    tasks = min(slices.count, max(by_size, SLICES_PER_CORE * cores))
+    tasks = min(
+        slices.count,
+        max(
+            math.ceil(slices.bytes / TASK_BYTES),
+            min(math.ceil(slices.bytes / MIN_SLICE_BYTES), SLICES_PER_CORE * cores),
+        ),
+    )
     return slices.frame.filter(is_work()).repartitionByRange(
         max(1, tasks), F.xxhash64("archive", "slice_no")
     )

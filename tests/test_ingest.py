@@ -1,14 +1,18 @@
 """Whole ingests: errors, releases, snapshots."""
 
+from datetime import datetime
+
 import pytest
 
 from conftest import device_xml, zip_bytes
 from releasemill import workspace
 from releasemill.operators import catalog as cat
+from releasemill.operators import frame as fr
 from releasemill.operators import metrics
 from releasemill.plans import ingest
 from releasemill.sources.archives import scan_archives
 
+NOW = datetime(2026, 3, 26)
 GOOD = device_xml({"deviceRecordKey": "K1"})
 
 
@@ -116,7 +120,16 @@ def test_label_covers_loaded_releases_only(releases):
     assert ingest.loaded_identifier(located, bronze, "daily") == "20260102"
 
 
-def test_report(spark, landing):
+def test_target_rows_can_name_their_archive(spark, landing):
+    landing("a.zip", [("a.xml", GOOD)])
+    bronze = ingest.read_bronze(scan_archives(spark, landing.folder))
+    frame = fr.rename_columns(ingest.merged_frame(bronze, lineage=True))
+    frame = fr.add_lineage(frame, data_date="x", now=NOW, kind="full", zip_file=fr.archive_name())
+    row = fr.target_projection(frame, on_unmapped="fail").first()
+    assert (row["device_record_key"], row["data_zip_file"]) == ("K1", "a.zip")
+
+
+def test_report(spark, landing, tmp_path):
     landing("a.zip", [("a.xml", device_xml({"deviceRecordKey": "K", "odd": "1"})), ("b.xml", "<")])
     saved = []
     report = ingest.save_release(
@@ -125,7 +138,10 @@ def test_report(spark, landing):
     )
     assert len(saved) == 1
     assert (report["records"], report["failures"], report["unmapped"]) == (1, 1, ["odd"])
-    assert report["seconds"] > 0 and report["mib"] > 0
+    assert report["seconds"] > 0 and report["mib"] > 0 and report["archives"] == 1
+    for _ in range(2):
+        ingest.append_report(spark, report, str(tmp_path / "reports"))
+    assert [r["records"] for r in spark.read.parquet(str(tmp_path / "reports")).collect()] == [1, 1]
 
 
 def test_snapshot_is_not_sorted(spark, landing):
