@@ -30,8 +30,10 @@ from releasemill.workspace import materialise, small_side
 # An output batch ends at either bound.
 BATCH_ROWS = 8192
 BATCH_BYTES = 32 << 20
-# A document above this size is parsed as a stream, in bounded memory.
+# A document above the first size is parsed in segments, its records held as
+# Arrow batches; above the second as a stream, in bounded memory.
 DOCUMENT_BYTES = 16 << 20
+HELD_DOCUMENT_BYTES = 64 << 20
 # Segments of a document parsed by several tasks.
 SEGMENT_CHARS = 4 << 20
 LONGEST_DEVICE_CHARS = 64 << 20
@@ -98,6 +100,9 @@ class _Rows:
         self._keys, self._values, self._offsets = [], [], [0]
         self.size = self.bytes = 0
 
+    def like(self):
+        return _Rows(self._schema, self._columns)
+
     @property
     def full(self):
         return self.size >= BATCH_ROWS or self.bytes >= BATCH_BYTES
@@ -155,10 +160,44 @@ class _Rows:
         return pa.RecordBatch.from_arrays(arrays, schema=self._schema)
 
 
+def _segments(entry, reader):
+    return devicexml.cut_document(
+        lambda: _readable(reader, entry), SEGMENT_CHARS, LONGEST_DEVICE_CHARS
+    )
+
+
+def _held_batches(rows, work, entry, reader):
+    """All batches of a document parsed segment by segment, or None if it cannot be."""
+    held, first = [], 0
+    for text, fits in _segments(entry, reader):
+        if text is None:
+            break
+        try:
+            found = devicexml.segment_records(text)
+        except devicexml.ET.ParseError:
+            return None
+        for block, size in _list_blocks(found, len(text)):
+            rows.add(work, entry, first, block)
+            rows.bytes += size
+            first += len(block)
+            if rows.full:
+                held.append(rows.batch())
+    if not fits:
+        return None
+    if rows.size:
+        held.append(rows.batch())
+    return held
+
+
 def _entry_batches(rows, work, entry, reader, error):
     try:
         if error is not None:
             raise UnreadableEntry(error_text(error))
+        if entry["kind"] == "xml" and DOCUMENT_BYTES < entry["size"] <= HELD_DOCUMENT_BYTES:
+            held = _held_batches(rows.like(), work, entry, reader)
+            if held is not None:
+                yield from held
+                return
         first = 0
         for block, size in _entry_blocks(entry, reader):
             rows.add(work, entry, first, block)
@@ -241,11 +280,8 @@ def _cut_batches(schema):
         for entry, reader, _ in open_slice(work):
             place = {k: entry[k] for k in ("parent", "entry", "entry_ord")}
             place |= {k: work[k] for k in ("archive", "release_ord")}
-            segments = devicexml.cut_document(
-                lambda: _readable(reader, entry), SEGMENT_CHARS, LONGEST_DEVICE_CHARS
-            )
             try:
-                for number, (text, fits) in enumerate(segments):
+                for number, (text, fits) in enumerate(_segments(entry, reader)):
                     yield {**place, "segment": number, "text": text, "fits": fits}
             except UnreadableEntry:
                 yield {**place, "segment": -1, "text": None, "fits": False}

@@ -124,14 +124,20 @@ def test_work_is_dealt_evenly(spark, landing, monkeypatch):
     assert sizes == [1] * 16
 
 
-def test_large_documents_are_streamed(spark, landing, monkeypatch):
+@pytest.mark.parametrize("held", [0, 1 << 30])
+def test_large_documents_are_held_or_streamed(spark, landing, monkeypatch, held):
     monkeypatch.setattr(rec, "DOCUMENT_BYTES", 10)
+    monkeypatch.setattr(rec, "HELD_DOCUMENT_BYTES", held)
+    monkeypatch.setattr(rec, "SEGMENT_CHARS", 100)
     monkeypatch.setattr(rec, "BATCH_ROWS", 7)
     documents = [(f"{i}.xml", device_xml(*({"k": f"{i}-{j}"} for j in range(50)))) for i in range(4)]
+    documents[2] = ("2.xml", documents[2][1].replace("<k>2-9<", "<k><!-- </device> -->2-9<"))
     landing("a.zip", [*documents, ("broken.xml", documents[0][1][:-5])])
     bronze = ingest.read_bronze(scan(spark, landing.folder))
     keys = [r["fields"]["k"] for r in bronze.records.orderBy("entry_ord", "ord").collect()]
     assert keys == [f"{i}-{j}" for i in range(4) for j in range(50)]
+    places = bronze.records.filter("entry = '1.xml'").orderBy("ord").select("ord").collect()
+    assert [r["ord"] for r in places] == list(range(50))
     (failure,) = bronze.dead_letter.collect()
     assert failure["entry"] == "broken.xml" and not failure["fatal"]
 
