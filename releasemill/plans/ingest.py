@@ -100,11 +100,15 @@ def loaded_identifier(located: DataFrame, bronze: Bronze, kind: str) -> str:
 
 def save_release(archives: DataFrame, *, kind: str, identifier: str, write,
                  on_bad_archive: str = "fail") -> dict:
-    """Ingest, hand the frame to `write(frame)`, and report on the run."""
+    """Ingest, hand the frame to `write(frame)`, and report on the run.
+
+    Where there are no records there is nothing to write.
+    """
     started = time.monotonic()
     bronze = read_bronze(archives, on_bad_archive)
     frame = merged_frame(bronze, sort=kind != "full")
-    write(frame)
+    if frame.columns:
+        write(frame)
     seconds = time.monotonic() - started
     sizes = metrics.archive_bytes(entry_manifest(bronze.slices))
     mib = (sizes.agg(F.sum("total_bytes")).first()[0] or 0) / (1 << 20)

@@ -28,7 +28,9 @@ TASK_BYTES = 64 << 20
 SLICE_ENTRIES = 4096
 SLICES_PER_CORE = 4
 USUAL_RATIO = 8  # uncompressed to compressed size
-ARCHIVES_PER_LISTING_TASK = 8
+# Archives listed per task: few while tasks are scarce, more for a large landing.
+FEW_ARCHIVES = 8
+MANY_ARCHIVES = 64
 # A nested archive above this (packed) size is split into slices of its own.
 # Reaching into a deflated one means inflating from its start, so those slices
 # are longer.
@@ -321,7 +323,10 @@ def list_slices(archives: DataFrame) -> Slices:
     """
     cores = archives.sparkSession.sparkContext.defaultParallelism
     total = archives.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
-    tasks = math.ceil(total["n"] / ARCHIVES_PER_LISTING_TASK)
+    tasks = min(
+        math.ceil(total["n"] / FEW_ARCHIVES),
+        max(math.ceil(total["n"] / MANY_ARCHIVES), SLICES_PER_CORE * cores),
+    )
     even = (total["bytes"] or 0) * USUAL_RATIO // (cores * SLICES_PER_CORE)
     limit = min(max(even, MIN_SLICE_BYTES), MAX_SLICE_BYTES)
     listed = (

@@ -144,6 +144,15 @@ def test_report(spark, landing, tmp_path):
     assert [r["records"] for r in spark.read.parquet(str(tmp_path / "reports")).collect()] == [1, 1]
 
 
+def test_nothing_is_written_without_records(spark, landing):
+    landing("a.zip", [("readme.txt", "x"), ("none.xml", "<r/>")])
+    written = []
+    report = ingest.save_release(
+        scan_archives(spark, landing.folder), kind="daily", identifier="x", write=written.append
+    )
+    assert written == [] and report["records"] == 0
+
+
 def test_snapshot_is_not_sorted(spark, landing):
     landing("a.zip", [("a.xml", GOOD)])
     plan = ingest.ingest_full(scan_archives(spark, landing.folder))._jdf.queryExecution().executedPlan()
