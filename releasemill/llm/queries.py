@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from releasemill.llm import simhash
+import public_tokenizers
+
+from releasemill.llm import bytebpe, htmltext, sharding, simhash, tokencount, urlfilter
 from releasemill.llm.frames import table
 
+SHARDS = 8
+TOKEN_LIMIT = 1024
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -28,3 +33,45 @@ def query(sql: str | None = None):
 def op1_simhash(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"), ["doc_id"], "doc_id")
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query()
+def op2_html_text(spark, sf):
+    return htmltext.extracted(table(spark, sf, "pages"))
+
+
+@query()
+def op3_url_filter(spark, sf):
+    model = urlfilter.fit(urlfilter.labelled_urls(spark))
+    return urlfilter.judged(table(spark, sf, "pages"), model)
+
+
+def bpe_model() -> bytes:
+    return bytebpe.serialise(
+        bytebpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    )
+
+
+@query()
+def op6_byte_bpe(spark, sf):
+    model, pattern = bpe_model(), public_tokenizers.PATTERN
+    docs = table(spark, sf, "documents")
+    coded = bytebpe.round_trip(docs, model, pattern, ["doc_id"])
+    return coded.select(
+        "doc_id", "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op7_token_counts(spark, sf):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        specification = file.read()
+    return tokencount.token_counts(
+        table(spark, sf, "documents"), specification, public_tokenizers.PATTERN, TOKEN_LIMIT
+    )
+
+
+@query()
+def op8_rendezvous(spark, sf):
+    return sharding.shards(table(spark, sf, "documents"), [1.0] * SHARDS)
