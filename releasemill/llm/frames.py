@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # Rows that a task takes from an Arrow batch at once; texts may be long.
 SLICE_ROWS = 256
@@ -36,7 +37,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
 def extended(
     frame: DataFrame,
     source: str,
-    fields: list[tuple[str, str, pa.DataType]],
+    fields: list[tuple[str, str | DataType, pa.DataType]],
     make: Callable[[], Callable[[list], list[list]]],
     rows: int = SLICE_ROWS,
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from releasemill.llm import bytebpe, htmltext, sharding, simhash, tokencount, urlfilter
+from releasemill.llm import bytebpe, htmltext, sharding, simhash, tokencount, toxicity, urlfilter
 from releasemill.llm.frames import table
 
 SHARDS = 8
@@ -46,6 +46,11 @@ def op3_url_filter(spark, sf):
     return urlfilter.judged(table(spark, sf, "pages"), model)
 
 
+@query()
+def op4_toxicity(spark, sf):
+    return toxicity.judged(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def bpe_model() -> bytes:
     return bytebpe.serialise(
         bytebpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
