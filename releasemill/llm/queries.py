@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from releasemill.llm import bytebpe, htmltext, sharding, simhash, tokencount, toxicity, urlfilter
+from releasemill.llm import bytebpe, htmltext, sharding, simhash, templates, tokencount, toxicity, urlfilter
 from releasemill.llm.frames import table
 
 SHARDS = 8
@@ -80,3 +80,10 @@ def op7_token_counts(spark, sf):
 @query()
 def op8_rendezvous(spark, sf):
     return sharding.shards(table(spark, sf, "documents"), [1.0] * SHARDS)
+
+
+@query()
+def op10_decontamination(spark, sf):
+    return templates.contaminated(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark"), ["doc_id"]
+    )
