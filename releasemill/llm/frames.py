@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructType
 
 # Rows that a task takes from an Arrow batch at once; texts may be long.
 SLICE_ROWS = 256
@@ -34,6 +34,13 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def nullable(schema: StructType) -> StructType:
+    out = StructType()
+    for field in schema:
+        out = out.add(field.name, field.dataType, True)
+    return out
+
+
 def extended(
     frame: DataFrame,
     source: str,

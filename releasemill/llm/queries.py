@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from releasemill.llm import bytebpe, htmltext, sharding, simhash, templates, tokencount, toxicity, urlfilter
+from releasemill.llm import bytebpe, htmltext, lattice, sharding, simhash, templates, tokencount, toxicity, urlfilter
 from releasemill.llm.frames import table
 
 SHARDS = 8
@@ -82,6 +82,13 @@ def op8_rendezvous(spark, sf):
     return sharding.shards(table(spark, sf, "documents"), [1.0] * SHARDS)
 
 
+@query()
+def op9_lattice(spark, sf):
+    vocabulary = lattice.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    held_out = toxicity.is_held_out("doc_id", 10)
+    return lattice.scored(table(spark, sf, "documents"), held_out, vocabulary)
+
+
 @query()
 def op10_decontamination(spark, sf):
     return templates.contaminated(

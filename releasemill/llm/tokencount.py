@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from releasemill.llm.frames import slices
+from releasemill.llm.frames import nullable, slices
 from releasemill.workspace import materialise
 
 # Rows from which frequent pre-tokens are taken, and how many are kept; any choice
@@ -150,7 +150,7 @@ def token_counts(docs: DataFrame, specification: str, pattern: str, limit: int,
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     schema = (
-        source.select("__id").schema.add("row", "long").add("n_bytes", "long").add("n_known", "long")
+        nullable(source.select("__id").schema).add("row", "long").add("n_bytes", "long").add("n_known", "long")
         .add("term", "string").add("frequency", "long")
     )
 
