@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from releasemill.llm import bytebpe, htmltext, lattice, sharding, simhash, templates, tokencount, toxicity, urlfilter
+from releasemill.llm import bytebpe, hnsw, htmltext, lattice, sharding, simhash, templates, tokencount, toxicity, urlfilter
 from releasemill.llm.frames import table
 
 SHARDS = 8
@@ -51,6 +51,11 @@ def op4_toxicity(spark, sf):
     return toxicity.judged(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query()
+def op5_hnsw(spark, sf):
+    return hnsw.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def bpe_model() -> bytes:
     return bytebpe.serialise(
         bytebpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
