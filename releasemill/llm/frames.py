@@ -51,9 +51,11 @@ def extended(
     """`frame` without column `source`, plus columns that `make()` computes from it.
 
     `make` is called once in each task and returns a function from the values of
-    `source` to one list for each of `fields` (name, Spark type, Arrow type).
+    `source` to one list for each of `fields` (name, Spark type, Arrow type).  Like
+    `withColumn`, a new column replaces one of its name.
     """
-    kept = [c for c in frame.columns if c != source]
+    new = {name for name, _, _ in fields}
+    kept = [c for c in frame.columns if c != source and c not in new]
     types = [kind for _, _, kind in fields]
     names = [*kept, *[name for name, _, _ in fields]]
 

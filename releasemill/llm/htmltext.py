@@ -261,7 +261,10 @@ class Page:
 
 
 def votes(source: str | None) -> Iterator[tuple[str, int]]:
-    """Paths of a page's best containers with their share of the best in thousandths."""
+    """Paths of a page's best containers with their votes.
+
+    The best has 1000 votes, the next ones their share of its value over their rank.
+    """
     best = Page(source or "").best()
     seen = set()
     for value, node in best:
@@ -270,7 +273,7 @@ def votes(source: str | None) -> Iterator[tuple[str, int]]:
             return
         if node.path not in seen:
             seen.add(node.path)
-            yield node.path, round(1000 * share)
+            yield node.path, round(1000 * share / len(seen))
 
 
 def extract(source: str | None, path: str | None) -> str:
