@@ -10,6 +10,7 @@ token ids are kept.
 from __future__ import annotations
 
 import json
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,6 +31,8 @@ FREQUENT = 100_000
 
 # Pre-tokens of a long text handled at once.
 AT_ONCE = 1 << 18
+# Rows that a task hands on at once.
+ROWS_AT_ONCE = 20_000
 
 # Characters on whose class every Unicode version agrees; texts with others are split by the
 # library's own pre-tokenizer.
@@ -84,7 +87,6 @@ class Splitter:
                         part = []
                 yield part
 
-
     def by_library(self, text: str) -> list[str]:
         if self.own is None:
             self.own = tokenizer(self.specification)
@@ -95,6 +97,8 @@ class Splitter:
 
 
 def tokenizer(specification: str) -> Tokenizer:
+    # Spark runs as many tasks as there are cores; threads of the library would only add memory.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     library = Tokenizer.from_str(specification)
     library.no_truncation()
     library.no_padding()
@@ -157,12 +161,23 @@ def token_counts(docs: DataFrame, specification: str, pattern: str, limit: int,
     def run(batches):
         counts = shared.value
         row = TaskContext.get().partitionId() << 33
+
+        def others(owner, terms, often, kind):
+            """A row for each pre-token of a document that is not known."""
+            none = pa.nulls(len(terms), pa.int64())
+            columns = [
+                pa.nulls(len(terms), kind), pa.array(owner, pa.int64()), none, none,
+                pa.array(terms, pa.string()), pa.array(often, pa.int64()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
         for batch in slices(batches):
             ids = batch.column("__id")
-            place, sizes, sums, owner, terms, often = [], [], [], [], [], []
-            for number, text in enumerate(batch.column("__text").to_pylist()):
+            sizes, sums, owner, terms, often = [], [], [], [], []
+            for number, text in enumerate(batch.column("__text")):
+                text = text.as_py() or ""
                 found: Counter[str] = Counter()
-                for tokens in splitter.split(text or ""):
+                for tokens in splitter.split(text):
                     found.update(tokens)
                 total = 0
                 for term, n in found.items():
@@ -173,23 +188,22 @@ def token_counts(docs: DataFrame, specification: str, pattern: str, limit: int,
                         often.append(n)
                     else:
                         total += pieces * n
-                place.append(row + number)
-                sizes.append(len((text or "").encode()))
+                sizes.append(len(text.encode()))
                 sums.append(total)
-            row += batch.num_rows
-            rest, rows = len(terms), len(place)
-            # A row for each document, then one for each of its other pre-tokens.
+                if len(terms) > ROWS_AT_ONCE:
+                    yield others(owner, terms, often, ids.type)
+                    owner, terms, often = [], [], []
+            yield others(owner, terms, often, ids.type)
+            none = pa.nulls(len(ids))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([ids, pa.nulls(rest, ids.type)]),
-                    pa.array(place + owner, pa.int64()),
-                    pa.array(sizes + [None] * rest, pa.int64()),
-                    pa.array(sums + [None] * rest, pa.int64()),
-                    pa.array([None] * rows + terms, pa.string()),
-                    pa.array([None] * rows + often, pa.int64()),
+                    ids, pa.array(range(row, row + len(ids)), pa.int64()),
+                    pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()),
+                    none.cast(pa.string()), none.cast(pa.int64()),
                 ],
                 names=schema.names,
             )
+            row += len(ids)
 
     split = materialise(source.mapInArrow(run, schema), "pretokens")
     rare = split.where("term is not null").select("row", "term", "frequency")
