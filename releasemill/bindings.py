@@ -28,6 +28,9 @@ from releasemill.workspace import exists, fresh_path
 DOCUMENT_RECORDS = 25
 ARCHIVE_RECORDS = 500
 WEEK_RECORDS = 7 * ARCHIVE_RECORDS
+# Rows of `part` in a workbook of the torn-sheet style, and how often each is written.
+SHEET_RECORDS = 125
+SHEET_COPIES = 160
 FIRST_DAY = "2026-01-01"
 
 PART_FIELDS = ("deviceRecordKey", "prdName", "prdCode", "specModel", "orgName", "unit", "notes")
@@ -276,6 +279,33 @@ def _write_faulty(zf, records):
         zf.writestr(_info("zz-torn.zip"), b"PK\x03\x04 torn")
 
 
+def _write_torn_sheets(zf, records):
+    """Every second workbook of an archive breaks in its last row."""
+    for number, group in itertools.groupby(records, lambda r: r["place"] // SHEET_RECORDS):
+        rows = ([r[f] for f in PART_FIELDS] for r in group)
+        # Many copies of the rows make a workbook of several blocks.
+        rows = (row for row in list(rows) for _ in range(SHEET_COPIES))
+        buffer = io.BytesIO()
+        write_workbook(buffer, PART_FIELDS, rows)
+        data = buffer.getvalue()
+        if number % 2:
+            data = _torn_sheet(data)
+        zf.writestr(_info(f"sheet-{number:08d}.xlsx"), data)
+
+
+def _torn_sheet(data):
+    """The workbook with a cell behind the last row that refers to no string."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(data)) as old, zipfile.ZipFile(out, "w") as new:
+        for info in old.infolist():
+            body = old.read(info)
+            if info.filename.startswith("xl/worksheets/"):
+                bad = b'<row><c t="s"><v>99999999</v></c></row></sheetData>'
+                body = body.replace(b"</sheetData>", bad)
+            new.writestr(_info(info.filename), body)
+    return out.getvalue()
+
+
 # style -> (writer, quirks in the XML, records per archive)
 STYLES = {
     "plain": (_write_plain, False, ARCHIVE_RECORDS),
@@ -284,6 +314,7 @@ STYLES = {
     "sheets": (_write_sheets, False, ARCHIVE_RECORDS),
     "faulty": (_write_faulty, False, ARCHIVE_RECORDS),
     "weekly": (_write_weekly, False, WEEK_RECORDS),
+    "torn sheets": (_write_torn_sheets, False, ARCHIVE_RECORDS),
 }
 
 
@@ -316,7 +347,7 @@ def _packed(spark: SparkSession, sf_dir: str, style: str, pack) -> str:
     """Folder that `pack(folder)` fills; kept for the application while it exists."""
     memo = (spark.sparkContext.applicationId, sf_dir, style)
     if memo not in _PACKED or not exists(spark, _PACKED[memo]):
-        folder = fresh_path(spark, style)
+        folder = fresh_path(spark, style.replace(" ", "-"))
         pack(folder)
         _PACKED[memo] = folder
     return _PACKED[memo]
@@ -429,3 +460,29 @@ def wrap_files(spark: SparkSession, location: str, glob: str = "*.xlsx") -> str:
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(location)
     files.select("path").mapInArrow(_wrap(folder), "path string").count()
     return folder
+
+
+def _land(folder, whole):
+    def run(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                leaf = path.rpartition("/")[2]
+                with open_for_read(path) as body:
+                    data = body.read()
+                fate = sum(leaf.encode()) % 3
+                if not whole:
+                    data = (data, data[: len(data) // 2], b"")[fate]
+                if not whole or fate:
+                    publish(f"{folder}/{leaf}", lambda out, data=data: out.write(data))
+                yield pa.RecordBatch.from_pylist([{"path": leaf}])
+
+    return run
+
+
+def land(spark: SparkSession, source: str, folder: str, whole: bool) -> None:
+    """Copy archives to a landing folder; if not `whole`, a third is cut short, a third empty.
+
+    A second, whole run replaces just those.
+    """
+    files = spark.read.format("binaryFile").load(source).select("path")
+    files.mapInArrow(_land(folder, whole), "path string").count()

@@ -92,9 +92,7 @@ CATALOG_SCHEMA = T.StructType(
     ]
 )
 
-# Where one entry sits inside its archive.  `via` is empty for an entry of the
-# archive itself or of a nested archive stored uncompressed; otherwise it
-# locates the deflated nested archive that has to be inflated to reach it.
+# Where one entry sits inside the file it is read from.
 ENTRY_STRUCT = T.StructType(
     [
         T.StructField("entry", T.StringType()),
@@ -107,7 +105,6 @@ ENTRY_STRUCT = T.StructType(
         T.StructField("method", T.IntegerType()),
         T.StructField("flags", T.IntegerType()),
         T.StructField("crc", T.LongType()),
-        T.StructField("via", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -120,6 +117,8 @@ SLICE_SCHEMA = T.StructType(
         T.StructField("slice_bytes", T.LongType()),
         T.StructField("nested_bytes", T.LongType()),
         T.StructField("entries", T.ArrayType(ENTRY_STRUCT)),
+        # Where the entries are read from, if not from the archive itself.
+        T.StructField("file", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
 )

@@ -80,19 +80,54 @@ def order_number() -> Column:
 
 
 def link_file_name() -> Column:
-    return F.element_at(F.split(F.col("link"), "/"), -1)
+    """Last part of a link's path, without query and fragment, percent signs decoded."""
+    path = F.regexp_extract("link", "^[^?#]*", 0)
+    name = F.element_at(F.split(path, "/"), -1)
+    # The decoder is one for forms, where a plus sign is a blank.
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
 
 
-def locate(catalog: DataFrame, archives: DataFrame) -> DataFrame:
-    """Landed archives of the catalog's items, in catalog order.
-
-    An item that has not landed gives no row.
-    """
-    wanted = catalog.select(
+def _wanted(catalog: DataFrame) -> DataFrame:
+    return catalog.select(
         link_file_name().alias("file_name"),
         order_number().alias("release_ord"),
         "kind",
         "date_str",
         "period_str",
     )
-    return archives.drop("release_ord").join(wanted, "file_name")
+
+
+def _keys(archives: DataFrame) -> list[str]:
+    """What tells archives apart: the name, and the kind where folders give it."""
+    return ["file_name", "kind"] if "kind" in archives.columns else ["file_name"]
+
+
+def locate(catalog: DataFrame, archives: DataFrame) -> DataFrame:
+    """Landed archives of the catalog's items, in catalog order.
+
+    Archives that know their kind are matched on it as well.  An item that has
+    not landed gives no row, see `not_landed`.
+    """
+    clash = [c for c in ("date_str", "period_str") if c in archives.columns]
+    return archives.drop("release_ord", *clash).join(_wanted(catalog), _keys(archives))
+
+
+def not_landed(catalog: DataFrame, archives: DataFrame) -> DataFrame:
+    """The catalog's items without an archive: `file_name, kind, date_str, period_str`."""
+    missing = _wanted(catalog).join(archives, _keys(archives), "left_anti")
+    return missing.select("file_name", "kind", "date_str", "period_str")
+
+
+class AmbiguousRelease(Exception):
+    """Several landed archives could be the release asked for."""
+
+
+def require_one_each(located: DataFrame) -> None:
+    """Fail where one item of the catalog matches several archives."""
+    several = (
+        located.groupBy("release_ord", "kind", "file_name").count().filter("count > 1")
+        .select("kind", "file_name").limit(5).collect()
+    )
+    if several:
+        shown = [tuple(row) for row in several]
+        raise AmbiguousRelease(f"more than one landed archive for {shown}")

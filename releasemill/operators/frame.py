@@ -14,10 +14,12 @@ from releasemill.model import (
     RENAMES,
     TARGET_SCHEMA,
 )
-from releasemill.workspace import materialise
+from releasemill.workspace import materialise, small_side
 
-# Above this many distinct fields a plan with one column each is not workable.
+# Above this many distinct fields a plan with one column each is not workable: fields
+# seen later share one map column.
 MAX_FIELDS = 10_000
+OTHER_FIELDS = "other_fields"
 CASE_SENSITIVE = "spark.sql.caseSensitive"
 SORT_TASK_BYTES = 128 << 20
 
@@ -27,7 +29,7 @@ def good_records(bronze: DataFrame) -> DataFrame:
 
 
 def field_order(records: DataFrame) -> list[str]:
-    """All field names, in order of first appearance.
+    """The first MAX_FIELDS field names, in order of first appearance.
 
     Records of one layout collapse map-side, so only a row per distinct layout
     is shuffled; of the bronze table just `layout` and the ordinals are read.
@@ -43,15 +45,17 @@ def field_order(records: DataFrame) -> list[str]:
         .groupBy("name")
         .agg(F.min(F.struct("first", "pos")).alias("seen"))
     )
-    found = names.limit(MAX_FIELDS + 1).collect()
-    if len(found) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} distinct fields")
-    return [row["name"] for row in sorted(found, key=lambda row: row["seen"])]
+    found = names.orderBy("seen").limit(MAX_FIELDS + 1).collect()
+    return [row["name"] for row in found]
+
+
+def _field_columns(records: DataFrame) -> set[str]:
+    return set(records.columns) - {"fields", *LINEAGE, "parent", "entry", "layout"}
 
 
 def field_column(records: DataFrame, name: str) -> Column:
     """A field, wherever the bronze table keeps it."""
-    if name in set(records.columns) - {"fields", *LINEAGE, "parent", "entry", "layout"}:
+    if name in _field_columns(records):
         return F.col(f"`{name}`")
     return F.col("fields")[F.lit(name)]
 
@@ -59,15 +63,28 @@ def field_column(records: DataFrame, name: str) -> Column:
 def widen(records: DataFrame, fields: list[str] | None = None, keep=LINEAGE) -> DataFrame:
     """One string column per field; a missing field is NULL, a blank one empty.
 
-    Lineage columns come along under a `_` prefix, so no field can clash.
+    Lineage columns come along under a `_` prefix, so no field can clash.  Fields
+    above MAX_FIELDS, and those that differ from an earlier one in case only where
+    the session ignores case, are kept in one more column, the map `other_fields`.
     """
-    names = field_order(records) if fields is None else fields
-    folded = {name.lower() for name in names}
-    if len(folded) < len(names) and records.sparkSession.conf.get(CASE_SENSITIVE) != "true":
-        raise ValueError(f"fields differ in case only; set {CASE_SENSITIVE}=true")
+    found = field_order(records) if fields is None else list(fields)
+    fold = str if records.sparkSession.conf.get(CASE_SENSITIVE) == "true" else str.lower
+    names = {fold(name): name for name in reversed(found[:MAX_FIELDS])}
+    names = [name for name in found if names.get(fold(name)) == name]
+    surplus = []
+    if fields is None and len(names) < len(found):
+        other = F.map_filter("fields", lambda name, _: ~name.isin(*names))
+        # Known fields have columns of their own; one may come after a name like it.
+        lost = [n for n in found if n not in names and n in _field_columns(records)]
+        more = F.create_map(*[x for n in lost for x in (F.lit(n), F.col(f"`{n}`"))]) if lost else None
+        if lost:
+            other = F.map_concat(other, F.map_filter(more, lambda _, value: value.isNotNull()))
+        taken = fold(OTHER_FIELDS) in {fold(name) for name in names}
+        surplus = [other.alias(f"_{OTHER_FIELDS}" if taken else OTHER_FIELDS)]
     return records.select(
         *[F.col(c).alias(f"_{c}") for c in keep],
         *[field_column(records, name).alias(name) for name in names],
+        *surplus,
     )
 
 
@@ -120,12 +137,13 @@ def with_position(frame: DataFrame, order: list[Column], name: str,
         ),
         "sorted",
     )
+    # One row for each partition, so the only window over all of them is small.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("_part").agg(F.count("*").alias("rows")).select(
         "_part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        placed.join(F.broadcast(offsets), "_part")
+        placed.join(small_side(offsets, offsets.count()), "_part")
         .withColumn(name, F.col("_offset") + F.col("_place") + 1)
         .drop("_part", "_place", "_offset")
     )

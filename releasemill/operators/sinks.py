@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import itertools
 import logging
+import uuid
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from releasemill.model import (
     EXCEL_ROW_GUARD,
@@ -19,10 +21,13 @@ from releasemill.model import (
 )
 from releasemill.sources.sheetwriter import write_workbook
 from releasemill.sources.storage import publish
-from releasemill.workspace import materialise, qualified
+from releasemill.workspace import exists, materialise, qualified
 
 log = logging.getLogger(__name__)
 
+# Connections that tasks open to a database at once.
+JDBC_CONNECTIONS = 16
+
 # Spark trims values and escapes with backslashes unless told otherwise.
 CSV_OPTIONS = {
     "header": True,
@@ -40,12 +45,18 @@ def output_name(kind: str, identifier: str, now, extension: str) -> str:
     return f"udid_{kind}_{identifier}_{now:%Y%m%d_%H%M%S}.{extension}"
 
 
+def _flat(frame: DataFrame) -> DataFrame:
+    """Map columns as JSON text."""
+    maps = [f.name for f in frame.schema if isinstance(f.dataType, MapType)]
+    return frame.withColumns({name: F.to_json(F.col(f"`{name}`")) for name in maps})
+
+
 def write_csv(frame: DataFrame, path: str) -> str:
     """Comma-separated part files, each with the header; blank for NULL and empty.
 
     In a frame of one column a blank is quoted: an empty line would be no row.
     """
-    options = dict(CSV_OPTIONS)
+    options, frame = dict(CSV_OPTIONS), _flat(frame)
     if len(frame.columns) == 1:
         name = frame.columns[0]
         frame = frame.select(F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).alias(name))
@@ -83,7 +94,13 @@ def _workbook_parts(path, names, guard):
 
 
 def write_excel(frame: DataFrame, path: str, guard: int = EXCEL_ROW_GUARD) -> str:
-    """Workbooks, one or more per partition, none above the row guard."""
+    """Workbooks, one or more per partition, none above the row guard.
+
+    An existing folder is refused, like the CSV sink does: it would mix two runs.
+    """
+    if exists(frame.sparkSession, path):
+        raise FileExistsError(f"{path} exists already")
+    frame = _flat(frame)
     text = frame.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in frame.columns])
     parts = text.mapInArrow(
         _workbook_parts(qualified(frame.sparkSession, path), list(frame.columns), guard),
@@ -94,12 +111,9 @@ def write_excel(frame: DataFrame, path: str, guard: int = EXCEL_ROW_GUARD) -> st
 
 
 def format_route(frame: DataFrame, requested: str, guard: int = EXCEL_ROW_GUARD) -> DataFrame:
-    """One row `format`: `csv` where a workbook was asked for but rows exceed its guard.
-
-    Counting stops one row above the guard.
-    """
+    """One row `format`: `csv` where a workbook was asked for but rows exceed its guard."""
     above = F.count("*") > guard
-    return frame.limit(guard + 1).agg(
+    return frame.agg(
         F.when((F.lit(requested) == "excel") & above, "csv").otherwise(requested).alias("format")
     )
 
@@ -118,25 +132,69 @@ def target_column_types() -> str:
     )
 
 
-def write_jdbc(frame: DataFrame, url: str, table: str = TARGET_TABLE, **options) -> None:
-    """Append by column name in batches.
-
-    Each partition commits on its own: stage the frame first (see
-    `save_with_fallback`) so a retry does not recompute it.
-    """
+def jdbc_writer(frame: DataFrame, url: str, table: str, **options):
+    """Writer of `frame` to a table, over a bounded number of connections."""
     types = target_column_types()
     if "create_time" in frame.columns:
         types += ", create_time TIMESTAMP"
-    (
-        frame.write.format("jdbc")
-        .options(url=url, dbtable=table, batchsize=JDBC_BATCH_ROWS,
-                 createTableColumnTypes=types)
-        .options(**options)
-        .mode("append")
-        .save()
+    fixed = {
+        "url": url, "dbtable": table, "batchsize": JDBC_BATCH_ROWS,
+        "numPartitions": JDBC_CONNECTIONS, "createTableColumnTypes": types,
+    }
+    return frame.write.format("jdbc").options(**(fixed | options))
+
+
+def jdbc_statements(frame: DataFrame, table: str, staging: str) -> tuple[list[str], list[str]]:
+    """What moves the staged rows: one transaction, and what clears up afterwards."""
+    columns = ", ".join(frame.columns)
+    return (
+        [f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging}"],
+        [f"DROP TABLE {staging}"],
     )
 
 
+def run_statements(spark, url: str, statements, options, transaction: bool) -> None:
+    """Run statements over one connection of the driver, all or none in a transaction."""
+    jvm = spark.sparkContext._jvm
+    if "driver" in options:
+        jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass(options["driver"])
+    settings = jvm.java.util.Properties()
+    for name, value in options.items():
+        settings.setProperty(name, str(value))
+    connection = jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        connection.setAutoCommit(not transaction)
+        statement = connection.createStatement()
+        for text in statements:
+            statement.execute(text)
+        if transaction:
+            connection.commit()
+    finally:
+        connection.close()
+
+
+def write_jdbc(frame: DataFrame, url: str, table: str = TARGET_TABLE, execute=run_statements,
+               **options) -> None:
+    """Append by column name, whole or not at all.
+
+    Tasks, which commit on their own, fill a staging table; one statement then
+    moves its rows into the target.  The empty append before creates a target that
+    does not exist.
+    """
+    spark = frame.sparkSession
+    staging = f"{table}_stage_{uuid.uuid4().hex[:8]}"
+    jdbc_writer(frame.limit(0), url, table, **options).mode("append").save()
+    move, clear = jdbc_statements(frame, table, staging)
+    try:
+        jdbc_writer(frame, url, staging, **options).mode("errorifexists").save()
+        execute(spark, url, move, options, True)
+    finally:
+        try:
+            execute(spark, url, clear, options, False)
+        except Exception:  # the rows' fate is decided; a leftover table harms nobody
+            log.warning("staging table %s was not dropped", staging, exc_info=True)
+
+
 def create_table(spark, table: str, location: str | None = None, storage: str = "parquet") -> None:
     """The declared target table; `storage="text"` keeps tab-separated text."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TARGET_SCHEMA)
@@ -151,8 +209,12 @@ def write_table(frame: DataFrame, table: str) -> None:
 
 def save_file(frame: DataFrame, path: str, requested: str = "csv",
               guard: int = EXCEL_ROW_GUARD, on_saved=None) -> str:
-    """Write a file output, then call `on_saved(frame)`, whose errors do not matter."""
-    if route_format(frame, requested, guard) == "excel":
+    """Write a file output, then call `on_saved(frame)`, whose errors do not matter.
+
+    Returns the format written, which is CSV where a workbook has too few rows.
+    """
+    written = route_format(frame, requested, guard)
+    if written == "excel":
         write_excel(frame, path, guard)
     else:
         write_csv(frame, path)
@@ -161,7 +223,7 @@ def save_file(frame: DataFrame, path: str, requested: str = "csv",
             on_saved(frame)
         except Exception:
             log.warning("data callback failed", exc_info=True)
-    return path
+    return written
 
 
 def save_with_fallback(frame: DataFrame, write_database, write_file) -> str:

@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 from releasemill.model import KNOWN_FIELDS
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
-from releasemill.operators import metrics
-from releasemill.sources.archives import Slices, entry_manifest, list_slices
+from releasemill.operators import metrics, sinks
+from releasemill.sources.archives import Limits, Slices, entry_manifest, list_slices
 from releasemill.sources.records import parse_slices
-from releasemill.workspace import small_side
+from releasemill.workspace import release, small_side
 
 
 class BadArchive(Exception):
     """A release archive cannot be read."""
 
 
+class NotLanded(Exception):
+    """The archive of a release asked for is not there."""
+
+
 @dataclass
 class Bronze:
     """Parsed archives: written once, read column by column from then on."""
@@ -38,6 +42,11 @@ class Bronze:
     def dead_letter(self) -> DataFrame:
         return metrics.dead_letter(self.rows)
 
+    def release(self) -> None:
+        """Delete the tables behind these rows; nothing can be read from them any more."""
+        release(self.rows)
+        release(self.slices.frame)
+
     def without_bad(self, frame: DataFrame) -> DataFrame:
         if self.bad_archives is None:
             return frame
@@ -45,14 +54,14 @@ class Bronze:
 
 
 def read_bronze(archives: DataFrame, on_bad_archive: str = "fail",
-                columns=KNOWN_FIELDS) -> Bronze:
+                columns=KNOWN_FIELDS, limits: Limits | None = None) -> Bronze:
     """Parse archives once.
 
     An entry that does not parse is skipped and kept as a failure row.  An
     archive that cannot be read raises, or with `on_bad_archive="skip"` gives
     no records at all.  `columns` are stored as columns of their own.
     """
-    slices = list_slices(archives)
+    slices = list_slices(archives, limits)
     rows = parse_slices(slices, columns)
     fatal = rows.filter("fatal")
     failures = fatal.count()
@@ -86,29 +95,99 @@ def ingest_full(archives: DataFrame, on_bad_archive: str = "fail") -> DataFrame:
 
 
 def ingest_latest(catalog: DataFrame, archives: DataFrame) -> DataFrame:
-    return ingest_release(cat.locate(cat.latest(catalog), archives))
+    """The newest release; it must have landed, as one archive.
+
+    A snapshot is left unsorted, like `ingest_full` does.
+    """
+    wanted = cat.latest(catalog).collect()
+    if not wanted:
+        raise NotLanded("the catalog is empty")
+    chosen = catalog.sparkSession.createDataFrame(wanted, catalog.schema)
+    located = cat.locate(chosen, archives)
+    cat.require_one_each(located)
+    if located.isEmpty():
+        raise NotLanded(f"no archive for {wanted[0]['title']!r}, {wanted[0]['link']!r}")
+    return merged_frame(read_bronze(located), sort=wanted[0]["kind"] != "full")
+
+
+@dataclass
+class AllReleases:
+    """Every dated release that can be read, and what became of the others."""
+
+    frame: DataFrame
+    bronze: Bronze
+    located: DataFrame
+    missing: DataFrame  # items of the catalog without an archive
 
+    def identifier(self, kind: str) -> str:
+        return loaded_identifier(self.located, self.bronze, kind)
 
-def ingest_all(catalog: DataFrame, archives: DataFrame) -> DataFrame:
-    """Every dated release that can be read, merged into one frame."""
-    return ingest_release(cat.locate(cat.dated(catalog), archives), "skip")
+
+def ingest_all(catalog: DataFrame, archives: DataFrame) -> AllReleases:
+    """Every dated release, merged into one frame; unreadable ones are skipped."""
+    dated = cat.dated(catalog)
+    located = cat.locate(dated, archives)
+    cat.require_one_each(located)
+    bronze = read_bronze(located, "skip")
+    return AllReleases(
+        merged_frame(bronze), bronze, located, cat.not_landed(dated, archives)
+    )
 
 
 def loaded_identifier(located: DataFrame, bronze: Bronze, kind: str) -> str:
     return metrics.range_identifier(bronze.without_bad(located), kind).first()["identifier"]
 
 
-def save_release(archives: DataFrame, *, kind: str, identifier: str, write,
-                 on_bad_archive: str = "fail") -> dict:
-    """Ingest, hand the frame to `write(frame)`, and report on the run.
+def target_rows(frame: DataFrame, *, kind: str, identifier: str, now) -> DataFrame:
+    """Rows of the target table: renamed fields, metadata, insertion time."""
+    named = fr.add_lineage(fr.rename_columns(frame), data_date=identifier, now=now, kind=kind)
+    return fr.target_projection(named)
+
+
+def deliver(frame: DataFrame, *, kind: str, identifier: str, folder: str, now,
+            requested: str = "csv", write_database=None, on_saved=None) -> dict:
+    """Save one run's frame by the rules: database first, else a file named by rule.
+
+    `write_database(rows)` gets the target rows, staged once.  Without it, or where it
+    fails, the renamed records with their metadata go to a file in `folder`, as
+    `requested` or as CSV where a workbook is too small.  Returns `target`
+    (database or file), `format` and `path`.
+    """
+    saved = {"target": "database", "format": None, "path": None}
+
+    def write_file(_):
+        named = fr.add_lineage(fr.rename_columns(frame), data_date=identifier, now=now, kind=kind)
+        # The count decides the name, so it is made before anything is written.
+        written = sinks.route_format(named, requested)
+        extension = "xlsx" if written == "excel" else "csv"
+        path = f"{folder.rstrip('/')}/{sinks.output_name(kind, identifier, now, extension)}"
+        saved.update(target="file", path=path)
+        saved["format"] = sinks.save_file(named, path, written, on_saved=on_saved)
+
+    rows = target_rows(frame, kind=kind, identifier=identifier, now=now)
+    sinks.save_with_fallback(rows, write_database, write_file)
+    return saved
+
+
+def save_release(archives: DataFrame, *, kind: str, identifier: str, write=None,
+                 on_bad_archive: str = "fail", folder: str | None = None, now=None,
+                 requested: str = "csv", write_database=None, on_saved=None) -> dict:
+    """Ingest, save, and report on the run.
 
-    Where there are no records there is nothing to write.
+    The frame goes to `write(frame)`, or without it through `deliver` to a database
+    or to `folder`.  Where there are no records there is nothing to write.
     """
     started = time.monotonic()
     bronze = read_bronze(archives, on_bad_archive)
     frame = merged_frame(bronze, sort=kind != "full")
-    if frame.columns:
+    saved = {"target": None, "format": None, "path": None}
+    if frame.columns and write is not None:
         write(frame)
+    elif frame.columns:
+        saved = deliver(
+            frame, kind=kind, identifier=identifier, folder=folder, now=now, requested=requested,
+            write_database=write_database, on_saved=on_saved,
+        )
     seconds = time.monotonic() - started
     sizes = metrics.archive_bytes(entry_manifest(bronze.slices))
     mib = (sizes.agg(F.sum("total_bytes")).first()[0] or 0) / (1 << 20)
@@ -122,12 +201,14 @@ def save_release(archives: DataFrame, *, kind: str, identifier: str, write,
         "seconds": seconds,
         "mib_per_second": mib / seconds if seconds > 0 else 0.0,
         "unmapped": fr.unmapped_columns(fr.rename_columns(frame)),
+        **saved,
     }
 
 
 REPORT_SCHEMA = (
     "kind string, identifier string, archives long, records long, failures long, mib double, "
-    "seconds double, mib_per_second double, unmapped array<string>"
+    "seconds double, mib_per_second double, unmapped array<string>, target string, "
+    "format string, path string"
 )
 
 

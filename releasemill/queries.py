@@ -266,7 +266,7 @@ def xml_device_scan(spark, sf):
 @query(SQL_SCAN)
 def xml_device_scan_native(spark, sf):
     records = parse_payloads_native(arc.entry_payloads(arc.list_slices(scan(spark, sf, "plain"))))
-    return records.select(
+    return records.filter("error is null").select(
         file_name(), "entry", "ord", *[F.col("fields")[n].alias(n) for n in bind.PART_FIELDS]
     )
 
@@ -473,7 +473,7 @@ def widen_records(spark, sf):
     return fr.drop_lineage(fr.widen(parsed.records))
 
 
-@query(SQL_DEV + """
+@query(SQL_DEV + f"""
 SELECT "deviceRecordKey" AS device_record_key, "prdName" AS prd_name, "prdCode" AS prd_code,
        "specModel" AS spec_model, "orgName" AS org_name, unit, notes, unit || 'x' AS "extraField" FROM dev
 """)
@@ -752,7 +752,7 @@ def ingest_latest(spark, sf):
 @query(SQL_DEV + f"SELECT {SQL_FIELDS} FROM dev WHERE arc % 3 <> 2")
 def ingest_all(spark, sf):
     catalog = cat.build_catalog(bind.release_rows(spark, sf))
-    return ingest.ingest_all(catalog, scan(spark, sf, "faulty"))
+    return ingest.ingest_all(catalog, scan(spark, sf, "faulty")).frame
 
 
 @query("""
@@ -790,3 +790,98 @@ def dead_letter(spark, sf):
 @query(SQL_DEV + f"SELECT {SQL_FIELDS} FROM dev WHERE arc % 3 <> 2")
 def bad_release_skipped(spark, sf):
     return ingest.ingest_release(scan(spark, sf, "faulty"), "skip")
+
+
+# --- the paths for large inputs ---------------------------------------------------------------------
+
+# Far below the sizes at which these paths are usually taken.
+SMALL_LIMITS = arc.Limits(
+    nested_bytes=1000, split_document_bytes=2000, document_bytes=1500, held_document_bytes=1800,
+    segment_chars=1200,
+)
+
+
+@query(SQL_DEV + f"""
+SELECT {SQL_FIELDS_FILE}, count(*) * 160 AS copies FROM dev
+WHERE key // 125 % 2 = 0 GROUP BY ALL
+""")
+def whole_workbooks(spark, sf):
+    """Workbooks of 20,000 rows, every second one broken in its last: those give nothing."""
+    archives = arc.scan_archives(spark, bind.part_archives(spark, sf, "torn sheets"))
+    frame = fr.drop_lineage(fr.widen(ingest.read_bronze(archives).records, list(bind.PART_FIELDS)))
+    return frame.groupBy(*bind.PART_FIELDS).agg(F.count("*").alias("copies"))
+
+
+@query(SQL_SCAN)
+def xml_device_scan_segmented(spark, sf):
+    """The same rows, places included, where each document is cut up and parsed by many tasks."""
+    read = ingest.read_bronze(scan(spark, sf, "plain"), limits=SMALL_LIMITS)
+    return read.records.select(
+        file_name(), "entry", "ord", *[fr.field_column(read.records, n).alias(n) for n in bind.PART_FIELDS]
+    )
+
+
+@query(SQL_DEV + f"SELECT {SQL_FIELDS} FROM dev")
+def weekly_rollup_unpacked(spark, sf):
+    """Deflated nested archives above the split size: each is inflated once and listed."""
+    return ingest.merged_frame(ingest.read_bronze(scan(spark, sf, "weekly"), limits=SMALL_LIMITS))
+
+
+@query(SQL_DEV + f"SELECT {SQL_FIELDS} FROM dev")
+def completed_archives(spark, sf):
+    """A first run sees archives that are empty or cut short, the second sees them whole."""
+    source = bind.part_archives(spark, sf, "plain")
+    folder, target, checkpoint = (fresh_path(spark, n) for n in ("landing", "devices", "stream"))
+    for whole in (False, True):
+        bind.land(spark, source, folder, whole)
+        landing.ingest_incremental(spark, folder, target, checkpoint)
+    return spark.read.parquet(target).select(*bind.PART_FIELDS)
+
+
+@query(SQL_DEV + f"SELECT {SQL_FIELDS} FROM dev WHERE arc = (SELECT max(arc) FROM dev)")
+def latest_by_kind(spark, sf):
+    """Another kind's archives of the same names, and links with a query string."""
+    catalog = cat.build_catalog(
+        bind.release_rows(spark, sf).withColumn("link", F.concat("link", F.lit("?token=9#top")))
+    )
+    daily = scan(spark, sf, "plain").withColumn("kind", F.lit("daily"))
+    weekly = scan(spark, sf, "quirky").withColumn("kind", F.lit("weekly"))
+    return ingest.ingest_latest(catalog, daily.unionByName(weekly))
+
+
+@query("""
+SELECT 0 AS feed_pos, 'rows ' || count(*) AS title FROM part
+UNION ALL SELECT 1, 'sizes ' || sum(p_size) FROM part
+""")
+def newest_capture(spark, sf):
+    """Two captures of one feed: the older one must not repeat its releases."""
+    totals = bind.table(spark, sf, "part").agg(F.count("*").alias("n"), F.sum("p_size").alias("s"))
+    item = "<item><title>{0}</title><link>{1}</link></item>"
+    body = F.format_string(
+        "<rss><channel>" + item.format("rows %d", "a") + item.format("sizes %d", "b") + "</channel></rss>",
+        "n", "s",
+    )
+    folder = fresh_path(spark, "captures")
+    old = totals.select(F.lit("<rss><channel>" + item.format("old", "a") + "</channel></rss>"))
+    for n, frame in enumerate((old, totals.select(body))):
+        frame.write.mode("append").text(f"{folder}/{n}")
+    items = feed.scan_feed(spark, f"{folder}/*", "daily")
+    return items.select("feed_pos", "title")
+
+
+@query(SQL_DEV + f"""
+SELECT "deviceRecordKey" AS device_record_key, "prdName" AS prd_name, "prdCode" AS prd_code,
+       "specModel" AS spec_model, "orgName" AS org_name, unit, notes, '20260326' AS data_date,
+       'daily' AS source_type FROM (SELECT {SQL_FIELDS_MIXED} FROM dev)
+""")
+def delivered_release(spark, sf):
+    """A release of mixed entries, saved to a table by the one plan and read back."""
+    path = fresh_path(spark, "delivered")
+    report = ingest.save_release(
+        scan(spark, sf, "mixed"), kind="daily", identifier="20260326", now=NOW,
+        write_database=lambda rows: rows.write.parquet(path),
+    )
+    assert report["target"] == "database"
+    names = ("device_record_key", "prd_name", "prd_code", "spec_model", "org_name", "unit", "notes",
+             "data_date", "source_type")
+    return spark.read.parquet(path).select(*names)

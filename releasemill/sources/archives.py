@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import errno
+import hashlib
 import io
 import math
+import shutil
 import zipfile
 import zlib
 from dataclasses import dataclass
@@ -16,8 +18,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from releasemill.model import PAYLOAD_SCHEMA, SLICE_SCHEMA
 from releasemill.sources import zipentries as ze
-from releasemill.sources.storage import open_for_read
-from releasemill.workspace import materialise
+from releasemill.sources.storage import open_for_read, publish
+from releasemill.workspace import fresh_path, materialise
 
 # Uncompressed bytes per slice (unit of work) and per parse task.  A nested archive
 # counts as what it holds, by the usual ratio of XML.  Slices get
@@ -31,13 +33,34 @@ USUAL_RATIO = 8  # uncompressed to compressed size
 # Archives listed per task: few while tasks are scarce, more for a large landing.
 FEW_ARCHIVES = 8
 MANY_ARCHIVES = 64
-# A nested archive above this (packed) size is split into slices of its own.
-# Reaching into a deflated one means inflating from its start, so those slices
-# are longer.
+# A nested archive above this size is split into slices of its own.  A deflated one
+# can only be read from its start, so it is inflated once into the workspace.
 NESTED_SPLIT_BYTES = 4 << 20
-NESTED_STRETCH = 4
 # A document above this size is cut up and parsed by several tasks.
 SPLIT_DOCUMENT_BYTES = 64 << 20
+# A document above the first size is parsed in segments, its records held as
+# Arrow batches; above the second as a stream, in bounded memory.
+DOCUMENT_BYTES = 16 << 20
+HELD_DOCUMENT_BYTES = 64 << 20
+# Segments of a document parsed by several tasks.
+SEGMENT_CHARS = 4 << 20
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Sizes that choose how an entry is read; any choice gives the same rows."""
+
+    nested_bytes: int
+    split_document_bytes: int
+    document_bytes: int
+    held_document_bytes: int
+    segment_chars: int
+
+
+def usual_limits() -> Limits:
+    return Limits(
+        NESTED_SPLIT_BYTES, SPLIT_DOCUMENT_BYTES, DOCUMENT_BYTES, HELD_DOCUMENT_BYTES, SEGMENT_CHARS
+    )
 
 FORMAT_ERRORS = (
     zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, ValueError,
@@ -46,6 +69,8 @@ FORMAT_ERRORS = (
 
 def is_format_error(error: Exception) -> bool:
     """True when the archive is at fault.  Storage failures are left to task retry."""
+    if isinstance(error, pa.ArrowException):
+        return False
     if isinstance(error, OSError):
         return error.errno == errno.EINVAL
     return isinstance(error, FORMAT_ERRORS)
@@ -95,17 +120,18 @@ def _work_bytes(entry):
 class _Slicer:
     """Groups an archive's entries, in order, into slices of bounded size."""
 
-    def __init__(self, archive, release_ord, limit):
-        self._base = {"archive": archive, "release_ord": release_ord, "error": None}
-        self._limit = limit
+    def __init__(self, archive, release_ord, limit, split, file=None):
+        self._base = {"archive": archive, "release_ord": release_ord, "file": file, "error": None}
+        self._limit, self._split, self._alone = limit, split, False
         self._entries, self._bytes, self.count = [], 0, 0
 
     def add(self, entry):
         size = _work_bytes(entry)
         full = self._bytes + size > self._limit or len(self._entries) >= SLICE_ENTRIES
-        alone = size > MAX_SLICE_BYTES or self._bytes > self._limit
-        if self._entries and (full or alone):
+        alone = size > MAX_SLICE_BYTES or entry["kind"] == "xml" and size > self._split
+        if self._entries and (full or alone or self._alone):
             yield self.close()
+        self._alone = alone or size > self._limit
         self._entries.append(entry)
         self._bytes += size
 
@@ -132,53 +158,66 @@ class _Slicer:
         }
 
 
-def _archive_slices(archive, release_ord, limit):
-    slicer = _Slicer(archive, release_ord, limit)
-    try:
-        with open_for_read(archive) as stream:
+def _archive_slices(archive, release_ord, limit, split):
+    slicer = _Slicer(archive, release_ord, limit, split)
+    with open_for_read(archive) as stream:  # storage at fault: not the archive
+        try:
             for entry in ze.list_directory(stream):
                 entry["entry_ord"] = ze.outer_ord(entry["entry_ord"])
                 yield from slicer.add(entry)
-        yield slicer.close()
-    except Exception as error:
-        if not is_format_error(error):
-            raise
-        yield slicer.failed(error)
+            yield slicer.close()
+        except Exception as error:
+            if not is_format_error(error):
+                raise
+            yield slicer.failed(error)
+
+
+def _unpacked(outer, info, row, item, folder):
+    """A deflated nested archive as a file of its own, inflated once."""
+    name = hashlib.sha256(row["archive"].encode()).hexdigest()[:24]
+    path = f"{folder}/{name}-{item['entry_ord']}.zip"
+
+    def copy(out):
+        with outer.open(info) as body:
+            shutil.copyfileobj(body, out, ze.CHUNK)
 
+    publish(path, copy)
+    return path
 
-def _nested_slices(row, limit):
-    """Slices of the large nested archives a slice holds, listed in place."""
-    rest = [e for e in row["entries"] if not _is_large_nested(e)]
+
+def _nested_slices(row, limit, folder, split, document):
+    """Slices of the large nested archives a slice holds.
+
+    A stored one is listed and read in place, any other from its copy in `folder`.
+    """
+    large = [e for e in row["entries"] if e["kind"] == "zip" and e["size"] > split]
+    rest = [e for e in row["entries"] if e not in large]
     yield {**row, "entries": rest, "nested_bytes": 0,
            "slice_bytes": sum(map(_work_bytes, rest))}
-    slicer = _Slicer(row["archive"], row["release_ord"], limit)
-    try:
-        with open_for_read(row["archive"]) as stream, zipfile.ZipFile(stream) as outer:
-            by_offset = {info.header_offset: info for info in outer.infolist()}
-            for item in filter(_is_large_nested, row["entries"]):
-                info = by_offset[item["offset"]]
-                if item["method"] == ze.STORED:
-                    base, via, length = ze.data_offset(stream, item["offset"]), None, limit
-                else:
-                    base, via = 0, [item["offset"], item["packed"], item["method"]]
-                    length = NESTED_STRETCH * limit
-                slicer = _Slicer(row["archive"], row["release_ord"], length)
-                with outer.open(info) as body:
-                    for entry in ze.list_directory(
-                        body, item["entry"], base, via, item["entry_ord"]
-                    ):
-                        for part in slicer.add(entry):
-                            yield {**part, "slice_no": item["entry_ord"] + part["slice_no"]}
-                part = slicer.close()
-                yield {**part, "slice_no": item["entry_ord"] + part["slice_no"]}
-    except Exception as error:
-        if not is_format_error(error):
-            raise
-        yield slicer.failed(error)
-
-
-def _is_large_nested(entry):
-    return entry["kind"] == "zip" and entry["size"] > NESTED_SPLIT_BYTES
+    slicer = _Slicer(row["archive"], row["release_ord"], limit, document)
+    with open_for_read(row["archive"]) as stream:
+        try:
+            with zipfile.ZipFile(stream) as outer:
+                by_offset = {info.header_offset: info for info in outer.infolist()}
+                for item in large:
+                    info = by_offset[item["offset"]]
+                    path, base, body = None, 0, None
+                    if item["method"] == ze.STORED:
+                        base, body = ze.data_offset(stream, item["offset"]), outer.open(info)
+                    else:
+                        path = _unpacked(outer, info, row, item, folder)
+                        body = open_for_read(path)
+                    slicer = _Slicer(row["archive"], row["release_ord"], limit, document, path)
+                    with body:
+                        for entry in ze.list_directory(body, item["entry"], base, item["entry_ord"]):
+                            for part in slicer.add(entry):
+                                yield {**part, "slice_no": item["entry_ord"] + part["slice_no"]}
+                    part = slicer.close()
+                    yield {**part, "slice_no": item["entry_ord"] + part["slice_no"]}
+        except Exception as error:
+            if not is_format_error(error):
+                raise
+            yield slicer.failed(error)
 
 
 def _rows_to_batches(rows, schema, size):
@@ -192,26 +231,26 @@ def _rows_to_batches(rows, schema, size):
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
-def _list_batches(schema, limit):
+def _list_batches(schema, limit, split):
     def run(batches):
         rows = (
             row
             for batch in batches
             for item in batch.to_pylist()
-            for row in _archive_slices(item["archive"], item["release_ord"], limit)
+            for row in _archive_slices(item["archive"], item["release_ord"], limit, split)
         )
         return _rows_to_batches(rows, schema, 64)
 
     return run
 
 
-def _expand_batches(schema, limit):
+def _expand_batches(schema, limit, folder, split, document):
     def run(batches):
         rows = (
             row
             for batch in batches
             for item in batch.to_pylist()
-            for row in _nested_slices(item, limit)
+            for row in _nested_slices(item, limit, folder, split, document)
         )
         return _rows_to_batches(rows, schema, 16)
 
@@ -224,10 +263,10 @@ def open_slice(row):
     Yields `(entry, reader, None)`, or `(entry, None, error)` when the nested
     archive cannot be read.
     """
-    with open_for_read(row["archive"]) as stream:
+    with open_for_read(row["file"] or row["archive"]) as stream:
         outer = ze.ArchiveReader(stream)
         wanted = [entry for entry in row["entries"] if entry["kind"]]
-        for entry in sorted(wanted, key=lambda e: (e["via"] or [], e["offset"])):
+        for entry in sorted(wanted, key=lambda e: e["offset"]):
             if entry["kind"] != "zip":
                 yield entry, outer, None
                 continue
@@ -282,6 +321,7 @@ class Slices:
     """Sliced directories, with the totals later steps are planned by."""
 
     frame: DataFrame
+    limits: Limits
     count: int
     bytes: int
     nested: int
@@ -289,38 +329,40 @@ class Slices:
     document_bytes: int
 
     @classmethod
-    def of(cls, frame: DataFrame) -> Slices:
-        document = is_large_document()
+    def of(cls, frame: DataFrame, limits: Limits) -> Slices:
+        document = is_large_document(limits)
         totals = frame.agg(
             F.count_if(is_work()).alias("count"),
             F.sum("slice_bytes").alias("bytes"),
-            F.count_if(F.col("nested_bytes") > NESTED_SPLIT_BYTES).alias("nested"),
+            F.count_if(F.col("nested_bytes") > limits.nested_bytes).alias("nested"),
             F.count_if(document).alias("documents"),
             F.sum(F.when(document, F.col("slice_bytes"))).alias("document_bytes"),
         ).first()
-        return cls(frame, *(value or 0 for value in totals))
+        return cls(frame, limits, *(value or 0 for value in totals))
 
 
 def is_work():
     return F.col("error").isNull() & (F.size("entries") > 0)
 
 
-def is_large_document():
+def is_large_document(limits: Limits):
     """A slice that is one document too large for one task.
 
     Entries of that size have a slice to themselves.
     """
-    return (F.col("slice_bytes") > SPLIT_DOCUMENT_BYTES) & F.exists(
-        "entries", lambda e: (e["kind"] == "xml") & (e["size"] > SPLIT_DOCUMENT_BYTES)
+    split = limits.split_document_bytes
+    return (F.col("slice_bytes") > split) & (F.size("entries") == 1) & F.exists(
+        "entries", lambda e: (e["kind"] == "xml") & (e["size"] > split)
     )
 
 
-def list_slices(archives: DataFrame) -> Slices:
+def list_slices(archives: DataFrame, limits: Limits | None = None) -> Slices:
     """Directory of every archive, cut into slices (written once to the workspace).
 
     Small rows stand for large files, so the partition count follows the number
     of archives, not their bytes in the listing.
     """
+    limits = limits or usual_limits()
     cores = archives.sparkSession.sparkContext.defaultParallelism
     total = archives.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
     tasks = min(
@@ -332,22 +374,32 @@ def list_slices(archives: DataFrame) -> Slices:
     listed = (
         archives.select("archive", "release_ord")
         .repartition(max(1, tasks))
-        .mapInArrow(_list_batches(to_arrow_schema(SLICE_SCHEMA), limit), SLICE_SCHEMA)
+        .mapInArrow(
+            _list_batches(to_arrow_schema(SLICE_SCHEMA), limit, limits.split_document_bytes),
+            SLICE_SCHEMA,
+        )
     )
-    slices = Slices.of(materialise(listed, "slices"))
+    slices = Slices.of(materialise(listed, "slices"), limits)
     return split_large_nested(slices, limit) if slices.nested else slices
 
 
 def split_large_nested(slices: Slices, limit: int) -> Slices:
     """Open up nested archives too large to be one unit of work."""
-    large = F.col("nested_bytes") > NESTED_SPLIT_BYTES
+    large = F.col("nested_bytes") > slices.limits.nested_bytes
     expanded = (
         slices.frame.filter(large)
         .repartition(slices.nested)
-        .mapInArrow(_expand_batches(to_arrow_schema(SLICE_SCHEMA), limit), SLICE_SCHEMA)
+        .mapInArrow(
+            _expand_batches(
+                to_arrow_schema(SLICE_SCHEMA), limit,
+                fresh_path(slices.frame.sparkSession, "nested"), slices.limits.nested_bytes,
+                slices.limits.split_document_bytes,
+            ),
+            SLICE_SCHEMA,
+        )
     )
     rest = slices.frame.filter(~large)
-    return Slices.of(rest.unionByName(materialise(expanded, "nested-slices")))
+    return Slices.of(rest.unionByName(materialise(expanded, "nested-slices")), slices.limits)
 
 
 def work_items(slices: Slices) -> DataFrame:
@@ -379,10 +431,16 @@ def entry_manifest(slices: Slices) -> DataFrame:
 
 
 def entry_payloads(slices: Slices) -> DataFrame:
-    """Bytes of every readable entry, nested ones included."""
-    return work_items(slices).mapInArrow(
+    """Bytes of every entry, nested ones included.
+
+    One that cannot be read has `error` instead, as has the one row of an archive
+    that could not be listed.
+    """
+    read = work_items(slices).mapInArrow(
         _payload_batches(to_arrow_schema(PAYLOAD_SCHEMA)), PAYLOAD_SCHEMA
     )
+    unlisted = slices.frame.filter(F.col("error").isNotNull()).select("archive", "error")
+    return read.unionByName(unlisted, allowMissingColumns=True)
 
 
 def kind_of(name):

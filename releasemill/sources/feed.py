@@ -28,9 +28,21 @@ def feed_items(feeds: DataFrame, xml: Column, *keep) -> DataFrame:
     )
 
 
+def newest_capture(spark: SparkSession, location: str) -> str:
+    """Path of the feed file at `location` that was written last; ties go by name."""
+    files = spark.read.format("binaryFile").load(location)
+    newest = files.agg(F.max(F.struct("modificationTime", "path")).alias("file")).first()["file"]
+    if newest is None:
+        raise FileNotFoundError(f"no captured feed at {location}")
+    return newest["path"]
+
+
 def scan_feed(spark: SparkSession, location: str, kind: str) -> DataFrame:
-    """Items of the captured feed file(s) of one release kind: `kind, feed_pos, title, link`."""
-    feeds = spark.read.text(location, wholetext=True)
+    """Items of the newest captured feed of one release kind: `kind, feed_pos, title, link`.
+
+    Earlier captures list the same releases again, so they are not read.
+    """
+    feeds = spark.read.text(newest_capture(spark, location), wholetext=True)
     return feed_items(feeds, F.col("value")).select(
         F.lit(kind).alias("kind"), F.col("pos").alias("feed_pos"), "title", "link"
     )

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import gc
+import itertools
 import math
+import zipfile
+import zlib
 from dataclasses import replace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -30,22 +33,24 @@ from releasemill.workspace import materialise, small_side
 # An output batch ends at either bound.
 BATCH_ROWS = 8192
 BATCH_BYTES = 32 << 20
-# A document above the first size is parsed in segments, its records held as
-# Arrow batches; above the second as a stream, in bounded memory.
-DOCUMENT_BYTES = 16 << 20
-HELD_DOCUMENT_BYTES = 64 << 20
-# Segments of a document parsed by several tasks.
-SEGMENT_CHARS = 4 << 20
 LONGEST_DEVICE_CHARS = 64 << 20
 
+# What parsing raises on documents and workbooks that are not what they should be.
+DOCUMENT_ERRORS = (
+    devicexml.ET.ParseError, zipfile.BadZipFile, zlib.error, EOFError, ValueError, KeyError,
+    IndexError, OverflowError, NotImplementedError, RuntimeError,
+)
+LEGACY_WORKBOOK = b"\xd0\xcf\x11\xe0"
+
+
 class UnreadableEntry(Exception):
     """The archive, not the document in it, is at fault."""
 
 
-def _entry_blocks(entry, reader):
+def _entry_blocks(entry, reader, limits):
     """Records of one entry as `(list, bytes)` blocks, each well below a batch."""
     try:
-        if entry["kind"] == "xml" and entry["size"] > DOCUMENT_BYTES:
+        if entry["kind"] == "xml" and entry["size"] > limits.document_bytes:
             return _stream_blocks(
                 devicexml.stream_records(lambda: _readable(reader, entry))
             )
@@ -56,7 +61,7 @@ def _entry_blocks(entry, reader):
         raise UnreadableEntry(error_text(error)) from error
     if entry["kind"] == "xml":
         return _list_blocks(devicexml.records(data), len(data))
-    if entry["entry"].endswith(".xls"):
+    if data.startswith(LEGACY_WORKBOOK):
         raise ValueError("legacy .xls workbooks are not read")
     return _stream_blocks(sheet.records(data))
 
@@ -160,16 +165,16 @@ class _Rows:
         return pa.RecordBatch.from_arrays(arrays, schema=self._schema)
 
 
-def _segments(entry, reader):
+def _segments(entry, reader, limits):
     return devicexml.cut_document(
-        lambda: _readable(reader, entry), SEGMENT_CHARS, LONGEST_DEVICE_CHARS
+        lambda: _readable(reader, entry), limits.segment_chars, LONGEST_DEVICE_CHARS
     )
 
 
-def _held_batches(rows, work, entry, reader):
+def _held_batches(rows, work, entry, reader, limits):
     """All batches of a document parsed segment by segment, or None if it cannot be."""
     held, first = [], 0
-    for text, fits in _segments(entry, reader):
+    for text, fits in _segments(entry, reader, limits):
         if text is None:
             break
         try:
@@ -189,17 +194,45 @@ def _held_batches(rows, work, entry, reader):
     return held
 
 
-def _entry_batches(rows, work, entry, reader, error):
+def _workbook_batches(rows, work, entry, reader, limits):
+    """Batches of a workbook that could be read to its end.
+
+    One that fits a block joins the rows of other entries; of a larger one the
+    batches are held until the last row is read.
+    """
+    blocks = _entry_blocks(entry, reader, limits)
+    head, more = next(blocks, None), next(blocks, None)
+    if more is None:
+        if head is not None:
+            rows.add(work, entry, 0, head[0])
+            rows.bytes += head[1]
+        return [rows.batch()] if rows.full else []
+    own, held, first = rows.like(), [], 0
+    for block, size in itertools.chain([head, more], blocks):
+        own.add(work, entry, first, block)
+        own.bytes += size
+        first += len(block)
+        if own.full:
+            held.append(own.batch())
+    if own.size:
+        held.append(own.batch())
+    return held
+
+
+def _entry_batches(rows, work, entry, reader, error, limits):
     try:
         if error is not None:
             raise UnreadableEntry(error_text(error))
-        if entry["kind"] == "xml" and DOCUMENT_BYTES < entry["size"] <= HELD_DOCUMENT_BYTES:
-            held = _held_batches(rows.like(), work, entry, reader)
+        if entry["kind"] == "excel":
+            yield from _workbook_batches(rows, work, entry, reader, limits)
+            return
+        if limits.document_bytes < entry["size"] <= limits.held_document_bytes:
+            held = _held_batches(rows.like(), work, entry, reader, limits)
             if held is not None:
                 yield from held
                 return
         first = 0
-        for block, size in _entry_blocks(entry, reader):
+        for block, size in _entry_blocks(entry, reader, limits):
             rows.add(work, entry, first, block)
             rows.bytes += size
             first += len(block)
@@ -207,13 +240,13 @@ def _entry_batches(rows, work, entry, reader, error):
                 yield rows.batch()
     except UnreadableEntry as caught:
         rows.fail(work, entry, str(caught), True)
-    except (OSError, MemoryError):
+    except pa.ArrowException:
         raise
-    except Exception as caught:
+    except DOCUMENT_ERRORS as caught:
         rows.fail(work, entry, error_text(caught), False)
 
 
-def _parse_batches(schema, columns):
+def _parse_batches(schema, columns, limits):
     def run(batches):
         rows = _Rows(schema, columns)
         # Nothing built here refers back to itself: reference counts free it,
@@ -223,7 +256,7 @@ def _parse_batches(schema, columns):
             for batch in batches:
                 for work in batch.to_pylist():
                     for entry, reader, error in open_slice(work):
-                        yield from _entry_batches(rows, work, entry, reader, error)
+                        yield from _entry_batches(rows, work, entry, reader, error, limits)
             if rows.size:
                 yield rows.batch()
         finally:
@@ -232,8 +265,10 @@ def _parse_batches(schema, columns):
     return run
 
 
-def _read_slices(work: DataFrame, schema, columns) -> DataFrame:
-    return work.mapInArrow(_parse_batches(to_arrow_schema(schema), tuple(columns)), schema)
+def _read_slices(work: DataFrame, schema, columns, limits) -> DataFrame:
+    return work.mapInArrow(
+        _parse_batches(to_arrow_schema(schema), tuple(columns), limits), schema
+    )
 
 
 def parse_slices(slices: Slices, columns=()) -> DataFrame:
@@ -248,14 +283,14 @@ def parse_slices(slices: Slices, columns=()) -> DataFrame:
     if slices.documents:
         usual = replace(
             slices,
-            frame=slices.frame.filter(~is_large_document()),
+            frame=slices.frame.filter(~is_large_document(slices.limits)),
             count=slices.count - slices.documents,
             bytes=slices.bytes - slices.document_bytes,
         )
     unlisted = slices.frame.filter(F.col("error").isNotNull()).select(
         "archive", "release_ord", "error", F.lit(True).alias("fatal")
     )
-    parsed = _read_slices(work_items(usual), schema, columns)
+    parsed = _read_slices(work_items(usual), schema, columns, slices.limits)
     rows = materialise(parsed.unionByName(unlisted, allowMissingColumns=True), "records")
     if slices.documents:
         rows = rows.unionByName(_parse_large(slices, schema, columns))
@@ -275,13 +310,13 @@ SEGMENT_SCHEMA = T.StructType(
 NOT_SPLIT = "document cannot be split"
 
 
-def _cut_batches(schema):
+def _cut_batches(schema, limits):
     def rows(work):
         for entry, reader, _ in open_slice(work):
             place = {k: entry[k] for k in ("parent", "entry", "entry_ord")}
             place |= {k: work[k] for k in ("archive", "release_ord")}
             try:
-                for number, (text, fits) in enumerate(_segments(entry, reader)):
+                for number, (text, fits) in enumerate(_segments(entry, reader, limits)):
                     yield {**place, "segment": number, "text": text, "fits": fits}
             except UnreadableEntry:
                 yield {**place, "segment": -1, "text": None, "fits": False}
@@ -310,7 +345,8 @@ def _segment_batches(schema, columns):
                     rows.fail(row, row, NOT_SPLIT, None)
                     continue
                 if found:
-                    # Segments are numbered in the high half, their records in the low.
+                    # Segments are numbered in the high half, their records in the low;
+                    # `_dense_ord` turns this into one sequence.
                     rows.add(row, row, row["segment"] << 32, found)
                     yield rows.batch()
         if rows.size:
@@ -325,15 +361,16 @@ def _parse_large(slices: Slices, schema, columns) -> DataFrame:
     Inflating is sequential, parsing is most of the work.  A document whose
     segments do not stand by themselves is read again as one stream.
     """
-    documents = slices.frame.filter(is_large_document())
+    limits = slices.limits
+    documents = slices.frame.filter(is_large_document(limits))
     cores = documents.sparkSession.sparkContext.defaultParallelism
-    segments = math.ceil(slices.document_bytes / SEGMENT_CHARS)
+    segments = math.ceil(slices.document_bytes / limits.segment_chars)
     tasks = max(
         math.ceil(slices.document_bytes / TASK_BYTES), min(segments, SLICES_PER_CORE * cores)
     )
     parsed = materialise(
         documents.repartition(slices.documents)
-        .mapInArrow(_cut_batches(to_arrow_schema(SEGMENT_SCHEMA)), SEGMENT_SCHEMA)
+        .mapInArrow(_cut_batches(to_arrow_schema(SEGMENT_SCHEMA), limits), SEGMENT_SCHEMA)
         .repartition(tasks)
         .mapInArrow(_segment_batches(to_arrow_schema(schema), tuple(columns)), schema),
         "segments",
@@ -342,37 +379,70 @@ def _parse_large(slices: Slices, schema, columns) -> DataFrame:
     whole = parsed.filter(F.col("error").isNotNull()).select(*place).distinct()
     again = whole.count()
     if again == 0:
-        return parsed
+        return _dense_ord(parsed, place)
     # Each of these is a slice of its own, so the set is far smaller than the data.
     held = documents.select("*", F.col("entries")[0]["entry_ord"].alias("entry_ord"))
     whole = small_side(whole, again)
     stream = held.join(whole, place, "left_semi").drop("entry_ord")
-    streamed = materialise(_read_slices(stream.repartition(again), schema, columns), "records")
-    return parsed.join(whole, place, "left_anti").unionByName(streamed)
+    streamed = materialise(_read_slices(stream.repartition(again), schema, columns, limits), "records")
+    return _dense_ord(parsed.join(whole, place, "left_anti"), place).unionByName(streamed)
+
+
+def _dense_ord(parsed: DataFrame, place) -> DataFrame:
+    """Number the records of each document 0, 1, ... over its segments.
+
+    The segments' record counts, a row for each, give the offsets.
+    """
+    segment = F.shiftright("ord", 32).alias("__segment")
+    before = Window.partitionBy(*place).orderBy("__segment").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = materialise(
+        parsed.groupBy(*place, segment).agg(F.count("*").alias("__rows")).select(
+            *place, "__segment",
+            F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"),
+        ),
+        "offsets",
+    )
+    number = F.col("__offset") + F.col("ord").bitwiseAND(F.lit((1 << 32) - 1))
+    return (
+        parsed.select("*", segment)
+        .join(small_side(offsets, offsets.count()), [*place, "__segment"])
+        .withColumn("ord", number)
+        .select(*parsed.columns)
+    )
 
 
 # --- JVM-only variant --------------------------------------------------------------
 
-NATIVE_SHAPE = "devices struct<device:array<map<string,string>>>"
+NATIVE_SHAPE = "devices struct<device:array<map<string,string>>>, broken string"
 
 
 def parse_payloads_native(payloads: DataFrame) -> DataFrame:
     """Records of XML payloads through `from_xml`: no Python after unzipping.
 
+    A payload that cannot be read or parsed gives one row with `error` set, as does
+    an archive that could not be listed.  A document is one cell, so it has to fit
+    an executor's memory and stay below 2 GB.
+
     Differs from `parse_slices` where a document holds several `devices`
     elements (the last counts) or nested children (raw inner XML is kept).
     """
     text = tx.decode_charset(F.col("payload"))
     cleaned = tx.drop_encoding(tx.clean_text(text))
-    parsed = payloads.filter(F.col("kind") == "xml").select(
-        "archive", "parent", "entry", "entry_ord",
-        F.from_xml(cleaned, NATIVE_SHAPE).alias("doc"),
-    )
-    return parsed.select(
-        "archive", "parent", "entry", "entry_ord",
-        F.posexplode("doc.devices.device").alias("ord", "raw"),
-    ).select(
-        "archive", "parent", "entry", "entry_ord",
-        F.col("ord").cast("long").alias("ord"),
+    place = ["archive", "parent", "entry", "entry_ord"]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    parsed = payloads.filter(
+        (F.col("kind") == "xml") | F.col("error").isNotNull()
+    ).select(*place, "error", F.from_xml(cleaned, NATIVE_SHAPE, options).alias("doc"))
+    broken = F.when(F.col("doc.broken").isNotNull(), "ParseError: not well-formed")
+    # A failed payload passes as one empty device.
+    failed = F.array(F.create_map().cast("map<string,string>"))
+    checked = parsed.select(*place, "doc", F.coalesce("error", broken).alias("error"))
+    devices = F.when(F.col("error").isNotNull(), failed).otherwise(F.col("doc.devices.device"))
+    return checked.select(*place, "error", F.posexplode(devices).alias("ord", "raw")).select(
+        *place,
+        F.when(F.col("error").isNull(), F.col("ord").cast("long")).alias("ord"),
         F.transform_values("raw", lambda _, value: tx.strip_text(value)).alias("fields"),
+        "error",
     )

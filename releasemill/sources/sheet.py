@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import io
 import posixpath
 import re
@@ -155,8 +156,8 @@ def records(data: bytes):
     """
     rows = iter(Workbook(data).rows())
     first, header = next(rows, (0, {}))
-    if first:
-        raise ValueError("the first row holds no header")
+    if first:  # the header row is blank, so names are positional
+        rows, header = itertools.chain([(first, header)], rows), {}
     names = _header_names(header, max(header, default=-1) + 1)
     expected = 1
     for number, cells in rows:

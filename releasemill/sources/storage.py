@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import errno
+import functools
 import io
 import uuid
 from urllib.parse import quote
@@ -21,9 +22,17 @@ def resolve(path: str):
         return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
     if scheme in ("s3a", "s3n"):
         scheme = "s3"
+    if scheme in ("s3", "gs"):  # objects: the bucket is part of the path
+        return _filesystem(scheme, rest.lstrip("/").partition("/")[0]), rest.lstrip("/")
     return pafs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
 
 
+@functools.lru_cache(maxsize=64)
+def _filesystem(scheme: str, bucket: str):
+    """File system of a bucket, looked up once in a task's process."""
+    return pafs.FileSystem.from_uri(f"{scheme}://{bucket}/")[0]
+
+
 class _RawFile(io.RawIOBase):
     """Arrow file with the error Python code expects from an impossible seek."""
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import struct
 import zipfile
 import zlib
@@ -25,7 +24,7 @@ def entry_kind(name: str) -> str | None:
     return None
 
 
-def list_directory(stream, parent=None, base=0, via=None, ord_base=0):
+def list_directory(stream, parent=None, base=0, ord_base=0):
     """Entries of one ZIP in directory order, as dicts of ENTRY_STRUCT."""
     with zipfile.ZipFile(stream) as zf:
         for pos, info in enumerate(zf.infolist()):
@@ -43,7 +42,6 @@ def list_directory(stream, parent=None, base=0, via=None, ord_base=0):
                 "method": info.compress_type,
                 "flags": info.flag_bits,
                 "crc": info.CRC,
-                "via": via,
             }
 
 
@@ -101,95 +99,26 @@ def checked(chunks, entry):
         raise zipfile.BadZipFile(f"bad checksum for {entry['entry']}")
 
 
-class ForwardReader(io.RawIOBase):
-    """Read-only stream over an inflating generator; seeks forward, or restarts."""
-
-    def __init__(self, restart):
-        self._restart = restart
-        self._reset()
-
-    def _reset(self):
-        self._chunks, self._buffer, self._at = self._restart(), b"", 0
-
-    def seekable(self):
-        return True
-
-    def readable(self):
-        return True
-
-    def tell(self):
-        return self._at
-
-    def seek(self, offset, whence=io.SEEK_SET):
-        if whence != io.SEEK_SET:
-            raise io.UnsupportedOperation("absolute seeks only")
-        if offset < self._at:
-            self._reset()
-        while self._at < offset and self.read(min(CHUNK, offset - self._at)):
-            pass
-        return self._at
-
-    def read(self, size=-1):
-        if size < 0:
-            raise io.UnsupportedOperation("give a size")
-        parts = []
-        while size:
-            if not self._buffer:
-                self._buffer = memoryview(next(self._chunks, b""))
-                if not self._buffer:
-                    break
-            part = self._buffer[:size]
-            self._buffer = self._buffer[len(part):]
-            size -= len(part)
-            parts.append(part)
-        data = b"".join(parts)
-        self._at += len(data)
-        return data
-
-
 class ArchiveReader:
     """Reads the entries of one archive by the offsets in the manifest."""
 
     def __init__(self, stream):
         self._stream = stream
-        self._via = None
-        self._inner = None
 
     def chunks(self, entry):
         if entry["flags"] & ENCRYPTED:
             raise RuntimeError(f"{entry['entry']} is encrypted")
-        source = self._stream_for(entry["via"])
         if entry["method"] not in (STORED, DEFLATED):
-            return self._by_library(source, entry)
-        start = data_offset(source, entry["offset"])
-        return checked(inflate(source, start, entry["packed"], entry["method"]), entry)
+            return self._by_library(entry)
+        start = data_offset(self._stream, entry["offset"])
+        return checked(inflate(self._stream, start, entry["packed"], entry["method"]), entry)
 
     def read(self, entry) -> bytes:
         return b"".join(self.chunks(entry))
 
-    def _stream_for(self, via):
-        if not via:
-            return self._stream
-        if via != self._via:
-            offset, packed, method = via
-            self._inner = ForwardReader(
-                lambda: (
-                    part
-                    for part in inflate(
-                        self._stream, data_offset(self._stream, offset), packed, method
-                    )
-                    if part
-                )
-            )
-            self._via = via
-        return self._inner
-
-    @staticmethod
-    def _by_library(source, entry):
+    def _by_library(self, entry):
         # Rare methods (bzip2, lzma): let zipfile unpack this one entry.
-        if isinstance(source, ForwardReader):
-            raise NotImplementedError(f"compression method {entry['method']}")
-        with zipfile.ZipFile(source) as zf:
+        with zipfile.ZipFile(self._stream) as zf:
             found = [i for i in zf.infolist() if i.header_offset == entry["offset"]]
             if not found:
                 raise NotImplementedError(f"compression method {entry['method']}")

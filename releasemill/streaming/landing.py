@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from releasemill.model import KNOWN_FIELDS
 from releasemill.plans.ingest import read_bronze
-from releasemill.sources.archives import with_archive_columns
+from releasemill.sources.archives import scan_archives, with_archive_columns
+from releasemill.workspace import exists
 
 OTHER_FIELDS = "other_fields"
+ARCHIVE_SCHEMA = "archive string, length long, modification_time timestamp, ok boolean"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -38,27 +40,76 @@ def run_available(stream: DataFrame, write_batch, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def _archives(spark: SparkSession, target: str) -> DataFrame:
+    """Archives of all batches as they were found, and whether they could be read."""
+    schema, path = f"{ARCHIVE_SCHEMA}, batch long", f"{target}_archives"
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def append_records(target: str, fields=KNOWN_FIELDS):
     """Batch writer: the records of new archives under `target`, one folder per batch.
 
     A replayed batch overwrites its own folder, so each archive counts once.
     The folder names carry the batch, which reads back as column `batch`.  A
     stream cannot discover columns, so unforeseen fields go to one map column.
+    `<target>_archives` tells, for every archive as it was found, whether it could
+    be read; it is written last.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        bronze = read_bronze(batch, on_bad_archive="skip", columns=fields)
+        spark = batch.sparkSession
+        done = _archives(spark, target).filter(f"ok and batch <> {batch_id}").select("archive")
+        todo = batch.join(done, "archive", "left_anti")
+        bronze = read_bronze(todo, on_bad_archive="skip", columns=fields)
         known = bronze.records.select(*fields, F.col("fields").alias(OTHER_FIELDS))
         known.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
         bronze.dead_letter.write.mode("overwrite").parquet(
             f"{target}_failures/batch={batch_id}"
         )
+        found = todo.select("archive", "length", "modification_time")
+        bad = bronze.bad_archives
+        if bad is None:
+            state = found.withColumn("ok", F.lit(True))
+        else:
+            state = found.join(bad.withColumn("bad", F.lit(True)), "archive", "left").select(
+                "archive", "length", "modification_time", F.col("bad").isNull().alias("ok")
+            )
+        state.write.mode("overwrite").parquet(f"{target}_archives/batch={batch_id}")
 
     return write
 
 
+def retry_changed(spark: SparkSession, location: str, target: str, fields=KNOWN_FIELDS) -> int:
+    """Take up archives that were incomplete when seen and have changed since.
+
+    The stream's source remembers names alone: a file that was empty or could not be
+    read would be lost.  An archive counts as changed by its length or time.
+    These batches are numbered -1, -2, ...; returns the number of archives.
+    """
+    state = _archives(spark, target)
+    seen = ["archive", "length", "modification_time"]
+    waiting = (
+        scan_archives(spark, location).filter("length > 0")
+        .join(state.filter("ok").select("archive"), "archive", "left_anti")
+        .join(state.select(*seen), seen, "left_anti")
+    )
+    count = waiting.count()
+    if count:
+        last = state.agg(F.min("batch")).first()[0] or 0
+        append_records(target, fields)(waiting, min(last, 0) - 1)
+    return count
+
+
 def ingest_incremental(spark: SparkSession, location: str, target: str, checkpoint: str,
                        fields=KNOWN_FIELDS) -> None:
+    """Everything that has landed, or was completed, since the last run.
+
+    Files should land by rename; one that did not is taken up by a later run, once
+    it can be read.
+    """
     run_available(
         landing_stream(spark, location), append_records(target, fields), checkpoint
     )
+    retry_changed(spark, location, target, fields)

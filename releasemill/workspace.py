@@ -64,6 +64,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Delete the workspace tables that `df` reads, and nothing else."""
+    spark = df.sparkSession
+    root = workspace(spark)
+    for path in {file.removesuffix("/").rpartition("/")[0] for file in df.inputFiles()}:
+        filesystem, target = _hadoop(spark, path)
+        if qualified(spark, path).startswith(f"{root}/"):
+            filesystem.delete(target, True)
+
+
 def small_side(keys: DataFrame, count: int) -> DataFrame:
     """Side of a join that is broadcast only if its counted size allows."""
     return F.broadcast(keys) if count <= BROADCAST_ROWS else keys

@@ -85,7 +85,6 @@ def test_nested_archives_whole_or_split(spark, landing, monkeypatch, method, thr
     monkeypatch.setattr(arc, "NESTED_SPLIT_BYTES", threshold)
     monkeypatch.setattr(arc, "MIN_SLICE_BYTES", 100)
     monkeypatch.setattr(arc, "MAX_SLICE_BYTES", 100)
-    monkeypatch.setattr(arc, "NESTED_STRETCH", 2)
     landing("week.zip", weekly(method))
     bronze = ingest.read_bronze(scan(spark, landing.folder))
     rows = bronze.rows.select("parent", "entry", "fields").collect()
@@ -126,9 +125,9 @@ def test_work_is_dealt_evenly(spark, landing, monkeypatch):
 
 @pytest.mark.parametrize("held", [0, 1 << 30])
 def test_large_documents_are_held_or_streamed(spark, landing, monkeypatch, held):
-    monkeypatch.setattr(rec, "DOCUMENT_BYTES", 10)
-    monkeypatch.setattr(rec, "HELD_DOCUMENT_BYTES", held)
-    monkeypatch.setattr(rec, "SEGMENT_CHARS", 100)
+    monkeypatch.setattr(arc, "DOCUMENT_BYTES", 10)
+    monkeypatch.setattr(arc, "HELD_DOCUMENT_BYTES", held)
+    monkeypatch.setattr(arc, "SEGMENT_CHARS", 100)
     monkeypatch.setattr(rec, "BATCH_ROWS", 7)
     documents = [(f"{i}.xml", device_xml(*({"k": f"{i}-{j}"} for j in range(50)))) for i in range(4)]
     documents[2] = ("2.xml", documents[2][1].replace("<k>2-9<", "<k><!-- </device> -->2-9<"))
@@ -160,8 +159,8 @@ def test_large_documents_are_parsed_by_many_tasks(spark, landing, monkeypatch):
     """Documents that cannot be split, broken ones and torn archives included."""
     monkeypatch.setattr(arc, "MAX_SLICE_BYTES", 200)
     monkeypatch.setattr(arc, "SPLIT_DOCUMENT_BYTES", 300)
-    monkeypatch.setattr(rec, "DOCUMENT_BYTES", 300)
-    monkeypatch.setattr(rec, "SEGMENT_CHARS", 400)
+    monkeypatch.setattr(arc, "DOCUMENT_BYTES", 300)
+    monkeypatch.setattr(arc, "SEGMENT_CHARS", 400)
 
     def document(name, **extra):
         return device_xml(*({"k": f"{name}{i:03d}", **extra} for i in range(100)))
@@ -181,3 +180,79 @@ def test_large_documents_are_parsed_by_many_tasks(spark, landing, monkeypatch):
     assert keys == expected
     failures = sorted((r["entry"], r["fatal"]) for r in bronze.dead_letter.collect())
     assert failures == [("3.xml", False), ("4.xml", True)]
+
+
+def test_records_are_numbered_alike_whatever_the_size(spark, landing):
+    """Small limits send documents and nested archives down the paths for large ones."""
+    body = device_xml(*({"k": f"{i:04d}"} for i in range(500)))
+    inner = zip_bytes([("in.xml", body)])
+    landing("a.zip", [("1.xml", body), ("2.xml", device_xml({"k": "x"})), ("n.zip", inner)])
+    small = arc.Limits(nested_bytes=100, split_document_bytes=1000, document_bytes=500,
+                       held_document_bytes=600, segment_chars=700)
+    held = arc.Limits(100, 1 << 20, 500, 1 << 20, 700)
+
+    def rows(limits):
+        bronze = ingest.read_bronze(scan(spark, landing.folder), columns=("k",), limits=limits)
+        return sorted(tuple(r) for r in bronze.records.select("entry", "parent", "entry_ord", "ord", "k")
+                      .fillna("").collect())
+
+    usual = rows(None)
+    assert len(usual) == 1001 and max(r[3] for r in usual) == 499
+    assert rows(small) == usual and rows(held) == usual
+
+
+def test_a_deflated_nested_archive_is_inflated_once(landing, tmp_path, monkeypatch):
+    body = bytes(range(256)) * 4000
+    inner = zip_bytes([(f"{i}.xml", body) for i in range(6)], zipfile.ZIP_STORED)
+    landing("a.zip", [("n.zip", inner)])
+    (row,) = arc._archive_slices(f"{landing.folder}/a.zip", 0, 1 << 20, 1 << 30)
+    read = []
+    inflating = zipfile.ZipExtFile.read
+
+    def counted(self, n=-1):
+        data = inflating(self, n)
+        read.append(len(data))
+        return data
+
+    monkeypatch.setattr(zipfile.ZipExtFile, "read", counted)
+    slices = list(arc._nested_slices(row, 1 << 20, str(tmp_path / "nested"), 1000, 1 << 30))
+    parts = [part for part in slices if part["entries"]]
+    assert len(parts) > 1 and sum(read) <= 2 * len(inner)
+    found = [reader.read(entry) for part in parts for entry, reader, _ in arc.open_slice(part)]
+    assert found == [body] * 6 and sum(read) <= 2 * len(inner)
+
+
+def test_storage_errors_are_no_bad_archives(spark):
+    missing = spark.createDataFrame([("nosuch://bucket/a.zip", 0, 10)],
+                                    "archive string, release_ord long, length long")
+    with pytest.raises(Exception, match="nosuch|Unrecognized"):
+        ingest.read_bronze(missing, "skip")
+    gone = spark.createDataFrame([("/nowhere/a.zip", 0, 10)], missing.schema)
+    with pytest.raises(Exception, match="nowhere"):
+        ingest.read_bronze(gone, "skip")
+
+
+def test_programming_errors_fail_the_run(spark, landing, monkeypatch):
+    def wrong(data):
+        raise TypeError("not a document's fault")
+
+    monkeypatch.setattr(rec.devicexml, "records", wrong)
+    landing("a.zip", [("a.xml", device_xml({"k": 1}))])
+    with pytest.raises(Exception, match="not a document's fault"):
+        ingest.read_bronze(scan(spark, landing.folder), "skip")
+
+
+def test_payloads_and_native_scan_keep_failures(spark, landing):
+    landing("a.zip", [("good.xml", device_xml({"k": 1}, {"k": 2})), ("bad.xml", "<r><devices>"),
+                      ("torn.zip", b"PK torn")])
+    landing("b.zip", b"no archive")
+    payloads = arc.entry_payloads(arc.list_slices(scan(spark, landing.folder)))
+    found = {(r["archive"][-5:], r["entry"]): r["error"] is not None for r in payloads.collect()}
+    assert found == {("a.zip", "good.xml"): False, ("a.zip", "bad.xml"): False,
+                     ("a.zip", "torn.zip"): True, ("b.zip", None): True}
+    native = rec.parse_payloads_native(payloads).collect()
+    good = [(r["ord"], r["fields"]) for r in native if r["error"] is None]
+    assert sorted(good, key=repr) == [(0, {"k": "1"}), (1, {"k": "2"})]
+    failed = sorted((r["archive"][-5:], r["entry"] or "") for r in native if r["error"])
+    usual = ingest.read_bronze(scan(spark, landing.folder), "skip").dead_letter.collect()
+    assert failed == sorted((r["archive"][-5:], r["entry"] or "") for r in usual)

@@ -1,5 +1,6 @@
 """Feeds, titles, dates and the choice of releases."""
 
+import os
 from datetime import date
 
 import pytest
@@ -139,3 +140,45 @@ def test_feed_file(spark, tmp_path):
 def test_feed_with_items_beside_the_channel(spark):
     rows = feed.feed_items(spark.createDataFrame([(RDF,)], "x string"), F.col("x")).collect()
     assert [(r["title"], r["link"]) for r in rows] == [("t", "l")]
+
+
+def test_only_the_newest_capture_counts(spark, tmp_path):
+    item = "<item><title>UDID_DAY_UPDATE_2026032{n}</title><link>https://f/{n}.zip</link></item>"
+    for n, day in ((1, 5), (2, 6)):
+        path = tmp_path / f"feed{day}.xml"
+        items = "".join(item.format(n=k) for k in range(n, 0, -1))
+        path.write_text(f"<rss><channel>{items}</channel></rss>", encoding="utf-8")
+        os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
+    rows = feed.scan_feed(spark, str(tmp_path), "daily").collect()
+    assert sorted((r["feed_pos"], r["link"]) for r in rows) == [(0, "https://f/2.zip"), (1, "https://f/1.zip")]
+
+
+def located(spark, links, archives, columns="file_name string, kind string"):
+    catalog = cat.build_catalog(spark.createDataFrame(
+        [(k, n, "UDID_DAY_UPDATE_20260101", link) for n, (k, link) in enumerate(links)],
+        "kind string, feed_pos long, title string, link string",
+    ))
+    landed = spark.createDataFrame(archives, columns).withColumn("release_ord", F.lit(0).cast("long"))
+    return catalog, landed, cat.locate(catalog, landed)
+
+
+def test_links_with_query_fragment_and_escapes(spark):
+    links = [("daily", "https://f/a%20b.zip?token=9#x"), ("daily", "https://f/a+c.zip"), ("daily", "https://f/%zz.zip")]
+    _, _, found = located(spark, links, [("a b.zip", 1), ("a+c.zip", 2), ("%zz.zip", 3)],
+                          "file_name string, n int")
+    assert sorted(r["file_name"] for r in found.collect()) == ["%zz.zip", "a b.zip", "a+c.zip"]
+
+
+def test_archives_of_one_name_are_told_apart_by_kind(spark):
+    links = [("daily", "https://f/1.zip"), ("weekly", "https://f/1.zip"), ("monthly", "https://f/1.zip")]
+    catalog, landed, found = located(spark, links, [("1.zip", "daily"), ("1.zip", "weekly")])
+    cat.require_one_each(found)
+    assert sorted(r["kind"] for r in found.select("kind").collect()) == ["daily", "weekly"]
+    assert [r["kind"] for r in cat.not_landed(catalog, landed).collect()] == ["monthly"]
+
+
+def test_one_item_must_not_match_several_archives(spark):
+    _, _, found = located(spark, [("daily", "https://f/1.zip")], [("1.zip", 1), ("1.zip", 2)],
+                          "file_name string, n int")
+    with pytest.raises(cat.AmbiguousRelease, match="1.zip"):
+        cat.require_one_each(found)

@@ -33,10 +33,26 @@ def test_field_named_like_a_lineage_column(spark, landing):
     assert merged(spark, landing.folder).first().asDict() == record
 
 
-def test_fields_differing_in_case_need_the_setting(spark, landing):
-    landing("1.zip", [("x.xml", device_xml({"a": 1, "A": 2}))])
-    with pytest.raises(ValueError, match="caseSensitive"):
-        merged(spark, landing.folder)
+def test_fields_differing_in_case_share_a_map(spark, landing):
+    landing("1.zip", [("x.xml", device_xml({"a": 1, "A": 2}, {"b": 3}))])
+    frame = merged(spark, landing.folder)
+    assert frame.columns == ["a", "b", "other_fields"]
+    assert sorted(map(tuple, frame.collect()), key=repr) == [("1", None, {"A": "2"}), (None, "3", {})]
+
+
+def test_known_fields_differing_in_case(spark, landing):
+    landing("1.zip", [("x.xml", device_xml({"PRDNAME": 1, "prdName": 2}))])
+    row = merged(spark, landing.folder, ("prdName",)).first()
+    assert row.asDict() == {"PRDNAME": "1", "other_fields": {"prdName": "2"}}
+
+
+def test_surplus_fields_share_a_map(spark, landing, monkeypatch):
+    monkeypatch.setattr(fr, "MAX_FIELDS", 2)
+    landing("1.zip", [("x.xml", device_xml({"a": 1, "b": 2, "c": 3, "d": 4}, {"d": 5}))])
+    frame = merged(spark, landing.folder)
+    assert frame.columns == ["a", "b", "other_fields"]
+    rows = sorted(map(tuple, frame.collect()), key=repr)
+    assert rows == [("1", "2", {"c": "3", "d": "4"}), (None, None, {"d": "5"})]
 
 
 def test_sort_by_key_missing_last_duplicates_kept(spark, landing):

@@ -1,5 +1,7 @@
 """Whole ingests: errors, releases, snapshots."""
 
+import glob
+import os
 from datetime import datetime
 
 import pytest
@@ -108,9 +110,11 @@ def test_latest(releases):
 
 def test_all_dated_releases_newest_first(releases):
     """The broken and the missing release drop out; the undated one is not asked for."""
-    frame = ingest.ingest_all(*releases)
-    assert keys(frame) == ["K2", "K3"]
-    assert frame.columns == ["deviceRecordKey", "f3", "f2"]
+    found = ingest.ingest_all(*releases)
+    assert keys(found.frame) == ["K2", "K3"]
+    assert found.frame.columns == ["deviceRecordKey", "f3", "f2"]
+    assert found.identifier("daily") == "20260102"
+    assert [row["file_name"] for row in found.missing.collect()] == ["missing.zip"]
 
 
 def test_label_covers_loaded_releases_only(releases):
@@ -157,3 +161,62 @@ def test_snapshot_is_not_sorted(spark, landing):
     landing("a.zip", [("a.xml", GOOD)])
     plan = ingest.ingest_full(scan_archives(spark, landing.folder))._jdf.queryExecution().executedPlan()
     assert "Exchange" not in plan.toString()
+
+
+def test_a_release_that_has_not_landed_is_an_error(spark, releases):
+    catalog, archives = releases
+    with pytest.raises(ingest.NotLanded, match="r3.zip"):
+        ingest.ingest_latest(catalog, archives.filter("file_name <> 'r3.zip'"))
+    with pytest.raises(ingest.NotLanded):
+        ingest.ingest_latest(catalog.limit(0), archives)
+
+
+def test_the_latest_snapshot_is_not_sorted(spark, landing):
+    landing("f.zip", [("a.xml", GOOD)])
+    catalog = cat.build_catalog(spark.createDataFrame(
+        [("full", 0, "UDID_FULL_RELEASE_20260301", "https://feed.example/f.zip")],
+        "kind string, feed_pos long, title string, link string",
+    ))
+    frame = ingest.ingest_latest(catalog, scan_archives(spark, landing.folder))
+    assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("requested, rows, suffix", [("csv", 3, "csv"), ("excel", 3, "xlsx")])
+def test_delivery_to_a_file_named_by_rule(spark, landing, tmp_path, requested, rows, suffix):
+    landing("a.zip", [("a.xml", device_xml(*({"deviceRecordKey": f"K{n}", "odd": "1"} for n in range(rows))))])
+    seen = []
+    report = ingest.save_release(
+        scan_archives(spark, landing.folder), kind="daily", identifier="20260301", now=NOW,
+        folder=str(tmp_path / "out"), requested=requested, on_saved=lambda f: seen.append(f.columns),
+    )
+    assert report["target"] == "file" and report["format"] == requested
+    assert report["path"].rpartition("/")[2] == f"udid_daily_20260301_{NOW:%Y%m%d_%H%M%S}.{suffix}"
+    assert glob.glob(f"{report['path']}/*.{suffix}") and report["unmapped"] == ["odd"]
+    assert {"device_record_key", "odd", "data_date"} <= set(seen[0])
+
+
+def test_delivery_to_a_database_and_back_to_a_file(spark, landing, tmp_path):
+    landing("a.zip", [("a.xml", GOOD)])
+    got = []
+
+    def refuse(rows):
+        raise RuntimeError("no database")
+
+    options = {"kind": "full", "identifier": "x", "now": NOW, "folder": str(tmp_path / "out")}
+    archives = scan_archives(spark, landing.folder)
+    report = ingest.save_release(archives, write_database=lambda rows: got.extend(rows.collect()), **options)
+    assert (report["target"], report["path"]) == ("database", None)
+    assert [(r["device_record_key"], r["data_date"], r["source_type"]) for r in got] == [("K1", "x", "full")]
+    report = ingest.save_release(archives, write_database=refuse, **options)
+    assert report["target"] == "file" and glob.glob(f"{report['path']}/*.csv")
+
+
+def test_released_tables_are_gone(spark, landing):
+    landing("a.zip", [("a.xml", GOOD)])
+    bronze = ingest.read_bronze(scan_archives(spark, landing.folder))
+    other = ingest.read_bronze(scan_archives(spark, landing.folder))
+    files = [f.removeprefix("file://") for f in bronze.rows.inputFiles()]
+    assert all(map(os.path.exists, files))
+    bronze.release()
+    assert not any(map(os.path.exists, files)) and other.records.count() == 1
+    assert glob.glob(f"{landing.folder}/*.zip")

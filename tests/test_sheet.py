@@ -5,7 +5,9 @@ import io
 import pytest
 
 from conftest import zip_bytes
+from releasemill.plans import ingest
 from releasemill.sources import sheet
+from releasemill.sources.archives import scan_archives
 from releasemill.sources.sheetwriter import PARTS, write_workbook
 
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -85,3 +87,26 @@ def test_first_sheet_in_workbook_order_and_1904_dates():
 def test_unreadable_workbook_raises(data):
     with pytest.raises(Exception):
         list(sheet.records(data))
+
+
+def test_blank_first_row_gives_positional_names():
+    data = workbook('<row r="3"><c r="A3"><v>1</v></c><c r="C3"><v>2</v></c></row><row r="4"><c r="B4"><v>3</v></c></row>')
+    assert list(sheet.records(data)) == [
+        {}, {"Unnamed: 0": "1", "Unnamed: 2": "2"}, {"Unnamed: 1": "3"},
+    ]
+
+
+@pytest.mark.parametrize("rows", [5, 5_000, 20_000])
+def test_a_broken_workbook_gives_no_record_whatever_its_size(spark, landing, rows):
+    body = "".join(f'<row r="{n}"><c r="A{n}"><v>{n}</v></c></row>' for n in range(1, rows + 1))
+    broken = workbook(body + f'<row r="{rows + 1}"><c r="A{rows + 1}" t="s"><v>99</v></c></row>')
+    whole = workbook(body)
+    landing("a.zip", [("broken.xlsx", broken), ("whole.xlsx", whole), ("named.xls", whole),
+                      ("legacy.xls", b"\xd0\xcf\x11\xe0" + b"x" * 600)])
+    bronze = ingest.read_bronze(scan_archives(spark, landing.folder))
+    counts = {r["entry"]: r["count"] for r in bronze.records.groupBy("entry").count().collect()}
+    assert counts == {"whole.xlsx": rows - 1, "named.xls": rows - 1}
+    failures = {r["entry"]: r["fatal"] for r in bronze.dead_letter.collect()}
+    assert failures == {"broken.xlsx": False, "legacy.xls": False}
+    order = bronze.records.filter("entry = 'whole.xlsx'").orderBy("ord").select("ord").collect()
+    assert [r["ord"] for r in order] == list(range(rows - 1))

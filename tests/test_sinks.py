@@ -125,13 +125,13 @@ def test_jdbc_options():
         columns = [*TARGET_SCHEMA.names, "create_time"]
         write = Recorder()
 
-    sinks.write_jdbc(Frame, "jdbc:x:", user="u")
+    sinks.jdbc_writer(Frame, "jdbc:x:", sinks.TARGET_TABLE, user="u").mode("append").save()
     kept = Frame.write.kept
     assert (kept["format"], kept["mode"], kept["batchsize"]) == ("jdbc", "append", 1000)
     assert (kept["dbtable"], kept["user"], kept["saved"]) == ("udi_device_data", "u", True)
     types = dict(part.split(" ", 1) for part in kept["createTableColumnTypes"].split(", "))
     assert types["prod_desc"] == "VARCHAR(1000)" and types["create_time"] == "TIMESTAMP"
-    assert len(types) == 25
+    assert len(types) == 25 and kept["numPartitions"] == sinks.JDBC_CONNECTIONS
 
 
 def test_fallback(spark, tmp_path):
@@ -151,3 +151,68 @@ def test_fallback(spark, tmp_path):
     assert sinks.save_with_fallback(frame, fail, to_file) == "file"
     assert sinks.save_with_fallback(frame, None, lambda f: wrote.append(f.count())) == "file"
     assert wrote == [3, 3]
+
+
+def test_workbooks_of_two_runs_do_not_mix(spark, tmp_path):
+    sinks.write_excel(spark.range(3), str(tmp_path / "out"))
+    with pytest.raises(FileExistsError):
+        sinks.write_excel(spark.range(1), str(tmp_path / "out"))
+
+
+def test_save_file_tells_the_format(spark, tmp_path):
+    written = [sinks.save_file(spark.range(n), str(tmp_path / str(n)), "excel", guard=5) for n in (5, 6)]
+    assert written == ["excel", "csv"]
+
+
+def test_counting_rows_needs_no_single_task_of_rows(spark):
+    plan = sinks.format_route(spark.range(100), "excel")._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan
+
+
+class Writer:
+    """Records what a data frame writer is told."""
+
+    def __init__(self, log, fail=None):
+        self.log, self.fail = log, fail
+
+    def mode(self, name):
+        self.log[-1]["mode"] = name
+        return self
+
+    def save(self):
+        if self.fail and self.log[-1]["dbtable"] != self.fail:
+            raise RuntimeError("database is gone")
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_jdbc_appends_through_a_staging_table(spark, monkeypatch, broken):
+    writes, statements = [], []
+
+    def writer(frame, url, table, **options):
+        writes.append({"dbtable": table, "columns": frame.columns, **options})
+        return Writer(writes, fail="t" if broken else None)
+
+    monkeypatch.setattr(sinks, "jdbc_writer", writer)
+    frame = spark.range(3).selectExpr("id a", "id b")
+
+    def run(_spark, url, texts, options, transaction):
+        statements.append((url, texts, options, transaction))
+
+    if broken:
+        with pytest.raises(RuntimeError):
+            sinks.write_jdbc(frame, "jdbc:x", "t", execute=run, user="u")
+    else:
+        sinks.write_jdbc(frame, "jdbc:x", "t", execute=run, user="u")
+    staging = writes[1]["dbtable"]
+    assert [w["dbtable"] for w in writes] == ["t", staging] and staging.startswith("t_stage_")
+    assert [w["mode"] for w in writes] == ["append", "errorifexists"]
+    moved = ("jdbc:x", [f"INSERT INTO t (a, b) SELECT a, b FROM {staging}"], {"user": "u"}, True)
+    cleared = ("jdbc:x", [f"DROP TABLE {staging}"], {"user": "u"}, False)
+    assert statements == ([cleared] if broken else [moved, cleared])
+
+
+def test_map_columns_become_text(spark, tmp_path):
+    frame = spark.sql("SELECT 'x' a, map('k', 'v') other_fields")
+    path = sinks.write_csv(frame, str(tmp_path / "out"))
+    assert csv_bytes(path).decode().splitlines() == ["a,other_fields", 'x,"{""k"":""v""}"']
+    sinks.write_excel(frame, str(tmp_path / "book"))

@@ -1,6 +1,6 @@
 """The landing folder as a stream."""
 
-from conftest import device_xml
+from conftest import device_xml, zip_bytes
 from releasemill.streaming import landing as ls
 
 
@@ -24,6 +24,31 @@ def test_each_archive_is_ingested_once(spark, landing, tmp_path):
     assert [r["archive"].endswith("bad.zip") for r in failures] == [True]
 
 
+def test_archives_completed_later_are_taken_up(spark, landing, tmp_path):
+    """An empty and a truncated file, whole at the next run, lose and repeat nothing."""
+    target, checkpoint = str(tmp_path / "target"), str(tmp_path / "checkpoint")
+
+    def run():
+        ls.ingest_incremental(spark, landing.folder, target, checkpoint)
+        return sorted(r["deviceRecordKey"] for r in spark.read.parquet(target).collect())
+
+    whole = zip_bytes([("a.xml", device_xml({"deviceRecordKey": "K2"}))])
+    landing("1.zip", [("a.xml", device_xml({"deviceRecordKey": "K1"}))])
+    landing("2.zip", whole[:-30])
+    landing("3.zip", b"")
+    assert run() == ["K1"]
+    assert run() == ["K1"]
+    landing("2.zip", whole)
+    landing("3.zip", [("a.xml", device_xml({"deviceRecordKey": "K3"}))])
+    landing("4.zip", [("a.xml", device_xml({"deviceRecordKey": "K4"}))])
+    assert run() == ["K1", "K2", "K3", "K4"]
+    assert run() == ["K1", "K2", "K3", "K4"]
+    landing("5.zip", b"PK")
+    assert run() == ["K1", "K2", "K3", "K4"]
+    landing("5.zip", [("a.xml", device_xml({"deviceRecordKey": "K5"}))])
+    assert run() == ["K1", "K2", "K3", "K4", "K5"]
+
+
 def test_a_replayed_batch_replaces_itself(spark, landing, tmp_path):
     landing("1.zip", [("a.xml", device_xml({"deviceRecordKey": "K1"}))])
     from releasemill.sources.archives import scan_archives
