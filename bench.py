@@ -1,15 +1,17 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose
-data and cores, BENCH_RUNS (default 2) how often each query runs; the best run
-counts.  Archives are packed from the tables beforehand and not timed.
+data and cores, BENCH_RUNS (default 5) how often each query runs; the median counts
+and the spread is told.  Archives are packed from the tables beforehand and not timed.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -44,13 +46,14 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("releasemill-bench")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="releasemill-bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -65,15 +68,15 @@ def main() -> None:
         bindings.part_archives(spark, sf_dir, style)
     snapshot = bindings.line_archives(spark, sf_dir)
 
-    seconds = {}
+    seconds, spread = {}, {}
     for name in HEADLINE:
-        best = None
+        taken = []
         for _ in range(runs):
             started = time.monotonic()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            elapsed = time.monotonic() - started
-            best = elapsed if best is None else min(best, elapsed)
-        seconds[name] = round(best, 3)
+            taken.append(time.monotonic() - started)
+        seconds[name] = round(statistics.median(taken), 3)
+        spread[name] = [round(min(taken), 3), round(max(taken), 3)]
 
     slices = archives.list_slices(archives.scan_archives(spark, snapshot))
     mib = slices.bytes / (1 << 20)
@@ -81,10 +84,11 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "headline queries, total of best runs",
+                "metric": "headline queries, total of median runs",
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "least_and_most": spread,
                 "sf": Path(sf_dir).name,
                 "cpus": cpus,
                 "ingest_full_records_per_sec": round(records / seconds["ingest_full"]),

@@ -23,11 +23,11 @@ def _decode_other(data: pd.Series) -> pd.Series:
 def decode_charset(data: Column) -> Column:
     """Bytes to text: UTF-8, else GBK, else UTF-8 without its bad bytes.
 
-    Valid UTF-8 stays in the JVM; Python only sees the other payloads.
+    Valid UTF-8 stays in the JVM; Python only sees the other payloads.  `data` is
+    looked at more than once, so let it be a column of its own rather than a formula.
     """
-    text = data.cast("string")
-    valid = F.is_valid_utf8(text)
-    return F.when(valid, text).otherwise(_decode_other(F.when(~valid, data)))
+    valid = F.try_validate_utf8(data.cast("string"))
+    return F.coalesce(valid, _decode_other(F.when(valid.isNull(), data)))
 
 
 def strip_controls(text: Column) -> Column:

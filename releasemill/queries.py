@@ -312,7 +312,8 @@ def charset_decode(spark, sf):
         .when(F.col("p_partkey") % 3 == 1, _gbk(name))
         .otherwise(F.concat(F.unhex(F.lit("FF")), F.encode(name, "UTF-8")))
     )
-    return bind.table(spark, sf, "part").select("p_partkey", tx.decode_charset(data).alias("name"))
+    raw = bind.table(spark, sf, "part").select("p_partkey", data.alias("data"))
+    return raw.select("p_partkey", tx.decode_charset(F.col("data")).alias("name"))
 
 
 @query(r"""
@@ -353,11 +354,9 @@ def xml_clean(spark, sf):
     """Damaged bytes in, repaired UTF-8 bytes out (shown as text)."""
     data = F.encode(F.replace(F.col("text"), F.lit("a"), F.lit("a\x08")), "UTF-8")
     damaged = F.when(F.col("doc_id") % 3 == 0, F.concat(data, F.unhex(F.lit("FF")))).otherwise(data)
-    clean = tx.clean_text(tx.decode_charset(damaged))
-    repaired = F.encode(clean, "UTF-8")
-    return bind.table(spark, sf, "documents").select(
-        "doc_id", F.decode(repaired, "UTF-8").alias("clean")
-    )
+    raw = bind.table(spark, sf, "documents").select("doc_id", damaged.alias("data"))
+    repaired = F.encode(tx.clean_text(tx.decode_charset(F.col("data"))), "UTF-8")
+    return raw.select("doc_id", F.decode(repaired, "UTF-8").alias("clean"))
 
 
 @query("SELECT p_partkey, p_type AS name FROM part")
