@@ -159,7 +159,8 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, text: str = "text"
     toxic = taken(1, TOXIC_ROWS + TOXIC_CALIBRATION_ROWS)
     ordinary = taken(0, ORDINARY_ROWS + ORDINARY_CALIBRATION_ROWS)
     both = toxic.unionByName(ordinary)
-    sample = texts(both, 0).orderBy("__toxic", "__text").collect()
+    # In a fixed order, as the dictionaries depend on it.
+    sample = sorted(texts(both, 0).collect(), key=lambda row: (row["__toxic"], row["__text"] or b""))
     common: Counter[bytes] = Counter()
     rows: Counter[bytes] = Counter()
     ordinary_texts, toxic_texts = [], []
