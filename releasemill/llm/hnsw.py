@@ -202,9 +202,13 @@ class Graph:
             marked = done[active]
             np.put_along_axis(marked, best, True, axis=1)
             more = np.where(node[:, :, None] >= 0, links[node], -1).reshape(len(active), -1)
+            more_near = _cosines(self.vectors, queries[active], more)
+            # Only what beats the worst may enter: a node that left never comes back, ties included.
+            worst = near[active].min(axis=1, keepdims=True)
+            more = np.where(more_near > worst, more, -1)
             ids[active], near[active], done[active] = _merged(
                 ids[active], near[active], marked,
-                more, _cosines(self.vectors, queries[active], more), width,
+                more, np.where(more >= 0, more_near, -np.inf), width,
             )
         order = np.argsort(-near, axis=1)
         return np.take_along_axis(ids, order, axis=1), np.take_along_axis(near, order, axis=1)
