@@ -161,27 +161,29 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, text: str = "text"
     both = toxic.unionByName(ordinary)
     # In a fixed order, as the dictionaries depend on it.
     sample = sorted(texts(both, 0).collect(), key=lambda row: (row["__toxic"], row["__text"] or b""))
-    common: Counter[bytes] = Counter()
+    common: set[bytes] = set()
     rows: Counter[bytes] = Counter()
-    ordinary_texts, toxic_texts = [], []
-    for row in sample:
+    ordinary_samples, toxic_texts = [], []
+    for row in sample:  # word lists are not kept: they take many times the text's size
         words = _windows(row["__text"])
-        (rows if row["__toxic"] else common).update(set(words))
-        (toxic_texts if row["__toxic"] else ordinary_texts).append(words)
-    if not toxic_texts or not ordinary_texts:
+        if row["__toxic"]:
+            rows.update(set(words))
+            toxic_texts.append(row["__text"])
+        else:
+            common.update(words)
+            ordinary_samples.append(b" " + b" ".join(words) + b" ")
+    del sample
+    if not toxic_texts or not ordinary_samples:
         return Model(b"", b"")
     least = max(2, round(RECURRING * len(toxic_texts)))
-
-    def sampled(texts, keep=None):
-        chosen = [[w for w in words if keep is None or keep(w)] for words in texts]
-        return [b" " + b" ".join(words) + b" " for words in chosen if words]
-
-    def learnt(word: bytes) -> bool:
-        return rows[word] >= least and not common[word]
+    learnt = [
+        [w for w in _windows(text) if rows[w] >= least and w not in common] for text in toxic_texts
+    ]
+    toxic_samples = [b" " + b" ".join(words) + b" " for words in learnt if words]
+    ordinary_samples = [sample for sample in ordinary_samples if sample.strip()]
 
     model = Model(
-        _dictionary(sampled(toxic_texts, learnt), TOXIC_BYTES),
-        _dictionary(sampled(ordinary_texts), ORDINARY_BYTES),
+        _dictionary(toxic_samples, TOXIC_BYTES), _dictionary(ordinary_samples, ORDINARY_BYTES)
     )
     held = featured(texts(both, 1), model, "__text").collect()
     if len({row["__toxic"] for row in held}) < 2:  # too few rows to keep some apart
