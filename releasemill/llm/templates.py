@@ -189,15 +189,41 @@ def _bit_set(benchmark_windows: DataFrame) -> bytes:
     return bits.tobytes()
 
 
+def _aligned(held: DataFrame, group: list[str]) -> DataFrame:
+    """`group, item_at, pairs`: for each place of an item, its match on the region's one alignment.
+
+    A window that an item repeats meets each of its places in the document.  The
+    shift with most windows and slots that follow one value is the alignment; each
+    place of the item keeps the match whose shift is nearest to it.
+    """
+    # A pair of nulls stands for the window itself, so windows without slots count too.
+    window = F.array(F.struct(F.lit(None).cast("string").alias("item_value"), F.lit(None).cast("string").alias("value")))
+    main = (
+        held.select(*group, "shift", F.explode(F.concat("pairs", window)).alias("pair"))
+        .groupBy(*group, "shift", "pair.item_value", "pair.value").count()
+        .groupBy(*group, "shift", "item_value").agg(F.max("count").alias("most"))
+        .groupBy(*group, "shift").agg(F.sum("most").alias("votes"))
+        .groupBy(*group).agg(F.max(F.struct("votes", (-F.col("shift")).alias("back"))).alias("top"))
+    )
+    main = main.select(*[F.col(c).alias(f"__of_{c}") for c in group], "top")
+    same = [held[c].eqNullSafe(main[f"__of_{c}"]) for c in group]
+    away = F.abs(F.col("shift") + F.col("top.back"))
+    return (
+        held.join(main, same).select(*[held[c] for c in group], "item_at", "shift", "pairs", away.alias("away"))
+        .groupBy(*group, "item_at").agg(F.min_by("pairs", F.struct("away", "shift")).alias("pairs"))
+    )
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similarity: float = SIMILARITY,
                  agreement: float = AGREEMENT, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """`keep` columns, `item_id`, `similarity`, `slot_agreement` of each document and item it holds.
 
     similarity is the share of the item's distinct windows found near each other in
     the document and must reach `similarity`; slot_agreement is the share of its slots
-    that follow one value for each value of the item and must reach `agreement`.  `keep` has to tell rows
-    of different texts apart; rows equal in it are one.  Items and documents of
-    fewer than five template words (null, empty) hold nothing and are in nothing.
+    that follow one value for each value of the item, each place of the item matched once,
+    and must reach `agreement`.  `keep` has to tell rows of different texts apart; rows
+    equal in it are one.  Items and documents of fewer than five template words (null,
+    empty) hold nothing and are in nothing.
     """
     items = materialise(
         windows(
@@ -226,7 +252,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similar
     pairs = F.arrays_zip(F.col("item_slots").alias("item_value"), F.col("slots").alias("value"))
     met = materialise(
         met.select(
-            *keep, "__item", "windows", "template",
+            *keep, "__item", "windows", "template", "item_at", shift.alias("shift"),
             F.explode(regions).alias("region"), pairs.alias("pairs"),
         ),
         "matches",
@@ -238,8 +264,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similar
     )
     covered = materialise(covered, "covered")
     same = [met[c].eqNullSafe(covered[c]) for c in group]
+    held = materialise(
+        met.join(covered, same, "left_semi").select(*group, "item_at", "shift", "pairs"), "held"
+    )
+    nearest = _aligned(held, group)
     slots = (
-        met.join(covered, same, "left_semi").select(*group, F.explode("pairs").alias("pair"))
+        nearest.select(*group, F.explode("pairs").alias("pair"))
         .groupBy(*group, "pair.item_value", "pair.value").count()
         .groupBy(*group, "item_value").agg(F.max("count").alias("most"), F.sum("count").alias("all"))
         .groupBy(*group).agg((F.sum("most") / F.sum("all")).alias("agreement"))

@@ -42,6 +42,25 @@ def test_long_texts_repeats_and_ties(spark):
     assert set(found) == {(0, 1), (0, 2), (1, 1), (1, 2)}
 
 
+PARALLEL = (
+    "Tom has 3 apples and 4 pears. Ann has 5 apples and 6 pears."
+    " How many apples and pears do they have together?"
+)
+NUMBERS = "What comes next in the row 2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37 of the known numbers?"
+
+
+def test_items_that_repeat_a_window(spark):
+    """Crossed matches of a repeated window have no say in the agreement of slots."""
+    other = PARALLEL.replace("Tom", "Eve").replace("3", "30").replace("5", "52")
+    found = hits(spark, [
+        PARALLEL, "before it " + PARALLEL + " after it", other, NUMBERS, "so: " + NUMBERS,
+        PARALLEL.replace("Ann has", "Ann now has"),  # places behind the added word are one off
+    ], items=[(1, PARALLEL), (2, NUMBERS)])
+    assert set(found) >= {(0, 1), (1, 1), (2, 1), (3, 2), (4, 2)}
+    assert all(found[k].slot_agreement == 1.0 for k in [(0, 1), (1, 1), (2, 1), (3, 2), (4, 2)])
+    assert (5, 1) in found and not {(0, 2), (3, 1)} & set(found)
+
+
 def test_decontaminated_keeps_clean_rows(spark):
     docs, items = frames(spark, [ITEM, "clean words only here today", None, ""])
     repeated = docs.unionAll(docs)
