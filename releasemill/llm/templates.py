@@ -5,6 +5,9 @@ placeholders whose values are kept as slots.  Windows of template words of the
 documents are hash-joined with those of the benchmark.  A document holds an item if
 nearby windows cover enough of the item and equal slot values of the item meet equal
 values in the document, so a question with other numbers or names is found as well.
+Names are told by their case, so texts are also compared in a second form without
+names, all words in lower case; either form may find an item.  An item too short for
+windows in that form is searched as the whole sequence of its words.
 """
 
 from __future__ import annotations
@@ -47,6 +50,9 @@ SIGNED = re.compile(r"[+\-−]?[$€£¥]?\d")
 SKIPPED, NUM, QTY, NAME, UNIT = 0, 1, 2, 3, 4
 PLACEHOLDERS = {NUM: "<number>", QTY: "<quantity>", NAME: "<name>", UNIT: "<unit>"}
 _LARGE = 1 << 8  # hashes of plain words are above all codes
+_MARK = np.uint64(1 << 9)  # of the plain code of a word that its case makes a name
+# Forms of a text: names as placeholders, no names, each word as it is in lower case.
+NAMED, PLAIN, WHOLE = 0, 1, 2
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -71,27 +77,70 @@ def template_word(word: bytes) -> tuple[int, str]:
     lowered = core.lower()
     if lowered in UNITS:
         return UNIT, lowered
-    return xxhash.xxh64_intdigest(lowered) | _LARGE, lowered
+    return _hashed(lowered), lowered
+
+
+def _hashed(lowered: str) -> int:
+    return (xxhash.xxh64_intdigest(lowered) | _LARGE) & ~int(_MARK)
+
+
+def _plain_word(word: bytes) -> tuple[int, str]:
+    """As `template_word`, but never a name."""
+    code, text = template_word(word)
+    if code == NAME:
+        text = text.lower()
+        code = UNIT if text in UNITS else _hashed(text)
+    return code, text
 
 
 class Words(dict):
-    """Codes of words, remembered."""
+    """Plain codes of words, marked where they are names, remembered."""
+
+    def __init__(self):
+        super().__init__()
+        self.literal: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMORY:
             self.clear()
-        code = self[word] = template_word(word)[0]
+        code = _plain_word(word)[0]
+        if template_word(word)[0] == NAME:
+            code |= int(_MARK)
+        self[word] = code
+        return code
+
+    def whole(self, word: bytes) -> int:
+        """Hash of a word as it is in lower case."""
+        code = self.literal.get(word)
+        if code is None:
+            if len(self.literal) >= MEMORY:
+                self.literal.clear()
+            code = self.literal[word] = _hashed(_plain_word(word)[1].lower())
         return code
 
 
 class Template:
-    """Template words of a text with the places of the words they stand for."""
+    """Template words of a text in one form, with the places of the words they stand for.
 
-    def __init__(self, text: bytes | None, known: Words):
-        self.words = (text or b"").split()
-        codes = np.fromiter(map(known.__getitem__, self.words), dtype=np.uint64, count=len(self.words))
-        place = np.flatnonzero(codes)
-        codes = codes[place]
+    `like`, a template of the same text, saves coding its words again.
+    """
+
+    def __init__(self, text: bytes | None, known: Words, form: int = NAMED, like: Template | None = None):
+        self.form = form
+        if like is None:
+            self.words = (text or b"").split()
+            self.marked = np.fromiter(map(known.__getitem__, self.words), dtype=np.uint64, count=len(self.words))
+        else:
+            self.words, self.marked = like.words, like.marked
+        place = np.flatnonzero(self.marked)
+        codes = self.marked[place]
+        if form == NAMED:
+            codes = np.where(codes & _MARK, np.uint64(NAME), codes)
+        else:
+            codes = codes & ~_MARK
+        if form == WHOLE:
+            for k in np.flatnonzero(codes < _LARGE).tolist():
+                codes[k] = known.whole(self.words[place[k]])
         # A unit behind a number makes it a quantity; names in a row are one.
         if len(codes) > 1:
             before = np.concatenate([[SKIPPED], codes[:-1]])
@@ -105,39 +154,58 @@ class Template:
             self.first = self.last = place
         self.codes = codes
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, size: int = WINDOW) -> np.ndarray:
         """A hash of the window at each place."""
-        count = len(self.codes) - WINDOW + 1
-        if count <= 0:
+        count = len(self.codes) - size + 1
+        if count <= 0 or not size:
             return np.empty(0, dtype=np.uint64)
-        total = np.zeros(count, dtype=np.uint64)
+        total = np.full(count, self.form, dtype=np.uint64)
         with np.errstate(over="ignore"):
-            for k in range(WINDOW):
+            for k in range(size):
                 total = total * _BASE + self.codes[k : k + count]
             return total ^ (total >> np.uint64(29))
 
-    def window(self, at: int) -> tuple[str, list[str]]:
+    def window(self, at: int, size: int = WINDOW) -> tuple[str, list[str]]:
         """Template text and slots (type and value, of placeholders only) of a window."""
         parts, slots = [], []
-        for k in range(at, at + WINDOW):
+        for k in range(at, at + size):
             words = self.words[self.first[k] : self.last[k] + 1]
             code = int(self.codes[k])
             if code < _LARGE:
                 parts.append(PLACEHOLDERS[code])
                 slots.append(" ".join(filter(None, (template_word(w)[1] for w in words))).lower())
             else:
-                parts.append(template_word(words[0])[1])
+                parts.append(_plain_word(words[0])[1].lower())
         return " ".join(parts), slots
 
 
-_FIELDS = "window long, at long, length long, template string, slots array<string>"
+def _forms(text: bytes | None, known: Words, lengths: list[int] | None):
+    """(template, size of its windows) for each way to cut a text into windows.
+
+    `lengths` are those of the whole sequences to look for; None stands for an item,
+    which is a whole sequence itself if it is too short for other windows.
+    """
+    named = Template(text, known)
+    plain = Template(text, known, PLAIN, named)
+    if len(named.codes) >= WINDOW:
+        yield named, WINDOW
+    if len(plain.codes) >= WINDOW:
+        yield plain, WINDOW
+    if lengths or lengths is None and len(plain.codes) < WINDOW:
+        whole = Template(text, known, WHOLE, named)
+        for size in [len(whole.codes)] if lengths is None else lengths:
+            yield whole, size
+
+
+_FIELDS = "form int, window long, at long, length long, template string, slots array<string>"
 
 
-def windows(frame: DataFrame, text: str, passes: bytes | None = None) -> DataFrame:
-    """`frame` without `text`, with a row for each window of template words.
+def windows(frame: DataFrame, text: str, passes: bytes | None = None, lengths: list[int] | None = None) -> DataFrame:
+    """`frame` without `text`, with a row for each window of template words in each form.
 
-    With `passes`, a bit set, only windows whose hash has its bit.  `length` is the
-    number of windows of the text.
+    With `passes`, a bit set, only windows whose hash has its bit, and `lengths` are
+    the sizes of whole sequences.  `length` is the number of windows of the text, of
+    a whole sequence that of its words.
     """
     kept = [c for c in frame.columns if c != text]
     schema = frame.sparkSession.createDataFrame([], _FIELDS).schema
@@ -149,28 +217,29 @@ def windows(frame: DataFrame, text: str, passes: bytes | None = None) -> DataFra
         known = Words()
         bits = None if passes is None else np.frombuffer(passes, dtype=np.uint8)
         for batch in slices(batches):
-            row, hashed, at, length, texts, slots = [], [], [], [], [], []
+            row, kind, hashed, at, length, texts, slots = [], [], [], [], [], [], []
             for number, value in enumerate(batch.column(text).to_pylist()):
-                template = Template(value, known)
-                hashes = template.hashes()
-                if bits is None:
-                    found = range(len(hashes))
-                else:
-                    bit = hashes & np.uint64(len(bits) * 8 - 1)
-                    held = (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
-                    found = np.flatnonzero(held).tolist()
-                for place in found:
-                    own, values = template.window(place)
-                    row.append(number)
-                    hashed.append(int(hashes[place].view(np.int64)))
-                    at.append(place)
-                    length.append(len(hashes))
-                    texts.append(own)
-                    slots.append(values)
+                for template, size in _forms(value, known, lengths):
+                    hashes = template.hashes(size)
+                    if bits is None:
+                        found = range(len(hashes))
+                    else:
+                        bit = hashes & np.uint64(len(bits) * 8 - 1)
+                        held = (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
+                        found = np.flatnonzero(held).tolist()
+                    for place in found:
+                        own, values = template.window(place, size)
+                        row.append(number)
+                        kind.append(template.form)
+                        hashed.append(int(hashes[place].view(np.int64)))
+                        at.append(place)
+                        length.append(size if template.form == WHOLE else len(hashes))
+                        texts.append(own)
+                        slots.append(values)
             chosen = batch.select(kept).take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *chosen.columns,
+                    *chosen.columns, pa.array(kind, pa.int32()),
                     pa.array(hashed, pa.int64()), pa.array(at, pa.int64()), pa.array(length, pa.int64()),
                     pa.array(texts, pa.string()), pa.array(slots, pa.list_(pa.string())),
                 ],
@@ -222,8 +291,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similar
     the document and must reach `similarity`; slot_agreement is the share of its slots
     that follow one value for each value of the item, each place of the item matched once,
     and must reach `agreement`.  `keep` has to tell rows of different texts apart; rows
-    equal in it are one.  Items and documents of fewer than five template words (null,
-    empty) hold nothing and are in nothing.
+    equal in it are one.  Both are of the better form of the texts.  An item of fewer
+    than five template words without names is held where its words follow each other,
+    numbers as they are, case aside.  Items without words (null, empty) are in nothing.
     """
     items = materialise(
         windows(
@@ -232,18 +302,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similar
         ),
         "items",
     )
-    sizes = items.groupBy(F.col("__item").alias("__of")).agg(
+    lengths = sorted(r["length"] for r in items.where(F.col("form") == WHOLE).select("length").distinct().collect())
+    sizes = items.groupBy(F.col("__item").alias("__of"), F.col("form").alias("__form")).agg(
         F.count_distinct("template").alias("windows"), F.max("length").alias("span")
     )
     items = materialise(
-        items.join(sizes, F.col("__item").eqNullSafe(F.col("__of")))
-        .select("__item", "window", "template", F.col("at").alias("item_at"),
+        items.join(sizes, F.col("__item").eqNullSafe(F.col("__of")) & (F.col("form") == F.col("__form")))
+        .select("__item", "form", "window", "template", F.col("at").alias("item_at"),
                 F.col("slots").alias("item_slots"), "windows", "span"),
         "items",
     )
     source = docs.select(*[F.col(f"`{c}`") for c in keep], utf8(text).alias("__text"))
-    found = windows(source, "__text", _bit_set(items))
-    met = found.join(items, ["window", "template"])
+    found = windows(source, "__text", _bit_set(items), lengths)
+    met = found.join(items, ["form", "window", "template"])
     # Matches whose places in document and item differ by about as much form a region;
     # regions overlap by half, so that each passage lies whole in one.
     step = F.greatest(F.col("span"), F.lit(2 * WINDOW))
@@ -252,12 +323,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similar
     pairs = F.arrays_zip(F.col("item_slots").alias("item_value"), F.col("slots").alias("value"))
     met = materialise(
         met.select(
-            *keep, "__item", "windows", "template", "item_at", shift.alias("shift"),
+            *keep, "__item", "form", "windows", "template", "item_at", shift.alias("shift"),
             F.explode(regions).alias("region"), pairs.alias("pairs"),
         ),
         "matches",
     )
-    group = [*keep, "__item", "region"]
+    group = [*keep, "__item", "form", "region"]
     covered = (
         met.groupBy(*group, "windows").agg(F.count_distinct("template").alias("covered"))
         .where(F.col("covered") >= F.lit(similarity) * F.col("windows"))

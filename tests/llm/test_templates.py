@@ -61,6 +61,21 @@ def test_items_that_repeat_a_window(spark):
     assert (5, 1) in found and not {(0, 2), (3, 1)} & set(found)
 
 
+SENTENCES = "Why so? Then go on. Water flows down. Ice does not. Explain this now. Give two good reasons."
+TITLE = "The Great History Of The Long River Trade Between Northern Towns"
+
+
+def test_copies_in_another_case_and_short_items(spark):
+    texts = [
+        SENTENCES, SENTENCES.lower(), "so " + SENTENCES.upper(), TITLE, "see " + TITLE.lower() + " there",
+        TITLE.upper(), "please Name the largest moon of it", "NAME THE LARGEST MOON", "add 2 kg now",
+        "the largest moon has a name", "add 3 kg now", "The Short History Of A Wide Lake", "", None,
+    ]
+    items = [(1, SENTENCES), (2, TITLE), (3, "Name the largest moon"), (4, "Add 2 kg"), (5, "?"), (6, ""), (7, None)]
+    found = hits(spark, texts, items=items)
+    assert set(found) == {(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 3), (7, 3), (8, 4)}
+
+
 def test_decontaminated_keeps_clean_rows(spark):
     docs, items = frames(spark, [ITEM, "clean words only here today", None, ""])
     repeated = docs.unionAll(docs)
