@@ -3,8 +3,8 @@
 Equal vectors are one class.  Classes are dealt to shards; a task builds the graph of
 a shard and searches it with the vectors of the shards it has to meet, so that every
 pair of shards meets once.  Probes near shard vectors audit the search against a full
-scan: the beam widens until enough is found, and a shard whose audit never passes is
-scanned.  A query whose beam is full of links is scanned as well, so large groups lose
+scan, each probe by itself: the beam widens until enough is found, and a shard whose
+audit never passes is scanned.  A query whose beam is full of links is scanned as well, so large groups lose
 nothing.  Links are verified in double precision; tasks emit link counts and forests
 of links, never all pairs.
 """
@@ -35,6 +35,7 @@ EXPANDED = 4  # nodes whose neighbours a step of the search reads
 
 # Audit: probes of a shard, their cosine to the vector they stand for, share to be found.
 PROBES = 128
+DRAWS = 16  # times that probes are drawn at most, as long as too few are left to the beam
 PROBE_COSINE = 0.955
 AUDIT_RECALL = 0.98
 # Rows of a full scan at once.
@@ -231,20 +232,28 @@ class Shard:
             self._audit(seed)
 
     def _audit(self, seed: int) -> None:
-        """Widen the beam until probes find what a full scan finds; else give up the graph."""
+        """Widen the beam until probes find what a full scan finds; else give up the graph.
+
+        The recall is the mean of the probes' own.  Probes with a full beam are scanned
+        and say nothing about the graph, so further ones are drawn in their place.
+        """
         random = np.random.default_rng(seed + 1)
-        chosen = self.double[random.choice(len(self.double), min(PROBES, len(self.double)), replace=False)]
-        away = random.standard_normal(chosen.shape)
-        away -= (away * chosen).sum(axis=1, keepdims=True) * chosen
-        aside = max(self.cosine, PROBE_COSINE)
-        probes = aside * chosen
-        if chosen.shape[1] > 1:
-            probes = probes + np.sqrt(1 - aside**2) * unit(away)
-        probes = unit(probes)
-        wanted = {tuple(pair) for pair in np.stack(self._scan(probes), axis=1).tolist()}
+        order = random.permutation(len(self.double))[: DRAWS * PROBES]
+        drawn = [
+            self._probes(self.double[order[start : start + PROBES]], random)
+            for start in range(0, len(order), PROBES)
+        ]
         while True:
-            found = {tuple(pair) for pair in np.stack(self._walk(probes), axis=1).tolist()}
-            self.recall = len(found) / max(1, len(wanted))
+            shares: list[float] = []
+            for probes in drawn:
+                query, _, full = self._beamed(probes)
+                left = np.flatnonzero(~full)
+                wanted = np.bincount(self._scan(probes[left])[0], minlength=len(left))
+                found = np.bincount(query, minlength=len(probes))[left]
+                shares += (found[wanted > 0] / wanted[wanted > 0]).tolist()
+                if len(shares) >= PROBES:
+                    break
+            self.recall = float(np.mean(shares)) if shares else 1.0
             if self.recall >= AUDIT_RECALL:
                 return
             if self.width >= WIDEST_BEAM:
@@ -252,6 +261,16 @@ class Shard:
                 return
             self.width *= 2
 
+    def _probes(self, chosen: np.ndarray, random) -> np.ndarray:
+        """A unit vector beside each of the chosen ones."""
+        away = random.standard_normal(chosen.shape)
+        away -= (away * chosen).sum(axis=1, keepdims=True) * chosen
+        aside = max(self.cosine, PROBE_COSINE)
+        probes = aside * chosen
+        if chosen.shape[1] > 1:
+            probes = probes + np.sqrt(1 - aside**2) * unit(away)
+        return unit(probes)
+
     def _verified(self, queries, query, row):
         near = np.einsum("ij,ij->i", queries[query], self.double[row])
         linked = near >= self.cosine
@@ -267,13 +286,18 @@ class Shard:
             found.append(self._verified(queries, query, row + start))
         return tuple(np.concatenate(parts) for parts in zip(*found))
 
-    def _walk(self, queries: np.ndarray):
-        """Links that the beam search meets; queries with a full beam are scanned."""
+    def _beamed(self, queries: np.ndarray):
+        """Links that the beam search meets, and whether each query's beam is full of them."""
         ids, near = self.graph.search(queries.astype(np.float32), self.width)
         close = near >= self.cosine - SLACK
         full = close.all(axis=1)
         query, place = np.nonzero(close & ~full[:, None])
-        found = [self._verified(queries, query, ids[query, place])]
+        return *self._verified(queries, query, ids[query, place]), full
+
+    def _walk(self, queries: np.ndarray):
+        """Links that the beam search meets; queries with a full beam are scanned."""
+        query, row, full = self._beamed(queries)
+        found = [(query, row)]
         many = np.flatnonzero(full)
         if len(many):
             query, row = self._scan(queries[many])

@@ -67,6 +67,25 @@ def test_recall_of_a_shard():
     assert near[query, row].all() and len(query) / near.sum() >= 0.98
 
 
+def test_a_tight_group_does_not_pass_the_audit_for_others(monkeypatch):
+    """A third of the rows are one group, always scanned; all other searches find nothing."""
+    random = np.random.default_rng(6)
+    center = random.standard_normal(24)
+    crowd = center + 0.03 * random.standard_normal((1200, 24))
+    vectors = np.concatenate([random.standard_normal((2800, 24)), crowd])
+    search = hnsw.Graph.search
+
+    def broken(graph, queries, width):
+        ids, near = search(graph, queries, width)
+        return ids, np.where((queries @ hnsw.unit(center[None])[0] > 0.9)[:, None], near, -np.inf)
+
+    monkeypatch.setattr(hnsw.Graph, "search", broken)
+    shard = hnsw.Shard(vectors, 0.95, 0)
+    assert shard.recall < 0.1 and shard.graph is None
+    near = brute(vectors) | np.eye(len(vectors), dtype=bool)
+    assert len(shard.links(hnsw.unit(vectors))[0]) == near.sum()
+
+
 def test_odd_vectors(spark):
     nan, infinite = float("nan"), float("inf")
     rows = [
