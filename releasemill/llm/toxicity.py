@@ -1,7 +1,7 @@
 """Toxicity by compression distance with two zstandard dictionaries.
 
 One dictionary is trained on ordinary labelled texts, one on those windows of toxic
-texts that recur among them and that ordinary texts lack.  A window is a word between
+texts that recur among them and are rare in ordinary ones.  A window is a word between
 blanks.  Its compressed length with either dictionary is measured in front of a
 carrier that both hold, so that only the window's own cost differs.  A text's
 features are the shares of windows that the toxic dictionary shortens by at least
@@ -30,6 +30,8 @@ TOXIC_CALIBRATION_ROWS, ORDINARY_CALIBRATION_ROWS = 1500, 6000
 TOXIC_BYTES, ORDINARY_BYTES = 1 << 15, 110 << 10
 # Share of toxic texts in which a window must occur to be learnt (two texts at least).
 RECURRING = 0.005
+# How many times more often in toxic than in ordinary texts, beyond chance; labels may be wrong.
+TOXIC_RATIO = 5
 GAINS = tuple(range(1, 9))
 
 # Bytes that occur in no UTF-8 text in this order; both dictionaries end with them.
@@ -133,6 +135,19 @@ def featured(frame: DataFrame, model: Model, text: str, name: str = "features")
     return extended(frame, text, [(name, ArrayType(DoubleType()), pa.list_(pa.float64()))], make)
 
 
+def _learnt(toxic: list[bytes | None], ordinary: list[bytes | None]) -> set[bytes]:
+    """Windows that recur in toxic texts and whose document rate there is far above that in ordinary ones."""
+    rows = Counter(w for text in toxic for w in set(_windows(text)))
+    least = max(2, round(RECURRING * len(toxic)))
+    rows = {w: count for w, count in rows.items() if count >= least}
+    common = Counter(w for text in ordinary for w in set(_windows(text)) if w in rows)
+    # Two standard deviations less, so that few rows prove nothing against an ordinary text.
+    return {
+        w for w, count in rows.items()
+        if not common[w] or (count - 2 * count**0.5) * len(ordinary) >= TOXIC_RATIO * common[w] * len(toxic)
+    }
+
+
 def fit(docs: DataFrame, labels: DataFrame, training: Column, text: str = "text") -> Model:
     """Dictionaries and thresholds from bounded samples of the labelled rows.
 
@@ -161,25 +176,18 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, text: str = "text"
     both = toxic.unionByName(ordinary)
     # In a fixed order, as the dictionaries depend on it.
     sample = sorted(texts(both, 0).collect(), key=lambda row: (row["__toxic"], row["__text"] or b""))
-    common: set[bytes] = set()
-    rows: Counter[bytes] = Counter()
-    ordinary_samples, toxic_texts = [], []
-    for row in sample:  # word lists are not kept: they take many times the text's size
-        words = _windows(row["__text"])
-        if row["__toxic"]:
-            rows.update(set(words))
-            toxic_texts.append(row["__text"])
-        else:
-            common.update(words)
-            ordinary_samples.append(b" " + b" ".join(words) + b" ")
+    # Word lists are not kept: they take many times the text's size.
+    toxic_texts = [row["__text"] for row in sample if row["__toxic"]]
+    ordinary_texts = [row["__text"] for row in sample if not row["__toxic"]]
     del sample
-    if not toxic_texts or not ordinary_samples:
+    if not toxic_texts or not ordinary_texts:
         return Model(b"", b"")
-    least = max(2, round(RECURRING * len(toxic_texts)))
-    learnt = [
-        [w for w in _windows(text) if rows[w] >= least and w not in common] for text in toxic_texts
-    ]
-    toxic_samples = [b" " + b" ".join(words) + b" " for words in learnt if words]
+    learnt = _learnt(toxic_texts, ordinary_texts)
+    chosen = ([w for w in _windows(text) if w in learnt] for text in toxic_texts)
+    toxic_samples = [b" " + b" ".join(words) + b" " for words in chosen if words]
+    # A mislabelled text must not teach the words as ordinary ones.
+    others = ([w for w in _windows(text) if w not in learnt] for text in ordinary_texts)
+    ordinary_samples = [b" " + b" ".join(words) + b" " for words in others]
     ordinary_samples = [sample for sample in ordinary_samples if sample.strip()]
 
     model = Model(

@@ -45,6 +45,21 @@ def test_held_out_labels_teach_nothing(spark):
     assert (a["predicted"] == (a.index % 3 == 0)).mean() > 0.95
 
 
+def test_a_few_wrong_labels_leave_the_toxic_words(spark):
+    random = np.random.default_rng(7)
+    syllables = ["an", "er", "th", "on", "re", "st", "in", "ou"]
+    texts = []
+    for k in range(400):
+        words = ["".join(random.choice(syllables, 3)) for _ in range(60)]
+        if k % 3 == 0:
+            words[10], words[40] = "dreckskerl", "widerling"
+        texts.append((k, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = labels_of(spark, [(k, 1, int((k % 3 == 0) != (k % 20 == 0))) for k in range(400)])
+    found = toxicity.judged(docs, labels).toPandas()
+    assert (found["predicted"] == (found["doc_id"] % 3 == 0)).mean() > 0.95
+
+
 def test_odd_rows(spark, odd_documents):
     few = labels_of(spark, [(1, 1, 0), (4, 0, 1), (6, 1, None), (None, 1, 1), (99, 1, 1), (6, 1, 0)])
     for labels in (few, few.limit(0), few.where("toxic = 1")):
