@@ -29,8 +29,9 @@ MARKUP = re.compile(
     r"|<(?P<close2>/?)(?P<tag2>[A-Za-z][^\s/>]*)(?P<rest2>[^>]*)>",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 DIGITS = re.compile(r"\d+")
+PARTS = re.compile(r"[-_:]+")
 WORD = re.compile(r"[a-z]+")
 
 # Element names by their part in a page.
@@ -61,15 +62,19 @@ CHROME_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search"
     " toolbar".split()
 )
+# A class or id is chrome if each of its parts is one of these words, or an addition to one.
 CHROME_WORDS = frozenset(
-    "ad ads adbox adslot adunit advert adverts foot footer header nav side menu alert login share"
-    " top topbar bottombar hidden skip".split()
+    "ad ads adbox adslot adunit advert adverts advertisement advertisements advertising foot footer"
+    " header nav navbar navigation navigator side sidebar sidebars menu menus menubar alert alerts login"
+    " share sharing top topbar bottombar toolbar hidden skip sponsor sponsors sponsored promo promos"
+    " promotion promotions banner banners breadcrumb breadcrumbs masthead cookie cookies consent gdpr"
+    " notice notices notification notifications popup popups modal modals newsletter newsletters"
+    " subscribe subscription signup social related recommended recommendations comment comments"
+    " commentlist disqus reply replies respond widget widgets pagination disclaimer".split()
 )
-CHROME_STEMS = (
-    "advert", "sponsor", "promo", "banner", "sidebar", "menu", "navbar", "navig", "breadcrumb", "footer",
-    "masthead", "cookie", "consent", "gdpr", "notice", "notif", "popup", "modal", "newsletter", "subscri",
-    "signup", "sharing", "social", "related", "recommend", "comment", "disqus", "reply", "replies",
-    "respond", "widget", "pagin", "toolbar", "disclaimer",
+CHROME_ADDITIONS = frozenset(
+    "site page global main primary secondary left right bottom box bar wrap wrapper container inner outer"
+    " list item items links link icons icon buttons button block area section unit slot form".split()
 )
 CONTENT_STEMS = ("article", "content", "entry", "main", "post", "story", "text", "body")
 
@@ -80,7 +85,7 @@ LEAST_SHARE = 0.5
 
 class Node:
     __slots__ = ("parent", "tag", "words", "path", "depth", "chrome", "soft", "inside", "linked",
-                 "size", "links")
+                 "size", "links", "whole")
 
     def __init__(self, parent, tag, words, label, chrome, soft):
         self.parent, self.tag, self.words = parent, tag, words
@@ -89,16 +94,19 @@ class Node:
         self.chrome, self.soft = chrome, soft  # soft: judged by its class alone
         self.inside = tag in ("article", "main") or bool(parent and parent.inside)
         self.linked = tag == "a" or bool(parent and parent.linked)
-        self.size = self.links = 0
+        self.size = self.links = self.whole = 0  # whole: with class-judged chrome
 
 
-def _label(tag: str, rest: str) -> tuple[str, list[str], str, bool]:
-    """Generalised name, words of class and id, role, hidden."""
+def _label(tag: str, rest: str) -> tuple[str, list[str], list[str], str, bool]:
+    """Generalised name, words of class and id, the classes and id, role, hidden."""
     if not rest or rest.isspace():
-        return tag, [], "", False
+        return tag, [], [], "", False
     classes, ident, role, hidden = [], "", "", False
     for name, *values in ATTRIBUTE.findall(rest):
-        value, name = entities.unescape("".join(values)).lower(), name.lower()
+        name = name.lower()
+        if name not in ("class", "id", "role", "hidden"):
+            continue
+        value = entities.unescape("".join(values)).lower()
         if name == "class":
             classes = sorted(set(DIGITS.sub("", value).split()))
         elif name == "id":
@@ -107,13 +115,15 @@ def _label(tag: str, rest: str) -> tuple[str, list[str], str, bool]:
             role = value.strip()
         else:
             hidden = True
-    return ".".join([tag, *classes]), WORD.findall(" ".join([*classes, ident])), role, hidden
+    words = WORD.findall(" ".join([*classes, ident]))
+    return ".".join([tag, *classes]), words, [*classes, *ident.split()], role, hidden
 
 
-def _is_chrome_word(word: str, inside: bool) -> bool:
-    if word == "header" and inside:
-        return False
-    return word in CHROME_WORDS or word.startswith(CHROME_STEMS)
+def _is_chrome_name(name: str, inside: bool) -> bool:
+    """Whether a class or id names chrome, as a whole."""
+    parts = [p for p in PARTS.split(name) if p]
+    known = [p for p in parts if p in CHROME_WORDS and not (inside and p == "header")]
+    return bool(known) and all(p in known or p in CHROME_ADDITIONS for p in parts)
 
 
 class Page:
@@ -188,11 +198,11 @@ class Page:
 
     def _push(self, stack: list[Node], tag: str, rest: str) -> None:
         parent = stack[-1]
-        label, words, role, hidden = _label(tag, rest)
+        label, words, names, role, hidden = _label(tag, rest)
         hard = parent.chrome or hidden or tag in CHROME or role in CHROME_ROLES
         hard = hard or tag == "header" and not parent.inside
         own = tag in ("article", "main", "body")
-        soft = not hard and not own and any(_is_chrome_word(w, parent.inside) for w in words)
+        soft = not hard and not own and any(_is_chrome_name(n, parent.inside) for n in names)
         node = Node(parent, tag, words, label, hard and not (own and not parent.chrome), soft)
         if own and not soft:  # the article itself is never inside its page's soft chrome
             up = parent
@@ -212,7 +222,13 @@ class Page:
             self._break(node, tag)
 
     def _settle(self) -> None:
-        """Spread chrome downwards, then add up text sizes upwards."""
+        """Spread chrome downwards, then add up text sizes upwards.
+
+        On a page that names no article, a node judged by its class that holds most of
+        the page's own text is no chrome.
+        """
+        if any(n.soft for n in self.nodes) and not any(n.tag in ("article", "main") for n in self.nodes):
+            self._unsoften()
         for node in self.nodes:
             if node.soft or node.parent is not None and node.parent.chrome:
                 node.chrome = True
@@ -228,6 +244,21 @@ class Page:
                 node.parent.size += node.size
                 node.parent.links += node.links
 
+    def _unsoften(self) -> None:
+        hard: dict[int, bool] = {}
+        for node in self.nodes:
+            up = node.parent
+            hard[id(node)] = node.chrome or up is not None and hard[id(up)]
+        for node, text in self.runs:
+            if not hard[id(node)] and not node.linked:
+                node.whole += len(text) - sum(map(text.count, " \n\t\r"))
+        for node in reversed(self.nodes):
+            if node.parent is not None:
+                node.parent.whole += node.whole
+        for node in self.nodes:
+            if node.soft and 2 * node.whole > self.root.whole:
+                node.soft = False
+
     def value(self, node: Node) -> float:
         hint = 1.25 if node.tag in ("article", "main") else 1.0
         if hint == 1.0 and any(w.startswith(CONTENT_STEMS) for w in node.words):

@@ -29,6 +29,22 @@ def test_fragments_and_broken_markup():
     assert htmltext.extract("<div>" * 3000 + "deep" + "</div>" * 3000, None) == "deep"
 
 
+def test_visible_text_is_not_taken_for_chrome():
+    attributes = [
+        'style="overflow:hidden"', 'aria-hidden="false"', "data-hidden", 'title="a hidden place"',
+        'data-class="ad"', 'class="overflow-hidden"', 'class="top-story"', 'class="side-by-side"',
+        'class="commentary"', 'class="social-issues"', 'class="elementor-widget"',
+    ]
+    for own in attributes:
+        page = f"<body><div><p>{'usual text ' * 20}</p><div {own}><p>seen</p></div></div></body>"
+        assert htmltext.extract(page, None).endswith("\nseen"), own
+    for own in ("hidden", "HIDDEN=''", 'role=navigation', 'class="x ad"', 'id="site-footer"', 'class="comments"'):
+        page = f"<body><div><p>{'usual text ' * 20}</p><div {own}><p>unseen</p></div></div></body>"
+        assert "unseen" not in htmltext.extract(page, None), own
+    page = f"<body><div class='widget'><p>{'usual text ' * 20}</p></div><div class='widget'>more</div></body>"
+    assert htmltext.extract(page, None) == ("usual text " * 20).strip()
+
+
 def test_consensus_overrules_a_page(spark):
     """A page whose own best container is another one follows its host."""
     usual = "<body><div class='story'><p>{0}</p></div><div class='more'><p>short</p></div></body>"
