@@ -2,8 +2,8 @@
 
 Each page's containers are scored by their own text; the generalised paths (tags with
 classes, digits removed) of the best ones are votes for their host.  Pages are then
-extracted again from the containers on their host's winning path; a page without
-such a container, or without text in it, uses its own best one.
+extracted again from the containers on a winning path of their host, their own best
+one if it wins; a page without a host, such a container or text in it uses its own.
 """
 
 from __future__ import annotations
@@ -81,6 +81,8 @@ CONTENT_STEMS = ("article", "content", "entry", "main", "post", "story", "text",
 # Containers of a page that get a vote, and the share of its best one that they need.
 VOTES = 3
 LEAST_SHARE = 0.5
+# Share of a host's pages whose best container a path must be to win beside the first.
+WINNING_SHARE = 0.2
 
 
 class Node:
@@ -307,19 +309,23 @@ def votes(source: str | None) -> Iterator[tuple[str, int]]:
             yield node.path, round(1000 * share / len(seen))
 
 
-def extract(source: str | None, path: str | None) -> str:
-    """Text of the containers on `path`, else of the page's best container, else of the page."""
+def extract(source: str | None, path: str | list[str] | None) -> str:
+    """Text of the containers on a winning path, else of the page's best container, else of the page.
+
+    Of several paths the one of the page's best container counts, else that with most text.
+    """
     page = Page(source or "")
-    if path:
-        text = page.text({id(n) for n in page.nodes if n.path == path and not n.chrome})
-        if text:
-            return text
     best = page.best()
-    return page.text({id(best[0][1] if best else page.root)})
+    paths = [path] if isinstance(path, str) else path or []
+    if best and best[0][1].path in paths:
+        paths = [best[0][1].path]
+    texts = [page.text({id(n) for n in page.nodes if n.path == p and not n.chrome}) for p in paths]
+    text = max(texts, key=len, default="")
+    return text or page.text({id(best[0][1] if best else page.root)})
 
 
 def consensus(pages: DataFrame, host: str, html: str) -> DataFrame:
-    """`host, path`: the path with most votes of each host."""
+    """`host, path`: the path with most votes of each host, and those best on a real share of its pages."""
 
     def run(batches):
         for batch in slices(batches):
@@ -336,10 +342,20 @@ def consensus(pages: DataFrame, host: str, html: str) -> DataFrame:
 
     cast = pages.select(F.col(host).alias("host"), F.col(html).alias("html"))
     voted = cast.mapInArrow(run, "host string, path string, share long")
+    first = F.when(F.col("share") == 1000, 1).otherwise(0)  # only a page's best container has so many
+    paths = materialise(
+        voted.groupBy("host", "path").agg(F.sum("share").alias("votes"), F.sum(first).alias("firsts")), "votes"
+    )
+    tops = materialise(
+        paths.groupBy(F.col("host").alias("of")).agg(
+            F.max(F.struct("votes", F.length("path"), "path")).alias("top"), F.sum("firsts").alias("pages")
+        ),
+        "tops",
+    )
+    wins = (F.col("path") == F.col("top.path")) | (F.col("firsts") >= WINNING_SHARE * F.col("pages"))
     return (
-        voted.groupBy("host", "path").agg(F.sum("share").alias("votes"))
-        .groupBy("host").agg(F.max(F.struct("votes", F.length("path"), "path")).alias("top"))
-        .select("host", F.col("top.path").alias("path"))
+        paths.join(small_side(tops, tops.count()), F.col("host").eqNullSafe(F.col("of"))).where(wins)
+        .select("host", "path")
     )
 
 
@@ -348,7 +364,7 @@ def extracted(pages: DataFrame, id_column: str = "page_id", url: str = "url",
     """`id, url, text, n_chars` of every row.
 
     Null and empty pages, and pages of chrome alone, have an empty text.  Pages
-    without a host vote together.  Blocks are trimmed, white space inside is one
+    without a host use their own best container.  Blocks are trimmed, white space inside is one
     space, and one line feed joins them.  Repeated rows all come back.
     """
     source = pages.select(
@@ -356,7 +372,10 @@ def extracted(pages: DataFrame, id_column: str = "page_id", url: str = "url",
         host_and_path(F.col(f"`{url}`").cast("string"))[0].alias("host"),
         F.col(f"`{html}`").cast("string").alias("html"),
     )
-    winners = materialise(consensus(source, "host", "html"), "paths")
+    winners = consensus(source.where("host != ''"), "host", "html")
+    winners = materialise(
+        winners.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("path")), "paths"
+    )
     joined = source.join(small_side(winners, winners.count()), "host", "left").select(
         "__id", "__url", F.struct("html", "path").alias("__page")
     )

@@ -64,6 +64,19 @@ def test_consensus_overrules_a_page(spark):
     assert htmltext.extracted(pages.limit(0)).count() == 0
 
 
+def test_templates_of_a_host_and_pages_without_one(spark):
+    news = "<body><article class='news'><p>" + "long text " * 30 + "</p></article></body>"
+    other = "<body><article class='news'><p>teaser</p></article><article class='review'><p>{0}</p></article></body>"
+    review = "its own words " * 30
+    rows = [(k, f"http://h.example.org/{k}", news) for k in range(6)]
+    rows += [(k, f"http://h.example.org/{k}", other.format(review)) for k in range(6, 9)]
+    rows += [(k, None, news) for k in range(10, 15)] + [(15, None, other.format(review))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in htmltext.extracted(pages).collect()}
+    assert all(review.strip() in found[k] for k in (6, 7, 8, 15))
+    assert all(found[k] == ("long text " * 30).strip() for k in (0, 5, 10))
+
+
 def test_query_returns_the_articles(spark):
     found = queries.QUERIES["op2_html_text"](spark, SF_SMALL).collect()
     pages = dict(duckdb.execute(f"SELECT page_id, html FROM '{SF_SMALL}/pages.parquet'").fetchall())
