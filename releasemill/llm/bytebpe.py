@@ -29,9 +29,13 @@ TO_BYTES = {FIRST_CHARACTER + b: b for b in range(256)}
 
 UNKNOWN_PIECE = "<unk>"
 
-# Pre-tokens that a task remembers, and pre-tokens handled at once in a long text.
-MEMORY = 200_000
-AT_ONCE = 1 << 18
+# Bytes of pre-tokens that a task remembers, the overhead of one, and pre-tokens
+# handled at once in a long text.
+MEMORY = 24 << 20
+ENTRY = 200
+AT_ONCE = 1 << 16
+# Rows that leave a task at once, with their texts' bytes.
+ROWS = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -105,13 +109,16 @@ class Codec:
         ]
         self.whole = {b: i for i, b in enumerate(self.bytes_of) if inner[i]}
         self.known: dict[str, bytes] = {}
+        self.size = 0
 
     def learn(self, tokens: set[str]) -> None:
         """Encode pre-tokens that are not remembered yet."""
         new = [t for t in tokens if t not in self.known]
-        if len(self.known) + len(new) > MEMORY:
+        if self.size > MEMORY:
             self.known.clear()
-            new = list(tokens)
+            self.size, new = 0, list(tokens)
+        # A character and its ids take eight bytes or less, as a rule.
+        self.size += sum(map(len, new)) * 8 + len(new) * ENTRY
         split = []
         for token in new:
             raw = token.encode("utf-8")
@@ -184,8 +191,27 @@ def decoded(frame: DataFrame, model: bytes, pattern: str, ids: str = "ids") -> D
 
 
 def round_trip(docs: DataFrame, model: bytes, pattern: str, keep: list[str],
-               text: str = "text") -> DataFrame:
-    """`keep` columns of every row with `n_tokens`, `ids` and the `decoded` bytes."""
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("__text"))
-    ids = encoded(source, model, pattern, "__text")
-    return decoded(ids.withColumn("__ids", F.col("ids")), model, pattern, "__ids")
+               text: str = "text", decoded: bool = True) -> DataFrame:
+    """`keep` columns of every row with `n_tokens`, `ids`, and the `decoded` bytes of the ids.
+
+    One codec encodes and decodes in one pass.  Without `decoded`, its place is taken by
+    `same`: whether the ids decode to the text (null: empty), so that long texts are not
+    carried on.
+    """
+
+    def make():
+        codec = Codec(model, pattern)
+
+        def compute(texts):
+            ids = [codec.encode(t) for t in texts]
+            back = map(codec.decode, ids)
+            if not decoded:
+                back = (b == (t or "").encode("utf-8") for b, t in zip(back, texts))
+            return [[len(x) // 4 for x in ids], ids, list(back)]
+
+        return compute
+
+    last = ("decoded", "binary", pa.binary()) if decoded else ("same", "boolean", pa.bool_())
+    fields = [("n_tokens", "long", pa.int64()), ("ids", "binary", pa.binary()), last]
+    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
+    return extended(source, "__text", fields, make, ROWS)

@@ -29,7 +29,9 @@ NEGATIVES = 10
 LEAST, MOST = 30, 90  # per cent of the positive's score
 
 GROUP = 8
-# Anchors whose tables a task holds, and rows that it scores at once.
+# Bytes of anchors' tables that a task holds, the most anchors in it, and rows that it
+# scores at once.
+TABLE_BYTES = 64 << 20
 ANCHORS_PER_BLOCK = 2048
 ROWS_AT_ONCE = 512
 # Rows of a chunk; small inputs get smaller chunks, so that all cores have work.
@@ -121,8 +123,14 @@ class Best:
 # --- in Spark ------------------------------------------------------------------------
 
 
-def prepared(embeddings: DataFrame, label: Column, id_column: str, vector: str) -> tuple[DataFrame, int, int]:
-    """Written rows `row, id, label, size, planes, components`, their number, and the largest component.
+def anchors_per_block(dims: int) -> int:
+    """Anchors whose tables, 256 longs for each group of dimensions, stay in bounds."""
+    groups = max(1, -(-dims // GROUP))
+    return max(1, min(ANCHORS_PER_BLOCK, TABLE_BYTES // (groups * 256 * 8)))
+
+
+def prepared(embeddings: DataFrame, label: Column, id_column: str, vector: str) -> tuple[DataFrame, int, int, int]:
+    """Written rows `row, id, label, size, planes, components`, their number, the largest component, the longest vector.
 
     `components` is kept for anchors alone.
     """
@@ -165,7 +173,7 @@ def prepared(embeddings: DataFrame, label: Column, id_column: str, vector: str)
     # The table is written, so these numbers name its rows from then on.
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "label", F.size("x").alias("size"), "x")
     schema = "row long, id long, label long, size int, planes binary, components array<long>"
-    return materialise(numbered.mapInArrow(run, schema), "packed"), sizes["n"], largest
+    return materialise(numbered.mapInArrow(run, schema), "packed"), sizes["n"], largest, dims
 
 
 def usable_or_empty(vector: str) -> Column:
@@ -182,14 +190,13 @@ def _blocks(batches):
                 yield tuple(key[a, :3].tolist()), int(key[a, 3]), batch.slice(a, b - a)
 
 
-def _met(rows: DataFrame, anchors: DataFrame, count: int, total: int) -> DataFrame:
+def _met(rows: DataFrame, anchors: DataFrame, blocks: int, total: int) -> DataFrame:
     """Each block of anchors (kind 0) and each chunk of rows (kind 1) side by side, in order.
 
     `anchors` has a column `bands` beside those of `rows`.  Rows are written once for
     each block, anchors once for each chunk.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    blocks = max(1, math.ceil(count / ANCHORS_PER_BLOCK))
     chunks = max(1, math.ceil(total / CHUNK_ROWS), min(2 * cores, math.ceil(total / FEWEST_ROWS)))
 
     def part(parts):
@@ -312,9 +319,9 @@ def mined(embeddings: DataFrame, label: Column, positives: int = POSITIVES, nega
     scores.  Vectors of different lengths never meet; empty ones score 0.  A positive
     with a negative score has no negatives, one of score 0 those of score 0.
     """
-    rows, total, largest = prepared(embeddings, label, id_column, vector)
+    rows, total, largest, dims = prepared(embeddings, label, id_column, vector)
     anchors = rows.where(F.col("components").isNotNull())
-    count = anchors.count()
+    blocks = max(1, math.ceil(anchors.count() / anchors_per_block(dims)))
     none = F.lit(None).cast("array<struct<id:long,score:long>>")
 
     def near(best, ids):
@@ -338,7 +345,7 @@ def mined(embeddings: DataFrame, label: Column, positives: int = POSITIVES, nega
                 names=["anchor", "place", "id", "score"],
             )
 
-    met = _met(rows, anchors.withColumn("bands", none), count, total)
+    met = _met(rows, anchors.withColumn("bands", none), blocks, total)
     near_rows = _searched(
         met, largest, "anchor long, id long, score long", lambda block: _Positives(block, positives), near
     )
@@ -354,7 +361,7 @@ def mined(embeddings: DataFrame, label: Column, positives: int = POSITIVES, nega
         anchors.join(chosen, anchors["row"] == chosen["anchor"]).drop("anchor"), "anchors"
     )
     hard_rows = _searched(
-        _met(rows, asking, count, total), largest, "anchor long, place int, id long, score long",
+        _met(rows, asking, blocks, total), largest, "anchor long, place int, id long, score long",
         lambda block: _Negatives(block, negatives), hard,
     )
     first = Window.partitionBy("anchor", "place").orderBy(*order)

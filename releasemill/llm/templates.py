@@ -46,6 +46,8 @@ SHORT_UNITS = frozenset("m g l s h v w k c f b n j t".split())  # only right beh
 NUMBER = re.compile(r"[+\-−]?[$€£¥]?\d[\d.,:/]*(?P<unit>[^\W\d_]*|%|°[cf]?)[$€£¥]?", re.I)
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 SIGNED = re.compile(r"[+\-−]?[$€£¥]?\d")
+UNIT_BYTES = frozenset(unit.encode() for unit in UNITS)
+ASCII_EDGES = bytes(b for b in range(128) if not chr(b).isalnum())
 
 SKIPPED, NUM, QTY, NAME, UNIT = 0, 1, 2, 3, 4
 PLACEHOLDERS = {NUM: "<number>", QTY: "<quantity>", NAME: "<name>", UNIT: "<unit>"}
@@ -80,7 +82,7 @@ def template_word(word: bytes) -> tuple[int, str]:
     return _hashed(lowered), lowered
 
 
-def _hashed(lowered: str) -> int:
+def _hashed(lowered: str | bytes) -> int:
     return (xxhash.xxh64_intdigest(lowered) | _LARGE) & ~int(_MARK)
 
 
@@ -93,8 +95,25 @@ def _plain_word(word: bytes) -> tuple[int, str]:
     return code, text
 
 
+def _marked_code(word: bytes) -> int:
+    """Plain code of a word, marked where its case makes it a name."""
+    core = word.strip(ASCII_EDGES)
+    if core.isalpha() and core.isascii():
+        # The common case of `template_word`: no digits, and edges as they are there.
+        lowered = core.lower()
+        code = UNIT if lowered in UNIT_BYTES else _hashed(lowered)
+        upper = core.isupper()
+        name = core[:1].isupper() and not upper or len(core) == 1 and upper and core != b"I"
+        return code | int(_MARK) if name else code
+    code, text = template_word(word)
+    if code != NAME:
+        return code
+    text = text.lower()
+    return (UNIT if text in UNITS else _hashed(text)) | int(_MARK)
+
+
 class Words(dict):
-    """Plain codes of words, marked where they are names, remembered."""
+    """Marked codes of words, remembered."""
 
     def __init__(self):
         super().__init__()
@@ -103,10 +122,7 @@ class Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMORY:
             self.clear()
-        code = _plain_word(word)[0]
-        if template_word(word)[0] == NAME:
-            code |= int(_MARK)
-        self[word] = code
+        code = self[word] = _marked_code(word)
         return code
 
     def whole(self, word: bytes) -> int:
@@ -197,15 +213,16 @@ def _forms(text: bytes | None, known: Words, lengths: list[int] | None):
             yield whole, size
 
 
-_FIELDS = "form int, window long, at long, length long, template string, slots array<string>"
+_FIELDS = "form int, window long, length long, template string, places array<int>, slots array<array<string>>"
 
 
 def windows(frame: DataFrame, text: str, passes: bytes | None = None, lengths: list[int] | None = None) -> DataFrame:
-    """`frame` without `text`, with a row for each window of template words in each form.
+    """`frame` without `text`, with a row for each different window of template words in each form.
 
-    With `passes`, a bit set, only windows whose hash has its bit, and `lengths` are
-    the sizes of whole sequences.  `length` is the number of windows of the text, of
-    a whole sequence that of its words.
+    `places` tells where the window stands, `slots` its values at each place.  With
+    `passes`, a bit set, only windows whose hash has its bit, and `lengths` are the
+    sizes of whole sequences.  `length` is the number of windows of the text, of a
+    whole sequence that of its words.
     """
     kept = [c for c in frame.columns if c != text]
     schema = frame.sparkSession.createDataFrame([], _FIELDS).schema
@@ -217,7 +234,7 @@ def windows(frame: DataFrame, text: str, passes: bytes | None = None, lengths: l
         known = Words()
         bits = None if passes is None else np.frombuffer(passes, dtype=np.uint8)
         for batch in slices(batches):
-            row, kind, hashed, at, length, texts, slots = [], [], [], [], [], [], []
+            row, kind, hashed, length, texts, places, slots = [], [], [], [], [], [], []
             for number, value in enumerate(batch.column(text).to_pylist()):
                 for template, size in _forms(value, known, lengths):
                     hashes = template.hashes(size)
@@ -227,21 +244,26 @@ def windows(frame: DataFrame, text: str, passes: bytes | None = None, lengths: l
                         bit = hashes & np.uint64(len(bits) * 8 - 1)
                         held = (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
                         found = np.flatnonzero(held).tolist()
+                    own: dict[str, tuple[int, list, list]] = {}
                     for place in found:
-                        own, values = template.window(place, size)
+                        spoken, values = template.window(place, size)
+                        _, at, said = own.setdefault(spoken, (int(hashes[place].view(np.int64)), [], []))
+                        at.append(place)
+                        said.append(values)
+                    for spoken, (code, at, said) in own.items():
                         row.append(number)
                         kind.append(template.form)
-                        hashed.append(int(hashes[place].view(np.int64)))
-                        at.append(place)
+                        hashed.append(code)
                         length.append(size if template.form == WHOLE else len(hashes))
-                        texts.append(own)
-                        slots.append(values)
+                        texts.append(spoken)
+                        places.append(at)
+                        slots.append(said)
             chosen = batch.select(kept).take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *chosen.columns, pa.array(kind, pa.int32()),
-                    pa.array(hashed, pa.int64()), pa.array(at, pa.int64()), pa.array(length, pa.int64()),
-                    pa.array(texts, pa.string()), pa.array(slots, pa.list_(pa.string())),
+                    *chosen.columns, pa.array(kind, pa.int32()), pa.array(hashed, pa.int64()),
+                    pa.array(length, pa.int64()), pa.array(texts, pa.string()),
+                    pa.array(places, pa.list_(pa.int32())), pa.array(slots, pa.list_(pa.list_(pa.string()))),
                 ],
                 names=whole.names,
             )
@@ -258,29 +280,85 @@ def _bit_set(benchmark_windows: DataFrame) -> bytes:
     return bits.tobytes()
 
 
-def _aligned(held: DataFrame, group: list[str]) -> DataFrame:
-    """`group, item_at, pairs`: for each place of an item, its match on the region's one alignment.
+# --- regions --------------------------------------------------------------------------
 
-    A window that an item repeats meets each of its places in the document.  The
-    shift with most windows and slots that follow one value is the alignment; each
-    place of the item keeps the match whose shift is nearest to it.
+
+def _codes(values: list[list[str]], known: dict[str, int]) -> np.ndarray:
+    """`places x slots` numbers of slot values."""
+    return np.array([[known.setdefault(v, len(known)) for v in line] for line in values], dtype=np.int64)
+
+
+def aligned(region: list[dict], windows: int, drift: int) -> tuple[float, float]:
+    """Share of an item's windows, and of its slots, that one alignment of a region explains.
+
+    `region` holds each window's places and slots in document and item.  A window that
+    an item repeats meets each of its places, so all shifts are weighed: by their
+    windows and by the slots that follow one value for each value of the item.  Windows
+    count within `drift` of the best shift, and each place of the item is matched once,
+    at the shift nearest to it.
     """
-    # A pair of nulls stands for the window itself, so windows without slots count too.
-    window = F.array(F.struct(F.lit(None).cast("string").alias("item_value"), F.lit(None).cast("string").alias("value")))
-    main = (
-        held.select(*group, "shift", F.explode(F.concat("pairs", window)).alias("pair"))
-        .groupBy(*group, "shift", "pair.item_value", "pair.value").count()
-        .groupBy(*group, "shift", "item_value").agg(F.max("count").alias("most"))
-        .groupBy(*group, "shift").agg(F.sum("most").alias("votes"))
-        .groupBy(*group).agg(F.max(F.struct("votes", (-F.col("shift")).alias("back"))).alias("top"))
-    )
-    main = main.select(*[F.col(c).alias(f"__of_{c}") for c in group], "top")
-    same = [held[c].eqNullSafe(main[f"__of_{c}"]) for c in group]
-    away = F.abs(F.col("shift") + F.col("top.back"))
-    return (
-        held.join(main, same).select(*[held[c] for c in group], "item_at", "shift", "pairs", away.alias("away"))
-        .groupBy(*group, "item_at").agg(F.min_by("pairs", F.struct("away", "shift")).alias("pairs"))
-    )
+    known: dict[str, int] = {}
+    shifts, of, pairs = [], [], []
+    for number, window in enumerate(region):
+        at, item_at = np.array(window["places"]), np.array(window["item_places"])
+        value, item_value = _codes(window["slots"], known), _codes(window["item_slots"], known)
+        shift = at[:, None] - item_at[None, :]
+        p, q = np.divmod(np.arange(shift.size), len(item_at))
+        shifts.append(shift.ravel())
+        of.append(np.stack([np.full(shift.size, number), item_at[q]], axis=1))
+        pairs.append((item_value[q], value[p]))
+    shift, of = np.concatenate(shifts), np.concatenate(of)
+    places, place = np.unique(shift, return_inverse=True)
+    votes = np.bincount(place)
+    # Slots of all matches: (match, value of the item, value of the document).
+    edges = np.cumsum([0, *map(len, shifts)])
+    match = np.concatenate([np.repeat(np.arange(a, a + len(i)), i.shape[1]) for a, (i, _) in zip(edges, pairs)])
+    item_value, value = (np.concatenate([part[side].ravel() for part in pairs]) for side in (0, 1))
+    most, _ = _following(place[match], item_value, value, len(places))
+    best = places[np.argmax(votes + most)]  # the smallest of equal shifts
+    away = np.abs(shift - best)
+    near = away <= drift
+    covered = len(np.unique(of[near, 0]))
+    order = np.lexsort((shift, away))
+    order = order[near[order]]
+    _, first = np.unique(of[order, 1], return_index=True)
+    chosen = np.zeros(len(shift), dtype=bool)
+    chosen[order[first]] = True
+    own = chosen[match]
+    most, every = _following(np.zeros(own.sum(), dtype=np.int64), item_value[own], value[own], 1)
+    return covered / windows, float(most[0] / every[0]) if every[0] else 1.0
+
+
+def _following(group: np.ndarray, item_value: np.ndarray, value: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per group: slots that follow the most frequent value for their item's value, and all slots."""
+    every = np.bincount(group, minlength=groups)
+    if not len(group):
+        return np.zeros(groups), every
+    triples, count = np.unique(np.stack([group, item_value, value], axis=1), axis=0, return_counts=True)
+    starts = np.flatnonzero(np.append(True, (triples[1:, :2] != triples[:-1, :2]).any(axis=1)))
+    return np.bincount(triples[starts, 0], np.maximum.reduceat(count, starts), groups), every
+
+
+def _judged(regions: DataFrame, names: list[str]) -> DataFrame:
+    """`names`, `similarity`, `slot_agreement` of each region."""
+    schema = regions.select(*names).schema.add("similarity", "double").add("slot_agreement", "double")
+
+    def run(batches):
+        for batch in slices(batches, 64):
+            rows = batch.select(["region_windows", "windows", "span"]).to_pylist()
+            found = [aligned(r["region_windows"], r["windows"], _drift(r["span"])) for r in rows]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], pa.array([f[0] for f in found], pa.float64()),
+                 pa.array([f[1] for f in found], pa.float64())],
+                names=schema.names,
+            )
+
+    return regions.mapInArrow(run, schema)
+
+
+def _drift(span):
+    """How far a copy's windows may be from its alignment: the item's length, small items excepted."""
+    return max(span, 2 * WINDOW)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similarity: float = SIMILARITY,
@@ -290,10 +368,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similar
     similarity is the share of the item's distinct windows found near each other in
     the document and must reach `similarity`; slot_agreement is the share of its slots
     that follow one value for each value of the item, each place of the item matched once,
-    and must reach `agreement`.  `keep` has to tell rows of different texts apart; rows
-    equal in it are one.  Both are of the better form of the texts.  An item of fewer
-    than five template words without names is held where its words follow each other,
-    numbers as they are, case aside.  Items without words (null, empty) are in nothing.
+    and must reach `agreement`.  An item is held by one row, whatever other rows share its
+    `keep` columns; what rows equal in them hold is told once.  Both are of the better
+    form of the texts.  An item of fewer than five template words without names is held
+    where its words follow each other, numbers as they are, case aside.  Items without
+    words (null, empty) are in nothing.
+
+    Equal windows of a text are one row with their places, so a window that a document
+    and an item repeat meets once.
     """
     items = materialise(
         windows(
@@ -308,50 +390,47 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similar
     )
     items = materialise(
         items.join(sizes, F.col("__item").eqNullSafe(F.col("__of")) & (F.col("form") == F.col("__form")))
-        .select("__item", "form", "window", "template", F.col("at").alias("item_at"),
+        .select("__item", "form", "window", "template", F.col("places").alias("item_places"),
                 F.col("slots").alias("item_slots"), "windows", "span"),
         "items",
     )
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], utf8(text).alias("__text"))
-    found = windows(source, "__text", _bit_set(items), lengths)
-    met = found.join(items, ["form", "window", "template"])
-    # Matches whose places in document and item differ by about as much form a region;
-    # regions overlap by half, so that each passage lies whole in one.
-    step = F.greatest(F.col("span"), F.lit(2 * WINDOW))
-    shift = F.col("at") - F.col("item_at")
-    regions = F.array(2 * F.floor(shift / step), 2 * F.floor(shift / step + 0.5) + 1)
-    pairs = F.arrays_zip(F.col("item_slots").alias("item_value"), F.col("slots").alias("value"))
-    met = materialise(
-        met.select(
-            *keep, "__item", "form", "windows", "template", "item_at", shift.alias("shift"),
-            F.explode(regions).alias("region"), pairs.alias("pairs"),
-        ),
-        "matches",
+    source = docs.select(
+        *[F.col(f"`{c}`") for c in keep], row_key(f"`{text}`").alias("__row"), utf8(text).alias("__text")
+    )
+    found = windows(source, "__text", _bit_set(items), lengths).drop("length")
+    met = materialise(found.join(items, ["form", "window", "template"]), "matches")
+    # A document is cut into regions three drifts wide; they overlap by half, so that a
+    # passage half as long again as its item lies whole in one.
+    width = 3 * F.greatest(F.col("span"), F.lit(2 * WINDOW))
+    regions = F.concat(
+        F.transform("places", lambda p: 2 * F.floor(p / width)),
+        F.transform("places", lambda p: 2 * F.floor(p / width + 0.5) + 1),
     )
-    group = [*keep, "__item", "form", "region"]
-    covered = (
-        met.groupBy(*group, "windows").agg(F.count_distinct("template").alias("covered"))
+    group = [*keep, "__row", "__item", "form"]
+    covered = materialise(
+        met.select(*group, "windows", "template", F.explode(F.array_distinct(regions)).alias("region"))
+        .groupBy(*group, "windows", "region").agg(F.count_distinct("template").alias("covered"))
         .where(F.col("covered") >= F.lit(similarity) * F.col("windows"))
+        .select(*[F.col(c).alias(f"__of_{c}") for c in group], "region"),
+        "covered",
     )
-    covered = materialise(covered, "covered")
-    same = [met[c].eqNullSafe(covered[c]) for c in group]
-    held = materialise(
-        met.join(covered, same, "left_semi").select(*group, "item_at", "shift", "pairs"), "held"
+    start = F.when(F.col("region") % 2 == 0, F.col("region") / 2).otherwise((F.col("region") - 1) / 2 - 0.5) * width
+    inside = F.filter(
+        F.arrays_zip("places", "slots"), lambda w: (w["places"] >= start) & (w["places"] < start + width)
     )
-    nearest = _aligned(held, group)
-    slots = (
-        nearest.select(*group, F.explode("pairs").alias("pair"))
-        .groupBy(*group, "pair.item_value", "pair.value").count()
-        .groupBy(*group, "item_value").agg(F.max("count").alias("most"), F.sum("count").alias("all"))
-        .groupBy(*group).agg((F.sum("most") / F.sum("all")).alias("agreement"))
+    same = [met[c].eqNullSafe(covered[f"__of_{c}"]) for c in group]
+    own = F.struct(
+        "template", F.col("inside.places").alias("places"), F.col("inside.slots").alias("slots"),
+        "item_places", "item_slots",
     )
-    same = [covered[c].eqNullSafe(slots[c]) for c in group]
-    judged = covered.join(slots, same, "left").select(
-        *[covered[c] for c in group], (F.col("covered") / F.col("windows")).alias("similarity"),
-        F.coalesce("agreement", F.lit(1.0)).alias("slot_agreement"),
+    # A region holds no more windows than it is wide.
+    whole = (
+        met.join(covered, same).withColumn("inside", inside).where(F.size("inside") > 0)
+        .groupBy(*group, "region", "windows", "span").agg(F.collect_set(own).alias("region_windows"))
     )
+    judged = _judged(whole, [*keep, "__item"])
     return (
-        judged.where(F.col("slot_agreement") >= agreement)
+        judged.where((F.col("similarity") >= similarity) & (F.col("slot_agreement") >= agreement))
         .groupBy(*keep, "__item")
         .agg(F.max("similarity").alias("similarity"), F.max("slot_agreement").alias("slot_agreement"))
         .withColumnRenamed("__item", item_id)

@@ -76,6 +76,36 @@ def test_copies_in_another_case_and_short_items(spark):
     assert set(found) == {(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 3), (7, 3), (8, 4)}
 
 
+def test_an_item_is_held_by_one_row(spark):
+    words = ITEM.split()
+    docs, items = frames(spark, [])
+    rows = [(7, " ".join(words[:12]), "en"), (7, " ".join(words[12:]), "en"), (8, ITEM, "en"), (8, ITEM, "en"), (None, ITEM, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = templates.contaminated(docs, items, ["doc_id"]).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.item_id) for r in found) == [(False, 8, 1), (True, None, 1)]
+
+
+def test_many_numbers_stay_linear(spark, monkeypatch):
+    """A table of numbers meets an item of numbers in as many rows as there are regions."""
+    item = "Add " + " ".join(str(3 * k % 97) for k in range(40))
+    text = " ".join(str(k * k % 1009) for k in range(20_000))
+    copy = text[:40_000] + " " + item + " " + text[40_000:]
+    written = []
+    keep = templates.materialise
+    monkeypatch.setattr(templates, "materialise", lambda frame, label: written.append(keep(frame, label)) or written[-1])
+    found = hits(spark, [text, copy], items=[(1, item)])
+    assert set(found) == {(1, 1)}
+    assert sum(frame.count() for frame in written) < 10_000
+
+
+def test_words_are_coded_as_they_are_spelled():
+    """The short way for words of ASCII letters tells what the long one does."""
+    words = "a A I x. Word word, WORD \"Paris\" (km) KM McX _under_ o'clock 5kg 7 --- naïve Élan é x-y the. 'Tis $5 m".split()
+    for word in (w.encode() for w in words):
+        code, plain = templates.template_word(word)[0], templates._plain_word(word)[0]
+        assert templates._marked_code(word) == (plain | int(templates._MARK) if code == templates.NAME else code), word
+
+
 def test_decontaminated_keeps_clean_rows(spark):
     docs, items = frames(spark, [ITEM, "clean words only here today", None, ""])
     repeated = docs.unionAll(docs)
