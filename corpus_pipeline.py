@@ -13,10 +13,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from releasemill.llm import bytebpe, simhash, templates, toxicity
-from releasemill.llm.frames import table, utf8
+from releasemill.llm.frames import table
 from releasemill.workspace import fresh_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -42,12 +41,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = bytebpe.serialise(bytebpe.read_ranks(public_tokenizers.path(VOCABULARY)))
     kept = ["doc_id", "lang", "source", "n_chars"]
-    # A digest stands for the text, so the tasks do not carry it a second time.
-    digest = F.sha2(F.coalesce(utf8("text"), F.lit(b"")), 256)
-    source = docs.select(*kept, digest.alias("__digest"), "text")
-    coded = bytebpe.round_trip(source, model, public_tokenizers.PATTERN, [*kept, "__digest"])
-    same = F.sha2("decoded", 256) == F.col("__digest")
-    return coded.select(*kept, "n_tokens", "ids", same.alias("round_trip"))
+    coded = bytebpe.round_trip(docs, model, public_tokenizers.PATTERN, kept, decoded=False)
+    return coded.withColumnRenamed("same", "round_trip")
 
 
 STAGES = [
