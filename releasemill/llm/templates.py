@@ -48,6 +48,7 @@ EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 SIGNED = re.compile(r"[+\-−]?[$€£¥]?\d")
 UNIT_BYTES = frozenset(unit.encode() for unit in UNITS)
 ASCII_EDGES = bytes(b for b in range(128) if not chr(b).isalnum())
+TEXT_EDGES = ASCII_EDGES.decode()
 
 SKIPPED, NUM, QTY, NAME, UNIT = 0, 1, 2, 3, 4
 PLACEHOLDERS = {NUM: "<number>", QTY: "<quantity>", NAME: "<name>", UNIT: "<unit>"}
@@ -105,6 +106,14 @@ def _marked_code(word: bytes) -> int:
         upper = core.isupper()
         name = core[:1].isupper() and not upper or len(core) == 1 and upper and core != b"I"
         return code | int(_MARK) if name else code
+    core = word.decode("utf-8", "replace").strip(TEXT_EDGES)
+    if core.isalpha():
+        # So are other letters; what is no letter goes the long way.
+        lowered = core.lower()
+        code = UNIT if lowered in UNITS else _hashed(lowered)
+        upper = core.isupper()
+        name = core[0].isupper() and not upper or len(core) == 1 and upper
+        return code | int(_MARK) if name else code
     code, text = template_word(word)
     if code != NAME:
         return code
@@ -334,9 +343,11 @@ def _following(group: np.ndarray, item_value: np.ndarray, value: np.ndarray, gro
     every = np.bincount(group, minlength=groups)
     if not len(group):
         return np.zeros(groups), every
-    triples, count = np.unique(np.stack([group, item_value, value], axis=1), axis=0, return_counts=True)
-    starts = np.flatnonzero(np.append(True, (triples[1:, :2] != triples[:-1, :2]).any(axis=1)))
-    return np.bincount(triples[starts, 0], np.maximum.reduceat(count, starts), groups), every
+    kinds = int(max(item_value.max(), value.max())) + 1
+    triples, count = np.unique((group * kinds + item_value) * kinds + value, return_counts=True)
+    pairs = triples // kinds
+    starts = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+    return np.bincount(pairs[starts] // kinds, np.maximum.reduceat(count, starts), groups), every
 
 
 def _judged(regions: DataFrame, names: list[str]) -> DataFrame:

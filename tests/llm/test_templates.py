@@ -100,7 +100,7 @@ def test_many_numbers_stay_linear(spark, monkeypatch):
 
 def test_words_are_coded_as_they_are_spelled():
     """The short way for words of ASCII letters tells what the long one does."""
-    words = "a A I x. Word word, WORD \"Paris\" (km) KM McX _under_ o'clock 5kg 7 --- naïve Élan é x-y the. 'Tis $5 m".split()
+    words = "a A I x. Word word, WORD \"Paris\" (km) KM McX _under_ o'clock 5kg 7 --- naïve Élan é É ÉTÉ été, ² ½x Ⅷ ª _é_ x-y the. 'Tis $5 m".split()
     for word in (w.encode() for w in words):
         code, plain = templates.template_word(word)[0], templates._plain_word(word)[0]
         assert templates._marked_code(word) == (plain | int(templates._MARK) if code == templates.NAME else code), word
