@@ -29,8 +29,9 @@ def good_records(bronze: DataFrame) -> DataFrame:
 
 
 def field_order(records: DataFrame) -> list[str]:
-    """The first MAX_FIELDS field names, in order of first appearance.
+    """The first MAX_FIELDS field names and one more, in order of first appearance.
 
+    Fields that the records keep as columns are among them wherever they appear first.
     Records of one layout collapse map-side, so only a row per distinct layout
     is shuffled; of the bronze table just `layout` and the ordinals are read.
     """
@@ -45,8 +46,11 @@ def field_order(records: DataFrame) -> list[str]:
         .groupBy("name")
         .agg(F.min(F.struct("first", "pos")).alias("seen"))
     )
-    found = names.orderBy("seen").limit(MAX_FIELDS + 1).collect()
-    return [row["name"] for row in found]
+    first = names.orderBy("seen").limit(MAX_FIELDS + 1)
+    known = _field_columns(records)
+    if known:
+        first = first.union(names.where(F.col("name").isin(*known))).distinct()
+    return [row["name"] for row in sorted(first.collect(), key=lambda row: row["seen"])]
 
 
 def _field_columns(records: DataFrame) -> set[str]:
@@ -64,13 +68,17 @@ def widen(records: DataFrame, fields: list[str] | None = None, keep=LINEAGE) ->
     """One string column per field; a missing field is NULL, a blank one empty.
 
     Lineage columns come along under a `_` prefix, so no field can clash.  Fields
-    above MAX_FIELDS, and those that differ from an earlier one in case only where
+    above MAX_FIELDS, unless the records keep them as columns, and those that differ from an earlier one in case only where
     the session ignores case, are kept in one more column, the map `other_fields`.
     """
     found = field_order(records) if fields is None else list(fields)
     fold = str if records.sparkSession.conf.get(CASE_SENSITIVE) == "true" else str.lower
-    names = {fold(name): name for name in reversed(found[:MAX_FIELDS])}
-    names = [name for name in found if names.get(fold(name)) == name]
+    shown = found
+    if fields is None:
+        known = _field_columns(records)
+        shown = [name for place, name in enumerate(found) if place < MAX_FIELDS or name in known]
+    names = {fold(name): name for name in reversed(shown)}
+    names = [name for name in shown if names.get(fold(name)) == name]
     surplus = []
     if fields is None and len(names) < len(found):
         other = F.map_filter("fields", lambda name, _: ~name.isin(*names))

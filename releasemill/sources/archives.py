@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import errno
 import hashlib
 import io
 import math
-import shutil
 import zipfile
-import zlib
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -62,18 +59,10 @@ def usual_limits() -> Limits:
         NESTED_SPLIT_BYTES, SPLIT_DOCUMENT_BYTES, DOCUMENT_BYTES, HELD_DOCUMENT_BYTES, SEGMENT_CHARS
     )
 
-FORMAT_ERRORS = (
-    zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, ValueError,
-)
-
 
 def is_format_error(error: Exception) -> bool:
     """True when the archive is at fault.  Storage failures are left to task retry."""
-    if isinstance(error, pa.ArrowException):
-        return False
-    if isinstance(error, OSError):
-        return error.errno == errno.EINVAL
-    return isinstance(error, FORMAT_ERRORS)
+    return isinstance(error, ze.FORMAT_ERRORS)
 
 
 def error_text(error: Exception) -> str:
@@ -178,8 +167,10 @@ def _unpacked(outer, info, row, item, folder):
     path = f"{folder}/{name}-{item['entry_ord']}.zip"
 
     def copy(out):
-        with outer.open(info) as body:
-            shutil.copyfileobj(body, out, ze.CHUNK)
+        with ze.library():
+            body = outer.open(info)
+        with body:
+            ze.copy(body, out)
 
     publish(path, copy)
     return path
@@ -197,13 +188,17 @@ def _nested_slices(row, limit, folder, split, document):
     slicer = _Slicer(row["archive"], row["release_ord"], limit, document)
     with open_for_read(row["archive"]) as stream:
         try:
-            with zipfile.ZipFile(stream) as outer:
+            with ze.library():
+                outer = zipfile.ZipFile(stream)
+            with outer:
                 by_offset = {info.header_offset: info for info in outer.infolist()}
                 for item in large:
                     info = by_offset[item["offset"]]
                     path, base, body = None, 0, None
                     if item["method"] == ze.STORED:
-                        base, body = ze.data_offset(stream, item["offset"]), outer.open(info)
+                        base = ze.data_offset(stream, item["offset"])
+                        with ze.library():
+                            body = outer.open(info)
                     else:
                         path = _unpacked(outer, info, row, item, folder)
                         body = open_for_read(path)

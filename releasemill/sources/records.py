@@ -5,8 +5,6 @@ from __future__ import annotations
 import gc
 import itertools
 import math
-import zipfile
-import zlib
 from dataclasses import replace
 
 import pyarrow as pa
@@ -36,10 +34,7 @@ BATCH_BYTES = 32 << 20
 LONGEST_DEVICE_CHARS = 64 << 20
 
 # What parsing raises on documents and workbooks that are not what they should be.
-DOCUMENT_ERRORS = (
-    devicexml.ET.ParseError, zipfile.BadZipFile, zlib.error, EOFError, ValueError, KeyError,
-    IndexError, OverflowError, NotImplementedError, RuntimeError,
-)
+DOCUMENT_ERRORS = (devicexml.ET.ParseError, sheet.SheetError)
 LEGACY_WORKBOOK = b"\xd0\xcf\x11\xe0"
 
 
@@ -62,7 +57,7 @@ def _entry_blocks(entry, reader, limits):
     if entry["kind"] == "xml":
         return _list_blocks(devicexml.records(data), len(data))
     if data.startswith(LEGACY_WORKBOOK):
-        raise ValueError("legacy .xls workbooks are not read")
+        raise sheet.SheetError("legacy .xls workbooks are not read")
     return _stream_blocks(sheet.records(data))
 
 
@@ -240,8 +235,6 @@ def _entry_batches(rows, work, entry, reader, error, limits):
                 yield rows.batch()
     except UnreadableEntry as caught:
         rows.fail(work, entry, str(caught), True)
-    except pa.ArrowException:
-        raise
     except DOCUMENT_ERRORS as caught:
         rows.fail(work, entry, error_text(caught), False)
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import io
+import math
 import posixpath
 import re
+import struct
 import xml.etree.ElementTree as ET
 import zipfile
+import zlib
 from datetime import datetime, timedelta
 
 from releasemill.model import SHEET_NULLS
@@ -23,6 +27,46 @@ FORMAT_LITERALS = re.compile(r'"[^"]*"|\\.|\[(?!h+\]|m+\]|s+\])[^\]]*\]', re.IGN
 CELL_REF = re.compile(r"([A-Z]+)(\d+)")
 
 
+
+class SheetError(Exception):
+    """A workbook is not what it should be."""
+
+
+# What the ZIP and XML libraries raise on such workbooks.
+LIBRARY_ERRORS = (
+    zipfile.BadZipFile, zlib.error, struct.error, EOFError, ET.ParseError, RuntimeError, NotImplementedError, ValueError,
+)
+
+
+@contextlib.contextmanager
+def library():
+    """For calls of these libraries alone."""
+    try:
+        yield
+    except LIBRARY_ERRORS as error:
+        raise SheetError(f"{type(error).__name__}: {error}") from error
+
+
+def _nodes(body):
+    """Elements of a part in the order of their ends."""
+    found = ET.iterparse(body)
+    while True:
+        try:
+            _, node = next(found)
+        except StopIteration:
+            return
+        except LIBRARY_ERRORS as error:
+            raise SheetError(f"{type(error).__name__}: {error}") from error
+        yield node
+
+
+def _whole(text) -> int:
+    try:
+        return int(text)
+    except (TypeError, ValueError):
+        raise SheetError(f"{text!r} is no whole number") from None
+
+
 def _local(node) -> str:
     return node.tag.rpartition("}")[2]
 
@@ -53,40 +97,54 @@ class Workbook:
     """First worksheet of an .xlsx; every cell comes out as text or None."""
 
     def __init__(self, data: bytes):
-        self._zip = zipfile.ZipFile(io.BytesIO(data))
-        book = ET.fromstring(self._zip.read("xl/workbook.xml"))
+        with library():
+            self._zip = zipfile.ZipFile(io.BytesIO(data))
+        self._names = set(self._zip.namelist())
+        book = self._tree("xl/workbook.xml")
         properties = _named(book, "workbookPr")
         self._epoch = (
             EPOCH_1904
             if properties and properties[0].get("date1904") in ("1", "true")
             else EPOCH_1900
         )
-        links = ET.fromstring(self._zip.read("xl/_rels/workbook.xml.rels"))
-        targets = {link.get("Id"): link.get("Target") for link in links}
-        self._sheet = posixpath.join("/xl", targets[_named(book, "sheet")[0].get(REL_ID)])[1:]
-        names = set(self._zip.namelist())
-        self._strings = self._read_strings() if "xl/sharedStrings.xml" in names else []
-        self._dates = self._read_date_styles() if "xl/styles.xml" in names else set()
+        targets = {link.get("Id"): link.get("Target") for link in self._tree("xl/_rels/workbook.xml.rels")}
+        sheets = _named(book, "sheet")
+        target = targets.get(sheets[0].get(REL_ID)) if sheets else None
+        if target is None:
+            raise SheetError("the workbook names no sheet")
+        self._sheet = posixpath.join("/xl", target)[1:]
+        self._strings = self._read_strings() if "xl/sharedStrings.xml" in self._names else []
+        self._dates = self._read_date_styles() if "xl/styles.xml" in self._names else set()
+
+    def _open(self, name):
+        if name not in self._names:
+            raise SheetError(f"there is no part {name!r}")
+        with library():
+            return self._zip.open(name)
+
+    def _tree(self, name):
+        with self._open(name) as body, library():
+            return ET.fromstring(body.read())
 
     def _read_strings(self):
         strings = []
-        with self._zip.open("xl/sharedStrings.xml") as body:
-            for _, node in ET.iterparse(body):
+        with self._open("xl/sharedStrings.xml") as body:
+            for node in _nodes(body):
                 if _local(node) == "si":
                     strings.append(_inline_text(node))
                     node.clear()
         return strings
 
     def _read_date_styles(self):
-        styles = ET.fromstring(self._zip.read("xl/styles.xml"))
+        styles = self._tree("xl/styles.xml")
         custom = {
-            int(fmt.get("numFmtId")): FORMAT_LITERALS.sub("", fmt.get("formatCode", ""))
+            _whole(fmt.get("numFmtId")): FORMAT_LITERALS.sub("", fmt.get("formatCode", ""))
             for fmt in _named(styles, "numFmt")
         }
         dates = set()
         for group in _named(styles, "cellXfs"):
             for index, style in enumerate(group):
-                code = int(style.get("numFmtId", 0))
+                code = _whole(style.get("numFmtId", 0))
                 if code in custom:
                     is_date = bool(DATE_LETTERS.search(custom[code]))
                 else:
@@ -106,17 +164,28 @@ class Workbook:
         if value is None or kind == "e":
             return None
         if kind == "s":
-            value = self._strings[int(value)]
+            place = _whole(value)
+            if not 0 <= place < len(self._strings):
+                raise SheetError(f"there is no string {place}")
+            value = self._strings[place]
         elif kind == "b":
             value = "True" if value == "1" else "False"
         elif kind == "n":
-            value = self._number_text(value, int(cell.get("s", 0)))
+            value = self._number_text(value, _whole(cell.get("s", 0)))
         return None if value in SHEET_NULLS else value
 
     def _number_text(self, value, style):
-        number = float(value)
+        try:
+            number = float(value)
+        except ValueError:
+            raise SheetError(f"{value!r} is no number") from None
+        if not math.isfinite(number):
+            raise SheetError(f"{value!r} is no number")
         if style in self._dates:
-            moment = self._epoch + timedelta(microseconds=round(number * 86_400_000_000))
+            try:
+                moment = self._epoch + timedelta(microseconds=round(number * 86_400_000_000))
+            except OverflowError:
+                raise SheetError(f"{value!r} is no date") from None
             return moment.isoformat(sep=" ")
         # Whole numbers carry no fraction, whatever the other cells hold.
         return str(int(number)) if number == int(number) else repr(number)
@@ -124,11 +193,11 @@ class Workbook:
     def rows(self):
         """(row number, {column number: text}) for every row with a cell."""
         row_number = -1
-        with self._zip.open(self._sheet) as body:
-            for _, node in ET.iterparse(body):
+        with self._open(self._sheet) as body:
+            for node in _nodes(body):
                 if _local(node) != "row":
                     continue
-                row_number = int(node.get("r", row_number + 2)) - 1
+                row_number = _whole(node.get("r", row_number + 2)) - 1
                 cells, column = {}, -1
                 for cell in node:
                     ref = CELL_REF.fullmatch(cell.get("r", ""))

@@ -33,6 +33,10 @@ def _filesystem(scheme: str, bucket: str):
     return pafs.FileSystem.from_uri(f"{scheme}://{bucket}/")[0]
 
 
+class ImpossibleSeek(OSError):
+    """A place in a file that cannot be: its reader was misled, storage is not at fault."""
+
+
 class _RawFile(io.RawIOBase):
     """Arrow file with the error Python code expects from an impossible seek."""
 
@@ -52,7 +56,7 @@ class _RawFile(io.RawIOBase):
         base = {io.SEEK_SET: 0, io.SEEK_CUR: self._file.tell(), io.SEEK_END: self._file.size()}
         target = base[whence] + offset
         if target < 0:
-            raise OSError(errno.EINVAL, "seek before the start of the file")
+            raise ImpossibleSeek(errno.EINVAL, "seek before the start of the file")
         return self._file.seek(min(target, self._file.size()))
 
     def readinto(self, buffer):

@@ -2,17 +2,55 @@
 
 from __future__ import annotations
 
+import contextlib
+import lzma
 import struct
 import zipfile
 import zlib
 
+import pyarrow as pa
+
+from releasemill.sources.storage import ImpossibleSeek
+
 CHUNK = 1 << 20
+# What says that an archive is not what it should be.  Storage failures and mistakes of
+# the code are neither.
+FORMAT_ERRORS = (zipfile.BadZipFile, zlib.error, ImpossibleSeek)
+# What the ZIP library raises on such archives.
+LIBRARY_ERRORS = (
+    EOFError, RuntimeError, NotImplementedError, ValueError, struct.error, lzma.LZMAError, zlib.error, ImpossibleSeek,
+)
 LOCAL_HEADER = "<4s5H3I2H"
 LOCAL_HEADER_SIZE = 30
 STORED, DEFLATED = 0, 8
 ENCRYPTED = 1
 
 
+@contextlib.contextmanager
+def library():
+    """For calls of the ZIP library alone: its many errors become the one for bad archives."""
+    try:
+        yield
+    except pa.ArrowException:  # some are values errors too; they come from storage
+        raise
+    except LIBRARY_ERRORS as error:
+        raise zipfile.BadZipFile(f"{type(error).__name__}: {error}") from error
+    except OSError as error:
+        if error.errno is None:  # bzip2 data
+            raise zipfile.BadZipFile(str(error)) from error
+        raise
+
+
+def copy(body, out) -> None:
+    """The bytes of an entry that the ZIP library opened."""
+    while True:
+        with library():
+            data = body.read(CHUNK)
+        if not data:
+            return
+        out.write(data)
+
+
 def entry_kind(name: str) -> str | None:
     """Case-sensitive suffix decides; anything else is ignored."""
     if name.endswith(".zip"):
@@ -26,7 +64,9 @@ def entry_kind(name: str) -> str | None:
 
 def list_directory(stream, parent=None, base=0, ord_base=0):
     """Entries of one ZIP in directory order, as dicts of ENTRY_STRUCT."""
-    with zipfile.ZipFile(stream) as zf:
+    with library():
+        zf = zipfile.ZipFile(stream)
+    with zf:
         for pos, info in enumerate(zf.infolist()):
             kind = entry_kind(info.filename)
             if parent is not None and kind == "zip":
@@ -73,7 +113,7 @@ def inflate(stream, start: int, packed: int, method: int):
             yield data
         return
     if method != DEFLATED:
-        raise NotImplementedError(f"compression method {method}")
+        raise zipfile.BadZipFile(f"compression method {method}")
     unpack = zlib.decompressobj(-15)
     while left and not unpack.eof:
         data = stream.read(min(CHUNK, left))
@@ -107,7 +147,7 @@ class ArchiveReader:
 
     def chunks(self, entry):
         if entry["flags"] & ENCRYPTED:
-            raise RuntimeError(f"{entry['entry']} is encrypted")
+            raise zipfile.BadZipFile(f"{entry['entry']} is encrypted")
         if entry["method"] not in (STORED, DEFLATED):
             return self._by_library(entry)
         start = data_offset(self._stream, entry["offset"])
@@ -118,11 +158,18 @@ class ArchiveReader:
 
     def _by_library(self, entry):
         # Rare methods (bzip2, lzma): let zipfile unpack this one entry.
-        with zipfile.ZipFile(self._stream) as zf:
+        with library():
+            zf = zipfile.ZipFile(self._stream)
+        with zf:
             found = [i for i in zf.infolist() if i.header_offset == entry["offset"]]
             if not found:
-                raise NotImplementedError(f"compression method {entry['method']}")
-            info = found[0]
-            with zf.open(info) as body:
-                while data := body.read(CHUNK):
+                raise zipfile.BadZipFile(f"compression method {entry['method']}")
+            with library():
+                body = zf.open(found[0])
+            with body:
+                while True:
+                    with library():
+                        data = body.read(CHUNK)
+                    if not data:
+                        return
                     yield data

@@ -232,9 +232,10 @@ def test_storage_errors_are_no_bad_archives(spark):
         ingest.read_bronze(gone, "skip")
 
 
-def test_programming_errors_fail_the_run(spark, landing, monkeypatch):
+@pytest.mark.parametrize("error", [TypeError, KeyError, ValueError, IndexError, RuntimeError, OSError])
+def test_programming_errors_fail_the_run(spark, landing, monkeypatch, error):
     def wrong(data):
-        raise TypeError("not a document's fault")
+        raise error("not a document's fault")
 
     monkeypatch.setattr(rec.devicexml, "records", wrong)
     landing("a.zip", [("a.xml", device_xml({"k": 1}))])
@@ -242,6 +243,27 @@ def test_programming_errors_fail_the_run(spark, landing, monkeypatch):
         ingest.read_bronze(scan(spark, landing.folder), "skip")
 
 
+@pytest.mark.parametrize("error", [KeyError, ValueError, IndexError])
+def test_errors_of_the_sheet_reader_fail_the_run(spark, landing, monkeypatch, error):
+    """A broken workbook is a dead letter, a mistake in its reader is not."""
+    landing("a.zip", [("a.xlsx", zip_bytes([("xl/workbook.xml", "<workbook/>")])), ("b.xlsx", b"PK torn")])
+    letters = ingest.read_bronze(scan(spark, landing.folder), "skip").dead_letter.collect()
+    assert sorted((r["entry"], r["fatal"]) for r in letters) == [("a.xlsx", False), ("b.xlsx", False)]
+
+    def wrong(self, name):
+        raise error("not a workbook's fault")
+
+    monkeypatch.setattr(rec.sheet.Workbook, "_tree", wrong)
+    with pytest.raises(Exception, match="not a workbook's fault"):
+        ingest.read_bronze(scan(spark, landing.folder), "skip")
+
+
+def test_a_refusal_of_storage_is_no_format_error():
+    assert not arc.is_format_error(OSError(22, "invalid argument"))
+    assert not arc.is_format_error(KeyError("k")) and not arc.is_format_error(ValueError("v"))
+    assert arc.is_format_error(arc.ze.ImpossibleSeek(22, "before the start"))
+
+
 def test_payloads_and_native_scan_keep_failures(spark, landing):
     landing("a.zip", [("good.xml", device_xml({"k": 1}, {"k": 2})), ("bad.xml", "<r><devices>"),
                       ("torn.zip", b"PK torn")])

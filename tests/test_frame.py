@@ -55,6 +55,18 @@ def test_surplus_fields_share_a_map(spark, landing, monkeypatch):
     assert rows == [("1", "2", {"c": "3", "d": "4"}), (None, None, {"d": "5"})]
 
 
+def test_known_fields_above_the_cap_keep_their_columns(spark, landing, monkeypatch):
+    """A late record key is a column, so the frame is sorted; what is not shown is in the map."""
+    monkeypatch.setattr(fr, "MAX_FIELDS", 2)
+    late = [{"a": 1, "b": 2, "c": 3, "PRDNAME": "up", "prdName": "p", "deviceRecordKey": "K2"}, {"deviceRecordKey": "K1"}]
+    landing("1.zip", [("x.xml", device_xml(*late))])
+    frame = merged(spark, landing.folder, ("deviceRecordKey", "prdName"))
+    assert frame.columns == ["a", "b", "prdName", "deviceRecordKey", "other_fields"]
+    assert list(map(tuple, frame.collect())) == [
+        (None, None, None, "K1", {}), ("1", "2", "p", "K2", {"c": "3", "PRDNAME": "up"}),
+    ]
+
+
 def test_sort_by_key_missing_last_duplicates_kept(spark, landing):
     key = "deviceRecordKey"
     landing("1.zip", [("x.xml", device_xml({key: "b"}, {"n": "none"}, {key: "a", "n": "first"}))])
