@@ -112,6 +112,51 @@ def feed_documents(spark: SparkSession, sf_dir: str, page: int = 100) -> DataFra
     ).select("feed")
 
 
+CAPTURE_ITEMS = 100
+
+
+def _write_captures(folder, later):
+    """Files of each page: first a good capture, then, if `later`, one that is not whole.
+
+    Pages take turns: cut in their last item, without content, an error page, an item
+    without its end, and a whole capture again, of other titles.
+    """
+
+    def run(batches):
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for page, group in itertools.groupby(rows, lambda r: r["page"]):
+            items = [
+                f"<item><title>{'old ' if not later else ''}{r['title']}</title><link>{r['link']}</link></item>"
+                for r in group
+            ]
+            body = '<?xml version="1.0"?><rss version="2.0"><channel><title>all</title>' + "".join(items)
+            whole = f"{body}</channel></rss>"
+            fate = page % 5
+            if later:
+                whole = (
+                    body[:-12], "", "<!DOCTYPE html><html><body><p>502</body></html>",
+                    whole.replace("</item>", "", 1), whole,
+                )[fate]
+            path = f"{folder}/page={page}/{'2' if later else '1'}.xml"
+            publish(path, lambda out, data=whole.encode(): out.write(data))
+            yield pa.RecordBatch.from_pylist([{"path": path}])
+
+    return run
+
+
+def feed_captures(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of two captures for every hundred orders; the second of most is broken."""
+    folder = fresh_path(spark, "captures")
+    rows = with_position(feed_rows(spark, sf_dir, "daily"), [F.col("feed_pos").asc()], "position")
+    paged = rows.withColumn("page", F.expr(f"(position - 1) div {CAPTURE_ITEMS}"))
+    for later in (False, True):
+        (
+            paged.repartition("page").sortWithinPartitions("page", "position")
+            .mapInArrow(_write_captures(folder, later), "path string").count()
+        )
+    return folder
+
+
 # --- device records from part ------------------------------------------------------
 
 

@@ -20,7 +20,8 @@ from releasemill.model import RECORD_KEY, TARGET_SCHEMA, TITLE_PATTERNS
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
 from releasemill.operators import metrics, sinks
-from releasemill.plans import ingest
+from releasemill.operators.published import PublishedTable
+from releasemill.plans import ingest, runs
 from releasemill.sources import archives as arc
 from releasemill.sources import feed
 from releasemill.sources.records import parse_payloads_native
@@ -848,24 +849,50 @@ def latest_by_kind(spark, sf):
     return ingest.ingest_latest(catalog, daily.unionByName(weekly))
 
 
+# Pages of a hundred orders; the item of a page that its newest capture has cut or damaged
+# is lost, and where that capture has no items at all the one before counts.
+SQL_PAGES = """
+WITH numbered AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders),
+paged AS (SELECT *, place // 100 AS page, place % 100 AS feed_pos,
+                 count(*) OVER (PARTITION BY place // 100) AS items FROM numbered),
+kept AS (
+  SELECT *, page % 5 IN (1, 2) OR items = 1 AND page % 5 = 0 AS from_old FROM paged
+  WHERE NOT (page % 5 = 0 AND items > 1 AND feed_pos = items - 1 OR page % 5 = 3 AND feed_pos = 0))
+SELECT page, feed_pos - CASE WHEN page % 5 = 3 THEN 1 ELSE 0 END AS feed_pos,
+       CASE WHEN from_old THEN 'old ' ELSE '' END
+       || CASE WHEN o_orderkey % 17 = 0 THEN 'NOTICE_' || o_orderkey
+               WHEN o_orderkey % 13 = 0 THEN 'UDID_DAY_UPDATE_20261301'
+               ELSE 'UDID_DAY_UPDATE_' || strftime(o_orderdate, '%Y%m%d') END AS title,
+       'https://feed.example/' || o_orderkey || '.zip' AS link
+FROM kept
+"""
+
+
+def _capture_page(path):
+    return F.regexp_extract(path, "page=([0-9]+)", 1)
+
+
+@query(SQL_PAGES)
+def newest_capture(spark, sf):
+    """Two captures of every page of the feed: the older one must not repeat its releases, unless the newer is broken."""
+    found = feed.captures(spark, bind.feed_captures(spark, sf), _capture_page(F.col("path")))
+    items, _ = feed.scan_feeds(found)
+    return items.select(F.col("feed").cast("long").alias("page"), "feed_pos", "title", "link")
+
+
 @query("""
-SELECT 0 AS feed_pos, 'rows ' || count(*) AS title FROM part
-UNION ALL SELECT 1, 'sizes ' || sum(p_size) FROM part
+WITH pages AS (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 AS page FROM orders),
+sized AS (SELECT page, count(*) AS items FROM pages GROUP BY page)
+SELECT page, CASE page % 5 WHEN 0 THEN 'partial' WHEN 1 THEN 'empty' WHEN 2 THEN 'foreign' WHEN 3 THEN 'partial'
+  ELSE 'whole' END AS verdict, CAST(CASE WHEN page % 5 IN (0, 3) THEN 1 ELSE 0 END AS INTEGER) AS lost,
+  CAST(CASE WHEN page % 5 IN (1, 2) THEN 0 WHEN page % 5 IN (0, 3) THEN items - 1 ELSE items END AS INTEGER) AS items
+FROM sized
 """)
-def newest_capture(spark, sf):
-    """Two captures of one feed: the older one must not repeat its releases."""
-    totals = bind.table(spark, sf, "part").agg(F.count("*").alias("n"), F.sum("p_size").alias("s"))
-    item = "<item><title>{0}</title><link>{1}</link></item>"
-    body = F.format_string(
-        "<rss><channel>" + item.format("rows %d", "a") + item.format("sizes %d", "b") + "</channel></rss>",
-        "n", "s",
-    )
-    folder = fresh_path(spark, "captures")
-    old = totals.select(F.lit("<rss><channel>" + item.format("old", "a") + "</channel></rss>"))
-    for n, frame in enumerate((old, totals.select(body))):
-        frame.write.mode("append").text(f"{folder}/{n}")
-    items = feed.scan_feed(spark, f"{folder}/*", "daily")
-    return items.select("feed_pos", "title")
+def capture_verdicts(spark, sf):
+    """What the newest capture of every page is worth."""
+    found = feed.captures(spark, bind.feed_captures(spark, sf), _capture_page(F.col("path")))
+    read = feed.judged(found.where(F.col("path").endswith("/2.xml")))
+    return read.select(F.col("feed").cast("long").alias("page"), "verdict", "lost", F.size("items").alias("items"))
 
 
 @query(SQL_DEV + f"""
@@ -884,3 +911,54 @@ def delivered_release(spark, sf):
     names = ("device_record_key", "prd_name", "prd_code", "spec_model", "org_name", "unit", "notes",
              "data_date", "source_type")
     return spark.read.parquet(path).select(*names)
+
+
+@query(SQL_DEV + f"SELECT {SQL_FIELDS} FROM dev WHERE arc % 3 <> 2")
+def resumed_ingest(spark, sf):
+    """All releases over three runs: a first that sees a half of them, one that repeats it, and one that finds nothing new."""
+    catalog, path = cat.build_catalog(bind.release_rows(spark, sf)), fresh_path(spark, "ledger")
+    landed = scan(spark, sf, "faulty")
+    early = landed.where(F.pmod(F.xxhash64("file_name"), F.lit(2)) == 0)
+    for archives in (early, landed, landed):
+        runs.ingest_remaining(catalog, archives, path)
+    return runs.Ledger(spark, path).frame()
+
+
+@query(SQL_DEV + """,
+docs AS (SELECT DISTINCT file_name, arc FROM dev)
+SELECT file_name, arc % 3 <> 2 AS ok, CAST(CASE WHEN arc % 3 = 2 THEN 2 ELSE 1 END AS BIGINT) AS runs FROM docs
+""")
+def release_ledger(spark, sf):
+    """What the runs note of each release: one that could not be read is tried again by every run."""
+    catalog, path = cat.build_catalog(bind.release_rows(spark, sf)), fresh_path(spark, "ledger")
+    for _ in range(2):
+        runs.ingest_remaining(catalog, scan(spark, sf, "faulty"), path)
+    states = runs.Ledger(spark, path).releases()
+    return states.groupBy(file_name()).agg(F.bool_or("ok").alias("ok"), F.count("*").alias("runs"))
+
+
+@query(SQL_DEV + f"SELECT {SQL_TARGET} FROM dev")
+def published_append(spark, sf):
+    """Target rows appended by one run, repeated, and by a run that fails half-way."""
+    table = PublishedTable(spark, fresh_path(spark, "published"))
+    rows = target_rows(spark, sf)
+    torn = rows.withColumn("unit", F.when(F.col("prd_name").isNotNull(), F.raise_error(F.lit("torn"))))
+    for run, frame in (("a", rows), ("a", rows), ("b", torn)):
+        try:
+            table.append(run, {"devices": frame})
+        except Exception as error:
+            if "torn" not in str(error):
+                raise
+    return as_text(table.read("devices", TARGET_SCHEMA), "download_time")
+
+
+@query(SQL_DEV + f"SELECT * REPLACE (nullif(notes, '') AS notes) FROM (SELECT {SQL_TARGET} FROM dev)")
+def table_append_text(spark, sf):
+    """Rows of the target table in a table of tab-separated text."""
+    location = fresh_path(spark, "table")
+    table = f"{sinks.TARGET_TABLE}_{location.rsplit('-', 1)[1]}"
+    sinks.create_table(spark, table, location, "text")
+    sinks.write_table(target_rows(spark, sf), table)
+    rows = spark.table(table)
+    # Text cannot tell empty from missing; the notes alone hold empty ones.
+    return as_text(rows.withColumn("data_zip_file", F.coalesce("data_zip_file", F.lit(""))), "download_time")

@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import logging
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from releasemill.functions.text import clean_text
+from releasemill.sources import feedxml
+from releasemill.sources.storage import open_for_read, resolve
+from releasemill.workspace import _hadoop, materialise
+
+log = logging.getLogger(__name__)
 
 ITEM = "struct<title:string,link:string>"
 # RSS 2.0 keeps its items under `channel`, RSS 1.0 directly under the root.
 FEED_SHAPE = f"channel struct<item:array<{ITEM}>>, item array<{ITEM}>"
 
+VERDICT_SCHEMA = f"feed string, path string, modificationTime timestamp, verdict string, lost int, items array<{ITEM}>"
+
+# Captures of each feed that are read at once, newest first: mostly the newest will do.
+FIRST_ROUND, LATER_ROUNDS = 1, 16
+
+
+class UnreadableFeed(Exception):
+    """None of a feed's captures can be read."""
+
 
 def feed_items(feeds: DataFrame, xml: Column, *keep) -> DataFrame:
     """Items of feed documents in feed order: `title, link` (missing is empty), `pos`.
@@ -20,7 +38,11 @@ def feed_items(feeds: DataFrame, xml: Column, *keep) -> DataFrame:
     """
     parsed = feeds.select(*keep, F.from_xml(clean_text(xml), FEED_SHAPE).alias("feed"))
     items = F.coalesce(F.col("feed.channel.item"), F.col("feed.item"))
-    return parsed.select(*keep, F.posexplode(items).alias("pos", "item")).select(
+    return _exploded(parsed.select(*keep, items.alias("items")), *keep)
+
+
+def _exploded(feeds: DataFrame, *keep) -> DataFrame:
+    return feeds.select(*keep, F.posexplode("items").alias("pos", "item")).select(
         *keep,
         F.col("pos").cast("long").alias("pos"),
         F.coalesce("item.title", F.lit("")).alias("title"),
@@ -28,21 +50,146 @@ def feed_items(feeds: DataFrame, xml: Column, *keep) -> DataFrame:
     )
 
 
-def newest_capture(spark: SparkSession, location: str) -> str:
-    """Path of the feed file at `location` that was written last; ties go by name."""
-    files = spark.read.format("binaryFile").load(location)
-    newest = files.agg(F.max(F.struct("modificationTime", "path")).alias("file")).first()["file"]
-    if newest is None:
-        raise FileNotFoundError(f"no captured feed at {location}")
-    return newest["path"]
+def _list_files(roots):
+    """Every file below `roots`, without content too: the binary source would leave those out."""
+
+    def run(batches):
+        for _ in batches:
+            for root in roots:
+                fs, name = resolve(root)
+                prefix = root.removesuffix(name) if root.endswith(name) else "file:"
+                found = fs.get_file_info(name)
+                if found.type == pafs.FileType.Directory:
+                    infos = fs.get_file_info(pafs.FileSelector(name, recursive=True))
+                else:
+                    infos = [found]
+                files = [i for i in infos if i.type == pafs.FileType.File and not i.base_name.startswith(("_", "."))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([prefix + i.path for i in files], pa.string()),
+                        pa.array([i.mtime_ns // 1000 for i in files], pa.timestamp("us", "UTC")),
+                        pa.array([i.size for i in files], pa.int64()),
+                    ],
+                    names=["path", "modificationTime", "length"],
+                )
+
+    return run
+
+
+def captures(spark: SparkSession, location: str, feed: Column | None = None) -> DataFrame:
+    """Captured files at `location`, by name and time alone: `feed, path, modificationTime, length`.
+
+    `location` is a file, a folder, or a pattern.  `feed` tells which feed a file (column
+    `path`) is a capture of; all are of one without it.
+    """
+    of = F.lit("") if feed is None else feed
+    filesystem, target = _hadoop(spark, location)
+    roots = [status.getPath().toString() for status in filesystem.globStatus(target) or []]
+    files = spark.range(1).repartition(1).mapInArrow(
+        _list_files(roots), "path string, modificationTime timestamp, length long"
+    )
+    return files.select(of.alias("feed"), "path", "modificationTime", "length")
+
+
+def _read_captures():
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                with open_for_read(row["path"]) as body:
+                    verdict, lost, items = feedxml.read_bytes(body.read())
+                yield pa.RecordBatch.from_pylist(
+                    [{**row, "verdict": verdict, "lost": lost, "items": items}], schema=_VERDICT_ARROW
+                )
 
+    return run
 
-def scan_feed(spark: SparkSession, location: str, kind: str) -> DataFrame:
-    """Items of the newest captured feed of one release kind: `kind, feed_pos, title, link`.
 
-    Earlier captures list the same releases again, so they are not read.
+_VERDICT_ARROW = pa.schema([
+    ("feed", pa.string()), ("path", pa.string()), ("modificationTime", pa.timestamp("us", "UTC")),
+    ("verdict", pa.string()), ("lost", pa.int32()),
+    ("items", pa.list_(pa.struct([("title", pa.string()), ("link", pa.string())]))),
+])
+
+
+def judged(found: DataFrame) -> DataFrame:
+    """The captures with what could be read of them: `verdict, lost, items`.
+
+    `whole` and `partial` (cut off, or with items that cannot be told) have items;
+    `empty` is a file without content and `foreign` one that is no feed.  A partial
+    capture keeps its whole items and counts the others as `lost`.
+    """
+    rows = found.select("feed", "path", "modificationTime")
+    return rows.mapInArrow(_read_captures(), VERDICT_SCHEMA)
+
+
+def usable() -> Column:
+    """Whether a capture tells what a feed lists: a cut one does if it holds items."""
+    return (F.col("verdict") == feedxml.WHOLE) | (F.col("verdict") == feedxml.PARTIAL) & (F.size("items") > 0)
+
+
+def latest_readable(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of each feed the newest capture that can be read, and the newer ones that cannot.
+
+    Captures are read newest first (ties go by name), one for each feed and then some at
+    a time, and only of feeds that are not settled: the older ones of a feed that lists
+    its releases again and again are never opened.
     """
-    feeds = spark.read.text(newest_capture(spark, location), wholetext=True)
-    return feed_items(feeds, F.col("value")).select(
+    order = Window.partitionBy("feed").orderBy(F.col("modificationTime").desc(), F.col("path").desc())
+    ranked = materialise(found.withColumn("rank", F.row_number().over(order)), "captures")
+    settled, skipped, first, size, open_feeds = [], [], 1, FIRST_ROUND, None
+    while True:
+        own = ranked.where(F.col("rank").between(first, first + size - 1))
+        if open_feeds is not None:
+            own = own.join(open_feeds, "feed", "left_semi")
+        if own.isEmpty():
+            break
+        seen = materialise(judged(own), "verdicts").withColumn("usable", usable())
+        newest = Window.partitionBy("feed").orderBy(F.col("modificationTime").desc(), F.col("path").desc())
+        before = F.max(F.col("usable").cast("int")).over(newest.rowsBetween(Window.unboundedPreceding, -1))
+        told = seen.withColumn("later", F.coalesce(before, F.lit(0)) == 0).where("later").drop("later")
+        settled.append(told.where("usable").drop("usable"))
+        skipped.append(told.where("not usable").drop("usable", "items"))
+        open_feeds = materialise(
+            own.select("feed").distinct().join(seen.where("usable"), "feed", "left_anti"), "open-feeds"
+        )
+        first, size = first + size, LATER_ROUNDS
+    if not settled:
+        none = found.sparkSession.createDataFrame([], VERDICT_SCHEMA)
+        return none, none.drop("items")
+    for frames in (settled, skipped):
+        while len(frames) > 1:
+            frames[0] = frames[0].unionByName(frames.pop())
+    return settled[0], skipped[0]
+
+
+def scan_feeds(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items `feed, feed_pos, title, link` of each feed's newest readable capture, and the skipped captures.
+
+    A feed of which no capture can be read has no items; `latest_readable` tells them apart.
+    """
+    chosen, skipped = latest_readable(found)
+    items = _exploded(chosen, "feed").withColumnRenamed("pos", "feed_pos")
+    return items, skipped
+
+
+def scan_feed(spark: SparkSession, location, kind: str) -> DataFrame:
+    """Items of the newest readable capture of one release kind: `kind, feed_pos, title, link`.
+
+    Earlier captures list the same releases again, so they are read only where the newest
+    is broken; what was skipped goes to the log.  Without any readable capture the run fails.
+    """
+    found = captures(spark, location)
+    if found.isEmpty():
+        raise FileNotFoundError(f"no captured feed at {location}")
+    chosen, skipped = latest_readable(found)
+    unread = skipped.select("path", "verdict").limit(5).collect()
+    if unread:
+        log.warning("captures of %s skipped: %s", location, [tuple(row) for row in unread])
+    if chosen.isEmpty():
+        raise UnreadableFeed(f"no capture at {location} can be read, among them {[tuple(row) for row in unread]}")
+    partial = chosen.where(F.col("verdict") == feedxml.PARTIAL).select("path", "lost").first()
+    if partial:
+        log.warning("%s is cut off or damaged; %s items are lost", *partial)
+    return _exploded(chosen).select(
         F.lit(kind).alias("kind"), F.col("pos").alias("feed_pos"), "title", "link"
     )
