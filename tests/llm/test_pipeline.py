@@ -8,7 +8,7 @@ def test_registered():
     known = __spark_entry__.queries()
     assert set(queries.QUERIES) <= set(known) and known["pipeline"] is corpus_pipeline.run
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near-duplicates", "decontamination", "byte-level BPE"
     ]
