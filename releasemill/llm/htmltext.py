@@ -3,13 +3,15 @@
 Each page's containers are scored by their own text; the generalised paths (tags with
 classes, digits removed) of the best ones are votes for their host.  Pages are then
 extracted again from the containers on a winning path of their host, their own best
-one if it wins; a page without a host, such a container or text in it uses its own.
+one if it wins; a page without a host or whose text on those paths is small beside its
+own best container uses that one.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,7 +38,8 @@ WORD = re.compile(r"[a-z]+")
 
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noframes xmp template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe noframes xmp template svg annotation"
+                " annotation-xml".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset"
     " figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol"
@@ -83,21 +86,32 @@ VOTES = 3
 LEAST_SHARE = 0.5
 # Share of a host's pages whose best container a path must be to win beside the first.
 WINNING_SHARE = 0.2
+# Least value of a page's containers on a winning path, beside its own best one.
+OVERRULING_SHARE = 0.25
 
 
 class Node:
-    __slots__ = ("parent", "tag", "words", "path", "depth", "chrome", "soft", "inside", "linked",
-                 "size", "links", "whole")
+    __slots__ = ("parent", "tag", "words", "label", "key", "reach", "depth", "chrome", "soft", "inside",
+                 "linked", "size", "links", "whole")
 
     def __init__(self, parent, tag, words, label, chrome, soft):
-        self.parent, self.tag, self.words = parent, tag, words
-        self.path = f"{parent.path}>{label}" if parent else label
+        self.parent, self.tag, self.words, self.label = parent, tag, words, label
+        self.key = 0  # of equal paths in a page the same number
+        self.reach = parent.reach + 1 + len(label) if parent else len(label)  # length of the path
         self.depth = parent.depth + 1 if parent else 0
         self.chrome, self.soft = chrome, soft  # soft: judged by its class alone
         self.inside = tag in ("article", "main") or bool(parent and parent.inside)
         self.linked = tag == "a" or bool(parent and parent.linked)
         self.size = self.links = self.whole = 0  # whole: with class-judged chrome
 
+    def path(self) -> str:
+        """Labels from the root down; made when asked for, as all of a deep page are quadratic."""
+        labels, node = [], self
+        while node is not None:
+            labels.append(node.label)
+            node = node.parent
+        return ">".join(reversed(labels))
+
 
 def _label(tag: str, rest: str) -> tuple[str, list[str], list[str], str, bool]:
     """Generalised name, words of class and id, the classes and id, role, hidden."""
@@ -135,9 +149,14 @@ class Page:
         self.root = Node(None, "html", [], "html", False, False)
         self.nodes = [self.root]
         self.runs: list[tuple[Node, str]] = []  # text; "\n" alone ends a block
-        stack, at, size = [self.root], 0, len(source)
+        self.opened: Counter[str] = Counter()  # tags on the stack
+        self.keys: dict[tuple[int, str], int] = {}
+        stack, at, size, last = [self.root], 0, len(source), source.rfind(">")
         while at < size:
             start = source.find("<", at)
+            if start > last and not source.startswith(("<!--", "<![CDATA["), start):
+                self._text(stack[-1], source[at:])  # no mark ends any more
+                break
             found = MARKUP.match(source, start) if start >= 0 else None
             if not found:  # text up to the next mark; a mark that begins no tag is text
                 end = source.find("<", start + 1) if start >= 0 else -1
@@ -174,18 +193,24 @@ class Page:
 
     def _pop(self, stack: list[Node], names: tuple[str, ...], scopes=frozenset()) -> bool:
         """End the nearest open element of these names, if no scope lies between."""
+        if not any(self.opened[name] for name in names):
+            return False
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in names:
-                del stack[k:]
+                self._cut(stack, k)
                 return True
             if stack[k].tag in scopes:
                 return False
         return False
 
+    def _cut(self, stack: list[Node], start: int) -> None:
+        self.opened.subtract(node.tag for node in stack[start:])
+        del stack[start:]
+
     def _open(self, stack: list[Node], tag: str, rest: str) -> None:
         if tag in ("html", "body", "head"):
             if tag == "body":
-                stack[1:] = []
+                self._cut(stack, 1)
                 self._push(stack, tag, rest)
             return
         if tag in ENDS:
@@ -209,8 +234,11 @@ class Page:
         if own and not soft:  # the article itself is never inside its page's soft chrome
             up = parent
             while up is not None and tag in ("article", "main"):
-                up.soft, up = False, up.parent
+                up.soft = False  # those above another article have lost theirs to it
+                up = None if up.tag in ("article", "main") else up.parent
+        node.key = self.keys.setdefault((parent.key, label), len(self.keys) + 1)
         self.nodes.append(node)
+        self.opened[tag] += 1
         stack.append(node)
 
     def _close(self, stack: list[Node], tag: str) -> None:
@@ -268,14 +296,20 @@ class Page:
         return hint * (node.size - 2 * node.links)
 
     def best(self) -> list[tuple[float, Node]]:
-        """Containers with text, best first; of equals the deeper one."""
+        """Containers with text, best first; of equals the deeper one, then the first."""
         scored = [
             (self.value(n), n) for n in self.nodes if (n.tag in CONTAINERS or n is self.root) and not n.chrome and n.size
         ]
         scored = [(v, n) for v, n in scored if v > 0] or [(1.0, n) for _, n in scored]
-        scored.sort(key=lambda pair: (-pair[0], -pair[1].depth, pair[1].path))
+        scored.sort(key=lambda pair: (-pair[0], -pair[1].depth))
         return scored
 
+    def on_path(self, path: str) -> list[Node]:
+        """The nodes on a path that are no chrome."""
+        likely = {n.key: n for n in self.nodes if n.reach == len(path) and path.endswith(n.label)}
+        keys = {key for key, node in likely.items() if node.path() == path}
+        return [n for n in self.nodes if n.key in keys and not n.chrome]
+
     def text(self, chosen: set[int]) -> str:
         """Blocks of the chosen nodes in page order."""
         inside: dict[int, bool] = {}
@@ -304,24 +338,29 @@ def votes(source: str | None) -> Iterator[tuple[str, int]]:
         share = value / best[0][0]
         if len(seen) == VOTES or share < LEAST_SHARE:
             return
-        if node.path not in seen:
-            seen.add(node.path)
-            yield node.path, round(1000 * share / len(seen))
+        if node.key not in seen:
+            seen.add(node.key)
+            yield node.path(), round(1000 * share / len(seen))
 
 
 def extract(source: str | None, path: str | list[str] | None) -> str:
     """Text of the containers on a winning path, else of the page's best container, else of the page.
 
-    Of several paths the one of the page's best container counts, else that with most text.
+    Of several paths the one of the page's best container counts, else that with most
+    text.  A path on which the page has little beside its best container does not
+    count: the page has another template, and the path holds no more than a teaser.
     """
     page = Page(source or "")
     best = page.best()
+    if not best:
+        return page.text({id(page.root)})
+    value, top = best[0]
     paths = [path] if isinstance(path, str) else path or []
-    if best and best[0][1].path in paths:
-        paths = [best[0][1].path]
-    texts = [page.text({id(n) for n in page.nodes if n.path == p and not n.chrome}) for p in paths]
-    text = max(texts, key=len, default="")
-    return text or page.text({id(best[0][1] if best else page.root)})
+    found = [nodes for nodes in map(page.on_path, paths) if nodes]
+    own = [nodes for nodes in found if nodes[0].key == top.key]
+    worth = [n for n in own or found if sum(map(page.value, n)) >= OVERRULING_SHARE * value]
+    text = max((page.text(set(map(id, nodes))) for nodes in worth), key=len, default="")
+    return text or page.text({id(top)})
 
 
 def consensus(pages: DataFrame, host: str, html: str) -> DataFrame:
@@ -364,7 +403,7 @@ def extracted(pages: DataFrame, id_column: str = "page_id", url: str = "url",
     """`id, url, text, n_chars` of every row.
 
     Null and empty pages, and pages of chrome alone, have an empty text.  Pages
-    without a host use their own best container.  Blocks are trimmed, white space inside is one
+    without a host, or of a rarer template of theirs, use their own best container.  Blocks are trimmed, white space inside is one
     space, and one line feed joins them.  Repeated rows all come back.
     """
     source = pages.select(

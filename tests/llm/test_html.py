@@ -1,3 +1,6 @@
+import time
+import tracemalloc
+
 import duckdb
 
 from llm_helpers import SF_SMALL
@@ -46,24 +49,52 @@ def test_visible_text_is_not_taken_for_chrome():
 
 
 def test_consensus_overrules_a_page(spark):
-    """A page whose own best container is another one follows its host."""
+    """A page whose own best container is another one follows its host, if it has its article there."""
     usual = "<body><div class='story'><p>{0}</p></div><div class='more'><p>short</p></div></body>"
-    odd = "<body><div class='story'><p>kept</p></div><div class='more'><p>{0}</p></div></body>"
-    rows = [(k, f"http://h.example.org/{k}", usual.format("long text " * 30)) for k in range(5)]
-    rows += [(9, "http://h.example.org/9", odd.format("aside " * 40)), (10, None, "<p>x"), (11, "no", None)]
-    rows += [(11, "no", None)]
+    odd = "<body><div class='story'><p>{1}</p></div><div class='more'><p>{0}</p></div></body>"
+    rows = [(k, f"http://h.example.org/{k}", usual.format("long text " * 30)) for k in range(20, 32)]
+    rows += [(9, "http://h.example.org/9", odd.format("aside " * 40, "kept words " * 12))]
+    rows += [(8, "http://h.example.org/8", odd.format("an article " * 40, "teaser only"))]
+    rows += [(10, None, "<p>x"), (11, "no", None), (11, "no", None)]
     pages = spark.createDataFrame(
         [(*r, "p", "h") for r in rows], "page_id long, url string, html string, path string, host string"
     )
     found = {r.page_id: r for r in htmltext.extracted(pages).collect()}
-    paths = htmltext.consensus(pages.selectExpr("url host", "html").where("page_id < 10"), "host", "html")
-    assert {r.path for r in paths.collect()} == {"html>body>div.story", "html>body"}
-    assert found[9].text == "kept"
+    paths = htmltext.consensus(pages.selectExpr("url host", "html").where("page_id >= 20"), "host", "html")
+    assert {r.path for r in paths.collect()} == {"html>body>div.story"}
+    assert found[9].text == ("kept words " * 12).strip()
+    assert ("an article " * 40).strip() in found[8].text
     assert found[10].text == "x" and found[11].text == "" and found[11].n_chars == 0
-    assert htmltext.extracted(pages).count() == 9
+    assert htmltext.extracted(pages).count() == 17
     assert htmltext.extracted(pages.limit(0)).count() == 0
 
 
+def test_formulas_are_text():
+    page = "<p>Formula <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds"
+    assert htmltext.extract(page, None) == "Formula x=2 holds"
+
+
+def test_depth_and_stray_marks_cost_linear_memory_and_time():
+    depth = 50_000
+    pages = [
+        "<div class='block'>" * depth + "deep" + "</div>" * depth,
+        "<article>" * depth + "deep",
+        "<div>" * depth + "deep" + "</foo>" * depth,
+        "<b>" * depth + "deep" + "</i>" * depth,
+        "deep" + "<a " * depth,
+    ]
+    start = time.monotonic()
+    for page in pages:
+        assert htmltext.extract(page, "html>body>div.story").startswith("deep")
+        assert len(list(htmltext.votes(page))) <= htmltext.VOTES
+    assert time.monotonic() - start < 60
+    tracemalloc.start()
+    htmltext.extract("<div class='block'>" * 20_000 + "deep", None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 << 20
+
+
 def test_templates_of_a_host_and_pages_without_one(spark):
     news = "<body><article class='news'><p>" + "long text " * 30 + "</p></article></body>"
     other = "<body><article class='news'><p>teaser</p></article><article class='review'><p>{0}</p></article></body>"
