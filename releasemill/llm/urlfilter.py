@@ -19,6 +19,8 @@ BUCKETS = 1 << 14
 GRAMS = (3, 4, 5)
 # Rows of the labelled table that are taken to the driver to fit the model.
 TRAINING_ROWS = 10_000
+# Share of URLs that are to be blocked, before anything is known of one.
+PRIOR = 0.25
 
 
 @dataclass(frozen=True)
@@ -42,90 +44,175 @@ RULES = (
     Rule("allow", "org", "/fr/"),
 )
 
-# The small labelled URL table (1: block, 0: allow).
+# The small labelled URL table (1: block, 0: allow), of usual kinds of sites.
+# Both labels have the same top domains, prefixes and kinds of paths, so that these tell nothing.
 LABELLED = (
     (1, """
-spam-farm.example.org/en/1
-www.spam-farm.example.com/fr/12
-link-spam.example.com/en/5
-spam-links.example.org/es/7
-cheap-pills.example.com/en/3
-www.cheap-pills.example.org/de/8
-buy-pills-online.example.com/en/offer
-cheap-meds.example.org/order
-cheap-watches.example.com/en/replica
-best-cheap-loans.example.com/apply
-payday-loans.example.org/en/now
-free-casino.example.com/en/play
-casino-bonus.example.org/es/win
-online-casino.example.com/slots
-poker-jackpot.example.org/en/bet
-sex-chat.example.com/en/live
-adult-cams.example.org/xxx
-hot-singles.example.com/xxx/9
-free-money.example.org/en/win
-win-prize.example.com/claim-prize
-click-here-now.example.org/en/free-gift
-free-iphone.example.com/winner
-seo-backlinks.example.org/buy-links
-content-farm.example.com/en/18
-link-farm.example.org/fr/2
-malware-download.example.com/crack
-warez-crack.example.org/keygen
-torrent-crack.example.com/en/serial
-phishing-login.example.org/verify-account
-replica-bags.example.com/en/discount
-m.ads-network.example.com/en/4
-ads-click.example.org/es/31
-track-ads.example.com/fr/2
-blog.win-casino.example.org/en/6
-casino-winner.example.com/es/12
-casino-wins.example.org/en/8
-bets-online.example.com/en/77
-free-bets-now.example.org/de/5
-adult-video.example.com/en/9
-adult-xx.example.org/fr/14
+www.luckycasino.com/slots/bonus
+royal-casino-online.org/en/12
+casino-jackpots.net/roulette
+bestpoker-room.com/fr/7.html
+blog.poker-deposit.org/en/register
+sportsbets24.net/de/305
+www.bets-and-odds.com/signup
+betting-tips-vip.org/es/48/
+m.bingo-slots.net/free-spins
+viagra-online.com/en/12
+discount-pills.org/en/no-prescription
+pills-express.net/fr/7.html
+www.cheapmeds-rx.com/tramadol
+weight-loss-miracle.org/de/305
+diet-pills-now.net/en/buy
+adultcams.com/es/48/
+blog.adult-dating.org/en/join
+xxxvideos.net/en/12
+www.hot-xxx-girls.com/12
+sexchat-live.org/fr/7.html
+m.porn-tube.net/en/99
+escort-girls.com/de/305
+adserver.trackingpixel.org/click/88
+ads.clickbanner.net/es/48/
+www.popunder-ads.com/serve/13
+tracker.adclicks.org/en/12
+adtrack-pixel.net/imp/31
+spammail-blast.com/fr/7.html
+blog.spamlinks.org/submit
+linkfarm-seo.net/de/305
+www.buy-backlinks.com/pagerank
+article-spinner.org/es/48/
+m.replica-watches.net/rolex
+cheap-handbags.com/en/12
+cheap-jerseys.org/en/wholesale
+payday-cash.net/fr/7.html
+www.fastloans-nocredit.com/en/now
+free-gift-cards.org/de/305
+winprize.net/you-won
+free-ringtones.com/es/48/
+blog.get-free-coins.org/hack
+paypa1-secure.net/en/12
+www.account-update.com/login/confirm
+crackz-keygen.org/fr/7.html
+m.warez-full.net/en/crack
+torrent-cracked.com/de/305
+make-money-fast.org/start
+crypto-doubler.net/es/48/
+www.slotmachines-vip.com/en/12
+blackjack-online.org/fr/7.html
+lottery-winner-today.net/de/305
+cialis-generic.com/es/48/
+blog.steroids-shop.org/about
+hair-growth-pills.net/index.html
+www.webcam-girls.com/en/12
+nude-pics.org/fr/7.html
+m.adult-toys-cheap.net/de/305
+banner-exchange-ads.com/es/48/
+click-tracker.org/about
+pixel-ads-server.net/index.html
+www.email-spam-tool.com/en/12
+guest-post-links.org/fr/7.html
+rank-booster-seo.net/de/305
+fake-rolex-replica.com/es/48/
+blog.debt-free-loans.org/about
+gift-card-winner.net/index.html
+www.bank-login-verify.com/en/12
+password-reset-secure.org/fr/7.html
+m.cracked-software.net/de/305
+serial-keygen.com/es/48/
+earn-cash-home.org/about
+forex-profit-bot.net/index.html
 """),
     (0, """
-www.therion.example.org/en/471
-blog.thernd.example.com/en/612
-thering.example.com/en/328/
-www.therti.example.org/en/334/
-m.ththth.example.com/en/25
-ththtion.example.org/es/384
-blog.ththan.example.com/es/874
-ththin.example.com/en/671
-thther.example.org/en/685
-www.ththen.example.com/en/148.html
-blog.ththly.example.org/en/777
-ththed.example.org/de/252
-ththed.example.org/en/453
-www.university.example.org/en/library/
-news.example.com/en/2021/05/story.html
-docs.example.org/en/guide/install.html
-www.museum.example.org/es/visita
-blog.garden.example.com/fr/recettes/41
-m.weather.example.com/en/today
-city.example.org/de/verkehr
-forum.example.org/en/topic/812
-shop.example.com/en/books/77
-www.school.example.org/en/courses
-wiki.example.org/en/history
-travel.example.com/es/rutas/3
-health.example.org/en/advice/9
-science.example.com/en/articles/15
-music.example.org/en/concerts
-www.library.example.com/fr/96
-sport.example.com/en/results/7
-blog.tionble.example.com/en/41
-tiontion.example.com/en/97
-m.therwin.example.org/en/12
-open-science.example.org/en/18
-city-library.example.com/es/6
-garden-club.example.org/fr/44
-farm-museum.example.com/en/3
-free-library.example.org/en/8
-adult-education.example.org/en/courses
+www.university.com/admissions/dates
+physics.university.org/en/12
+library.city.net/en/opening-hours
+parliament.com/fr/7.html
+blog.weather.national.org/forecast/7
+museum-of-nature.net/de/305
+www.hospital-trust.com/departments
+school.district.org/es/48/
+m.news.dailypost.net/2021/05/story.html
+evening-times.com/en/12
+regional-radio.org/programmes/en/4
+magazine.science.net/fr/7.html
+www.docs.framework.com/en/guide/install.html
+wiki.opensource.org/de/305
+forum.gardeners.net/topic/812
+cooking-recipes.com/es/48/
+blog.travelnotes.org/en/2018/lisbon
+mountain-hiking.net/en/12
+www.cityguide.com/de/verkehr
+train-times.org/fr/7.html
+m.books.publisher.net/catalogue/1204
+orchestra.com/de/305
+film-archive.org/es/colecciones/6
+theatre.town.net/es/48/
+www.chess-club.com/members/44
+football-league.org/en/12
+running.athletics.net/en/records
+maths.tutorials.com/fr/7.html
+blog.languages.school.org/es/curso/2
+history.essays.net/de/305
+www.weather-station.org/de/305
+newspaper.net/en/471
+m.photography.com/es/48/
+engineering.org/en/685/
+shop.bookstore.net/en/12
+recipes.kitchen.com/de/252
+www.astronomy.observatory.org/fr/7.html
+local-history.net/fr/874
+pharmacy-college.com/de/305
+public-library.org/en/free-events
+blog.adult-education.net/es/48/
+agriculture.com/en/12
+www.airport.org/fr/7.html
+algebra.net/de/305
+m.anatomy.com/es/48/
+architecture.org/about
+bakery.net/index.html
+ballet.com/en/12
+www.beekeeping.org/fr/7.html
+biology.net/de/305
+botany.com/es/48/
+bridge-building.org/about
+blog.brass-band.net/index.html
+bus-timetable.com/en/12
+www.carpentry.org/fr/7.html
+cathedral.net/de/305
+m.ceramics.com/es/48/
+choir.org/about
+climate.net/index.html
+college-alumni.com/en/12
+www.computing.org/fr/7.html
+cricket.net/de/305
+dentist.com/es/48/
+dictionary.org/about
+blog.drawing.net/index.html
+economics.com/en/12
+www.electronics.org/fr/7.html
+embroidery.net/de/305
+m.encyclopedia.com/es/48/
+family-tree.org/about
+fire-brigade.net/index.html
+fishing.com/en/12
+www.forestry.org/fr/7.html
+geography.net/de/305
+glaciers.com/es/48/
+grammar.org/about
+blog.handwriting.net/index.html
+harbour.com/en/12
+www.insects.org/fr/7.html
+journalism.net/de/305
+m.kindergarten.com/es/48/
+knitting.org/about
+lighthouse.net/index.html
+linguistics.com/en/12
+www.literature.org/fr/7.html
+medicine.net/de/305
+meteorology.com/es/48/
+mineral-collection.org/about
+blog.nursing.net/index.html
+parish.com/en/12
+www.philosophy.org/fr/7.html
 """),
 )
 
@@ -202,7 +289,7 @@ def fit(labelled: DataFrame, buckets: int = BUCKETS, steps: int = 400, rate: flo
     row = np.repeat(np.arange(len(own)), [len(x) for x in own])
     column = np.concatenate(own)
     value = np.concatenate([np.full(len(x), 1 / np.sqrt(max(1, len(x)))) for x in own])
-    share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
+    share = np.where(labels == 1, PRIOR / labels.sum(), (1 - PRIOR) / (1 - labels).sum())
     bias = 0.0
     for _ in range(steps):
         z = np.bincount(row, weights[column] * value, len(own)) + bias
