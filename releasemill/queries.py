@@ -290,8 +290,7 @@ def landing_stream(spark, sf):
         batch.select("file_name").write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
 
     for _ in range(2):
-        # One trigger takes all files, so the batch number does not depend on their count.
-        stream = landing.landing_stream(spark, folder, max_files=2**31 - 1)
+        stream = landing.landing_stream(spark, folder, f"{checkpoint}-log")
         landing.run_available(stream, note, checkpoint)
     return spark.read.schema("file_name string, batch long").parquet(seen)
 

@@ -7,26 +7,25 @@ from pyspark.sql import functions as F
 
 from releasemill.model import KNOWN_FIELDS
 from releasemill.plans.ingest import read_bronze
-from releasemill.sources.archives import scan_archives, with_archive_columns
-from releasemill.workspace import exists
+from releasemill.streaming import source
+from releasemill.workspace import exists, qualified
 
 OTHER_FIELDS = "other_fields"
 ARCHIVE_SCHEMA = "archive string, length long, modification_time timestamp, ok boolean"
-BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-
-
-def landing_stream(spark: SparkSession, location: str, glob: str = "*.zip",
-                   max_files: int = 1000) -> DataFrame:
-    """Newly landed archives, by name: their content is not read by the source."""
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_SCHEMA)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files)
-        .load(location)
+
+
+def landing_stream(spark: SparkSession, location: str, log: str, glob: str = "*.zip") -> DataFrame:
+    """Archives that are new or changed, as `scan_archives` gives them; nothing of them is read.
+
+    `log` is a folder of the stream's own on shared storage, kept with its checkpoint.
+    Files without a byte have not landed yet.
+    """
+    source.register(spark)
+    return (
+        spark.readStream.format(source.NAME)
+        .option("log", qualified(spark, log)).option("glob", glob)
+        .load(qualified(spark, location))
     )
-    return with_archive_columns(files)
 
 
 def run_available(stream: DataFrame, write_batch, checkpoint: str) -> None:
@@ -81,35 +80,12 @@ def append_records(target: str, fields=KNOWN_FIELDS):
     return write
 
 
-def retry_changed(spark: SparkSession, location: str, target: str, fields=KNOWN_FIELDS) -> int:
-    """Take up archives that were incomplete when seen and have changed since.
-
-    The stream's source remembers names alone: a file that was empty or could not be
-    read would be lost.  An archive counts as changed by its length or time.
-    These batches are numbered -1, -2, ...; returns the number of archives.
-    """
-    state = _archives(spark, target)
-    seen = ["archive", "length", "modification_time"]
-    waiting = (
-        scan_archives(spark, location).filter("length > 0")
-        .join(state.filter("ok").select("archive"), "archive", "left_anti")
-        .join(state.select(*seen), seen, "left_anti")
-    )
-    count = waiting.count()
-    if count:
-        last = state.agg(F.min("batch")).first()[0] or 0
-        append_records(target, fields)(waiting, min(last, 0) - 1)
-    return count
-
-
 def ingest_incremental(spark: SparkSession, location: str, target: str, checkpoint: str,
                        fields=KNOWN_FIELDS) -> None:
     """Everything that has landed, or was completed, since the last run.
 
     Files should land by rename; one that did not is taken up by a later run, once
-    it can be read.
+    it has changed.  An archive that was read stays as it was then.
     """
-    run_available(
-        landing_stream(spark, location), append_records(target, fields), checkpoint
-    )
-    retry_changed(spark, location, target, fields)
+    stream = landing_stream(spark, location, f"{target}_landed")
+    run_available(stream, append_records(target, fields), checkpoint)

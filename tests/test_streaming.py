@@ -1,7 +1,10 @@
 """The landing folder as a stream."""
 
+import pytest
+
 from conftest import device_xml, zip_bytes
 from releasemill.streaming import landing as ls
+from releasemill.streaming import source
 
 
 def test_each_archive_is_ingested_once(spark, landing, tmp_path):
@@ -59,13 +62,79 @@ def test_a_replayed_batch_replaces_itself(spark, landing, tmp_path):
     assert spark.read.parquet(str(tmp_path / "target")).count() == 1
 
 
-def test_the_source_reads_names_only(spark, landing, tmp_path):
-    landing("1.zip", [("a.xml", device_xml({"deviceRecordKey": "K1"}))])
-    stream = ls.landing_stream(spark, landing.folder).select("archive")
-    query = (
-        stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c"))
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    plan = query._jsq.explainInternal(False)
-    assert "ReadSchema: struct<path:string>" in plan
+def rows_of(spark, stream, checkpoint):
+    """Names and lengths that a run of the stream brings."""
+    found = []
+
+    def note(batch, batch_id):
+        found.extend((r["file_name"], r["length"]) for r in batch.collect())
+
+    ls.run_available(stream, note, checkpoint)
+    return sorted(found)
+
+
+def test_the_source_tells_versions(spark, landing, tmp_path):
+    log, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
+
+    def run(checkpoint=checkpoint):
+        return rows_of(spark, ls.landing_stream(spark, landing.folder, log), checkpoint)
+
+    landing("1.zip", b"abc")
+    landing("2.zip", b"")
+    landing("notes.txt", b"no")
+    landing("_hidden.zip", b"no")
+    assert run() == [("1.zip", 3)]
+    assert run() == []
+    landing("2.zip", b"now")
+    landing("1.zip", b"longer")
+    assert run() == [("1.zip", 6), ("2.zip", 3)]
+    # Another checkpoint takes up the whole log in one batch: a file comes once, as it is last.
+    assert run(str(tmp_path / "other")) == [("1.zip", 6), ("2.zip", 3)]
+
+
+def test_listing_equals_the_batch_scan(spark, landing, tmp_path):
+    from releasemill.sources.archives import scan_archives
+
+    landing("1 a%20b.zip", b"abc")
+    landing("2.zip", b"abcd")
+    seen = str(tmp_path / "seen")
+    stream = ls.landing_stream(spark, landing.folder, str(tmp_path / "log"))
+    ls.run_available(stream, lambda b, _: b.write.parquet(seen), str(tmp_path / "checkpoint"))
+    columns = ["archive", "file_name", "length", "release_ord"]
+    found = [tuple(r) for r in spark.read.parquet(seen).select(*columns).collect()]
+    wanted = [tuple(r) for r in scan_archives(spark, landing.folder).select(*columns).collect()]
+    assert sorted(found) == sorted(wanted)
+
+
+def test_a_batch_that_failed_comes_again_as_it_was(spark, landing, tmp_path):
+    log, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
+
+    def fail(batch, batch_id):
+        raise RuntimeError("lost")
+
+    landing("1.zip", b"abc")
+    with pytest.raises(Exception, match="lost"):
+        ls.run_available(ls.landing_stream(spark, landing.folder, log), fail, checkpoint)
+    landing("1.zip", b"changed")
+    landing("2.zip", b"x")
+    batches = {}
+
+    def note(batch, batch_id):
+        batches[batch_id] = sorted((r["file_name"], r["length"]) for r in batch.collect())
+
+    for _ in range(2):
+        ls.run_available(ls.landing_stream(spark, landing.folder, log), note, checkpoint)
+    assert batches == {0: [("1.zip", 3)], 1: [("1.zip", 7), ("2.zip", 1)]}
+
+
+def test_a_log_is_read_from_its_newest_summary(tmp_path, monkeypatch):
+    folder, read = str(tmp_path / "log"), []
+    whole = source.Log(folder)
+    for k in range(1, 2 * source.SUMMARY_ENTRIES + 3):
+        assert whole.note({"a": (k, 0), f"b{k}": (1, 1)}) == k
+        assert whole.note({"a": (k, 0)}) == k
+    plain = source._read
+    monkeypatch.setattr(source, "_read", lambda path: read.append(path) or plain(path))
+    again = source.Log(folder)
+    assert (again.known, again.last) == (whole.known, whole.last)
+    assert len(read) == 3
