@@ -51,12 +51,12 @@ def _flat(frame: DataFrame) -> DataFrame:
     return frame.withColumns({name: F.to_json(F.col(f"`{name}`")) for name in maps})
 
 
-def write_csv(frame: DataFrame, path: str) -> str:
-    """Comma-separated part files, each with the header; blank for NULL and empty.
+def write_csv(frame: DataFrame, path: str, head: bool = True) -> str:
+    """Comma-separated part files, each with the header (`head`); blank for NULL and empty.
 
     In a frame of one column a blank is quoted: an empty line would be no row.
     """
-    options, frame = dict(CSV_OPTIONS), _flat(frame)
+    options, frame = CSV_OPTIONS | {"header": head}, _flat(frame)
     if len(frame.columns) == 1:
         name = frame.columns[0]
         frame = frame.select(F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).alias(name))
@@ -208,16 +208,19 @@ def write_table(frame: DataFrame, table: str) -> None:
 
 
 def save_file(frame: DataFrame, path: str, requested: str = "csv",
-              guard: int = EXCEL_ROW_GUARD, on_saved=None) -> str:
+              guard: int = EXCEL_ROW_GUARD, on_saved=None, one_file: bool = False) -> str:
     """Write a file output, then call `on_saved(frame)`, whose errors do not matter.
 
-    Returns the format written, which is CSV where a workbook has too few rows.
+    CSV is a folder of parts, or with `one_file` one file under one header.  Returns the
+    format written, which is CSV where a workbook has too few rows.
     """
+    from releasemill.operators.onefile import write_csv_file
+
     written = route_format(frame, requested, guard)
     if written == "excel":
         write_excel(frame, path, guard)
     else:
-        write_csv(frame, path)
+        (write_csv_file if one_file else write_csv)(frame, path)
     if on_saved is not None:
         try:
             on_saved(frame)

@@ -145,12 +145,13 @@ def target_rows(frame: DataFrame, *, kind: str, identifier: str, now) -> DataFra
 
 
 def deliver(frame: DataFrame, *, kind: str, identifier: str, folder: str, now,
-            requested: str = "csv", write_database=None, on_saved=None) -> dict:
+            requested: str = "csv", write_database=None, on_saved=None, one_file: bool = False) -> dict:
     """Save one run's frame by the rules: database first, else a file named by rule.
 
     `write_database(rows)` gets the target rows, staged once.  Without it, or where it
     fails, the renamed records with their metadata go to a file in `folder`, as
-    `requested` or as CSV where a workbook is too small.  Returns `target`
+    `requested` or as CSV where a workbook is too small (with `one_file` as one file, not
+    as a folder of parts).  Returns `target`
     (database or file), `format` and `path`.
     """
     saved = {"target": "database", "format": None, "path": None}
@@ -162,7 +163,7 @@ def deliver(frame: DataFrame, *, kind: str, identifier: str, folder: str, now,
         extension = "xlsx" if written == "excel" else "csv"
         path = f"{folder.rstrip('/')}/{sinks.output_name(kind, identifier, now, extension)}"
         saved.update(target="file", path=path)
-        saved["format"] = sinks.save_file(named, path, written, on_saved=on_saved)
+        saved["format"] = sinks.save_file(named, path, written, on_saved=on_saved, one_file=one_file)
 
     rows = target_rows(frame, kind=kind, identifier=identifier, now=now)
     sinks.save_with_fallback(rows, write_database, write_file)
@@ -171,7 +172,8 @@ def deliver(frame: DataFrame, *, kind: str, identifier: str, folder: str, now,
 
 def save_release(archives: DataFrame, *, kind: str, identifier: str, write=None,
                  on_bad_archive: str = "fail", folder: str | None = None, now=None,
-                 requested: str = "csv", write_database=None, on_saved=None) -> dict:
+                 requested: str = "csv", write_database=None, on_saved=None,
+                 one_file: bool = False) -> dict:
     """Ingest, save, and report on the run.
 
     The frame goes to `write(frame)`, or without it through `deliver` to a database
@@ -186,7 +188,7 @@ def save_release(archives: DataFrame, *, kind: str, identifier: str, write=None,
     elif frame.columns:
         saved = deliver(
             frame, kind=kind, identifier=identifier, folder=folder, now=now, requested=requested,
-            write_database=write_database, on_saved=on_saved,
+            write_database=write_database, on_saved=on_saved, one_file=one_file,
         )
     seconds = time.monotonic() - started
     sizes = metrics.archive_bytes(entry_manifest(bronze.slices))

@@ -19,7 +19,7 @@ from releasemill.functions import titles
 from releasemill.model import RECORD_KEY, TARGET_SCHEMA, TITLE_PATTERNS
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
-from releasemill.operators import metrics, sinks
+from releasemill.operators import metrics, onefile, sinks
 from releasemill.operators.published import PublishedTable
 from releasemill.plans import ingest, runs
 from releasemill.sources import archives as arc
@@ -589,6 +589,18 @@ def full_release_rows(spark, sf):
     return sinks.read_csv(spark, path, frame.schema)
 
 
+@query(SQL_DEV + f"""
+SELECT {SQL_FIELDS_FILE}, row_number() OVER (ORDER BY "deviceRecordKey" NULLS LAST, key) - 1 AS line FROM dev
+""")
+def single_csv(spark, sf):
+    """Sorted records as one file under one header, put together from small pieces, with their lines."""
+    parsed = bronze(spark, sf, "plain")
+    frame = ingest.merged_frame(parsed).select(*bind.PART_FIELDS)
+    path = onefile.write_csv_file(frame, fresh_path(spark, "single-csv"), piece_bytes=1 << 14)
+    # One file of quoted text is read in order, in one piece.
+    return sinks.read_csv(spark, path, frame.schema).withColumn("line", F.monotonically_increasing_id())
+
+
 # --- counts -------------------------------------------------------------------------------------
 
 
