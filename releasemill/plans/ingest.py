@@ -13,7 +13,7 @@ from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
 from releasemill.operators import metrics, sinks
 from releasemill.sources.archives import Limits, Slices, entry_manifest, list_slices
-from releasemill.sources.records import parse_slices
+from releasemill.sources.records import parse_slices_counted
 from releasemill.workspace import release, small_side
 
 
@@ -32,6 +32,16 @@ class Bronze:
     slices: Slices
     rows: DataFrame
     bad_archives: DataFrame | None
+    counts: dict[str, int] | None = None  # of `rows`, if their write has taken them
+
+    def record_count(self) -> int:
+        """Number of `records`."""
+        if self.counts and self.bad_archives is None:
+            return self.counts["records"]
+        return self.records.count()
+
+    def failure_count(self) -> int:
+        return self.counts["failures"] if self.counts else metrics.failure_count(self.rows).first()["failures"]
 
     @property
     def records(self) -> DataFrame:
@@ -62,16 +72,16 @@ def read_bronze(archives: DataFrame, on_bad_archive: str = "fail",
     no records at all.  `columns` are stored as columns of their own.
     """
     slices = list_slices(archives, limits)
-    rows = parse_slices(slices, columns)
+    rows, counts = parse_slices_counted(slices, columns)
     fatal = rows.filter("fatal")
-    failures = fatal.count()
+    failures = counts["fatal"] if counts else fatal.count()
     if failures == 0:
-        return Bronze(slices, rows, None)
+        return Bronze(slices, rows, None, counts)
     if on_bad_archive == "fail":
         shown = fatal.select("archive", "entry", "error").limit(5).collect()
         raise BadArchive(f"{failures} unreadable archives or entries, among them {shown}")
     bad = fatal.select("archive").distinct()
-    return Bronze(slices, rows, small_side(bad, failures))
+    return Bronze(slices, rows, small_side(bad, failures), counts)
 
 
 def merged_frame(bronze: Bronze, sort: bool = True, fields=None, lineage=False) -> DataFrame:
@@ -192,13 +202,14 @@ def save_release(archives: DataFrame, *, kind: str, identifier: str, write=None,
         )
     seconds = time.monotonic() - started
     sizes = metrics.archive_bytes(entry_manifest(bronze.slices))
-    mib = (sizes.agg(F.sum("total_bytes")).first()[0] or 0) / (1 << 20)
+    total = sizes.agg(F.sum("total_bytes").alias("bytes"), F.count("*").alias("archives")).first()
+    mib = (total["bytes"] or 0) / (1 << 20)
     return {
         "kind": kind,
         "identifier": identifier,
-        "archives": sizes.count(),
-        "records": bronze.records.count(),
-        "failures": metrics.failure_count(bronze.rows).first()["failures"],
+        "archives": total["archives"],
+        "records": bronze.record_count(),
+        "failures": bronze.failure_count(),
         "mib": mib,
         "seconds": seconds,
         "mib_per_second": mib / seconds if seconds > 0 else 0.0,

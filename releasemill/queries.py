@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from releasemill import bindings as bind
 from releasemill.functions import text as tx
 from releasemill.functions import titles
-from releasemill.model import RECORD_KEY, TARGET_SCHEMA, TITLE_PATTERNS
+from releasemill.model import RECORD_KEY, RENAMES, TARGET_SCHEMA, TITLE_PATTERNS
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
 from releasemill.operators import metrics, onefile, sinks
@@ -924,6 +924,37 @@ def delivered_release(spark, sf):
     return spark.read.parquet(path).select(*names)
 
 
+@query(SQL_DEV + f""", bad AS ({SQL_FAILURES})
+SELECT 'daily' AS kind, count(*) AS records, (SELECT count(*) FROM bad) AS failures, 'database' AS target,
+       count(*) AS written FROM dev WHERE arc % 3 <> 2
+""")
+def run_report(spark, sf):
+    """The report of a run over archives of which some are torn, beside the rows it wrote."""
+    path = fresh_path(spark, "reported")
+    report = ingest.save_release(
+        scan(spark, sf, "faulty"), kind="daily", identifier="20260326", now=NOW, on_bad_archive="skip",
+        write_database=lambda rows: rows.write.parquet(path),
+    )
+    names = ("kind", "records", "failures", "target")
+    made = spark.createDataFrame(
+        [tuple(report[n] for n in names)], "kind string, records long, failures long, target string"
+    )
+    return made.withColumn("written", F.lit(spark.read.parquet(path).count()).cast("long"))
+
+
+@query(SQL_DEV + f"SELECT {SQL_FIELDS} FROM dev")
+def saved_callback(spark, sf):
+    """What the callback after a save is given: the frame as it was saved."""
+    path = fresh_path(spark, "called")
+    ingest.save_release(
+        scan(spark, sf, "plain"), kind="full", identifier="20260326", now=NOW,
+        folder=fresh_path(spark, "saved"), on_saved=lambda frame: frame.write.parquet(path),
+    )
+    return spark.read.parquet(path).select(
+        *[F.col(RENAMES.get(n, n)).alias(n) for n in bind.PART_FIELDS]
+    )
+
+
 @query(SQL_DEV + f"SELECT {SQL_FIELDS} FROM dev WHERE arc % 3 <> 2")
 def resumed_ingest(spark, sf):
     """All releases over three runs: a first that sees a half of them, one that repeats it, and one that finds nothing new."""

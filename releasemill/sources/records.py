@@ -26,7 +26,7 @@ from releasemill.sources.archives import (
     open_slice,
     work_items,
 )
-from releasemill.workspace import materialise, small_side
+from releasemill.workspace import materialise, materialise_counted, small_side
 
 # An output batch ends at either bound.
 BATCH_ROWS = 8192
@@ -265,7 +265,16 @@ def _read_slices(work: DataFrame, schema, columns, limits) -> DataFrame:
 
 
 def parse_slices(slices: Slices, columns=()) -> DataFrame:
-    """Records and failures of every entry, one row each (written to the workspace).
+    """The rows of `parse_slices_counted`."""
+    return parse_slices_counted(slices, columns)[0]
+
+
+def parse_slices_counted(slices: Slices, columns=()) -> tuple[DataFrame, dict[str, int] | None]:
+    """Records and failures of every entry, one row each (written to the workspace), and their counts.
+
+    The counts (`records`, `failures`, `fatal`) are taken by the write itself; they are
+    None where documents are cut into segments, as the rows of those that must be read
+    again are known only afterwards.
 
     `columns` come out as columns of their own; `fields` maps whatever else a
     record holds.  An entry that fails gives one row with `error` set; `fatal`
@@ -284,10 +293,14 @@ def parse_slices(slices: Slices, columns=()) -> DataFrame:
         "archive", "release_ord", "error", F.lit(True).alias("fatal")
     )
     parsed = _read_slices(work_items(usual), schema, columns, slices.limits)
-    rows = materialise(parsed.unionByName(unlisted, allowMissingColumns=True), "records")
+    failed = F.col("error").isNotNull()
+    rows, counts = materialise_counted(
+        parsed.unionByName(unlisted, allowMissingColumns=True), "records",
+        records=F.count_if(~failed), failures=F.count_if(failed), fatal=F.count_if(F.col("fatal")),
+    )
     if slices.documents:
-        rows = rows.unionByName(_parse_large(slices, schema, columns))
-    return rows
+        return rows.unionByName(_parse_large(slices, schema, columns)), None
+    return rows, counts
 
 
 # --- documents too large for one task ------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Key sets up to this many rows are broadcast; larger ones are joined by shuffle.
@@ -64,6 +64,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_counted(df: DataFrame, label: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """`materialise`, and aggregates over the rows taken while they are written.
+
+    Each task's share counts once, when it has succeeded, so repeated tasks change
+    nothing; `df` must end in the tasks that write, without a shuffle after the aggregates.
+    """
+    seen = Observation()
+    table = materialise(df.observe(seen, *[column.alias(name) for name, column in counts.items()]), label)
+    return table, seen.get
+
+
 def release(df: DataFrame) -> None:
     """Delete the workspace tables that `df` reads, and nothing else."""
     spark = df.sparkSession

@@ -220,3 +220,32 @@ def test_released_tables_are_gone(spark, landing):
     bronze.release()
     assert not any(map(os.path.exists, files)) and other.records.count() == 1
     assert glob.glob(f"{landing.folder}/*.zip")
+
+
+def jobs_of(spark, name, run):
+    context = spark.sparkContext
+    context.setJobGroup(name, name)
+    try:
+        result = run()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(context.statusTracker().getJobIdsForGroup(name))
+
+
+def test_counts_are_taken_by_the_write(spark, landing):
+    """They equal those of the written rows, without a job of their own."""
+    landing("a.zip", [("a.xml", GOOD), ("b.xml", "<")])
+    landing("b.zip", b"broken")
+    landing("c.zip", [("c.xml", device_xml({"deviceRecordKey": "C"}, {"deviceRecordKey": "D"}))])
+    bronze = ingest.read_bronze(scan_archives(spark, landing.folder), "skip")
+    rows = bronze.rows
+    assert bronze.counts == {
+        "records": rows.where("error is null").count(), "failures": rows.where("error is not null").count(),
+        "fatal": rows.where("fatal").count(),
+    }
+    assert bronze.record_count() == bronze.records.count()
+    assert jobs_of(spark, "failures", bronze.failure_count) == (2, 0)
+    whole = ingest.read_bronze(scan_archives(spark, landing.folder, "[ac].zip"))
+    assert jobs_of(spark, "records", whole.record_count) == (whole.records.count(), 0)
+    none = ingest.read_bronze(scan_archives(spark, landing.folder, "x.zip"))
+    assert (none.record_count(), none.failure_count()) == (0, 0)
