@@ -27,6 +27,14 @@ def dead_letter(bronze: DataFrame) -> DataFrame:
     )
 
 
+def failed_places(bronze: DataFrame) -> DataFrame:
+    """Failures with the places of their entries, by which these can be read again."""
+    return bronze.filter(F.col("error").isNotNull()).select(
+        "archive", "release_ord", "parent", "entry", "entry_ord", "error",
+        F.coalesce("fatal", F.lit(False)).alias("fatal"),
+    )
+
+
 def archive_bytes(manifest: DataFrame) -> DataFrame:
     """Uncompressed size per archive; a nested archive counts as the one entry it is."""
     return manifest.filter(F.col("parent").isNull()).groupBy("archive").agg(

@@ -12,7 +12,7 @@ from releasemill.model import KNOWN_FIELDS
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
 from releasemill.operators import metrics, sinks
-from releasemill.sources.archives import Limits, Slices, entry_manifest, list_slices
+from releasemill.sources.archives import Limits, Slices, chosen_entries, entry_manifest, list_slices
 from releasemill.sources.records import parse_slices_counted
 from releasemill.workspace import release, small_side
 
@@ -84,6 +84,21 @@ def read_bronze(archives: DataFrame, on_bad_archive: str = "fail",
     return Bronze(slices, rows, small_side(bad, failures), counts)
 
 
+def read_entries(archives: DataFrame, places: DataFrame, columns=KNOWN_FIELDS,
+                 limits: Limits | None = None) -> Bronze:
+    """Parse the entries at `places` (`archive, release_ord, entry_ord`, each once) and no others.
+
+    Of the archives only the directories are read besides.  An archive that can no longer be
+    read gives no records; a place without an entry gives nothing.
+    """
+    wanted = archives.join(places.select("archive").distinct(), "archive", "left_semi")
+    listed = list_slices(wanted, limits)
+    chosen = chosen_entries(listed, places)
+    rows, counts = parse_slices_counted(chosen, columns)
+    bad = rows.filter("fatal").select("archive").distinct()
+    return Bronze(chosen, rows, small_side(bad, bad.count()), counts)
+
+
 def merged_frame(bronze: Bronze, sort: bool = True, fields=None, lineage=False) -> DataFrame:
     """All records as one frame: union by name, then ordered by record key.
 

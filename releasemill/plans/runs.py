@@ -21,19 +21,27 @@ from pyspark.sql import functions as F
 from releasemill.model import KNOWN_FIELDS, LINEAGE, wide_bronze_schema
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
+from releasemill.operators import metrics
 from releasemill.operators.published import PublishedTable, create_once, read_text
-from releasemill.plans.ingest import read_bronze
+from releasemill.plans.ingest import read_bronze, read_entries
 from releasemill.workspace import _hadoop, materialise, small_side
 
 BATCH_RELEASES = 64
 LEASE_SECONDS = 6 * 3600
 
 RELEASES = "run string, number long, archive string, length long, modification_time timestamp, ok boolean"
-FAILURES = "run string, archive string, parent string, entry string, error string, fatal boolean"
+FAILURES = (
+    "run string, archive string, release_ord long, parent string, entry string, entry_ord long, "
+    "error string, fatal boolean"
+)
+REPLAYS = "run string, archive string, release_ord long, entry_ord long, replay string, ok boolean"
 LAYOUTS = "run string, layout string, " + ", ".join(
     f"{name} {'string' if name == 'archive' else 'long'}" for name in LINEAGE
 )
 
+# Where an entry sits.
+PLACE = ["archive", "release_ord", "entry_ord"]
+
 
 @dataclass
 class Taken:
@@ -44,6 +52,15 @@ class Taken:
     held: int = 0
 
 
+@dataclass
+class Replayed:
+    """What a replay did: entries read now, entries that fail still, and releases another run holds."""
+
+    read: int = 0
+    failed: int = 0
+    held: int = 0
+
+
 class Ledger:
     """Releases taken so far, with their records."""
 
@@ -117,6 +134,69 @@ class Ledger:
             self._release_claims(own)
         return taken
 
+    def open_failures(self) -> DataFrame:
+        """Failed entries of the releases as they were last read that no replay has read since.
+
+        Failures that void a whole release are not among them: `take` reads those again.
+        """
+        noted = self.failures().where(~F.col("fatal") & F.col("entry_ord").isNotNull())
+        mended = self.table.read("replays", REPLAYS).where("ok").select("run", *PLACE).distinct()
+        return self._of_current(noted, keep_run=True).join(mended, ["run", *PLACE], "left_anti")
+
+    def replay(self, located: DataFrame, owner: str, batch: int = BATCH_RELEASES, lease: float = LEASE_SECONDS) -> Replayed:
+        """Read the failed entries again, and nothing else, of releases that are as they were last read.
+
+        Their records join those of the run that read the release, at the places of their entries, so the
+        frame is the one a run without failures had given.  An entry that fails again stays open.
+        """
+        same = located.join(self.current().select("archive", "length", "modification_time"),
+                            ["archive", "length", "modification_time"], "left_semi")
+        held = same.join(self.open_failures().select("archive").distinct(), "archive", "left_semi")
+        left = materialise(fr.with_position(held, [F.col("archive").asc()], "place"), "replayed")
+        done = Replayed()
+        for number in range(math.ceil(left.count() / batch)):
+            part = F.expr(f"(place - 1) div {batch}") == number
+            wanted = left.where(part).select("archive", "length", "modification_time").collect()
+            own = [release for release in wanted if self.claim(release, owner, lease)]
+            done.held += len(wanted) - len(own)
+            rows = left.where(part & F.col("archive").isin([r["archive"] for r in own]))
+            # Listed again under the claims: another run may have replayed some, or read a release anew.
+            last = F.broadcast(rows.select("archive"))
+            open_now = materialise(self.open_failures().join(last, "archive", "left_semi"), "open")
+            if not open_now.isEmpty():
+                read, failed = self._publish_replay(rows, open_now)
+                done.read, done.failed = done.read + read, done.failed + failed
+            self._release_claims(own)
+        return done
+
+    def _publish_replay(self, rows: DataFrame, open_now: DataFrame) -> tuple[int, int]:
+        replay = uuid.uuid4().hex
+        places = open_now.select(*PLACE, "run").distinct()
+        bronze = read_entries(rows, places.select(*PLACE), self.columns)
+        # Read is what was found in its archive and gave no failure there.
+        met = bronze.slices.frame.select(
+            "archive", "release_ord", F.explode(F.coalesce("only", F.array("slice_no"))).alias("entry_ord")
+        )
+        failed = bronze.rows.where("error is not null").select(*PLACE)
+        read = bronze.without_bad(met.join(failed, PLACE, "left_anti")).distinct().withColumn("read", F.lit(True))
+        state = places.join(read, PLACE, "left").select(
+            "run", *PLACE, F.lit(replay).alias("replay"), F.col("read").isNotNull().alias("ok")
+        )
+        state = materialise(state, "replay")
+        # Records count with the run that read the rest of their release.
+        runs = open_now.select("archive", "run").distinct()
+        records = bronze.records.join(F.broadcast(runs), "archive")
+        records = records.select("run", *[c for c in records.columns if c != "run"])
+        self.table.append(replay, {"records": records, "layouts": self._layouts(records), "replays": state})
+        bronze.release()
+        found = {row["ok"]: row["count"] for row in state.groupBy("ok").count().collect()}
+        return found.get(True, 0), found.get(False, 0)
+
+    @staticmethod
+    def _layouts(records: DataFrame) -> DataFrame:
+        first = F.min(F.struct(*LINEAGE)).alias("first")
+        return records.groupBy("run", "layout").agg(first).select("run", "layout", "first.*")
+
     def _publish(self, rows: DataFrame) -> tuple[int, int]:
         run = uuid.uuid4().hex
         # Later runs have higher numbers, also where clocks differ: each counts those before it.
@@ -130,10 +210,10 @@ class Ledger:
         else:
             bad = bronze.bad_archives.select(F.col("archive").alias("bad"))
             state = state.join(bad, F.col("archive") == F.col("bad"), "left").withColumn("ok", F.col("bad").isNull()).drop("bad")
-        layouts = records.groupBy("run", "layout").agg(F.min(F.struct(*LINEAGE)).alias("first")).select("run", "layout", "first.*")
         state = materialise(state, "state")
         self.table.append(run, {
-            "records": records, "releases": state, "failures": bronze.dead_letter.select(named, "*"), "layouts": layouts,
+            "records": records, "releases": state, "layouts": self._layouts(records),
+            "failures": metrics.failed_places(bronze.rows).select(named, "*"),
         })
         bronze.release()
         counts = state.groupBy("ok").count().collect()
@@ -142,10 +222,11 @@ class Ledger:
 
     # --- results
 
-    def _of_current(self, frame: DataFrame) -> DataFrame:
+    def _of_current(self, frame: DataFrame, keep_run: bool = False) -> DataFrame:
         last = materialise(self.current().select(F.col("archive").alias("of"), F.col("run").alias("of_run")), "current")
         match = (frame["archive"] == F.col("of")) & (frame["run"] == F.col("of_run"))
-        return frame.join(small_side(last, last.count()), match, "left_semi").drop("run")
+        found = frame.join(small_side(last, last.count()), match, "left_semi")
+        return found if keep_run else found.drop("run")
 
     def records(self) -> DataFrame:
         """Records of each archive as it was last read."""
@@ -179,3 +260,11 @@ def ingest_remaining(catalog: DataFrame, archives: DataFrame, path: str, owner:
     located = cat.locate(cat.dated(catalog), archives)
     cat.require_one_each(located)
     return Ledger(catalog.sparkSession, path).take(located, owner, batch)
+
+
+def replay_failures(catalog: DataFrame, archives: DataFrame, path: str, owner: str = "ingest",
+                    batch: int = BATCH_RELEASES) -> Replayed:
+    """Read the entries that earlier runs under `path` could not parse, for instance after a parser was mended."""
+    located = cat.locate(cat.dated(catalog), archives)
+    cat.require_one_each(located)
+    return Ledger(catalog.sparkSession, path).replay(located, owner, batch)

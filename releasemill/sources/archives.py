@@ -256,8 +256,9 @@ def open_slice(row):
     """(entry, reader) pairs of a slice in storage order; small nested archives open up.
 
     Yields `(entry, reader, None)`, or `(entry, None, error)` when the nested
-    archive cannot be read.
+    archive cannot be read.  Of a slice with `only` just the entries with these places.
     """
+    only = row.get("only")
     with open_for_read(row["file"] or row["archive"]) as stream:
         outer = ze.ArchiveReader(stream)
         wanted = [entry for entry in row["entries"] if entry["kind"]]
@@ -277,7 +278,7 @@ def open_slice(row):
                 continue
             reader = ze.ArchiveReader(nested)
             for item in inner:
-                if item["kind"]:
+                if item["kind"] and (only is None or item["entry_ord"] in only):
                     yield item, reader, None
 
 
@@ -397,6 +398,34 @@ def split_large_nested(slices: Slices, limit: int) -> Slices:
     return Slices.of(rest.unionByName(materialise(expanded, "nested-slices")), slices.limits)
 
 
+def chosen_entries(slices: Slices, places: DataFrame) -> Slices:
+    """Slices of just the entries at `places` (`archive, release_ord, entry_ord`, each once).
+
+    An entry is a slice of its own, with those it sits in where a nested archive is not
+    split up; of such a one `only` names the entries that are wanted.
+    """
+    key = ["archive", "release_ord", "outer"]
+    entries = slices.frame.filter(is_work()).select(
+        "archive", "release_ord", "file", F.explode("entries").alias("e"), F.col("e.entry_ord").alias("outer")
+    )
+    nested = F.col("e.kind") == "zip"
+    direct = entries.filter(~nested).join(
+        places.select("archive", "release_ord", F.col("entry_ord").alias("outer")), key
+    ).withColumn("only", F.lit(None).cast("array<long>"))
+    # As many as one nested archive below the splitting size holds.
+    inside = places.groupBy(
+        "archive", "release_ord", F.shiftleft(F.shiftright("entry_ord", 32), 32).alias("outer")
+    ).agg(F.collect_set("entry_ord").alias("only"))
+    chosen = direct.unionByName(entries.filter(nested).join(inside, key))
+    weight = F.when(nested, USUAL_RATIO).otherwise(1) * F.col("e.size")
+    rows = chosen.select(
+        "archive", "release_ord", F.col("outer").alias("slice_no"), weight.cast("long").alias("slice_bytes"),
+        F.lit(0).cast("long").alias("nested_bytes"), F.array("e").alias("entries"), "file",
+        F.lit(None).cast("string").alias("error"), "only",
+    )
+    return Slices.of(materialise(rows, "chosen"), slices.limits)
+
+
 def work_items(slices: Slices) -> DataFrame:
     """Slices dealt out evenly over parse tasks, since their sizes are alike.
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import device_xml
+from conftest import device_xml, zip_bytes
 from releasemill.operators.published import LostRows, PublishedTable, create_once, read_text
 from releasemill.plans import ingest, runs
 from releasemill.sources.archives import scan_archives
@@ -128,6 +128,95 @@ def test_a_stopped_run_repeated_equals_one_run(spark, landing, tmp_path, monkeyp
     assert frames[0].select(columns).collect() == frames[1].select(columns).collect()
 
 
+def doc(name, key, **more):
+    return name, device_xml({"deviceRecordKey": key, **more})
+
+
+def rows(frame):
+    return frame.columns, frame.collect()
+
+
+def broken_then_whole(spark, monkeypatch):
+    """Makes documents that hold OLD unreadable until it is called."""
+    from releasemill.sources import records as rec
+
+    plain = rec._entry_blocks
+
+    def old(entry, reader, limits):
+        if b"OLD" in reader.read(entry):
+            raise rec.devicexml.ET.ParseError("a form the parser does not know")
+        return plain(entry, reader, limits)
+
+    monkeypatch.setattr(rec, "_entry_blocks", old)
+    return lambda: monkeypatch.setattr(rec, "_entry_blocks", plain)
+
+
+def test_a_replay_reads_only_failed_entries(spark, landing, tmp_path, monkeypatch):
+    path, ledger = str(tmp_path / "ledger"), runs.Ledger(spark, str(tmp_path / "ledger"))
+    nested = zip_bytes([doc("n1.xml", "OLD3", late="x"), doc("n2.xml", "K4")])
+    landing("1.zip", [doc("a.xml", "K1"), doc("b.xml", "OLD2", early="y"), ("in.zip", nested), ("c.xml", "<r><dev")])
+    landing("2.zip", [doc("a.xml", "K5")])
+    landing("bad.zip", b"no archive")
+    mend = broken_then_whole(spark, monkeypatch)
+    take(spark, landing.folder, path)
+    assert keys(spark, path) == ["K1", "K4", "K5"] and ledger.open_failures().count() == 3
+    located = scan_archives(spark, landing.folder)
+    assert ledger.replay(located, "a") == runs.Replayed(failed=3)  # the parser is as it was
+    assert keys(spark, path) == ["K1", "K4", "K5"] and ledger.open_failures().count() == 3
+    mend()
+    from releasemill.sources import records as rec
+
+    plain, log = rec._entry_blocks, str(tmp_path / "read")
+
+    def noted(entry, reader, limits):
+        with open(log, "a") as out:
+            out.write(entry["entry"] + "\n")
+        return plain(entry, reader, limits)
+
+    monkeypatch.setattr(rec, "_entry_blocks", noted)
+    assert ledger.replay(located, "a") == runs.Replayed(read=2, failed=1)
+    assert sorted(open(log).read().split()) == ["b.xml", "c.xml", "n1.xml"]
+    assert [r["entry"] for r in ledger.open_failures().collect()] == ["c.xml"]
+    assert ledger.replay(located, "a") == runs.Replayed(failed=1)  # each record once
+    monkeypatch.undo()
+    landing("bad.zip", b"no archive")
+    whole = ingest.ingest_release(located, "skip")
+    assert rows(ledger.frame()) == rows(whole) and "late" in whole.columns
+
+
+def test_a_replay_leaves_changed_and_claimed_releases(spark, landing, tmp_path, monkeypatch):
+    path, ledger = str(tmp_path / "ledger"), runs.Ledger(spark, str(tmp_path / "ledger"))
+    for n in range(3):
+        landing(f"{n}.zip", [doc("a.xml", f"K{n}"), doc("b.xml", f"OLD{n}")])
+    mend = broken_then_whole(spark, monkeypatch)
+    take(spark, landing.folder, path)
+    mend()
+    landing("0.zip", [doc("a.xml", "K0"), doc("b.xml", "OLD0"), doc("c.xml", "K9")])
+    located = scan_archives(spark, landing.folder)
+    one = located.where("file_name = '1.zip'").first()
+    assert ledger.claim(one, "other", 60)
+    assert ledger.replay(located, "a") == runs.Replayed(read=1, held=1)
+    assert keys(spark, path) == ["K0", "K1", "K2", "OLD2"]
+    take(spark, landing.folder, path)  # the changed release, now readable as a whole
+    ledger._release_claims([one])
+    assert ledger.replay(located, "a", batch=1) == runs.Replayed(read=1)
+    assert keys(spark, path) == ["K0", "K1", "K2", "K9", "OLD0", "OLD1", "OLD2"]
+    assert ledger.open_failures().count() == 0 and ledger.replay(located, "a") == runs.Replayed()
+
+
+def test_a_replay_of_an_archive_gone_bad_keeps_its_failures(spark, landing, tmp_path, monkeypatch):
+    path, ledger = str(tmp_path / "ledger"), runs.Ledger(spark, str(tmp_path / "ledger"))
+    folder = landing("1.zip", [doc("a.xml", "K1"), doc("b.xml", "OLD1")])
+    mend = broken_then_whole(spark, monkeypatch)
+    take(spark, folder, path)
+    mend()
+    located = scan_archives(spark, folder)
+    held = spark.createDataFrame(located.collect(), located.schema)  # listed before it went bad
+    landing("1.zip", b"spoilt")
+    assert ledger.replay(held, "a") == runs.Replayed(failed=1)
+    assert keys(spark, path) == ["K1"] and ledger.open_failures().count() == 1
+
+
 def test_claims_end_with_their_lease(spark, landing, tmp_path):
     ledger = runs.Ledger(spark, str(tmp_path / "ledger"))
     release = {"archive": "a", "length": 1, "modification_time": 0}
