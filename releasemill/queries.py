@@ -1004,3 +1004,37 @@ def table_append_text(spark, sf):
     rows = spark.table(table)
     # Text cannot tell empty from missing; the notes alone hold empty ones.
     return as_text(rows.withColumn("data_zip_file", F.coalesce("data_zip_file", F.lit(""))), "download_time")
+
+
+@query(SQL_DEV + f"SELECT {SQL_FIELDS} FROM dev")
+def promoted_stream(spark, sf):
+    """Three batches of a stream that knows the key alone: all other fields become columns of its table."""
+    target, known = fresh_path(spark, "promoted"), ("deviceRecordKey",)
+    archives, third = scan(spark, sf, "plain"), F.pmod(F.xxhash64("file_name"), F.lit(3))
+    for batch in range(3):
+        landing.append_records(target, known, promote=True)(archives.where(third == batch), batch)
+    return landing.read_records(spark, target, known).select(*bind.PART_FIELDS)
+
+
+@query(SQL_DEV + f"SELECT {SQL_FIELDS_MIXED} FROM dev")
+def entries_by_place(spark, sf):
+    """Every entry that has records (documents, workbooks, nested ones), read again by its place."""
+    archives = scan(spark, sf, "mixed")
+    places = ingest.read_bronze(archives).records.select("archive", "release_ord", "entry_ord").distinct()
+    again = ingest.read_entries(archives, places).records
+    return again.select(*[fr.field_column(again, n).alias(n) for n in bind.PART_FIELDS])
+
+
+@query(SQL_DEV + """
+SELECT DISTINCT file_name, 'zz-broken.xml' AS entry, CAST(2 AS BIGINT) AS replays FROM dev WHERE arc % 3 <> 2
+""")
+def replayed_failures(spark, sf):
+    """Entries of the releases read so far that two replays could not read either."""
+    catalog, path = cat.build_catalog(bind.release_rows(spark, sf)), fresh_path(spark, "ledger")
+    landed = scan(spark, sf, "faulty")
+    runs.ingest_remaining(catalog, landed, path)
+    for _ in range(2):
+        runs.replay_failures(catalog, landed, path)
+    ledger = runs.Ledger(spark, path)
+    tried = ledger.table.read("replays", runs.REPLAYS).groupBy(*runs.PLACE).agg(F.count("*").alias("replays"))
+    return ledger.open_failures().join(tried, runs.PLACE).select(file_name(), "entry", "replays")

@@ -138,3 +138,41 @@ def test_a_log_is_read_from_its_newest_summary(tmp_path, monkeypatch):
     again = source.Log(folder)
     assert (again.known, again.last) == (whole.known, whole.last)
     assert len(read) == 3
+
+
+def test_new_fields_become_columns(spark, landing, tmp_path):
+    """Three batches with growing layouts equal one batch ingest; a repeated batch changes nothing."""
+    from releasemill.plans import ingest
+    from releasemill.sources.archives import scan_archives
+
+    target, checkpoint = str(tmp_path / "target"), str(tmp_path / "checkpoint")
+    more = [{}, {"f.0": "a", "Batch": "b"}, {"f1": "", "F.0": "c", "f.0": "d"}]
+    for n, fields in enumerate(more):
+        landing(f"{n}.zip", [("a.xml", device_xml({"deviceRecordKey": f"K{n}", **fields}))])
+        ls.ingest_incremental(spark, landing.folder, target, checkpoint, ("deviceRecordKey",), n > 0)
+    frame = ls.read_records(spark, target, ("deviceRecordKey",))
+    assert frame.columns == ["deviceRecordKey", "f.0", "f1", "other_fields", "batch"]
+    rows = sorted(map(tuple, frame.collect()))
+    assert rows == [
+        ("K0", None, None, {}, 0), ("K1", "a", None, {"Batch": "b"}, 1), ("K2", "d", "", {"F.0": "c"}, 2),
+    ]
+    again = scan_archives(spark, landing.folder).where("file_name = '2.zip'")
+    ls.append_records(target, ("deviceRecordKey",), True)(again, 2)
+    assert sorted(map(tuple, ls.read_records(spark, target, ("deviceRecordKey",)).collect())) == rows
+    whole = ingest.ingest_release(scan_archives(spark, landing.folder))
+    assert sorted(r["deviceRecordKey"] for r in whole.collect()) == [r[0] for r in rows]
+
+
+def test_fields_of_the_map_become_columns_later(spark, landing, tmp_path):
+    from releasemill.sources.archives import scan_archives
+
+    target, known = str(tmp_path / "target"), ("deviceRecordKey",)
+    landing("1.zip", [("a.xml", device_xml({"deviceRecordKey": "K1", "odd": "x"}))])
+    landing("2.zip", [("a.xml", device_xml({"deviceRecordKey": "K2", "odd": "y"}))])
+    found = scan_archives(spark, landing.folder)
+    ls.append_records(target, known)(found.where("file_name = '1.zip'"), 0)
+    assert ls.read_records(spark, target, known).columns == ["deviceRecordKey", "other_fields", "batch"]
+    ls.append_records(target, known, True)(found.where("file_name = '2.zip'"), 1)
+    rows = sorted(map(tuple, ls.read_records(spark, target, known).collect()))
+    assert rows == [("K1", "x", {}, 0), ("K2", "y", {}, 1)]
+    assert ls.read_records(spark, str(tmp_path / "none"), known).count() == 0
