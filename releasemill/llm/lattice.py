@@ -40,6 +40,9 @@ FREQUENT = 100_000
 # Distinct words that a task counts before it hands the counts on.
 COUNTED_AT_ONCE = 300_000
 WORDS_AT_ONCE = 8192
+# Code points of words handled as one array.
+POINTS_AT_ONCE = 1 << 18
+PADDING = 0x110000  # no character
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 LN10 = float(np.log(10.0))
@@ -87,33 +90,49 @@ def read_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(pieces, logs - top - np.log(np.exp(logs - top).sum()))
 
 
+@dataclass
+class Arcs:
+    """The arcs of one length: places by words."""
+
+    length: int
+    entry: np.ndarray  # -1: none, -2: bytes
+    weight: np.ndarray
+    live: list[bool]  # places where some word has one
+
+
 class Lattice:
     """Sums over the segmentations of many words at once."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.logs, self.first_byte = vocabulary.logs, len(vocabulary.pieces)
         self.size = vocabulary.size
-        by_length: dict[int, list[int]] = {}
+        # For each length the hashes of what pieces begin with, and the piece that this is (-1: none).
+        beginnings: dict[int, dict[str, int]] = {}
         for k, piece in enumerate(vocabulary.pieces):
-            by_length.setdefault(len(piece), []).append(k)
-        self.tables = {}
-        for length, own in by_length.items():
-            points = np.array([[ord(c) for c in vocabulary.pieces[k]] for k in own], dtype=np.uint64)
-            hashes = self._hash(points, length)[:, 0]
+            for length in range(1, len(piece)):
+                beginnings.setdefault(length, {}).setdefault(piece[:length], -1)
+            beginnings.setdefault(len(piece), {})[piece] = k
+        self.tables = []
+        for length in range(1, max(beginnings, default=0) + 1):
+            texts, own = list(beginnings[length]), np.array(list(beginnings[length].values()))
+            points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            hashes = np.zeros(len(texts), dtype=np.uint64)
+            for column in points.reshape(len(texts), length).T:
+                hashes = self._longer(hashes, column)
+            hashes = self._mixed(hashes)
             order = np.argsort(hashes)
-            self.tables[length] = hashes[order], np.array(own)[order]
-        self.longest = max(by_length, default=1)
+            self.tables.append((hashes[order], own[order]))
         self.characters: dict[int, tuple[list[int], float]] = {}
 
     @staticmethod
-    def _hash(points: np.ndarray, length: int) -> np.ndarray:
-        """Hash of the `length` points at each place."""
-        count = points.shape[1] - length + 1
-        total = np.zeros((len(points), count), dtype=np.uint64)
+    def _longer(hashes: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """Hashes of texts that are one point longer."""
         with np.errstate(over="ignore"):
-            for k in range(length):
-                total = total * _BASE + (points[:, k : k + count] + np.uint64(1))
-            return total ^ (total >> np.uint64(31))
+            return hashes * _BASE + (points.astype(np.uint64) + np.uint64(1))
+
+    @staticmethod
+    def _mixed(hashes: np.ndarray) -> np.ndarray:
+        return hashes ^ (hashes >> np.uint64(31))
 
     def _character(self, point: int) -> tuple[list[int], float]:
         """Byte entries of a character that is no piece, and their log probability."""
@@ -124,79 +143,113 @@ class Lattice:
             self.characters[point] = own, float(self.logs[own].sum())
         return self.characters[point]
 
-    def arcs(self, points: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each arc length the entry (-1: none, -2: bytes) and weight at each place."""
-        found = []
-        for length in range(1, min(self.longest, points.shape[1]) + 1):
-            count = points.shape[1] - length + 1
-            entry = np.full((len(points), count), -1, dtype=np.int64)
-            if length in self.tables:
-                hashes, own = self.tables[length]
-                wanted = self._hash(points, length)
-                at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-                entry = np.where(hashes[at] == wanted, own[at], -1)
-            weight = np.where(entry >= 0, self.logs[entry], -np.inf)
-            if length == 1 and (entry < 0).any():
-                rows, places = np.nonzero(entry < 0)
-                weight[rows, places] = [self._character(int(p))[1] for p in points[rows, places]]
-                entry[rows, places] = -2
-            found.append((entry, weight))
+    def arcs(self, points: np.ndarray) -> list[Arcs]:
+        """Arcs of each length that some word has; a place is followed only while a piece may go on there."""
+        rows, size = points.shape
+        row, place = np.nonzero(points != PADDING)
+        hashes, found = np.zeros(len(row), dtype=np.uint64), []
+        for length, (known, own) in enumerate(self.tables or [(np.zeros(0, np.uint64), np.zeros(0, int))], 1):
+            if length > size:
+                break
+            inside = place + length <= size
+            row, place, hashes = row[inside], place[inside], hashes[inside]
+            hashes = self._longer(hashes, points[row, place + length - 1])
+            entry = np.full((size - length + 1, rows), -1, dtype=np.int32)
+            weight = np.full((size - length + 1, rows), -np.inf)
+            at = np.minimum(np.searchsorted(known, self._mixed(hashes)), max(0, len(known) - 1))
+            begins = known[at] == self._mixed(hashes) if len(known) else np.zeros(len(row), dtype=bool)
+            pieces = np.full(len(row), -1, dtype=np.int64)
+            pieces[begins] = own[at[begins]]
+            whole = pieces >= 0
+            entry[place[whole], row[whole]] = pieces[whole]
+            weight[place[whole], row[whole]] = self.logs[pieces[whole]]
+            if length == 1 and not whole.all():
+                own_points, which = np.unique(points[row[~whole], place[~whole]], return_inverse=True)
+                weights = np.array([self._character(int(p))[1] for p in own_points])
+                weight[place[~whole], row[~whole]] = weights[which]
+                entry[place[~whole], row[~whole]] = -2
+            if whole.any() or length == 1:
+                found.append(Arcs(length, entry, weight, np.isfinite(weight).any(axis=1).tolist()))
+            row, place, hashes = row[begins], place[begins], hashes[begins]
+            if not len(row):
+                break
         return found
 
-    def forward(self, arcs, rows: int, size: int) -> np.ndarray:
+    def forward(self, arcs: list[Arcs], rows: int, size: int) -> np.ndarray:
         """Log of the sum over all paths from the start to each place."""
         alpha = np.full((size + 1, rows), -np.inf)
         alpha[0] = 0.0
         for end in range(1, size + 1):
-            for length, (_, weight) in enumerate(arcs[:end], 1):
-                np.logaddexp(alpha[end], alpha[end - length] + weight[:, end - length], out=alpha[end])
+            for own in arcs:
+                start = end - own.length
+                if start < 0:
+                    break
+                if own.live[start]:
+                    np.logaddexp(alpha[end], alpha[start] + own.weight[start], out=alpha[end])
         return alpha
 
-    def backward(self, arcs, rows: int, size: int) -> np.ndarray:
-        beta = np.full((size + 1, rows), -np.inf)
-        beta[size] = 0.0
+    def backward(self, arcs: list[Arcs], sizes: np.ndarray, size: int) -> np.ndarray:
+        """Log of the sum over all paths from each place to the word's end."""
+        beta = np.full((size + 1, len(sizes)), -np.inf)
+        beta[sizes, np.arange(len(sizes))] = 0.0
         for start in range(size - 1, -1, -1):
-            for length, (_, weight) in enumerate(arcs[: size - start], 1):
-                np.logaddexp(beta[start], beta[start + length] + weight[:, start], out=beta[start])
+            for own in arcs:
+                if start + own.length > size:
+                    break
+                if own.live[start]:
+                    np.logaddexp(beta[start], beta[start + own.length] + own.weight[start], out=beta[start])
         return beta
 
     def groups(self, words: list[bytes]):
-        """Places of words of one length, with their code points behind the boundary mark."""
+        """Places of words of like length, their lengths, and code points behind the boundary mark, padded.
+
+        Shorter words of one length go together, longer ones within an eighth of their length; a
+        group holds at most POINTS_AT_ONCE points, or one word.
+        """
         texts = [BOUNDARY + w.decode("utf-8", "replace") for w in words]
         by_length: dict[int, list[int]] = {}
         for k, text in enumerate(texts):
-            by_length.setdefault(len(text), []).append(k)
+            step = max(1, (1 << len(text).bit_length()) >> 4)
+            by_length.setdefault(-(-len(text) // step) * step, []).append(k)
         for length, places in by_length.items():
-            joined = "".join(texts[k] for k in places).encode("utf-32-le", "surrogatepass")
-            points = np.frombuffer(joined, dtype="<u4").reshape(len(places), length)
-            yield np.array(places), points.astype(np.uint64)
+            most = max(1, POINTS_AT_ONCE // length)
+            for first in range(0, len(places), most):
+                own = places[first : first + most]
+                sizes = np.array([len(texts[k]) for k in own])
+                size = int(sizes.max())
+                points = np.full((len(own), size), PADDING, dtype=np.uint32)
+                joined = "".join(texts[k] for k in own).encode("utf-32-le", "surrogatepass")
+                points[np.arange(size) < sizes[:, None]] = np.frombuffer(joined, dtype="<u4")
+                yield np.array(own), sizes, points
 
     def log_sums(self, words: list[bytes]) -> np.ndarray:
         """Log probability of each word, summed over its segmentations."""
         out = np.empty(len(words))
-        for places, points in self.groups(words):
-            arcs = self.arcs(points)
-            out[places] = self.forward(arcs, *points.shape)[-1]
+        for places, sizes, points in self.groups(words):
+            alpha = self.forward(self.arcs(points), *points.shape)
+            out[places] = alpha[sizes, np.arange(len(sizes))]
         return out
 
     def expected(self, words: list[bytes]) -> np.ndarray:
         """Expected number of uses of each entry in these words."""
         total = np.zeros(self.size)
-        for places, points in self.groups(words):
+        for _, sizes, points in self.groups(words):
             rows, size = points.shape
             arcs = self.arcs(points)
-            alpha, beta = self.forward(arcs, rows, size), self.backward(arcs, rows, size)
-            for length, (entry, weight) in enumerate(arcs, 1):
-                known = np.isfinite(weight)
-                span = size - length + 1
-                usage = np.exp(alpha[:span].T + weight + beta[length:].T - alpha[-1][:, None])
-                usage = np.where(known, usage, 0.0)
+            alpha, beta = self.forward(arcs, rows, size), self.backward(arcs, sizes, size)
+            sums = alpha[sizes, np.arange(rows)]
+            for own in arcs:
+                place, row = np.nonzero(own.entry != -1)
+                entry = own.entry[place, row]
+                usage = np.exp(alpha[place, row] + own.weight[place, row] + beta[place + own.length, row] - sums[row])
                 pieces = entry >= 0
                 total += np.bincount(entry[pieces], usage[pieces], self.size)
-                if length == 1:
-                    for row, place in zip(*np.nonzero(entry == -2)):
-                        for own in self._character(int(points[row, place]))[0]:
-                            total[own] += usage[row, place]
+                if own.length == 1 and not pieces.all():
+                    rest = points[row[~pieces], place[~pieces]]
+                    own_points, which = np.unique(rest, return_inverse=True)
+                    for point, uses in zip(own_points.tolist(), np.bincount(which, usage[~pieces])):
+                        for byte in self._character(point)[0]:
+                            total[byte] += uses
         return total
 
 
@@ -279,12 +332,12 @@ def trained(counts: DataFrame, texts: int, vocabulary: Vocabulary, rounds: int =
 
 def scored(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, id_column: str = "doc_id",
            text: str = "text", rounds: int = ROUNDS, frequent: int = FREQUENT) -> DataFrame:
-    """`id, held_out, n_tokens, n_known, train_tokens, base_score, score` of every row.
+    """`id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score` of every row.
 
     Tokens are lower-cased words and one end for each text; null counts as empty
     and has the end alone.  Rows held out teach nothing.  base_score is the smoothed
-    unigram log10 probability of the tokens, score the lattice's log10 probability of
-    the text.  Repeated rows all come back and count as often as they occur; an
+    unigram log10 probability of the tokens, score the model's log10 probability of
+    the text, lattice_score that of the lattice alone under the vocabulary's own scores.  Repeated rows all come back and count as often as they occur; an
     empty table gives none; without training rows the vocabulary's own scores hold.
     """
     source = docs.select(
@@ -306,18 +359,20 @@ def scored(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, id_column:
         return np.logaddexp(own, np.log(DISCOUNT * distinct / total) + pieces) / LN10
 
     def sums(batches):
-        lattice = Lattice(model)
+        lattice, plain = Lattice(model), Lattice(vocabulary)
         for batch in slices(batches, WORDS_AT_ONCE):
             often = batch.column("c").to_numpy(zero_copy_only=False)
-            values = whole(often, lattice.log_sums(batch.column("word").to_pylist()))
+            words = batch.column("word").to_pylist()
+            values, own = whole(often, lattice.log_sums(words)), plain.log_sums(words) / LN10
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(values, pa.float64())], names=["word", "n", "c", "sum"]
+                [*batch.columns, pa.array(values, pa.float64()), pa.array(own, pa.float64())],
+                names=["word", "n", "c", "sum", "plain"],
             )
 
-    valued = materialise(counts.mapInArrow(sums, "word binary, n long, c long, sum double"), "sums")
-    top = valued.orderBy(F.desc("n"), "word").limit(frequent).select("word", "c", "sum").collect()
+    valued = materialise(counts.mapInArrow(sums, "word binary, n long, c long, sum double, plain double"), "sums")
+    top = valued.orderBy(F.desc("n"), "word").limit(frequent).select("word", "c", "sum", "plain").collect()
     shared = docs.sparkSession.sparkContext.broadcast(
-        {bytes(row["word"]): (row["c"], row["sum"]) for row in top}
+        {bytes(row["word"]): (row["c"], row["sum"], row["plain"]) for row in top}
     )
 
     def base(count):
@@ -326,22 +381,26 @@ def scored(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, id_column:
 
     # Of the pieces that may follow a finished word, the end.
     opens = [k for k, piece in enumerate(model.pieces) if piece[0] == BOUNDARY]
-    end_log = model.logs[-1] - np.log(np.exp(model.logs[[*opens, -1]]).sum())
-    end_base, end_sum = float(base(ends)), float(whole(ends, end_log))
+
+    def end_log(logs):
+        return logs[-1] - np.log(np.exp(logs[[*opens, -1]]).sum())
+
+    end_base, end_sum = float(base(ends)), float(whole(ends, end_log(model.logs)))
+    end_plain = float(end_log(vocabulary.logs) / LN10)
     schema = (
         nullable(source.select("__id", "held_out").schema).add("row", "long").add("n_tokens", "long")
-        .add("known", "long").add("base", "double").add("sum", "double")
+        .add("known", "long").add("base", "double").add("sum", "double").add("plain", "double")
         .add("word", "binary").add("frequency", "long")
     )
 
     def run(batches):
-        values = {w: (c > 0, float(base(c)), s) for w, (c, s) in shared.value.items()}
+        values = {w: (c > 0, float(base(c)), s, own) for w, (c, s, own) in shared.value.items()}
         row = TaskContext.get().partitionId() << 33
         for batch in slices(batches):
             rows, owner, rest, often = [], [], [], []
             for number, value in enumerate(batch.column("__text").to_pylist()):
                 tokens = (value or b"").lower().split()
-                known, low, high = int(ends > 0), end_base, end_sum
+                known, low, high, plain = int(ends > 0), end_base, end_sum, end_plain
                 for word, n in Counter(tokens).items():
                     held = values.get(word)
                     if held is None:
@@ -352,11 +411,12 @@ def scored(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, id_column:
                         known += n * held[0]
                         low += n * held[1]
                         high += n * held[2]
-                rows.append((row + number, len(tokens) + 1, known, low, high))
+                        plain += n * held[3]
+                rows.append((row + number, len(tokens) + 1, known, low, high, plain))
             row += batch.num_rows
             more = len(rest)
             ids, held = batch.column("__id"), batch.column("held_out")
-            numbers, sizes, knowns, lows, highs = zip(*rows)
+            numbers, sizes, knowns, lows, highs, plains = zip(*rows)
             # A row for each document, then one for each of its less frequent words.
             yield pa.RecordBatch.from_arrays(
                 [
@@ -367,6 +427,7 @@ def scored(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, id_column:
                     pa.array([*knowns, *[None] * more], pa.int64()),
                     pa.array([*lows, *[None] * more], pa.float64()),
                     pa.array([*highs, *[None] * more], pa.float64()),
+                    pa.array([*plains, *[None] * more], pa.float64()),
                     pa.array([*[None] * len(rows), *rest], pa.binary()),
                     pa.array([*[None] * len(rows), *often], pa.int64()),
                 ],
@@ -377,15 +438,16 @@ def scored(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, id_column:
     token = F.log10((F.col("c") + 0.1) / F.lit(total + 0.1 * (distinct + 1)))
     rare = (
         split.where("word is not null").select("row", "word", "frequency")
-        .join(valued.select("word", "c", F.col("sum").alias("word_sum")), "word")
+        .join(valued.select("word", "c", F.col("sum").alias("word_sum"), F.col("plain").alias("word_plain")), "word")
         .groupBy("row").agg(
             F.sum(F.when(F.col("c") > 0, F.col("frequency")).otherwise(0)).alias("more_known"),
             F.sum(F.col("frequency") * token).alias("more_base"),
             F.sum(F.col("frequency") * F.col("word_sum")).alias("more_sum"),
+            F.sum(F.col("frequency") * F.col("word_plain")).alias("more_plain"),
         )
     )
     return (
-        split.where("word is null").select("__id", "held_out", "row", "n_tokens", "known", "base", "sum")
+        split.where("word is null").select("__id", "held_out", "row", "n_tokens", "known", "base", "sum", "plain")
         .join(rare, "row", "left")
         .select(
             F.col("__id").alias(id_column), "held_out", "n_tokens",
@@ -393,5 +455,6 @@ def scored(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, id_column:
             F.lit(total).cast("long").alias("train_tokens"),
             (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
             (F.col("sum") + F.coalesce("more_sum", F.lit(0.0))).alias("score"),
+            (F.col("plain") + F.coalesce("more_plain", F.lit(0.0))).alias("lattice_score"),
         )
     )

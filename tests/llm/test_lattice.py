@@ -49,6 +49,38 @@ def test_sums_over_all_segmentations(vocabulary):
     assert np.isfinite(long) and long < -1000
 
 
+def slow_sum(vocabulary, word):
+    """The recursion over places, one at a time."""
+    text, index = lattice.BOUNDARY + word, {p: k for k, p in enumerate(vocabulary.pieces)}
+    longest, alpha = max(map(len, index)), [0.0]
+    for end in range(1, len(text) + 1):
+        terms = []
+        for start in range(max(0, end - longest), end):
+            own = text[start:end]
+            if own in index:
+                terms.append(alpha[start] + vocabulary.logs[index[own]])
+            elif end == start + 1:
+                entries = [len(vocabulary.pieces) + b for b in own.encode()]
+                terms.append(alpha[start] + vocabulary.logs[entries].sum())
+        top = max(terms)
+        alpha.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+    return alpha[-1]
+
+
+@pytest.mark.parametrize("at_once", [1 << 18, 500])
+def test_long_words_of_unlike_lengths(vocabulary, monkeypatch, at_once):
+    """Text without blanks: paragraphs are words, which share arrays with shorter and longer ones."""
+    monkeypatch.setattr(lattice, "POINTS_AT_ONCE", at_once)
+    random = np.random.default_rng(5)
+    letters = ["中", "文", "字", "の", "ก", "e", "th", "er", "9", "/", "é", "𝔘"]
+    words = ["".join(random.choice(letters, n)) for n in random.integers(1, 400, 60)] + ["", "中" * 3000]
+    found = lattice.Lattice(vocabulary).log_sums([w.encode() for w in words])
+    assert np.allclose(found, [slow_sum(vocabulary, w) for w in words], rtol=1e-12)
+    uses = lattice.Lattice(vocabulary).expected([w.encode() for w in words])
+    alone = sum(lattice.Lattice(vocabulary).expected([w.encode()]) for w in words)
+    assert np.allclose(uses, alone, rtol=1e-9)
+
+
 def test_expected_counts(vocabulary):
     total = np.zeros(vocabulary.size)
     words = ["thin", "ö中", "there"]
@@ -73,14 +105,17 @@ def plain_scores(texts, held, vocabulary, rounds=lattice.ROUNDS):
             counts.update((text or "").encode().lower().split())
             ends += 1
     total, distinct = sum(counts.values()) + ends, len(counts) + (ends > 0)
-    first = np.exp(vocabulary.logs)
+    own, first = vocabulary, np.exp(vocabulary.logs)
     for _ in range(rounds):
         uses = lattice.PRIOR_PIECES * first + lattice.Lattice(vocabulary).expected(list(counts))
         uses[-1] += ends > 0
         vocabulary = lattice.Vocabulary(vocabulary.pieces, np.log(uses / uses.sum()))
-    sums = lattice.Lattice(vocabulary)
-    opens = sum(math.exp(x) for p, x in zip(vocabulary.pieces, vocabulary.logs) if p[0] == lattice.BOUNDARY)
-    end = math.exp(vocabulary.logs[-1])
+    sums, alone = lattice.Lattice(vocabulary), lattice.Lattice(own)
+
+    def last(model):
+        opens = sum(math.exp(x) for p, x in zip(model.pieces, model.logs) if p[0] == lattice.BOUNDARY)
+        end = math.exp(model.logs[-1])
+        return end / (opens + end)
 
     def token(count, pieces):
         if not total:
@@ -97,7 +132,8 @@ def plain_scores(texts, held, vocabulary, rounds=lattice.ROUNDS):
         )
         score = sum(token(counts[w], math.exp(s)) for w, s in zip(words, sums.log_sums(words)))
         out.append((len(words) + 1, sum(counts[w] > 0 for w in words) + (ends > 0), total, base,
-                    score + token(ends, end / (opens + end))))
+                    score + token(ends, last(vocabulary)),
+                    sum(alone.log_sums(words)) / math.log(10) + math.log10(last(own))))
     return out
 
 
@@ -106,6 +142,7 @@ def same(found, expected):
         assert (row.n_tokens, row.n_known, row.train_tokens) == wanted[:3]
         assert math.isclose(row.base_score, wanted[3], rel_tol=1e-9)
         assert math.isclose(row.score, wanted[4], rel_tol=1e-7)
+        assert math.isclose(row.lattice_score, wanted[5], rel_tol=1e-9)
 
 
 def test_query_equals_brute_force(spark, documents, vocabulary):
