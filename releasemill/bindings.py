@@ -35,6 +35,9 @@ FIRST_DAY = "2026-01-01"
 
 PART_FIELDS = ("deviceRecordKey", "prdName", "prdCode", "specModel", "orgName", "unit", "notes")
 
+# Files written by a task.
+TASK_FILES = 64
+
 LINE_DOCUMENT_RECORDS = 1000
 LINE_ARCHIVE_RECORDS = 50_000
 
@@ -328,27 +331,14 @@ def _write_torn_sheets(zf, records):
     """Every second workbook of an archive breaks in its last row."""
     for number, group in itertools.groupby(records, lambda r: r["place"] // SHEET_RECORDS):
         rows = ([r[f] for f in PART_FIELDS] for r in group)
-        # Many copies of the rows make a workbook of several blocks.
-        rows = (row for row in list(rows) for _ in range(SHEET_COPIES))
         buffer = io.BytesIO()
-        write_workbook(buffer, PART_FIELDS, rows)
-        data = buffer.getvalue()
-        if number % 2:
-            data = _torn_sheet(data)
-        zf.writestr(_info(f"sheet-{number:08d}.xlsx"), data)
-
-
-def _torn_sheet(data):
-    """The workbook with a cell behind the last row that refers to no string."""
-    out = io.BytesIO()
-    with zipfile.ZipFile(io.BytesIO(data)) as old, zipfile.ZipFile(out, "w") as new:
-        for info in old.infolist():
-            body = old.read(info)
-            if info.filename.startswith("xl/worksheets/"):
-                bad = b'<row><c t="s"><v>99999999</v></c></row></sheetData>'
-                body = body.replace(b"</sheetData>", bad)
-            new.writestr(_info(info.filename), body)
-    return out.getvalue()
+        # Many copies of the rows make a workbook of several blocks.
+        write_workbook(buffer, PART_FIELDS, rows, SHEET_COPIES, TORN_ROW if number % 2 else b"")
+        zf.writestr(_info(f"sheet-{number:08d}.xlsx"), buffer.getvalue())
+
+
+# A cell that refers to no string.
+TORN_ROW = b'<row><c t="s"><v>99999999</v></c></row>'
 
 
 # style -> (writer, quirks in the XML, records per archive)
@@ -385,6 +375,12 @@ def _pack(folder, style):
     return run
 
 
+def pack_tasks(spark: SparkSession, rows: int, size: int) -> int:
+    """Tasks that pack `rows` into files of `size` rows: enough for all cores, a bounded number of files each."""
+    files = max(1, math.ceil(rows / size))
+    return min(files, max(math.ceil(files / TASK_FILES), 4 * spark.sparkContext.defaultParallelism))
+
+
 _PACKED: dict[tuple, str] = {}
 
 
@@ -408,8 +404,9 @@ def part_archives(spark: SparkSession, sf_dir: str, style: str) -> str:
         placed = device_fields(placed_parts(spark, sf_dir), "place").withColumns(
             {"xml": device_xml(quirks), "archive_no": number, "title": title}
         )
+        # Rows are small beside the work on them, so the tasks follow the archives.
         (
-            placed.repartition("archive_no")
+            placed.repartition(pack_tasks(spark, table(spark, sf_dir, "part").count(), size), "archive_no")
             .sortWithinPartitions("archive_no", "place")
             .mapInArrow(_pack(folder, style), "path string")
             .count()

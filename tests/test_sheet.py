@@ -110,3 +110,53 @@ def test_a_broken_workbook_gives_no_record_whatever_its_size(spark, landing, row
     assert failures == {"broken.xlsx": False, "legacy.xls": False}
     order = bronze.records.filter("entry = 'whole.xlsx'").orderBy("ord").select("ord").collect()
     assert [r["ord"] for r in order] == list(range(rows - 1))
+
+
+USUAL = (
+    '<row r="2" spans="1:3"><c r="A2" t="inlineStr"><is><t>&lt;a&#x80;&#13;b&amp;lt;\r\nc</t></is></c>'
+    '<c r="C2" s="1"><v>45000</v></c><c r="A2" t="str"><v>NA</v></c></row><row r="4"/>\n<row/><row> <c><v>1</v></c><c t="b"><v>0</v></c>'
+    '<c t="inlineStr"><is><t xml:space="preserve"></t></is></c><c t="s"><v>0</v></c><c t="e"><v>#N/A</v></c><c t="b"><v></v></c></row>'
+)
+ODD = (
+    "<row><c><v>1</v><!-- <c><v>2</v></c> --></c></row>",
+    "<!-- <row><c><v>9</v></c></row> --><row><c><v>1</v></c></row>",
+    "<row><c t='str'><v><![CDATA[<c/>]]></v></c></row>",
+    '<row><c><f>1+1</f><v>2</v></c><c t="inlineStr"><is><r><t>a</t></r><r><t>b</t></r></is></c></row>',
+    '<x:row xmlns:x="y"><x:c><x:v>3</x:v></x:c></x:row>',
+    '<row><c t="b"><is><t></t></is></c></row>',
+)
+
+
+def rows_both_ways(sheet_rows):
+    data = workbook(
+        f'<row><c t="str" r="A1"><v>a</v></c></row>{sheet_rows}'.replace("<row", '<row xmlns:x="x"', 1),
+        strings=["<si><t>s</t></si>"], styles='<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs>',
+    )
+    return list(sheet.Workbook(data).rows()), list(sheet.Workbook(data)._tree_rows())
+
+
+@pytest.mark.parametrize("odd", ODD)
+def test_rows_of_any_form_are_those_of_the_tree(odd):
+    read, tree = rows_both_ways(USUAL + odd + USUAL)
+    assert read == tree and len(read) > 9
+
+
+def test_usual_sheets_are_read_without_a_tree(monkeypatch):
+    read, tree = rows_both_ways(USUAL * 3)
+    assert read == tree
+    buffer = io.BytesIO()
+    write_workbook(buffer, ["a", "b"], ([str(n), None] for n in range(30_000)), copies=2)
+    monkeypatch.setattr(sheet.Workbook, "_tree_rows", lambda self: pytest.fail("read as a tree"))
+    found = [r["a"] for r in sheet.records(buffer.getvalue())]
+    assert found == [str(n // 2) for n in range(60_000)]
+
+
+@pytest.mark.parametrize("broken", ["<row><c><v>1</v></row>", "<row><c><v>&no;</v></c></row>", "<row><x:c/></row>", '<row r="x"><c/></row>'])
+def test_broken_sheets_fail_as_the_tree_does(broken):
+    data = workbook('<row><c t="str"><v>a</v></c></row>' + broken)
+    told = []
+    for rows in (sheet.Workbook(data).rows(), sheet.Workbook(data)._tree_rows()):
+        with pytest.raises(sheet.SheetError) as error:
+            list(rows)
+        told.append(str(error.value))
+    assert told[0] == told[1]
