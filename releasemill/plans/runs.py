@@ -13,6 +13,7 @@ import json
 import math
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,13 @@ from releasemill.operators.published import PublishedTable, create_once, read_te
 from releasemill.plans.ingest import read_bronze, read_entries
 from releasemill.workspace import _hadoop, materialise, small_side
 
+# A batch holds at least the first number of releases, and above it as many as the other bounds
+# allow: every batch has a fixed cost of its own, so small archives are taken many at a time.
 BATCH_RELEASES = 64
+MOST_BATCH_RELEASES = 4096
+BATCH_BYTES = 16 << 30
+# Claims made at once, as each is a few calls to storage.
+CLAIM_THREADS = 16
 LEASE_SECONDS = 6 * 3600
 
 RELEASES = "run string, number long, archive string, length long, modification_time timestamp, ok boolean"
@@ -109,25 +116,45 @@ class Ledger:
         return create_once(self.spark, path, text)
 
     def _release_claims(self, releases) -> None:
-        for release in releases:
+        def let_go(release):
             filesystem, target = _hadoop(self.spark, self._claim_path(release))
             filesystem.delete(target, False)
 
+        with ThreadPoolExecutor(CLAIM_THREADS) as pool:
+            list(pool.map(let_go, releases))
+
+    def _claimed(self, rows: DataFrame, owner: str, lease: float) -> tuple[DataFrame, list, int]:
+        """Of a batch's releases those that `owner` could claim, as rows and as a list, and the number of others."""
+        wanted = rows.select("archive", "length", "modification_time").collect()
+        with ThreadPoolExecutor(CLAIM_THREADS) as pool:
+            got = list(pool.map(lambda release: self.claim(release, owner, lease), wanted))
+        own = [release for release, ours in zip(wanted, got) if ours]
+        if len(own) < len(wanted):
+            keys = self.spark.createDataFrame([(release["archive"],) for release in own], "archive string")
+            rows = rows.join(F.broadcast(keys), "archive", "left_semi")
+        return rows, own, len(wanted) - len(own)
+
+    @staticmethod
+    def _batches(left: DataFrame, batch: int | None) -> list:
+        """Conditions on `place` that cut the releases of `left` into batches."""
+        total = left.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+        if batch is None:
+            batch = usual_batch(total["n"], total["bytes"] or 0)
+        return [F.expr(f"(place - 1) div {batch}") == number for number in range(math.ceil(total["n"] / batch))]
+
     # --- runs
 
-    def take(self, located: DataFrame, owner: str, batch: int = BATCH_RELEASES, lease: float = LEASE_SECONDS) -> Taken:
-        """Read the waiting releases of `located`, some `batch` at a time."""
+    def take(self, located: DataFrame, owner: str, batch: int | None = None, lease: float = LEASE_SECONDS) -> Taken:
+        """Read the waiting releases of `located`, some `batch` at a time (without it `usual_batch`)."""
         # Numbered once, so the batches are even and stay as they are.
         placed = fr.with_position(self.waiting(located), [F.col("archive").asc()], "place")
         left = materialise(placed, "waiting")
         taken = Taken()
-        for number in range(math.ceil(left.count() / batch)):
-            part = F.expr(f"(place - 1) div {batch}") == number
-            wanted = left.where(part).select("archive", "length", "modification_time").collect()
-            own = [release for release in wanted if self.claim(release, owner, lease)]
-            taken.held += len(wanted) - len(own)
+        for part in self._batches(left, batch):
+            claimed, own, held = self._claimed(left.where(part), owner, lease)
+            taken.held += held
             # Another run may have read and let go of one between listing and claiming.
-            rows = self.waiting(left.where(part & F.col("archive").isin([r["archive"] for r in own])))
+            rows = self.waiting(claimed)
             if not rows.isEmpty():
                 read, failed = self._publish(rows)
                 taken.read, taken.failed = taken.read + read, taken.failed + failed
@@ -143,7 +170,7 @@ class Ledger:
         mended = self.table.read("replays", REPLAYS).where("ok").select("run", *PLACE).distinct()
         return self._of_current(noted, keep_run=True).join(mended, ["run", *PLACE], "left_anti")
 
-    def replay(self, located: DataFrame, owner: str, batch: int = BATCH_RELEASES, lease: float = LEASE_SECONDS) -> Replayed:
+    def replay(self, located: DataFrame, owner: str, batch: int | None = None, lease: float = LEASE_SECONDS) -> Replayed:
         """Read the failed entries again, and nothing else, of releases that are as they were last read.
 
         Their records join those of the run that read the release, at the places of their entries, so the
@@ -154,12 +181,9 @@ class Ledger:
         held = same.join(self.open_failures().select("archive").distinct(), "archive", "left_semi")
         left = materialise(fr.with_position(held, [F.col("archive").asc()], "place"), "replayed")
         done = Replayed()
-        for number in range(math.ceil(left.count() / batch)):
-            part = F.expr(f"(place - 1) div {batch}") == number
-            wanted = left.where(part).select("archive", "length", "modification_time").collect()
-            own = [release for release in wanted if self.claim(release, owner, lease)]
-            done.held += len(wanted) - len(own)
-            rows = left.where(part & F.col("archive").isin([r["archive"] for r in own]))
+        for part in self._batches(left, batch):
+            rows, own, held = self._claimed(left.where(part), owner, lease)
+            done.held += held
             # Listed again under the claims: another run may have replayed some, or read a release anew.
             last = F.broadcast(rows.select("archive"))
             open_now = materialise(self.open_failures().join(last, "archive", "left_semi"), "open")
@@ -251,8 +275,14 @@ class Ledger:
         return fr.drop_lineage(fr.sort_records(wide, size_bytes))
 
 
+def usual_batch(releases: int, size_bytes: int) -> int:
+    """Releases of a batch, of `releases` in all."""
+    fits = releases * BATCH_BYTES // max(size_bytes, 1)
+    return max(BATCH_RELEASES, min(MOST_BATCH_RELEASES, fits))
+
+
 def ingest_remaining(catalog: DataFrame, archives: DataFrame, path: str, owner: str = "ingest",
-                     batch: int = BATCH_RELEASES) -> Taken:
+                     batch: int | None = None) -> Taken:
     """One run over all dated releases of a catalog: reads what no earlier run under `path` has read.
 
     Runs of one `owner` follow each other; those of different owners may overlap.
@@ -263,7 +293,7 @@ def ingest_remaining(catalog: DataFrame, archives: DataFrame, path: str, owner:
 
 
 def replay_failures(catalog: DataFrame, archives: DataFrame, path: str, owner: str = "ingest",
-                    batch: int = BATCH_RELEASES) -> Replayed:
+                    batch: int | None = None) -> Replayed:
     """Read the entries that earlier runs under `path` could not parse, for instance after a parser was mended."""
     located = cat.locate(cat.dated(catalog), archives)
     cat.require_one_each(located)

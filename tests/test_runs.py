@@ -236,3 +236,21 @@ def test_growing_layouts_equal_one_batch(spark, landing, tmp_path):
     whole = ingest.ingest_release(scan_archives(spark, landing.folder))
     frame = runs.Ledger(spark, path).frame()
     assert frame.columns == whole.columns and frame.collect() == whole.collect()
+
+
+def test_small_releases_are_taken_in_few_batches(spark, landing, tmp_path, monkeypatch):
+    assert runs.usual_batch(2400, 50 << 20) == 4096 and runs.usual_batch(10, 0) == 4096
+    assert runs.usual_batch(100_000, 100_000 << 30) == 64  # a full release each
+    assert runs.usual_batch(1000, 100 << 30) == 160
+    for n in range(66):  # above the former 64
+        landing(f"{n:02d}.zip", [doc("a.xml", f"K{n:02d}"), ("b.xml", "<r>")])
+    path, ledger = str(tmp_path / "ledger"), runs.Ledger(spark, str(tmp_path / "ledger"))
+    located = scan_archives(spark, landing.folder)
+    assert ledger.claim(located.where("file_name = '01.zip'").first(), "other", 60)
+    assert ledger.take(located, "a") == runs.Taken(read=65, held=1)
+    assert len(keys(spark, path)) == 65 and "K01" not in keys(spark, path)
+    assert ledger.releases().select("run").distinct().count() == 1
+    assert ledger.replay(located, "a") == runs.Replayed(failed=65)
+    assert ledger.table.read("replays", runs.REPLAYS).select("replay").distinct().count() == 1
+    claims = [p for p in (tmp_path / "ledger" / "claims").iterdir() if not p.name.endswith(".crc")]
+    assert len(claims) == 1
