@@ -379,12 +379,21 @@ def list_slices(archives: DataFrame, limits: Limits | None = None) -> Slices:
     return split_large_nested(slices, limit) if slices.nested else slices
 
 
+def large_tasks(slices: Slices, items: int, size_bytes: int) -> int:
+    """Tasks for large `items` of a size in all: one each where they are large indeed.
+
+    A shuffle has blocks by the product of its sides, so there are no more tasks than the bytes need.
+    """
+    cores = slices.frame.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(items, max(math.ceil(size_bytes / TASK_BYTES), SLICES_PER_CORE * cores)))
+
+
 def split_large_nested(slices: Slices, limit: int) -> Slices:
     """Open up nested archives too large to be one unit of work."""
     large = F.col("nested_bytes") > slices.limits.nested_bytes
     expanded = (
         slices.frame.filter(large)
-        .repartition(slices.nested)
+        .repartition(large_tasks(slices, slices.nested, slices.bytes))
         .mapInArrow(
             _expand_batches(
                 to_arrow_schema(SLICE_SCHEMA), limit,

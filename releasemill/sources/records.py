@@ -23,6 +23,7 @@ from releasemill.sources.archives import (
     error_text,
     is_format_error,
     is_large_document,
+    large_tasks,
     open_slice,
     work_items,
 )
@@ -31,6 +32,8 @@ from releasemill.workspace import materialise, materialise_counted, small_side
 # An output batch ends at either bound.
 BATCH_ROWS = 8192
 BATCH_BYTES = 32 << 20
+# Characters of a batch of cut segments; a usual segment has more.
+CUT_BATCH_CHARS = 1 << 20
 LONGEST_DEVICE_CHARS = 64 << 20
 
 # What parsing raises on documents and workbooks that are not what they should be.
@@ -328,10 +331,17 @@ def _cut_batches(schema, limits):
                 yield {**place, "segment": -1, "text": None, "fits": False}
 
     def run(batches):
+        held, chars = [], 0
         for batch in batches:
             for work in batch.to_pylist():
                 for row in rows(work):
-                    yield pa.RecordBatch.from_pylist([row], schema=schema)
+                    held.append(row)
+                    chars += len(row["text"] or "")
+                    if chars >= CUT_BATCH_CHARS or len(held) >= BATCH_ROWS:
+                        yield pa.RecordBatch.from_pylist(held, schema=schema)
+                        held, chars = [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     return run
 
@@ -354,7 +364,9 @@ def _segment_batches(schema, columns):
                     # Segments are numbered in the high half, their records in the low;
                     # `_dense_ord` turns this into one sequence.
                     rows.add(row, row, row["segment"] << 32, found)
-                    yield rows.batch()
+                    rows.bytes += len(row["text"])
+                    if rows.full:
+                        yield rows.batch()
         if rows.size:
             yield rows.batch()
 
@@ -375,7 +387,7 @@ def _parse_large(slices: Slices, schema, columns) -> DataFrame:
         math.ceil(slices.document_bytes / TASK_BYTES), min(segments, SLICES_PER_CORE * cores)
     )
     parsed = materialise(
-        documents.repartition(slices.documents)
+        documents.repartition(large_tasks(slices, slices.documents, slices.document_bytes))
         .mapInArrow(_cut_batches(to_arrow_schema(SEGMENT_SCHEMA), limits), SEGMENT_SCHEMA)
         .repartition(tasks)
         .mapInArrow(_segment_batches(to_arrow_schema(schema), tuple(columns)), schema),
@@ -390,7 +402,8 @@ def _parse_large(slices: Slices, schema, columns) -> DataFrame:
     held = documents.select("*", F.col("entries")[0]["entry_ord"].alias("entry_ord"))
     whole = small_side(whole, again)
     stream = held.join(whole, place, "left_semi").drop("entry_ord")
-    streamed = materialise(_read_slices(stream.repartition(again), schema, columns, limits), "records")
+    restreamed = large_tasks(slices, again, slices.document_bytes)
+    streamed = materialise(_read_slices(stream.repartition(restreamed), schema, columns, limits), "records")
     return _dense_ord(parsed.join(whole, place, "left_anti"), place).unionByName(streamed)
 
 

@@ -278,3 +278,12 @@ def test_payloads_and_native_scan_keep_failures(spark, landing):
     failed = sorted((r["archive"][-5:], r["entry"] or "") for r in native if r["error"])
     usual = ingest.read_bronze(scan(spark, landing.folder), "skip").dead_letter.collect()
     assert failed == sorted((r["archive"][-5:], r["entry"] or "") for r in usual)
+
+
+def test_large_items_take_tasks_by_their_bytes(spark):
+    cores, mib = spark.sparkContext.defaultParallelism, 1 << 20
+    slices = arc.Slices(spark.range(1), arc.usual_limits(), 0, 0, 0, 0, 0)
+    assert arc.large_tasks(slices, 48_000, 300 * mib) == 4 * cores  # many that are not large: not one task each
+    assert arc.large_tasks(slices, 3, 300 * mib) == 3
+    assert arc.large_tasks(slices, 1000, 1000 * 65 * mib) == 1000
+    assert arc.large_tasks(slices, 0, 0) == 1
