@@ -35,8 +35,9 @@ FIRST_DAY = "2026-01-01"
 
 PART_FIELDS = ("deviceRecordKey", "prdName", "prdCode", "specModel", "orgName", "unit", "notes")
 
-# Files written by a task.
+# Files written by a task: archives, captured pages.
 TASK_FILES = 64
+TASK_CAPTURES = 1024
 
 LINE_DOCUMENT_RECORDS = 1000
 LINE_ARCHIVE_RECORDS = 50_000
@@ -126,6 +127,7 @@ def _write_captures(folder, later):
     """
 
     def run(batches):
+        written = []
         rows = (row for batch in batches for row in batch.to_pylist())
         for page, group in itertools.groupby(rows, lambda r: r["page"]):
             items = [
@@ -142,7 +144,12 @@ def _write_captures(folder, later):
                 )[fate]
             path = f"{folder}/page={page}/{'2' if later else '1'}.xml"
             publish(path, lambda out, data=whole.encode(): out.write(data))
-            yield pa.RecordBatch.from_pylist([{"path": path}])
+            written.append({"path": path})
+            if len(written) >= 1000:
+                yield pa.RecordBatch.from_pylist(written)
+                written = []
+        if written:
+            yield pa.RecordBatch.from_pylist(written)
 
     return run
 
@@ -152,9 +159,10 @@ def feed_captures(spark: SparkSession, sf_dir: str) -> str:
     folder = fresh_path(spark, "captures")
     rows = with_position(feed_rows(spark, sf_dir, "daily"), [F.col("feed_pos").asc()], "position")
     paged = rows.withColumn("page", F.expr(f"(position - 1) div {CAPTURE_ITEMS}"))
+    tasks = pack_tasks(spark, table(spark, sf_dir, "orders").count(), CAPTURE_ITEMS, TASK_CAPTURES)
     for later in (False, True):
         (
-            paged.repartition("page").sortWithinPartitions("page", "position")
+            paged.repartition(tasks, "page").sortWithinPartitions("page", "position")
             .mapInArrow(_write_captures(folder, later), "path string").count()
         )
     return folder
@@ -375,10 +383,10 @@ def _pack(folder, style):
     return run
 
 
-def pack_tasks(spark: SparkSession, rows: int, size: int) -> int:
+def pack_tasks(spark: SparkSession, rows: int, size: int, task_files: int = TASK_FILES) -> int:
     """Tasks that pack `rows` into files of `size` rows: enough for all cores, a bounded number of files each."""
     files = max(1, math.ceil(rows / size))
-    return min(files, max(math.ceil(files / TASK_FILES), 4 * spark.sparkContext.defaultParallelism))
+    return min(files, max(math.ceil(files / task_files), 4 * spark.sparkContext.defaultParallelism))
 
 
 _PACKED: dict[tuple, str] = {}
