@@ -24,47 +24,82 @@ class LostRows(Exception):
     """An append wrote another number of rows than it was given."""
 
 
-def create_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a file with `text`; False, and no change, where it is there already.
+class SmallFiles:
+    """Small files of one folder, each created in a single step.
 
-    The text is written beside it and renamed, so the file is never seen half written.
+    What is the same for all of them is asked of Java once.
     """
-    jvm = spark.sparkContext._jvm
-    filesystem, target = _hadoop(spark, path)
-    filesystem.mkdirs(target.getParent())
-    hidden = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}.{target.getName()}")
-    out = filesystem.create(hidden, False)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        filesystem.makeQualified(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration()
-    )
-    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = spark.sparkContext._gateway.new_array(kind, 1)
-    options[0] = kind.NONE  # an existing file stays
-    try:
-        context.rename(hidden, target, options)
-        return True
-    except Exception:
-        filesystem.delete(hidden, False)
-        if filesystem.exists(target):
-            return False
-        raise
+
+    def __init__(self, spark: SparkSession, folder: str):
+        jvm = spark.sparkContext._jvm
+        self._filesystem, self._folder = _hadoop(spark, folder)
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            self._filesystem.makeQualified(self._folder).toUri(), spark.sparkContext._jsc.hadoopConfiguration()
+        )
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        self._options = spark.sparkContext._gateway.new_array(kind, 1)
+        self._options[0] = kind.NONE  # an existing file stays
+
+    def _at(self, name: str):
+        return self._path(self._folder, name)
+
+    def create(self, name: str, text: str) -> bool:
+        """Create a file with `text`; False, and no change, where it is there already.
+
+        The text is written beside it and renamed, so the file is never seen half written.
+        """
+        target, hidden = self._at(name), self._at(f"_{uuid.uuid4().hex}.{name}")
+        out = self._filesystem.create(hidden, False)  # and the folder, where there is none
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        try:
+            self._context.rename(hidden, target, self._options)
+            return True
+        except Exception:
+            self._filesystem.delete(hidden, False)
+            if self._filesystem.exists(target):
+                return False
+            raise
+
+    def read(self, name: str) -> str | None:
+        """Text of a file, or None where there is none."""
+        target = self._at(name)
+        try:
+            size = self._filesystem.getFileStatus(target).getLen()
+            stream = self._filesystem.open(target)
+        except Exception:
+            if not self._filesystem.exists(target):
+                return None
+            raise
+        try:
+            return bytes(stream.readNBytes(int(size))).decode("utf-8")
+        finally:
+            stream.close()
+
+    def names(self) -> list[str]:
+        """Files that are there whole."""
+        if not self._filesystem.exists(self._folder):
+            return []
+        names = [status.getPath().getName() for status in self._filesystem.listStatus(self._folder)]
+        return [name for name in names if name[0] not in "_."]
+
+    def delete(self, name: str) -> None:
+        self._filesystem.delete(self._at(name), False)
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """`SmallFiles.create` of a single file."""
+    folder, _, name = path.rpartition("/")
+    return SmallFiles(spark, folder).create(name, text)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    """Text of a small file, or None where there is none."""
-    filesystem, target = _hadoop(spark, path)
-    if not filesystem.exists(target):
-        return None
-    size = filesystem.getFileStatus(target).getLen()
-    stream = filesystem.open(target)
-    try:
-        return bytes(stream.readNBytes(int(size))).decode("utf-8")
-    finally:
-        stream.close()
+    """`SmallFiles.read` of a single file."""
+    folder, _, name = path.rpartition("/")
+    return SmallFiles(spark, folder).read(name)
 
 
 class PublishedTable:

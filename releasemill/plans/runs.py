@@ -8,12 +8,12 @@ takes the releases that failed, changed, or were not reached.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import math
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,18 +23,18 @@ from releasemill.model import KNOWN_FIELDS, LINEAGE, wide_bronze_schema
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
 from releasemill.operators import metrics
-from releasemill.operators.published import PublishedTable, create_once, read_text
+from releasemill.operators.published import PublishedTable, SmallFiles
 from releasemill.plans.ingest import read_bronze, read_entries
-from releasemill.workspace import _hadoop, materialise, small_side
+from releasemill.workspace import materialise, small_side
 
 # A batch holds at least the first number of releases, and above it as many as the other bounds
 # allow: every batch has a fixed cost of its own, so small archives are taken many at a time.
 BATCH_RELEASES = 64
 MOST_BATCH_RELEASES = 4096
 BATCH_BYTES = 16 << 30
-# Claims made at once, as each is a few calls to storage.
-CLAIM_THREADS = 16
 LEASE_SECONDS = 6 * 3600
+# Of claims that meet, one waits this long, so often, for the other to be withdrawn.
+SETTLE_SECONDS, SETTLE_CHECKS = 0.1, 10
 
 RELEASES = "run string, number long, archive string, length long, modification_time timestamp, ok boolean"
 FAILURES = (
@@ -92,43 +92,74 @@ class Ledger:
 
     # --- claims
 
-    def _claim_path(self, release) -> str:
+    @functools.cached_property
+    def _claims(self) -> SmallFiles:
+        return SmallFiles(self.spark, f"{self.table.path}/claims")
+
+    @staticmethod
+    def _claim_name(release) -> str:
         name = f"{release['archive']}|{release['length']}|{release['modification_time']}"
-        return f"{self.table.path}/claims/{hashlib.sha256(name.encode()).hexdigest()}"
+        return hashlib.sha256(name.encode()).hexdigest()
+
+    def _held(self) -> dict[str, dict]:
+        """Claims by their files: `owner`, `until`, `rank` and the names of the `releases`."""
+        held = {}
+        for file in self._claims.names():
+            claim = json.loads(self._claims.read(file) or "{}")
+            if claim:  # else let go meanwhile
+                # Those of earlier versions stand for the one release they are named by.
+                held[file] = {"rank": file, "releases": [file], **claim}
+        return held
+
+    def _claim_all(self, names, owner: str, lease: float) -> set[str]:
+        """Claim releases, by their names, in one file; returns those that `owner` has now.
+
+        A claim is announced before others are looked for, and stands when a look finds none that it
+        meets: of two that are made at once, one at least sees the other.  The one of higher rank is
+        withdrawn then.  The other waits for that, and is withdrawn too where the first stands.
+        """
+        rank, left, checks = uuid.uuid4().hex, set(names), SETTLE_CHECKS
+        while left:
+            file = uuid.uuid4().hex
+            claim = {"owner": owner, "until": time.time() + lease, "rank": rank, "releases": sorted(left)}
+            self._claims.create(file, json.dumps(claim))
+            while True:
+                met = [
+                    (other["rank"], left.intersection(other["releases"])) for other in self._held().values()
+                    if other["owner"] != owner and other["until"] > time.time()
+                ]
+                met = [(other, both) for other, both in met if both]
+                if not met:
+                    return left
+                if not checks or any(other < rank for other, _ in met):
+                    break
+                checks -= 1
+                time.sleep(SETTLE_SECONDS)
+            self._claims.delete(file)
+            left.difference_update(*(both for other, both in met if not checks or other < rank))
+        return left
 
     def claim(self, release, owner: str, lease: float) -> bool:
         """Take a release for `owner`; one that another owner holds stays with it until its lease ends."""
-        path = self._claim_path(release)
-        text = json.dumps({"owner": owner, "until": time.time() + lease})
-        if create_once(self.spark, path, text):
-            return True
-        held = json.loads(read_text(self.spark, path) or "{}")
-        if held.get("owner") == owner:
-            return True
-        if held.get("until", 0) > time.time():
-            return False
-        # Two runs may see the lease end: the file is renamed away by one of them alone.
-        filesystem, target = _hadoop(self.spark, path)
-        _, gone = _hadoop(self.spark, f"{path}.{uuid.uuid4().hex}")
-        if not filesystem.rename(target, gone):
-            return False
-        filesystem.delete(gone, False)
-        return create_once(self.spark, path, text)
-
-    def _release_claims(self, releases) -> None:
-        def let_go(release):
-            filesystem, target = _hadoop(self.spark, self._claim_path(release))
-            filesystem.delete(target, False)
-
-        with ThreadPoolExecutor(CLAIM_THREADS) as pool:
-            list(pool.map(let_go, releases))
+        return bool(self._claim_all([self._claim_name(release)], owner, lease))
+
+    def _release_claims(self, releases, owner: str | None = None) -> None:
+        """Let go of releases that `owner`, or anyone, holds, and of claims whose lease has ended."""
+        gone = set(map(self._claim_name, releases))
+        for file, claim in self._held().items():
+            rest = set(claim["releases"]) - gone
+            if owner in (None, claim["owner"]) and len(rest) < len(claim["releases"]):
+                if rest:  # a stopped run of this owner had other batches
+                    self._claims.create(uuid.uuid4().hex, json.dumps({**claim, "releases": sorted(rest)}))
+                self._claims.delete(file)
+            elif claim["until"] <= time.time():
+                self._claims.delete(file)
 
     def _claimed(self, rows: DataFrame, owner: str, lease: float) -> tuple[DataFrame, list, int]:
         """Of a batch's releases those that `owner` could claim, as rows and as a list, and the number of others."""
         wanted = rows.select("archive", "length", "modification_time").collect()
-        with ThreadPoolExecutor(CLAIM_THREADS) as pool:
-            got = list(pool.map(lambda release: self.claim(release, owner, lease), wanted))
-        own = [release for release, ours in zip(wanted, got) if ours]
+        got = self._claim_all(map(self._claim_name, wanted), owner, lease)
+        own = [release for release in wanted if self._claim_name(release) in got]
         if len(own) < len(wanted):
             keys = self.spark.createDataFrame([(release["archive"],) for release in own], "archive string")
             rows = rows.join(F.broadcast(keys), "archive", "left_semi")
@@ -158,7 +189,7 @@ class Ledger:
             if not rows.isEmpty():
                 read, failed = self._publish(rows)
                 taken.read, taken.failed = taken.read + read, taken.failed + failed
-            self._release_claims(own)
+            self._release_claims(own, owner)
         return taken
 
     def open_failures(self) -> DataFrame:
@@ -190,7 +221,7 @@ class Ledger:
             if not open_now.isEmpty():
                 read, failed = self._publish_replay(rows, open_now)
                 done.read, done.failed = done.read + read, done.failed + failed
-            self._release_claims(own)
+            self._release_claims(own, owner)
         return done
 
     def _publish_replay(self, rows: DataFrame, open_now: DataFrame) -> tuple[int, int]:

@@ -1,5 +1,7 @@
 """Appends that happen once, and runs that are stopped and repeated."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,6 +228,55 @@ def test_claims_end_with_their_lease(spark, landing, tmp_path):
     other = {**release, "archive": "b"}
     assert ledger.claim(other, "a", -1) and ledger.claim(other, "b", 60) and not ledger.claim(other, "a", 60)
 
+
+def test_a_batch_is_claimed_by_one_file(spark, landing, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "ledger"), []
+    for n in range(5):
+        landing(f"{n}.zip", record(f"K{n}"))
+    publish = runs.Ledger._publish
+
+    def noted(self, rows):
+        seen.append([p.name for p in (tmp_path / "ledger" / "claims").iterdir() if not p.name.endswith(".crc")])
+        return publish(self, rows)
+
+    monkeypatch.setattr(runs.Ledger, "_publish", noted)
+    assert take(spark, landing.folder, path, batch=5) == runs.Taken(read=5)
+    assert [len(names) for names in seen] == [1]
+
+
+def test_of_claims_made_at_once_one_stands(spark, tmp_path):
+    ledger = runs.Ledger(spark, str(tmp_path / "ledger"))
+    release = {"archive": "a", "length": 1, "modification_time": 0}
+    for n in range(5):
+        with ThreadPoolExecutor(4) as pool:
+            got = list(pool.map(lambda k: ledger.claim({**release, "length": n}, f"o{k}", 60), range(4)))
+        assert sum(got) == 1
+
+
+def test_claims_that_meet_share_no_release(spark, tmp_path):
+    ledger = runs.Ledger(spark, str(tmp_path / "ledger"))
+    made = [{"archive": str(n), "length": 1, "modification_time": 0} for n in range(6)]
+    name = ledger._claim_name
+    assert ledger._claim_all(map(name, made[:4]), "a", 60) == set(map(name, made[:4]))
+    assert ledger._claim_all(map(name, made[2:]), "b", 60) == set(map(name, made[4:]))
+    assert ledger._claim_all(map(name, made), "a", 60) == set(map(name, made[:4]))  # its own, again
+    ledger._release_claims(made, "b")
+    ledger._release_claims(made[:2], "a")  # a part of its claims
+    assert ledger._claim_all(map(name, made), "b", 60) == set(map(name, made[:2] + made[4:]))
+    ledger._release_claims(made)
+    assert ledger._held() == {}
+
+
+def test_claims_of_earlier_versions_hold(spark, tmp_path):
+    ledger = runs.Ledger(spark, str(tmp_path / "ledger"))
+    release = {"archive": "a", "length": 1, "modification_time": 0}
+    for until, free in ((9e9, False), (1, True)):
+        file = f"{ledger.table.path}/claims/{ledger._claim_name(release)}"
+        assert create_once(spark, file, f'{{"owner": "a", "until": {until}}}')
+        assert ledger.claim(release, "b", 60) == free
+        ledger._release_claims([release])
+
+
 def test_growing_layouts_equal_one_batch(spark, landing, tmp_path):
     path, fields = str(tmp_path / "ledger"), []
     for n in range(3):
