@@ -15,7 +15,6 @@ ILLEGAL_CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 BARE_AMPERSAND = r"&(?!(?:amp|lt|gt|quot|apos|#\p{Nd}+|#x[0-9a-fA-F]+);)"
 
 
-@F.pandas_udf(T.StringType())
 def _decode_other(data: pd.Series) -> pd.Series:
     return data.map(lambda b: None if b is None else devicexml.decode_charset(bytes(b)))
 
@@ -27,7 +26,9 @@ def decode_charset(data: Column) -> Column:
     looked at more than once, so let it be a column of its own rather than a formula.
     """
     valid = F.try_validate_utf8(data.cast("string"))
-    return F.coalesce(valid, _decode_other(F.when(valid.isNull(), data)))
+    # Made here: once used it holds a Java object, and this module travels to tasks.
+    decode_other = F.pandas_udf(_decode_other, T.StringType())
+    return F.coalesce(valid, decode_other(F.when(valid.isNull(), data)))
 
 
 def strip_controls(text: Column) -> Column:

@@ -1,6 +1,7 @@
 """Text functions as columns agree with the document parser."""
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from releasemill.functions import text as tx
@@ -68,3 +69,9 @@ def test_output_name(spark):
         ).alias("n")
     )
     assert row.first()["n"] == "udid_weekly_a~b_20260326_090507.csv"
+
+
+def test_the_module_travels_to_tasks_after_use(spark):
+    row = spark.createDataFrame([(b"\xc6\xf7",)], "b binary").select(tx.decode_charset(F.col("b")).alias("t"))
+    assert row.first()["t"] == "器"
+    assert cloudpickle.loads(cloudpickle.dumps(tx)).ILLEGAL_CONTROLS == tx.ILLEGAL_CONTROLS
