@@ -312,20 +312,26 @@ def usual_batch(releases: int, size_bytes: int) -> int:
     return max(BATCH_RELEASES, min(MOST_BATCH_RELEASES, fits))
 
 
+def _located(catalog: DataFrame, archives: DataFrame) -> DataFrame:
+    """Landed archives of the dated releases, written once.
+
+    Every read of a listing asks the storage for each file, and a run reads it several times.
+    """
+    located = materialise(cat.locate(cat.dated(catalog), archives), "located")
+    cat.require_one_each(located)
+    return located
+
+
 def ingest_remaining(catalog: DataFrame, archives: DataFrame, path: str, owner: str = "ingest",
                      batch: int | None = None) -> Taken:
     """One run over all dated releases of a catalog: reads what no earlier run under `path` has read.
 
     Runs of one `owner` follow each other; those of different owners may overlap.
     """
-    located = cat.locate(cat.dated(catalog), archives)
-    cat.require_one_each(located)
-    return Ledger(catalog.sparkSession, path).take(located, owner, batch)
+    return Ledger(catalog.sparkSession, path).take(_located(catalog, archives), owner, batch)
 
 
 def replay_failures(catalog: DataFrame, archives: DataFrame, path: str, owner: str = "ingest",
                     batch: int | None = None) -> Replayed:
     """Read the entries that earlier runs under `path` could not parse, for instance after a parser was mended."""
-    located = cat.locate(cat.dated(catalog), archives)
-    cat.require_one_each(located)
-    return Ledger(catalog.sparkSession, path).replay(located, owner, batch)
+    return Ledger(catalog.sparkSession, path).replay(_located(catalog, archives), owner, batch)

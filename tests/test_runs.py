@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import device_xml, zip_bytes
+from releasemill.operators import catalog as cat
 from releasemill.operators.published import LostRows, PublishedTable, create_once, read_text
 from releasemill.plans import ingest, runs
 from releasemill.sources.archives import scan_archives
@@ -305,3 +306,23 @@ def test_small_releases_are_taken_in_few_batches(spark, landing, tmp_path, monke
     assert ledger.table.read("replays", runs.REPLAYS).select("replay").distinct().count() == 1
     claims = [p for p in (tmp_path / "ledger" / "claims").iterdir() if not p.name.endswith(".crc")]
     assert len(claims) == 1
+
+
+def test_a_run_reads_the_listing_once(spark, landing, tmp_path):
+    for n in range(3):
+        landing(f"{n}.zip", [doc("a.xml", f"K{n}"), ("b.xml", "<r>")])
+    listed, looks = scan_archives(spark, landing.folder), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            looks.add(batch.num_rows)
+            yield batch
+
+    archives = listed.mapInArrow(counted, listed.schema)
+    items = [("daily", n, f"UDID_DAY_UPDATE_2026010{n + 1}", f"https://feed.example/{n}.zip") for n in range(3)]
+    catalog = cat.build_catalog(spark.createDataFrame(items, "kind string, feed_pos long, title string, link string"))
+    path = str(tmp_path / "ledger")
+    assert runs.ingest_remaining(catalog, archives, path) == runs.Taken(read=3)
+    assert looks.value == 3
+    assert runs.replay_failures(catalog, archives, path) == runs.Replayed(failed=3)
+    assert looks.value == 6 and keys(spark, path) == ["K0", "K1", "K2"]
