@@ -342,7 +342,8 @@ def _write_torn_sheets(zf, records):
         buffer = io.BytesIO()
         # Many copies of the rows make a workbook of several blocks.
         write_workbook(buffer, PART_FIELDS, rows, SHEET_COPIES, TORN_ROW if number % 2 else b"")
-        zf.writestr(_info(f"sheet-{number:08d}.xlsx"), buffer.getvalue())
+        # Large and much alike: the fastest level takes a fifth of the time of the usual one.
+        zf.writestr(_info(f"sheet-{number:08d}.xlsx"), buffer.getvalue(), compresslevel=1)
 
 
 # A cell that refers to no string.

@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from releasemill.functions import text as tx
 from releasemill.model import BRONZE_SCHEMA, LAYOUT_SEP, wide_bronze_schema
-from releasemill.sources import devicexml, sheet
+from releasemill.sources import devicexml, sheet, sheetblocks
 from releasemill.sources.archives import (
     SLICES_PER_CORE,
     TASK_BYTES,
@@ -61,7 +61,7 @@ def _entry_blocks(entry, reader, limits):
         return _list_blocks(devicexml.records(data), len(data))
     if data.startswith(LEGACY_WORKBOOK):
         raise sheet.SheetError("legacy .xls workbooks are not read")
-    return _stream_blocks(sheet.records(data))
+    return _sheet_blocks(sheet.parts(data))
 
 
 def _list_blocks(records, size):
@@ -82,6 +82,15 @@ def _stream_blocks(records):
         yield block, size
 
 
+def _sheet_blocks(parts):
+    """Blocks of a workbook; a `Records` is one for itself."""
+    for is_records, run in itertools.groupby(parts, lambda part: isinstance(part, sheetblocks.Records)):
+        if is_records:
+            yield from ((part, part.bytes()) for part in run)
+        else:
+            yield from _stream_blocks(itertools.chain.from_iterable(run))
+
+
 def _readable(reader, entry):
     try:
         yield from reader.chunks(entry)
@@ -149,6 +158,22 @@ class _Rows:
         self._data["fatal"].append(fatal)
         self._offsets.append(len(self._keys))
 
+    def batches_of(self, work, entry, first, records):
+        """Batches of nothing but these records of one entry, numbered from `first`."""
+        columns, other = records.columns(self._columns)
+        columns |= {"fields": other, "layout": records.layout}
+        columns["ord"] = pa.array(range(first, first + records.count), pa.int64())
+        told = {name: work[name] for name in ("archive", "release_ord")}
+        told |= {name: entry[name] for name in ("parent", "entry", "entry_ord")}
+        arrays = [
+            columns[f.name].cast(f.type)
+            if f.name in columns
+            else pa.repeat(pa.scalar(told.get(f.name), f.type), records.count)
+            for f in self._schema
+        ]
+        whole = pa.RecordBatch.from_arrays(arrays, schema=self._schema)
+        return [whole.slice(start, BATCH_ROWS) for start in range(0, records.count, BATCH_ROWS)]
+
     def batch(self):
         other = pa.MapArray.from_arrays(
             pa.array(self._offsets, pa.int32()),
@@ -199,14 +224,21 @@ def _workbook_batches(rows, work, entry, reader, limits):
     batches are held until the last row is read.
     """
     blocks = _entry_blocks(entry, reader, limits)
-    head, more = next(blocks, None), next(blocks, None)
-    if more is None:
-        if head is not None:
-            rows.add(work, entry, 0, head[0])
-            rows.bytes += head[1]
+    begun = list(itertools.islice(blocks, 2))
+    if not begun:
+        return []
+    if len(begun) == 1 and isinstance(begun[0][0], list):
+        rows.add(work, entry, 0, begun[0][0])
+        rows.bytes += begun[0][1]
         return [rows.batch()] if rows.full else []
     own, held, first = rows.like(), [], 0
-    for block, size in itertools.chain([head, more], blocks):
+    for block, size in itertools.chain(begun, blocks):
+        if isinstance(block, sheetblocks.Records):
+            if own.size:
+                held.append(own.batch())
+            held += own.batches_of(work, entry, first, block)
+            first += block.count
+            continue
         own.add(work, entry, first, block)
         own.bytes += size
         first += len(block)

@@ -160,3 +160,94 @@ def test_broken_sheets_fail_as_the_tree_does(broken):
             list(rows)
         told.append(str(error.value))
     assert told[0] == told[1]
+
+
+LONG = (
+    '<row r="{0}" spans="1:9"><c r="A{0}" t="inlineStr"><is><t xml:space="preserve"> {0} &amp;lt;&lt;器&quot;</t></is></c>'
+    '<c r="B{0}" t="s"><v>1</v></c><c r="C{0}" s="1"><v>45000</v></c><c r="D{0}" t="str"><v>NA</v></c>'
+    '<c r="F{0}"/><c r="G{0}"><v>{0}</v></c><c r="I{0}"><v>7.50</v></c></row>',
+    '<row><c/><c t="str"><v></v></c><c t="e"><v>#N/A</v></c><c t="b"><v>1</v></c><c t="inlineStr"><is><t>x\r\ny</t></is></c></row>',
+    '<row r="{0}"/><row><c s="2"><v>1e3</v></c></row><row><c t="s"><v>0</v></c><c/></row><row ht="1"><c/></row>',
+)
+
+
+def long_sheet(shapes, head="", tail="", count=300):
+    rows, number = [head], 1
+    for place in range(count):
+        number += 9
+        rows.append(shapes[place % len(shapes)].format(number))
+    return workbook(
+        "".join(rows) + tail, strings=["<si><t>s</t></si>", "<si><t>一 &amp;</t></si>"],
+        styles='<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="2"/></cellXfs>',
+    )
+
+
+@pytest.mark.parametrize("head", ["", '<row r="1"><c t="str"><v>prdName</v></c><c/><c t="str"><v>b</v></c></row>',
+                                  '<row><c t="str"><v>b</v></c><c t="str"><v>b</v></c><c t="str"><v>b.1</v></c></row>'])
+@pytest.mark.parametrize("shapes", [LONG, LONG[:1], LONG[1:2], LONG[2:]])
+def test_blocks_of_rows_are_those_read_one_by_one(monkeypatch, head, shapes):
+    data = long_sheet(shapes, head)
+    found = {}
+    for size in (1, 5_000, 1 << 60):
+        monkeypatch.setattr(sheet, "BLOCK_BYTES", size)
+        found[size] = list(sheet.Workbook(data).rows()), list(sheet.records(data))
+    assert found[1] == found[5_000] == found[1 << 60]
+    assert found[1][0] == list(sheet.Workbook(data)._tree_rows())
+
+
+def test_a_long_usual_sheet_is_read_in_blocks(monkeypatch):
+    data = long_sheet(LONG, count=9_000)
+    read = sheet.Workbook._usual_cells
+    one_by_one = []
+    monkeypatch.setattr(
+        sheet.Workbook, "_usual_cells", lambda self, text, number: one_by_one.append(number) or read(self, text, number)
+    )
+    assert len(list(sheet.Workbook(data).rows())) == 3_000 * 6
+    # The row of headers, and no more.
+    assert len(one_by_one) == 1
+
+
+@pytest.mark.parametrize("odd", [
+    "<row><c t='str'><v>1</v></c></row>", '<row><c t="str"><v>a>b</v></c></row>', '<row><c t="str"><v>&#65;</v></c></row>',
+    '<row> <c t="str"><v>1</v></c></row>', '<row><c r="B9" t="str"><v>1</v></c><c r="A9" t="str"><v>2</v></c></row>',
+    '<row><c t="str"><v>1</v></c><c r="A9"/></row>', '<row x="1"><c t="str"><v>￮</v></c></row>',
+    '<row><c t="s"><v>00</v></c><c t="s"><v> 1</v></c></row>',
+])
+def test_an_odd_row_among_many_is_read_as_the_tree_does(monkeypatch, odd):
+    monkeypatch.setattr(sheet, "BLOCK_BYTES", 1)
+    data = long_sheet(LONG, tail=odd + LONG[1] * 9)
+    rows = list(sheet.Workbook(data).rows())
+    assert rows == list(sheet.Workbook(data)._tree_rows()) and len(rows) == 100 * 6 + 10
+
+
+@pytest.mark.parametrize("broken", [
+    '<row><c t="s"><v>2</v></c></row>', "<row><c><v>q</v></c></row>", '<row a="1" a="2"><c t="str"><v>1</v></c></row>',
+    '<row x:a="1"><c t="str"><v>1</v></c></row>', '<row><c t="str"><v>&no;</v></c></row>', '<row><c t="str"><v>\x01</v></c></row>',
+    '<row><c t="str"><v>￿</v></c></row>', '<row><c t="str"><v>1</t></is></c></row>', '<row><c s="1"><v>1e300</v></c></row>',
+    '<row><c t="str"><v>]]></v></c></row>',
+])
+def test_a_broken_row_among_many_fails_as_the_tree_does(monkeypatch, broken):
+    monkeypatch.setattr(sheet, "BLOCK_BYTES", 1)
+    data = long_sheet(LONG, tail=broken + LONG[1] * 9)
+    told = []
+    for rows in (sheet.Workbook(data).rows(), sheet.Workbook(data)._tree_rows()):
+        with pytest.raises(sheet.SheetError) as error:
+            list(rows)
+        told.append(str(error.value))
+    assert told[0] == told[1]
+
+
+def test_rows_of_blocks_reach_the_bronze_table_as_all_others(spark, landing, monkeypatch):
+    head = "".join(f'<c t="str"><v>{name}</v></c>' for name in ("prdName", "own", "unit"))
+    data = long_sheet(LONG, f"<row>{head}</row>", count=30_000)
+    landing("a.zip", [("long.xlsx", data)])
+    found = ingest.read_bronze(scan_archives(spark, landing.folder)).records.orderBy("ord").drop("archive")
+    expected = list(sheet.records(data))
+    rows = found.collect()
+    assert [r["ord"] for r in rows] == list(range(len(expected)))
+    known = {"prdName", "unit"}
+    for row, fields in zip(rows, expected):
+        assert {n: row[n] for n in known if row[n] is not None} == {n: v for n, v in fields.items() if n in known}
+        assert row["fields"] == {n: v for n, v in fields.items() if n not in known}
+        assert row["layout"] == "\x1f".join(fields)
+        assert (row["entry"], row["parent"], row["entry_ord"], row["release_ord"]) == ("long.xlsx", None, 0, 0)
