@@ -323,6 +323,7 @@ class Slices:
     nested: int
     documents: int
     document_bytes: int
+    failed: int = 0  # archives that could not be listed
 
     @classmethod
     def of(cls, frame: DataFrame, limits: Limits) -> Slices:
@@ -333,6 +334,7 @@ class Slices:
             F.count_if(F.col("nested_bytes") > limits.nested_bytes).alias("nested"),
             F.count_if(document).alias("documents"),
             F.sum(F.when(document, F.col("slice_bytes"))).alias("document_bytes"),
+            F.count_if(F.col("error").isNotNull()).alias("failed"),
         ).first()
         return cls(frame, limits, *(value or 0 for value in totals))
 

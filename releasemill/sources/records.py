@@ -7,7 +7,11 @@ import itertools
 import math
 from dataclasses import replace
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +31,8 @@ from releasemill.sources.archives import (
     open_slice,
     work_items,
 )
-from releasemill.workspace import materialise, materialise_counted, small_side
+from releasemill.sources.storage import publish
+from releasemill.workspace import fresh_path, materialise, small_side
 
 # An output batch ends at either bound.
 BATCH_ROWS = 8192
@@ -162,7 +167,7 @@ class _Rows:
         """Batches of nothing but these records of one entry, numbered from `first`."""
         columns, other = records.columns(self._columns)
         columns |= {"fields": other, "layout": records.layout}
-        columns["ord"] = pa.array(range(first, first + records.count), pa.int64())
+        columns["ord"] = pa.array(np.arange(first, first + records.count))
         told = {name: work[name] for name in ("archive", "release_ord")}
         told |= {name: entry[name] for name in ("parent", "entry", "entry_ord")}
         arrays = [
@@ -293,6 +298,71 @@ def _parse_batches(schema, columns, limits):
     return run
 
 
+COUNTS = ("records", "failures", "fatal")
+
+
+def _groups(batches):
+    """Batches as tables of the size of a row group."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BATCH_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _write_batches(schema, columns, limits, folder):
+    """Parse a task's slices to a Parquet file of its own; a row with its counts comes out.
+
+    The rows never leave the task.  Its slices come in order, so every attempt writes the same file.
+    """
+    parse = _parse_batches(schema, columns, limits)
+
+    def run(batches):
+        found = parse(batches)
+        head = next(found, None)
+        if head is None:
+            return
+        counts = dict.fromkeys(COUNTS, 0)
+
+        def write(out):
+            with pq.ParquetWriter(out, schema) as file:
+                for group in _groups(itertools.chain([head], found)):
+                    good = group["error"].null_count
+                    counts["records"] += good
+                    counts["failures"] += group.num_rows - good
+                    counts["fatal"] += pc.sum(group["fatal"]).as_py() or 0
+                    file.write_table(group, row_group_size=group.num_rows)
+
+        publish(f"{folder}/part-{TaskContext.get().partitionId():06d}.parquet", write)
+        yield pa.RecordBatch.from_pylist([counts])
+
+    return run
+
+
+def _write_slices(slices: Slices, schema, columns) -> tuple[DataFrame, dict[str, int]]:
+    """Rows of the slices and of archives that could not be listed, as a table in the workspace, and their counts."""
+    spark = slices.frame.sparkSession
+    folder = fresh_path(spark, "records")
+    run = _write_batches(to_arrow_schema(schema), tuple(columns), slices.limits, folder)
+    ordered = work_items(slices).sortWithinPartitions("archive", "release_ord", "slice_no")
+    written = ordered.mapInArrow(run, ", ".join(f"{name} long" for name in COUNTS))
+    total = written.agg(*[F.sum(name).alias(name) for name in COUNTS]).first()
+    counts = {name: total[name] or 0 for name in COUNTS}
+    if slices.failed or not any(counts.values()):
+        told = {"archive", "release_ord", "error", "fatal"}
+        unlisted = slices.frame.filter(F.col("error").isNotNull()).withColumn("fatal", F.lit(True)).select(
+            *[F.col(f.name) if f.name in told else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        )
+        unlisted.write.mode("append").parquet(folder)
+        counts["failures"] += slices.failed
+        counts["fatal"] += slices.failed
+    return spark.read.schema(schema).parquet(folder), counts
+
+
 def _read_slices(work: DataFrame, schema, columns, limits) -> DataFrame:
     return work.mapInArrow(
         _parse_batches(to_arrow_schema(schema), tuple(columns), limits), schema
@@ -324,15 +394,7 @@ def parse_slices_counted(slices: Slices, columns=()) -> tuple[DataFrame, dict[st
             count=slices.count - slices.documents,
             bytes=slices.bytes - slices.document_bytes,
         )
-    unlisted = slices.frame.filter(F.col("error").isNotNull()).select(
-        "archive", "release_ord", "error", F.lit(True).alias("fatal")
-    )
-    parsed = _read_slices(work_items(usual), schema, columns, slices.limits)
-    failed = F.col("error").isNotNull()
-    rows, counts = materialise_counted(
-        parsed.unionByName(unlisted, allowMissingColumns=True), "records",
-        records=F.count_if(~failed), failures=F.count_if(failed), fatal=F.count_if(F.col("fatal")),
-    )
+    rows, counts = _write_slices(usual, schema, columns)
     if slices.documents:
         return rows.unionByName(_parse_large(slices, schema, columns)), None
     return rows, counts

@@ -2,17 +2,22 @@
 
 import glob
 import os
+import re
+import types
 from datetime import datetime
 
 import pytest
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from conftest import device_xml, zip_bytes
 from releasemill import workspace
+from releasemill.model import wide_bronze_schema
 from releasemill.operators import catalog as cat
 from releasemill.operators import frame as fr
 from releasemill.operators import metrics
 from releasemill.plans import ingest
-from releasemill.sources.archives import scan_archives
+from releasemill.sources import records as parsing
+from releasemill.sources.archives import list_slices, scan_archives
 
 NOW = datetime(2026, 3, 26)
 GOOD = device_xml({"deviceRecordKey": "K1"})
@@ -249,3 +254,34 @@ def test_counts_are_taken_by_the_write(spark, landing):
     assert jobs_of(spark, "records", whole.record_count) == (whole.records.count(), 0)
     none = ingest.read_bronze(scan_archives(spark, landing.folder, "x.zip"))
     assert (none.record_count(), none.failure_count()) == (0, 0)
+
+
+def test_each_task_writes_its_rows_once_and_tells_their_counts(spark, landing):
+    for number in range(9):
+        landing(f"{number}.zip", [
+            ("a.xml", device_xml(*[{"unit": str(n)} for n in range(3 + number)])), ("b.xml", "<r><devices><device>"),
+        ])
+    landing("torn.zip", b"PK\x03\x04 torn")
+    for glob, archives in (("[0-8].zip", 9), ("torn.zip", 0), ("none", 0)):
+        bronze = ingest.read_bronze(scan_archives(spark, landing.folder, glob), "skip")
+        torn = glob == "torn.zip"
+        records = sum(3 + n for n in range(archives))
+        assert bronze.counts == {"records": records, "failures": archives + torn, "fatal": int(torn)}
+        assert bronze.rows.count() == records + archives + torn and bronze.records.count() == records
+        assert [r["fatal"] for r in bronze.dead_letter.collect()].count(True) == torn
+        files = [path.rpartition("/")[2] for path in bronze.rows.inputFiles()]
+        assert sum(bool(re.fullmatch(r"part-\d{6}\.parquet", name)) for name in files) == (1 if archives else 0)
+
+
+def test_a_task_repeated_writes_the_same_file(spark, landing, monkeypatch, tmp_path):
+    data = device_xml(*[{"unit": str(n), "own": "x"} for n in range(20)])
+    landing("a.zip", [(f"{n}.xml", data) for n in range(5)])
+    slices = list_slices(scan_archives(spark, landing.folder))
+    work = slices.frame.toArrow().to_batches()
+    monkeypatch.setattr(parsing.TaskContext, "get", lambda: types.SimpleNamespace(partitionId=lambda: 7))
+    run = parsing._write_batches(to_arrow_schema(wide_bronze_schema(["unit"])), ("unit",), slices.limits, str(tmp_path / "t"))
+    written = []
+    for _ in range(2):
+        assert [b.to_pylist() for b in run(iter(work))] == [[{"records": 100, "failures": 0, "fatal": 0}]]
+        written.append((tmp_path / "t" / "part-000007.parquet").read_bytes())
+    assert written[0] == written[1] and len(list((tmp_path / "t").iterdir())) == 1
